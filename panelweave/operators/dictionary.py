@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from panelweave.sources.tables import small_table
+
 # Dictionary type names and the Spark types that satisfy them (fixed values).
 DICTIONARY_TYPES = {
     "character": ["string"],
@@ -37,7 +39,8 @@ def check_dictionary(
         )
         for position, (name, documented) in enumerate(entries, start=1)
     ]
-    return spark.createDataFrame(
+    return small_table(
+        spark,
         rows,
         "position int, variable_name string, variable_type string, actual_type string, "
         "matches boolean",

@@ -25,10 +25,13 @@ def count_sorted(df: DataFrame, *by: str) -> DataFrame:
 
 def count_by_category(df: DataFrame, category: str, levels: Sequence[str]) -> DataFrame:
     """Rows per category with the ordinal to sort by, missing values last."""
-    return (
-        count_by(df, category)
-        .withColumn("ord", ordinal(category, levels))
-        .orderBy(F.col("ord").asc_nulls_last())
+    return with_level_order(count_by(df, category), category, levels)
+
+
+def with_level_order(df: DataFrame, category: str, levels: Sequence[str]) -> DataFrame:
+    """Add the ordinal of a category and sort by it; unknown categories last."""
+    return df.withColumn("ord", ordinal(category, levels)).orderBy(
+        F.col("ord").asc_nulls_last()
     )
 
 
@@ -68,10 +71,14 @@ def top_entities(
 ) -> DataFrame:
     """The ``n`` largest counts, equal counts in entity order, with display names.
 
-    Names are looked up for the ranked rows only.
+    The names table is filtered by the ``n`` ranked entities before it is
+    joined, so it is scanned but never shuffled.
     """
     top = counts.orderBy(F.desc("n"), F.col(entity).asc_nulls_last()).limit(n)
-    return top if names is None else top.join(names, entity, "left")
+    if names is None:
+        return top
+    wanted = names.join(F.broadcast(top.select(entity)), entity, "left_semi")
+    return top.join(wanted, entity, "left")
 
 
 def entity_frequency(

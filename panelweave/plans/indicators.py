@@ -22,6 +22,7 @@ from panelweave.operators.audit import lookup_coverage, unmatched_codes
 from panelweave.operators.joins import clean_lookup, natural_left_join
 from panelweave.operators.reshape import explode_labels, unpivot_columns
 from panelweave.operators.select import columns_with_prefix, drop_optional, relocate, select_by_type
+from panelweave.sources.tables import small_table
 
 
 @dataclass(frozen=True)
@@ -78,7 +79,7 @@ def tidy_indicators(
     values = columns_with_prefix(wide, prefixes, keep=id_columns)
 
     known = clean_lookup(lookup, "var_short", "var_long")
-    codes = spark.createDataFrame([(c,) for c in values], "code string")
+    codes = small_table(spark, [(c,) for c in values], "code string")
     classified = classify_codes(codes, known)
     normalized = codes.select(normalize_codes("code").alias("var_short"))
 

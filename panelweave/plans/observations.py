@@ -13,7 +13,7 @@ from panelweave.functions.vocabulary import (
     derive_residence_legacy,
 )
 from panelweave.operators.joins import available_entities, lookup_join
-from panelweave.operators.reshape import any_present, append_placeholders, unpivot_columns
+from panelweave.operators.reshape import any_present, union_all, unpivot_columns
 from panelweave.operators.select import columns_with_prefix
 
 CONTEXT_COLUMNS = ["source", "type", "year"]
@@ -49,7 +49,7 @@ def tidy_observations(
     sheet but no value at all keep one otherwise empty row.
 
     Whether an entity has a value is read off the wide rows, before they are
-    multiplied by the number of variables.
+    multiplied by the number of variables, in an aggregate of one flag.
     """
     values = columns_with_prefix(sheets, prefixes)
     wide = available_entities(sheets, entities, entity).select(
@@ -58,7 +58,11 @@ def tidy_observations(
         *values,
     )
     long = unpivot_columns(wide, values, "var_short", "value", drop_null=True)
-    with_data = wide.filter(any_present(values)).select(entity)
-    listed = available_entities(entities, sheets, entity)
-    complete = append_placeholders(long, listed, with_data, entity)
+    without_data = (
+        wide.groupBy(entity)
+        .agg(F.max(any_present(values)).alias("has_data"))
+        .filter(~F.col("has_data"))
+        .select(entity)
+    )
+    complete = union_all([long, without_data])
     return lookup_join(complete, classify_variables(variables), "var_short")

@@ -39,11 +39,12 @@ def snapshot_format(path: str) -> str:
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """Scan one snapshot; missing values of text exports become NULL.
 
-    Text columns are read as strings by header name. Types are pinned by
+    Typed files are scanned as they are, so filters reach the files. Text files
+    are read as strings by header name. Types are pinned by
     :func:`panelweave.schema.cast_project`, never guessed from the data.
     """
     if snapshot_format(path) == "parquet":
-        return clean_missing(spark.read.parquet(path))
+        return spark.read.parquet(path)
     return clean_missing(spark.read.option("header", True).csv(path))
 
 

@@ -10,6 +10,7 @@ from panelweave.functions import scalars
 from panelweave.operators import audit, dedup, diff, joins, registry
 from panelweave.operators.reshape import append_placeholders, as_map
 from panelweave.plans.diff_report import diff_report, top_added_per_pair
+from panelweave.sources.tables import small_table
 from panelweave.suite import fixtures as fx
 from panelweave.suite.registry import query
 
@@ -477,7 +478,7 @@ EXPECTED_YEARS = [("1-URGENT", 2001), ("2-HIGH", 2000), ("3-MEDIUM", 2001), ("5-
          ('5-LOW', 2001)) e(release_id, expected_max_year) USING (release_id)""",
 )
 def release_max_year_check(spark, folder):
-    expected = spark.createDataFrame(EXPECTED_YEARS, "release_id string, expected_max_year int")
+    expected = small_table(spark, EXPECTED_YEARS, "release_id string, expected_max_year int")
     return audit.max_year_check(_estimates(spark, folder), expected, "release_id")
 
 

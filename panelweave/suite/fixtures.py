@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelweave.functions.vocabulary import indicator_lookup, observation_lookup
+from panelweave.sources.tables import small_table
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -205,11 +206,11 @@ SQL["observation_codes"] = _coded_events_sql(OBSERVATION_STEMS)
 
 def lookup_table(spark: SparkSession) -> DataFrame:
     """The shipped labels; a list of fixed length."""
-    return spark.createDataFrame(indicator_lookup(), "var_short string, var_long string")
+    return small_table(spark, indicator_lookup(), "var_short string, var_long string")
 
 
 def variable_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(observation_lookup(), "var_short string, var_long string")
+    return small_table(spark, observation_lookup(), "var_short string, var_long string")
 
 
 SQL["lookup"] = f"SELECT * FROM ({sql_rows(indicator_lookup())}) t(var_short, var_long)"

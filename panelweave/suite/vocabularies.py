@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelweave.functions import scalars, vocabulary as vocab
-from panelweave.operators import audit, joins, reshape, summary
+from panelweave.operators import audit, codes, joins, reshape, summary
 from panelweave.plans import analysis, indicators, observations
 from panelweave.suite import fixtures as fx
 from panelweave.suite.registry import query
@@ -43,6 +43,16 @@ def derive_residence_legacy(spark, folder):
 
 @query("normalize_codes", _IND + f"SELECT event_id, {_NORMALIZED} AS code FROM indicator_codes")
 def normalize_codes(spark, folder):
+    rows = fx.indicator_codes(spark, folder)
+    mapped = codes.map_codes(rows, "code", {"var_short": vocab.normalize_codes})
+    return mapped.select("event_id", F.col("var_short").alias("code"))
+
+
+@query(
+    "normalize_codes_rowwise",
+    _IND + f"SELECT event_id, {_NORMALIZED} AS code FROM indicator_codes",
+)
+def normalize_codes_rowwise(spark, folder):
     return fx.indicator_codes(spark, folder).select(
         "event_id", vocab.normalize_codes("code").alias("code")
     )
@@ -78,9 +88,9 @@ def strip_trailing_digits(spark, folder):
           FROM observation_codes""",
 )
 def classify_stage(spark, folder):
-    return fx.observation_codes(spark, folder).select(
-        "event_id", "code", vocab.classify_stage("code").alias("stage")
-    )
+    rows = fx.observation_codes(spark, folder)
+    mapped = codes.map_codes(rows, "code", {"stage": vocab.classify_stage})
+    return mapped.select("event_id", "code", "stage")
 
 
 @query(
@@ -92,8 +102,9 @@ def classify_stage(spark, folder):
                 FROM observation_codes GROUP BY 1) ORDER BY ord NULLS LAST""",
 )
 def ordered_categories(spark, folder):
-    staged = fx.observation_codes(spark, folder).select(vocab.classify_stage("code").alias("stage"))
-    return summary.count_by_category(staged, "stage", vocab.STAGE_LEVELS)
+    rows = fx.observation_codes(spark, folder)
+    counts = codes.count_mapped(rows, "code", {"stage": vocab.classify_stage})
+    return summary.with_level_order(counts, "stage", vocab.STAGE_LEVELS)
 
 
 @query(
@@ -120,12 +131,12 @@ _STRIPPED = "regexp_replace(regexp_replace(regexp_replace({0}, '_n$', ''), '_r$'
           FROM (SELECT event_id, {_NORMALIZED} AS code FROM indicator_codes)""",
 )
 def strip_suffix(spark, folder):
-    code = vocab.normalize_codes("code")
-    return fx.indicator_codes(spark, folder).select(
-        "event_id",
-        vocab.tidy_residence(code).alias("residence"),
-        vocab.strip_suffix(code).alias("stem"),
-    )
+    rules = {
+        "residence": lambda code: vocab.tidy_residence(vocab.normalize_codes(code)),
+        "stem": lambda code: vocab.strip_suffix(vocab.normalize_codes(code)),
+    }
+    rows = fx.indicator_codes(spark, folder)
+    return codes.map_codes(rows, "code", rules).select("event_id", "residence", "stem")
 
 
 _LABELLED = (
@@ -148,11 +159,10 @@ _TYPE_BRANCHES = " UNION ALL ".join(
 
 @query("classify_explode", _LABELLED + _TYPE_BRANCHES)
 def classify_explode(spark, folder):
-    # The rules run over the distinct codes; the rows only join the result.
+    # The rules run over the vocabulary; the rows only join the result.
     rows = fx.indicator_codes(spark, folder).select("event_id", "value", "code")
-    codes = rows.select("code").distinct()
-    typed = indicators.classify_codes(codes, fx.lookup_table(spark))
-    return rows.join(typed, "code").select(
+    typed = indicators.classify_codes(codes.vocabulary_of(rows, "code"), fx.lookup_table(spark))
+    return rows.join(F.broadcast(typed), "code").select(
         "event_id", "value", F.col("var_short").alias("code"), "service", "indicator_type",
         "indicator",
     )
@@ -185,9 +195,14 @@ _ROWS = (
 
 
 def _coded(spark, folder):
-    return fx.indicator_codes(spark, folder).select(
-        "event_id", vocab.normalize_codes("code").alias("var_short")
-    )
+    rows = fx.indicator_codes(spark, folder).select("event_id", "code")
+    return codes.map_codes(rows, "code", {"var_short": vocab.normalize_codes}).drop("code")
+
+
+def _codes(spark, folder):
+    """The distinct codes of the panel, normalised; NULL is one of them."""
+    distinct = fx.indicator_codes(spark, folder).select("code").distinct()
+    return distinct.select(vocab.normalize_codes("code").alias("var_short"))
 
 
 @query(
@@ -214,7 +229,7 @@ def lookup_matched_rows(spark, folder):
          WHERE var_short IS NULL OR var_short NOT IN (SELECT var_short FROM lookup)""",
 )
 def unmatched_codes(spark, folder):
-    return audit.unmatched_codes(_coded(spark, folder), fx.lookup_table(spark), "var_short")
+    return audit.unmatched_codes(_codes(spark, folder), fx.lookup_table(spark), "var_short")
 
 
 @query(
@@ -227,7 +242,7 @@ def unmatched_codes(spark, folder):
                FROM (SELECT DISTINCT var_short FROM coded))""",
 )
 def lookup_coverage_gate(spark, folder):
-    return audit.lookup_coverage(_coded(spark, folder), fx.lookup_table(spark), "var_short")
+    return audit.lookup_coverage(_codes(spark, folder), fx.lookup_table(spark), "var_short")
 
 
 @query(
@@ -254,11 +269,12 @@ def distinct_codes(spark, folder):
           WHERE residence_legacy IS DISTINCT FROM residence GROUP BY ALL""",
 )
 def label_transition_counts(spark, folder):
-    labelled = fx.observation_codes(spark, folder).select(
-        vocab.derive_residence_legacy("code").alias("residence_legacy"),
-        vocab.derive_residence("code").alias("residence"),
-    )
-    return audit.label_transitions(labelled, "residence_legacy", "residence")
+    rules = {
+        "residence_legacy": vocab.derive_residence_legacy,
+        "residence": vocab.derive_residence,
+    }
+    counts = codes.count_mapped(fx.observation_codes(spark, folder), "code", rules)
+    return audit.label_transitions(counts, "residence_legacy", "residence", "n")
 
 
 @query("natural_left_join_3way", fx.JOINED_SHEETS + "SELECT * FROM joined_sheets")
