@@ -117,6 +117,8 @@ def diff_pairs(
     The rows are shuffled once by identity key whatever the number of pairs;
     the pairs are formed from the per-release values of each key afterwards.
     """
+    if any(old == new for old, new in pairs):
+        raise ValueError("a release cannot be compared with itself")
     aligned = (
         _align_wide(snapshots, pairs, key_cols, value_col, release_col)
         if len(pairs) <= WIDE_PAIR_LIMIT

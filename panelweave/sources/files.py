@@ -118,6 +118,8 @@ def audit_files(spark: SparkSession, folder: str, magic: bytes = ZIP_MAGIC) -> D
 
     Spark lists the files without their contents; each task then opens its own
     files and reads only the leading bytes, so the size of the files is no cost.
+    Spark's scan passes over files of zero bytes: like a file that does not
+    exist, an empty one is not among the rows and thus never valid.
     """
     listing = spark.read.format("binaryFile").load(folder).select("path", "length")
     return listing.mapInArrow(
@@ -127,19 +129,20 @@ def audit_files(spark: SparkSession, folder: str, magic: bytes = ZIP_MAGIC) -> D
 
 
 def _leading_bytes_match(batches: Iterator, magic: bytes) -> Iterator:
+    from urllib.parse import quote
+
     import pyarrow as pa
     from pyarrow import fs
 
+    def starts_with_magic(path: str) -> bool:
+        uri = path if "://" in path else path.replace("file:", "file://", 1)
+        filesystem, inner = fs.FileSystem.from_uri(quote(uri, safe=":/@"))
+        with filesystem.open_input_stream(inner) as stream:
+            return stream.read(len(magic)) == magic
+
     for batch in batches:
-        valid = []
-        for path, length in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist()):
-            ok = length > len(magic)
-            if ok:
-                uri = path if "://" in path else path.replace("file:", "file://", 1)
-                filesystem, inner = fs.FileSystem.from_uri(uri)
-                with filesystem.open_input_stream(inner) as stream:
-                    ok = stream.read(len(magic)) == magic
-            valid.append(ok)
+        paths, lengths = (batch.column(c).to_pylist() for c in ("path", "length"))
+        valid = [n > len(magic) and starts_with_magic(p) for p, n in zip(paths, lengths)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("path"), batch.column("length"), pa.array(valid, pa.bool_())],
             names=["path", "length", "is_valid"],

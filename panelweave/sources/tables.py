@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
@@ -15,8 +15,8 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
     """
     import pyarrow as pa
 
-    empty = spark.createDataFrame([], schema)
-    columns = {
-        name: [row[i] for row in rows] for i, name in enumerate(empty.columns)
-    }
-    return spark.createDataFrame(pa.table(columns), schema) if rows else empty
+    struct = T.StructType.fromDDL(schema)
+    if not rows:
+        return spark.createDataFrame([], struct)
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(struct.names)}
+    return spark.createDataFrame(pa.table(columns), struct)
