@@ -19,6 +19,7 @@ from panelweave.functions.vocabulary import (
     tidy_residence,
 )
 from panelweave.operators.audit import lookup_coverage, unmatched_codes
+from panelweave.operators.codes import vocabulary_of
 from panelweave.operators.joins import clean_lookup, natural_left_join
 from panelweave.operators.reshape import explode_labels, unpivot_columns
 from panelweave.operators.select import columns_with_prefix, drop_optional, relocate, select_by_type
@@ -55,6 +56,18 @@ def classify_codes(
     return typed.select(code, "var_short", "residence", "service", "indicator_type", "indicator")
 
 
+def classify_rows(rows: DataFrame, code: str, lookup: DataFrame) -> DataFrame:
+    """Classify a long table whose codes are values: rows gain one row per type.
+
+    The vocabulary of the table is classified once and broadcast after its size
+    has been checked; otherwise the distinct codes are joined by shuffling.
+    """
+    vocabulary = vocabulary_of(rows, code)
+    if vocabulary is None:
+        return rows.join(classify_codes(rows.select(code).distinct(), lookup, code), code)
+    return rows.join(F.broadcast(classify_codes(vocabulary, lookup, code)), code)
+
+
 def tidy_indicators(
     sheets: Sequence[DataFrame],
     lookup: DataFrame,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from panelweave.functions.rules import as_column
 
@@ -18,14 +18,21 @@ def read_entity_files(
     fmt: str = "parquet",
     extension: str = "parquet",
     text_columns: Sequence[str] = (),
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Scan one file per entity; the entity is the file name.
 
-    Columns that exist in some files only are NULL for the others. Columns
-    whose type differs from file to file are named in ``text_columns``.
+    Columns that exist in some files only are NULL for the others. Columns to
+    be read as text whatever the file says are named in ``text_columns``. With
+    many files pass the ``schema``, or Spark looks into each of them to find it.
     """
     reader = spark.read.format(fmt)
-    reader = reader.option("mergeSchema", True) if fmt == "parquet" else reader.option("header", True)
+    if schema is not None:
+        reader = reader.schema(schema)
+    elif fmt == "parquet":
+        reader = reader.option("mergeSchema", True)
+    if fmt == "csv":
+        reader = reader.option("header", True)
     files = reader.load(list(paths) if not isinstance(paths, str) else paths)
     name = F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*)\.{extension}$", 1)
     return files.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from panelweave.functions.scalars import strip_trailing_digits
 from panelweave.functions.vocabulary import map_source_type, normalize_raw_codes
@@ -36,15 +36,19 @@ def snapshot_format(path: str) -> str:
     return FORMATS[extension]
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+def read_snapshot(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame:
     """Scan one snapshot; missing values of text exports become NULL.
 
-    Typed files are scanned as they are, so filters reach the files. Text files
-    are read as strings by header name. Types are pinned by
-    :func:`panelweave.schema.cast_project`, never guessed from the data.
+    Typed files are scanned as they are, so filters reach the files; a given
+    ``schema`` saves looking into them for it. Text files are read as strings by
+    header name. Types are pinned by :func:`panelweave.schema.cast_project`,
+    never guessed from the data.
     """
     if snapshot_format(path) == "parquet":
-        return spark.read.parquet(path)
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return reader.parquet(path)
     return clean_missing(spark.read.option("header", True).csv(path))
 
 

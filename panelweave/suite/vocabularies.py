@@ -159,10 +159,8 @@ _TYPE_BRANCHES = " UNION ALL ".join(
 
 @query("classify_explode", _LABELLED + _TYPE_BRANCHES)
 def classify_explode(spark, folder):
-    # The rules run over the vocabulary; the rows only join the result.
     rows = fx.indicator_codes(spark, folder).select("event_id", "value", "code")
-    typed = indicators.classify_codes(codes.vocabulary_of(rows, "code"), fx.lookup_table(spark))
-    return rows.join(F.broadcast(typed), "code").select(
+    return indicators.classify_rows(rows, "code", fx.lookup_table(spark)).select(
         "event_id", "value", F.col("var_short").alias("code"), "service", "indicator_type",
         "indicator",
     )

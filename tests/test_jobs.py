@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from panelweave.functions import vocabulary as vocab
 from panelweave.operators import diff
 from panelweave.plans.diff_report import diff_report, pairs_of
+from panelweave.plans import indicators
 from panelweave.plans.indicators import tidy_indicators
 from panelweave.plans.observations import tidy_observations
 from panelweave.sources.tables import small_table
@@ -129,6 +130,16 @@ def test_id_columns_are_not_unpivoted(spark, lookup):
     assert {r[0] for r in rows(estimates.select("arc_hyg_bas_u").distinct())} == {0.5}
 
 
+def test_classifying_rows_with_and_without_broadcast(spark, lookup, monkeypatch):
+    frame = spark.createDataFrame(
+        [(1, "san_sm_t"), (2, "wat_ns_u"), (3, "nope"), (4, None), (5, "san_sm_t")], "id int, code string"
+    )
+    small = bag(indicators.classify_rows(frame, "code", lookup).select("id", "indicator"))
+    monkeypatch.setattr(indicators, "vocabulary_of", lambda df, code: None)
+    assert bag(indicators.classify_rows(frame, "code", lookup).select("id", "indicator")) == small
+    assert small == {(1, "Safely managed"): 1, (5, "Safely managed"): 1, (2, "Surface water"): 1}
+
+
 def test_observations(spark):
     sheets = spark.createDataFrame(
         [("UGA", "CEN", 7, 2002.0, 1.0, None, "x"), ("UGA", "DHS", 8, 2006.0, None, 0.0, "x"),

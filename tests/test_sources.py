@@ -101,6 +101,11 @@ def test_entity_comes_from_the_file_name(spark, tmp_path):
     assert bag(found.select("iso3", "s_lat_t", "s_ns_u", "year")) == {
         ("UGA", 1.0, None, "2002.0"): 1, ("POL", None, 2.0, "2015.0"): 1,
     }
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL("source string, year double, s_lat_t double, s_ns_u double")
+    pinned = files.read_entity_files(spark, str(folder), schema=schema)
+    assert bag(pinned.drop("year")) == bag(found.drop("year"))
     names = files.file_names(spark, str(folder), "parquet")
     assert {r["name"] for r in names.collect()} == {"UGA", "POL"}
 
