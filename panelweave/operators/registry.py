@@ -97,6 +97,25 @@ def consecutive_pairs(first_snapshots: DataFrame) -> DataFrame:
     )
 
 
+def available_releases(flags: DataFrame) -> DataFrame:
+    """Release and pipeline pairs with a file that can be compared."""
+    usable = flags.filter(F.col("available") & ~F.col("excluded"))
+    return usable.select("release_id", "pipeline").distinct()
+
+
+def inventory(flags: DataFrame) -> DataFrame:
+    """The registry as listed in a report."""
+    return flags.select(
+        "release_id",
+        "pipeline",
+        "snapshot_date",
+        "file",
+        "source",
+        F.when(F.col("available"), "yes").otherwise("no").alias("available"),
+        "notes",
+    )
+
+
 def unavailable_releases(flags: DataFrame) -> DataFrame:
     """Release and pipeline pairs with a registered file that does not exist."""
     return flags.filter(~F.col("available")).select("release_id", "pipeline").distinct()

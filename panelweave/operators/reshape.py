@@ -58,10 +58,11 @@ def append_placeholders(
     return union_all([observations, missing_entities(entities, present, key)])
 
 
-def as_map(df: DataFrame, key: str, value: str) -> DataFrame:
-    """One row holding a name → value map; meant for a fixed, small domain."""
-    entries = F.sort_array(F.collect_list(F.struct(F.col(key), F.col(value))))
-    return df.agg(F.map_from_entries(entries).alias("totals"))
+def as_map(df: DataFrame, key: str, value: str, domain: Sequence[str]) -> DataFrame:
+    """One row with a name → value map over a known domain; absent names are NULL."""
+    picked = [F.max(F.when(F.col(key) == name, F.col(value))).alias(name) for name in domain]
+    pairs = [part for name in domain for part in (F.lit(name), F.col(f"`{name}`"))]
+    return df.agg(*picked).select(F.create_map(*pairs).alias("totals"))
 
 
 def any_present(columns: Sequence[str]) -> Column:

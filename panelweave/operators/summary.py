@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from panelweave.functions.rules import ordinal
 from panelweave.functions.scalars import interval_label
-from panelweave.operators.joins import left_join_renamed
+from panelweave.operators.joins import left_join_renamed, natural_left_join
 
 
 def count_by(df: DataFrame, *by: str) -> DataFrame:
@@ -51,9 +51,16 @@ def share_of_total(counts: DataFrame, n: str = "n", share: str = "prop") -> Data
 def share_within(
     counts: DataFrame, by: Sequence[str], n: str = "n", share: str = "prop"
 ) -> DataFrame:
-    """Percentage of the total of each group; ``counts`` is already aggregated."""
-    total = F.sum(n).over(Window.partitionBy(*by))
-    return counts.withColumn(share, F.col(n) / F.nullif(total, F.lit(0)) * 100)
+    """Percentage of the total of each group, missing groups included.
+
+    The totals are aggregated and joined back instead of summed in a window: a
+    window would gather a whole group, however large, in one task.
+    """
+    totals = counts.groupBy(*by).agg(F.sum(n).alias("__total"))
+    percentage = F.col(n) / F.nullif(F.col("__total"), F.lit(0)) * 100
+    return (
+        natural_left_join([counts, totals], on=by).withColumn(share, percentage).drop("__total")
+    )
 
 
 def component_max(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:

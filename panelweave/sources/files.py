@@ -22,9 +22,11 @@ def read_entity_files(
 ) -> DataFrame:
     """Scan one file per entity; the entity is the file name.
 
-    Columns that exist in some files only are NULL for the others. Columns to
-    be read as text whatever the file says are named in ``text_columns``. With
-    many files pass the ``schema``, or Spark looks into each of them to find it.
+    Columns that exist in some files only are NULL for the others. With many
+    files pass the ``schema``, or Spark looks into each of them to find it.
+
+    A column whose type differs between files is named in ``text_columns``; files
+    of equal types are then read by one call each and stacked with ``union_all``.
     """
     reader = spark.read.format(fmt)
     if schema is not None:
@@ -84,6 +86,13 @@ def header_rows_to_lookup(
     )
 
 
+def preferred_file(df: DataFrame, file: str, preferred: str) -> DataFrame:
+    """Rows of the preferred file, or of the first one by name if it is absent."""
+    rank = F.struct((F.col(file).cast("string") != preferred).alias("other"), F.col(file).alias("name"))
+    chosen = df.agg(F.min(rank).alias("best")).select("best.name").scalar()
+    return df.filter(F.col(file) == chosen)
+
+
 def json_header_rows(df: DataFrame, text: str, columns: Sequence[str]) -> DataFrame:
     """Rows of JSON tables whose first inner array is the header.
 

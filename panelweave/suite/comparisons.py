@@ -71,7 +71,7 @@ def status_totals(spark, folder):
 
 @query("status_totals_map", fx.SNAP_DIFF + _counts_sql("", "snap_diff"))
 def status_totals_map(spark, folder):
-    totals = as_map(diff.status_totals(_diff(spark, folder)), "status", "n")
+    totals = as_map(diff.status_totals(_diff(spark, folder)), "status", "n", diff.STATUSES)
     return totals.select(*[F.col("totals")[s].alias("n_" + s) for s in diff.STATUSES])
 
 
@@ -312,6 +312,24 @@ def manifest_unavailable(spark, folder):
     return registry.unavailable_releases(_flags(spark, folder))
 
 
+@query(
+    "manifest_available",
+    fx.FLAGS + "SELECT DISTINCT release_id, pipeline FROM flags WHERE available AND NOT excluded",
+)
+def manifest_available(spark, folder):
+    return registry.available_releases(_flags(spark, folder))
+
+
+@query(
+    "manifest_inventory",
+    fx.FLAGS
+    + """SELECT release_id, pipeline, snapshot_date, file, source,
+           CASE WHEN available THEN 'yes' ELSE 'no' END AS available, notes FROM flags""",
+)
+def manifest_inventory(spark, folder):
+    return registry.inventory(_flags(spark, folder))
+
+
 @query("first_snapshot_per_release", fx.FIRST_SNAPSHOTS + "SELECT * FROM first_snapshots")
 def first_snapshot_per_release(spark, folder):
     return registry.first_snapshot_per_release(_flags(spark, folder))

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelweave.operators import dictionary, select, summary
+from panelweave.operators.registry import latest_file
 from panelweave.operators.reshape import union_all, unpivot_columns
+from panelweave.plans import packaging
 from panelweave.schema import INDICATOR_SCHEMA, cast_project
 from panelweave.sources import files, snapshots
 from panelweave.sources.scratch import scratch_path
+from panelweave.sources.tables import small_table
 from panelweave.suite import fixtures as fx
 from panelweave.suite.registry import query
 
@@ -138,6 +141,17 @@ def header_rows_to_lookup(spark, folder):
     return files.header_rows_to_lookup(sheets, "conv_id", "turn", "cells")
 
 
+@query(
+    "preferred_header_file",
+    """SELECT conv_id, turn, role FROM conversations WHERE conv_id = (
+         SELECT conv_id FROM conversations
+         ORDER BY CAST(conv_id AS VARCHAR) <> '42', conv_id LIMIT 1)""",
+)
+def preferred_header_file(spark, folder):
+    sheets = fx.table(spark, folder, "conversations").select("conv_id", "turn", "role")
+    return files.preferred_file(sheets, "conv_id", "42")
+
+
 @query(
     "file_magic_audit",
     """SELECT page_id, CAST(octet_length(encode(html)) AS INTEGER) AS n_bytes,
@@ -205,6 +219,44 @@ def snapshot_roundtrip(spark, folder):
     return snapshots.read_snapshot(spark, path).select(*df.columns)
 
 
+@query(
+    "csv_roundtrip",
+    """SELECT event_id, event_type, value, CASE WHEN event_type <> 'error' THEN user_id END AS user_id
+       FROM events""",
+)
+def csv_roundtrip(spark, folder):
+    df = fx.table(spark, folder, "events").select(
+        "event_id",
+        "event_type",
+        "value",
+        F.when(F.col("event_type") != "error", F.col("user_id")).alias("user_id"),
+    )
+    path = scratch_path(spark, "roundtrip") + ".csv.gz"
+    snapshots.write_snapshot(df, path)
+    return cast_project(snapshots.read_snapshot(spark, path), df.schema)
+
+
+@query(
+    "package_latest",
+    fx.with_tables("snap_new") + "SELECT * FROM snap_new",
+)
+def package_latest(spark, folder):
+    base = scratch_path(spark, "packaging")
+    dated = {"2000-01-01": fx.snap_old, "2001-08-01": fx.snap_new}
+    for day, snapshot in dated.items():
+        snapshots.write_snapshot(snapshot(spark, folder), f"{base}/{day}_raw.parquet")
+    registered = [("r", day, "raw", f"{base}/{day}_raw.parquet", None, None) for day in dated]
+    manifest = small_table(spark, registered, MANIFEST_DDL)
+    schema = fx.snap_new(spark, folder).schema
+    return packaging.package_latest(spark, manifest, r"_raw\.parquet$", schema, f"{base}/latest")
+
+
+MANIFEST_DDL = (
+    "release_id string, snapshot_date string, pipeline string, file string, source string, "
+    "notes string"
+)
+
+
 @query(
     "latest_snapshot",
     fx.with_tables("manifest")
@@ -212,8 +264,6 @@ def snapshot_roundtrip(spark, folder):
           WHERE regexp_matches(file, '^\d{4}-\d{2}-\d{2}_raw_\d+\.csv$')""",
 )
 def latest_snapshot(spark, folder):
-    from panelweave.operators.registry import latest_file
-
     return latest_file(fx.manifest(spark, folder), r"^\d{4}-\d{2}-\d{2}_raw_\d+\.csv$")
 
 

@@ -230,6 +230,30 @@ def test_max_year_check(spark):
     }
 
 
+def test_unreadable_captures_are_rejected_with_their_problem(spark):
+    from datetime import datetime
+
+    at = [datetime(2024, 5, d) for d in range(1, 6)]
+    captures = spark.createDataFrame(
+        [(at[0], 2022, "no such sheet"), (at[1], 2020, None), (at[2], None, None), (at[3], 2022, None),
+         (at[4], 2022, None)],
+        "ts timestamp, max_year int, problem string",
+    )
+    targets = [{"release_id": "r", "opens": at[0], "closes": at[3], "expected_max_year": 2022},
+               {"release_id": "none", "opens": at[0], "closes": at[2], "expected_max_year": 1}]
+    verdicts = audit.capture_verdicts(captures, targets, "ts", "max_year", "problem")
+    reasons = [r["reason"] for r in verdicts.filter("release_id = 'r'").orderBy("ts").collect()]
+    assert reasons == [
+        "no such sheet",
+        "stale capture: max year 2020, expected 2022",
+        "stale capture: max year NA, expected 2022",
+        "max estimate year 2022",
+    ]
+    first = {r["release_id"]: (r["first_valid"], r["n_rejected"])
+             for r in audit.first_valid_capture(verdicts, "ts").collect()}
+    assert first == {"r": (at[3], 3), "none": (None, 3)}
+
+
 def test_coverage_verdicts(spark):
     entities = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("b", 4), ("b", 5), ("c", 6)], "g string, e int")
     present = spark.createDataFrame([(1,), (1,), (2,), (3,), (99,)], "e int")
@@ -317,6 +341,10 @@ def test_shares(spark):
     assert {(r["y"], r["t"]): r["prop"] for r in summary.share_within(counts, ["y"]).collect()} == {
         ("a", 1): 25.0, ("a", 2): 75.0, ("b", 1): 100.0,
     }
+    missing = spark.createDataFrame([(None, 1, 1), (None, 2, 1), ("z", 1, 0)], "y string, t int, n long")
+    assert {(r["y"], r["t"]): r["prop"] for r in summary.share_within(missing, ["y"]).collect()} == {
+        (None, 1): 50.0, (None, 2): 50.0, ("z", 1): None,
+    }
     assert sum(r["prop"] for r in summary.share_of_total(counts).collect()) == 100.0
     assert rows(summary.share_of_total(counts.filter("n > 99"))) == []
 

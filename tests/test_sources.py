@@ -110,6 +110,26 @@ def test_entity_comes_from_the_file_name(spark, tmp_path):
     assert {r["name"] for r in names.collect()} == {"UGA", "POL"}
 
 
+def test_files_with_differing_types_are_stacked_as_text(spark, tmp_path):
+    import pandas as pd
+
+    from panelweave.operators.reshape import union_all
+
+    pd.DataFrame({"source": ["CEN"], "v": [1.0]}).to_parquet(tmp_path / "A.parquet")
+    pd.DataFrame({"source": [7], "v": [2.0]}).to_parquet(tmp_path / "B.parquet")
+    parts = [
+        files.read_entity_files(spark, [f"{tmp_path}/{name}.parquet"], text_columns=["source"])
+        for name in "AB"
+    ]
+    assert bag(union_all(parts)) == {("A", "CEN", 1.0): 1, ("B", "7", 2.0): 1}
+
+
+def test_preferred_file(spark):
+    frame = spark.createDataFrame([("UGA", 1), ("ALB", 2), ("UGA", 3)], "file string, row int")
+    assert bag(files.preferred_file(frame, "file", "UGA")) == {("UGA", 1): 1, ("UGA", 3): 1}
+    assert bag(files.preferred_file(frame, "file", "XXX")) == {("ALB", 2): 1}
+
+
 def test_header_rows_of_unequal_length(spark):
     frame = spark.createDataFrame(
         [("f", 0, ["Label A", "Label B", None]), ("f", 1, ["a", "b", "c", "d"]), ("f", 2, ["1"]),
