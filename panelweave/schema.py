@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
@@ -77,11 +79,12 @@ def clean_missing(df: DataFrame) -> DataFrame:
     return df.select(*cleaned)
 
 
-def cast_project(df: DataFrame, schema: T.StructType) -> DataFrame:
+def cast_project(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """Select the columns of ``schema``; values that do not convert become NULL.
 
     Fractions are truncated towards zero when the target is an integer, text
-    numbers included (``"2015.0"`` reads as 2015).
+    numbers included (``"2015.0"`` reads as 2015). Columns named in ``keep`` are
+    passed on unchanged.
     """
     source = {f.name: f.dataType for f in df.schema.fields}
     columns = []
@@ -95,4 +98,4 @@ def cast_project(df: DataFrame, schema: T.StructType) -> DataFrame:
         if isinstance(field.dataType, T.DoubleType):
             column = nan_to_null(column)
         columns.append(column.alias(field.name))
-    return df.select(*columns)
+    return df.select(*columns, *keep)

@@ -81,9 +81,9 @@ def write_snapshot(
     writer.csv(path)
 
 
-def raw_rows(df: DataFrame) -> DataFrame:
+def raw_rows(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Drop the rows that only mark an entity without data, and pin the types."""
-    return cast_project(drop_placeholders(df, RAW_DATA_COLUMNS), RAW_SCHEMA)
+    return cast_project(drop_placeholders(df, RAW_DATA_COLUMNS), RAW_SCHEMA, keep)
 
 
 def harmonise_raw(df: DataFrame, tie_break: Sequence[Column]) -> DataFrame:
@@ -109,11 +109,18 @@ def harmonise_raw(df: DataFrame, tie_break: Sequence[Column]) -> DataFrame:
 def read_raw_snapshot(spark: SparkSession, path: str, normalize: bool = True) -> DataFrame:
     """Raw observations of one snapshot, harmonised unless told otherwise.
 
-    Rows of one edition that share a key are ordered by value (missing last):
-    files have no row order once they are read in parallel.
+    Of the rows of one edition that share a key the first one in the file
+    survives. Text files have no row numbers once they are read in parallel;
+    there the smallest value survives, a missing one last.
     """
-    rows = raw_rows(read_snapshot(spark, path))
-    return harmonise_raw(rows, [F.col("value").asc_nulls_last()]) if normalize else rows
+    data = read_snapshot(spark, path)
+    if not normalize:
+        return raw_rows(data)
+    if snapshot_format(path) != "parquet":
+        return harmonise_raw(raw_rows(data), [F.col("value").asc_nulls_last()])
+    place = {"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")}
+    rows = raw_rows(data.withColumns(place), keep=list(place))
+    return harmonise_raw(rows, [F.col(name).asc() for name in place]).drop(*place)
 
 
 def read_indicator_snapshot(spark: SparkSession, path: str) -> DataFrame:

@@ -78,6 +78,28 @@ def test_partitioned_write_prunes(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(release_id" in one._jdf.queryExecution().toString()
 
 
+def test_first_row_of_the_file_survives_among_equals(spark, tmp_path):
+    import pandas as pd
+
+    n = 500
+    frame = pd.DataFrame(
+        {"iso3": ["A"] * n, "source": ["ES12"] * n, "type": ["Survey"] * n, "year": [2015.0] * n,
+         "var_short": ["s_imp_t"] * n, "value": [float((i * 37 + 11) % n) for i in range(n)]}
+    )
+    (tmp_path / "x.parquet").mkdir()
+    frame.to_parquet(tmp_path / "x.parquet" / "part-0.parquet", row_group_size=50)
+    found = snapshots.read_raw_snapshot(spark, str(tmp_path / "x.parquet"))
+    assert [r["value"] for r in found.collect()] == [11.0]
+    assert found.columns == RAW_SCHEMA.names
+
+
+def test_empty_side_report_keeps_its_header(spark, tmp_path):
+    path = str(tmp_path / "none.csv")
+    snapshots.write_snapshot(raw_frame(spark).filter("iso3 = 'none'"), path)
+    back = snapshots.read_snapshot(spark, path)
+    assert back.columns == RAW_SCHEMA.names and back.count() == 0
+
+
 def test_latest_rows_is_a_view(spark):
     frame = spark.createDataFrame([("2020-01-01", 1), ("2021-01-01", 2), (None, 3)], "snapshot_date string, v int")
     assert rows(snapshots.latest_rows(frame)) == [("2021-01-01", 2)]
