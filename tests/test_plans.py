@@ -5,6 +5,8 @@ import re
 import pytest
 from helpers import formatted, plan
 
+from pyspark.sql import functions as F
+
 from panelweave.functions import vocabulary as vocab
 from panelweave.operators import joins
 from panelweave.operators.select import select_by_type
@@ -112,3 +114,36 @@ def test_ranked_names_are_filtered_before_the_join(spark, data_dir):
 def test_total_is_a_subquery(spark, data_dir):
     text = plan(QUERIES["share_of_total"](spark, data_dir))
     assert "Subquery" in text and "Window" not in text
+
+
+SKEW_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    "spark.sql.shuffle.partitions": "12",
+}
+
+
+@pytest.mark.parametrize("kind", ["lookup", "available", "natural"])
+def test_hot_key_of_a_large_join_is_split(kind, spark):
+    """Beyond the broadcast threshold a key with a third of the rows gets several tasks."""
+    session = spark.newSession()
+    for name, value in SKEW_SETTINGS.items():
+        session.conf.set(name, value)
+    rows = session.range(0, 300_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+        "id",
+        F.hash("id").alias("noise"),
+    )
+    other = session.range(0, 300_000, 1, 4).select(
+        F.col("id").alias("k"), F.hash("id").alias("label")
+    )
+    joined = {
+        "lookup": lambda: joins.lookup_join(rows, other, "k"),
+        "available": lambda: joins.available_entities(rows, other, "k"),
+        "natural": lambda: joins.natural_left_join([rows, other], on=["k"]),
+    }[kind]()
+    assert len(joined.collect()) == 300_000
+    assert "skew=true" in plan(joined)
