@@ -25,6 +25,7 @@ HEADLINE = [
     "diff_snapshots",
     "diff_detail",
     "diff_all_pairs",
+    "diff_release_table",
     "diff_headline",
     "top_added_entities",
     "duplicate_keys",

@@ -81,6 +81,35 @@ def write_snapshot(
     writer.csv(path)
 
 
+def save_releases(
+    df: DataFrame,
+    table: str,
+    key_cols: Sequence[str],
+    buckets: int,
+    release_col: str = "release_id",
+    path: str | None = None,
+    mode: str = "append",
+) -> DataFrame:
+    """Add releases to a table laid out for comparing them.
+
+    The table is partitioned by release and bucketed by the identity key, so
+    ``diff_pairs`` on it reads the compared releases only and shuffles nothing:
+    the rows of a key already lie in the same bucket of every release. Rows are
+    brought into bucket order first, which gives one file per bucket and release.
+    Choose ``buckets`` once for the largest release (a few hundred MB per bucket).
+    """
+    writer = (
+        df.repartition(buckets, *key_cols)
+        .write.mode(mode)
+        .partitionBy(release_col)
+        .bucketBy(buckets, *key_cols)
+    )
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def raw_rows(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Drop the rows that only mark an entity without data, and pin the types."""
     return cast_project(drop_placeholders(df, RAW_DATA_COLUMNS), RAW_SCHEMA, keep)

@@ -10,6 +10,8 @@ from panelweave.functions import scalars
 from panelweave.operators import audit, dedup, diff, joins, registry
 from panelweave.operators.reshape import append_placeholders, as_map
 from panelweave.plans.diff_report import diff_report, top_added_per_pair
+from panelweave.sources.scratch import scratch_path
+from panelweave.sources.snapshots import save_releases
 from panelweave.sources.tables import small_table
 from panelweave.suite import fixtures as fx
 from panelweave.suite.registry import query
@@ -124,6 +126,20 @@ def diff_all_pairs(spark, folder):
     return diff.diff_pairs(fx.release_panel(spark, folder), _PAIRS, fx.RELEASE_KEY, "value")
 
 
+@query("diff_release_table", fx.PAIR_DIFF + "SELECT * FROM pair_diff")
+def diff_release_table(spark, folder):
+    """The same comparison on a table that needs no shuffle for it."""
+    releases = save_releases(
+        fx.release_panel(spark, folder),
+        "panelweave_releases",
+        fx.RELEASE_KEY,
+        buckets=8,
+        path=scratch_path(spark, "releases"),
+        mode="overwrite",
+    )
+    return diff.diff_pairs(releases, _PAIRS, fx.RELEASE_KEY, "value")
+
+
 def _report(spark, folder):
     return diff_report(
         fx.release_panel(spark, folder), _PAIRS, fx.RELEASE_KEY, "value",

@@ -48,6 +48,13 @@ def test_all_pairs_shuffle_the_rows_once(spark, data_dir):
     assert text.index("Generate inline") < text.index("Exchange")
 
 
+def test_release_table_is_compared_without_a_shuffle(spark, data_dir):
+    frame = QUERIES["diff_release_table"](spark, data_dir)
+    text = plan(frame)
+    assert "Exchange" not in text and "Bucketed: true" in text
+    assert "PartitionFilters: [release_id" in formatted(frame)
+
+
 def test_filters_reach_the_scan(spark, data_dir):
     text = formatted(QUERIES["filter_conjunction"](spark, data_dir))
     assert "GreaterThanOrEqual(o_totalprice,100000.0)" in text

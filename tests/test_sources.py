@@ -100,6 +100,27 @@ def test_empty_side_report_keeps_its_header(spark, tmp_path):
     assert back.columns == RAW_SCHEMA.names and back.count() == 0
 
 
+def test_releases_are_appended_to_a_bucketed_table(spark, tmp_path):
+    from panelweave.operators.diff import diff_pairs, diff_snapshots
+
+    def release(name, step):
+        return spark.range(0, 400, step).select(
+            F.lit(name).alias("release_id"), F.col("id").alias("k"),
+            (F.col("id") % (5 + step)).cast("double").alias("value"),
+        )
+
+    path = str(tmp_path / "releases")
+    for name, step in (("r1", 2), ("r2", 3)):
+        table = snapshots.save_releases(release(name, step), "release_test", ["k"], 4, path=path)
+    assert table.count() == 200 + 134
+    files_per_release = {p.parent.name for p in (tmp_path / "releases").glob("*/part-*")}
+    assert files_per_release == {"release_id=r1", "release_id=r2"}
+    assert len(list((tmp_path / "releases").glob("release_id=r1/part-*"))) == 4
+    found = diff_pairs(table, [("r1", "r2")], ["k"], "value").drop("pair")
+    assert bag(found) == bag(diff_snapshots(release("r1", 2), release("r2", 3), ["k"], "value"))
+    spark.sql("DROP TABLE release_test")
+
+
 def test_latest_rows_is_a_view(spark):
     frame = spark.createDataFrame([("2020-01-01", 1), ("2021-01-01", 2), (None, 3)], "snapshot_date string, v int")
     assert rows(snapshots.latest_rows(frame)) == [("2021-01-01", 2)]
