@@ -31,6 +31,10 @@ def population_by_residence(
     )
 
 
+def _plain(number: float) -> str:
+    return str(int(number)) if float(number).is_integer() else str(number)
+
+
 def interval_label(value: Column | str, breaks: Sequence[float]) -> Column:
     """Left-closed bin ``[a, b)`` of a count.
 
@@ -42,11 +46,11 @@ def interval_label(value: Column | str, breaks: Sequence[float]) -> Column:
     branches = None
     for i, (low, high) in enumerate(zip(breaks, breaks[1:])):
         if math.isinf(high):
-            inside, label = value >= low, f"{low:g} or more"
+            inside, label = value >= low, f"{_plain(low)} or more"
         else:
             closed = i == len(breaks) - 2
             inside = (value >= low) & ((value <= high) if closed else (value < high))
-            label = f"{low:g} to {high:g}" if closed else f"{low:g} to <{high:g}"
+            label = f"{_plain(low)} to {'' if closed else '<'}{_plain(high)}"
         branches = F.when(inside, label) if branches is None else branches.when(inside, label)
     return branches.otherwise(NO_DATA)
 

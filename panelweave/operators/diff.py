@@ -9,7 +9,6 @@ of the key is checked in the same pass.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -229,13 +228,3 @@ def top_added_entities(diff: DataFrame, entity: str, n: int = 15) -> DataFrame:
         .orderBy(F.desc("n_added"), F.col(entity).asc_nulls_last())
         .limit(n)
     )
-
-
-@dataclass(frozen=True)
-class DiffReport:
-    """Tables of a release comparison; all but ``detail`` are small."""
-
-    headline: DataFrame
-    by_group: DataFrame
-    top_added: DataFrame
-    detail: DataFrame

@@ -3,21 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from panelweave.operators.diff import (
-    STATUSES,
-    DiffReport,
-    diff_detail,
-    diff_pairs,
-)
 from panelweave.operators.dedup import keep_first
+from panelweave.operators.diff import STATUSES, diff_detail, diff_pairs
 from panelweave.operators.registry import consecutive_pairs, first_snapshot_per_release
 from panelweave.operators.reshape import count_by_status
 from panelweave.sources.scratch import materialize
 
 
+@dataclass(frozen=True)
+class DiffReport:
+    """Tables of a release comparison; all but ``detail`` are small."""
+
+    headline: DataFrame
+    by_group: DataFrame
+    top_added: DataFrame
+    detail: DataFrame
+
+
 def pairs_of(flags: DataFrame, pipeline: str) -> list[tuple[str, str]]:
     """Consecutive releases of one pipeline; as short as the list of releases."""
     pairs = consecutive_pairs(first_snapshot_per_release(flags)).filter(

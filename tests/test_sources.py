@@ -3,7 +3,7 @@
 import gzip
 
 import pytest
-from helpers import bag, rows
+from helpers import bag, formatted, rows
 from pyspark.sql import functions as F
 
 from panelweave.operators.dictionary import columns_as_rows
@@ -121,6 +121,19 @@ def test_releases_are_appended_to_a_bucketed_table(spark, tmp_path):
     spark.sql("DROP TABLE release_test")
 
 
+def test_latest_rows_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "dated.parquet")
+    frame = spark.range(30).select(
+        F.concat(F.lit("2020-01-0"), F.col("id") % 3 + 1).alias("snapshot_date"), "id"
+    )
+    snapshots.write_snapshot(frame, path, partition_by=["snapshot_date"])
+    latest = snapshots.latest_rows(snapshots.read_snapshot(spark, path))
+    assert {str(r["snapshot_date"]) for r in latest.collect()} == {"2020-01-03"}
+    assert latest.count() == 10
+    scan = formatted(latest)
+    assert "PartitionFilters: [isnotnull(snapshot_date" in scan and "Subquery" in scan
+
+
 def test_latest_rows_is_a_view(spark):
     frame = spark.createDataFrame([("2020-01-01", 1), ("2021-01-01", 2), (None, 3)], "snapshot_date string, v int")
     assert rows(snapshots.latest_rows(frame)) == [("2021-01-01", 2)]
