@@ -1,16 +1,35 @@
-"""Publish the latest snapshots of a release."""
+"""Register snapshots and publish the latest ones."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-from panelweave.operators.registry import require_latest_file
-from panelweave.schema import cast_project
-from panelweave.sources.snapshots import read_snapshot, write_snapshot
+from panelweave.operators.registry import manifest_upsert, require_latest_file
+from panelweave.schema import MANIFEST_SCHEMA, cast_project
+from panelweave.sources.scratch import materialize
+from panelweave.sources.snapshots import path_exists, read_snapshot, write_snapshot
+
+
+def register_snapshots(
+    spark: SparkSession, path: str, rows: DataFrame, sequence: str | None = None
+) -> DataFrame:
+    """Add rows to the registry file, replacing those of the same files.
+
+    The new registry is complete in the shared work folder before the old one is
+    overwritten, so a lost executor cannot leave half of it. Registering the same
+    rows again changes nothing. Missing values are written as empty text.
+    """
+    if path_exists(spark, path):
+        registry = cast_project(read_snapshot(spark, path), MANIFEST_SCHEMA)
+    else:
+        registry = spark.createDataFrame([], MANIFEST_SCHEMA)
+    updated = materialize(manifest_upsert(registry, rows, sequence), "registry")
+    write_snapshot(updated, path, null_text="", mode="overwrite")
+    return updated
 
 
 def package_latest(
-    spark: SparkSession, manifest: DataFrame, pattern: str, schema, target: str
+    spark: SparkSession, manifest: DataFrame, pattern: str, schema: T.StructType, target: str
 ) -> DataFrame:
     """Write the newest registered file that matches in typed and in text form.
 

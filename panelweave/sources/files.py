@@ -34,7 +34,7 @@ def read_entity_files(
     elif fmt == "parquet":
         reader = reader.option("mergeSchema", True)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(header=True, escape='"')
     files = reader.load(list(paths) if not isinstance(paths, str) else paths)
     name = F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*)\.{extension}$", 1)
     return files.select(

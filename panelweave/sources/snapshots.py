@@ -22,6 +22,8 @@ from panelweave.schema import (
 
 RAW_DATA_COLUMNS = ["source", "type", "year", "var_short", "value"]
 FORMATS = {"csv": "csv", "parquet": "parquet"}
+# Quotes inside a text are doubled, as other CSV tools write and expect them.
+CSV_OPTIONS = {"header": True, "escape": '"'}
 
 
 def snapshot_format(path: str) -> str:
@@ -49,7 +51,7 @@ def read_snapshot(
     if snapshot_format(path) == "parquet":
         reader = spark.read.schema(schema) if schema is not None else spark.read
         return reader.parquet(path)
-    return clean_missing(spark.read.option("header", True).csv(path))
+    return clean_missing(spark.read.options(**CSV_OPTIONS).csv(path))
 
 
 def write_snapshot(
@@ -74,8 +76,7 @@ def write_snapshot(
     if fmt == "parquet":
         writer.parquet(path)
         return
-    writer = writer.option("header", True).option("nullValue", null_text)
-    writer = writer.option("emptyValue", "")
+    writer = writer.options(**CSV_OPTIONS, nullValue=null_text, emptyValue="")
     if compress or path.lower().endswith(".gz"):
         writer = writer.option("compression", "gzip")
     writer.csv(path)

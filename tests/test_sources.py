@@ -7,7 +7,7 @@ from helpers import bag, formatted, rows
 from pyspark.sql import functions as F
 
 from panelweave.operators.dictionary import columns_as_rows
-from panelweave.plans.packaging import package_latest
+from panelweave.plans.packaging import package_latest, register_snapshots
 from panelweave.schema import INDICATOR_SCHEMA, MANIFEST_SCHEMA, RAW_SCHEMA
 from panelweave.sources import files, scratch, snapshots
 from panelweave.streaming.incremental import ingest_new_files
@@ -59,11 +59,13 @@ def test_reads_a_foreign_gzip_export(spark, tmp_path):
     path = tmp_path / "est.csv.gz"
     with gzip.open(path, "wt") as out:
         out.write("percent,name,iso3,year,residence,var_short,indicator_type\n")
-        out.write("NA,Uganda,UGA,2000,national,san_sm,t\n50.25,Uganda,UGA,2010.7,rural,san_sm,t\n")
+        out.write("NA,Uganda,UGA,2000,national,san_sm,t\n")
+        out.write('50.25,Uganda,UGA,2010.7,rural,san_sm,"a ""quoted"", text"\n')
     found = snapshots.read_indicator_snapshot(spark, str(path))
     assert found.schema == INDICATOR_SCHEMA
     assert rows(found) == [
-        ("UGA", 2000, "national", "san_sm", "t", None), ("UGA", 2010, "rural", "san_sm", "t", 50.25),
+        ("UGA", 2000, "national", "san_sm", "t", None), 
+        ("UGA", 2010, "rural", "san_sm", 'a "quoted", text', 50.25),
     ]
 
 
@@ -259,6 +261,24 @@ def test_packaging_publishes_the_newest_file(spark, tmp_path):
         assert {r["value"] for r in published.collect()} == {2.0}
 
 
+def test_registry_file_is_updated_in_place(spark, tmp_path):
+    path = str(tmp_path / "manifest.csv")
+
+    def rows_of(*data):
+        return spark.createDataFrame(list(data), MANIFEST_SCHEMA)
+
+    first = rows_of(("r1", "2020-01-01", "raw", "a.csv", "live", None),
+                    ("r1", None, "raw", "in/a", "live", 'input: not "yet", tidied'))
+    again = rows_of(("r2", "2021-01-01", "raw", "a.csv", "live", "moved"))
+    assert register_snapshots(spark, path, first).count() == 2
+    register_snapshots(spark, path, first)
+    found = register_snapshots(spark, path, again)
+    assert bag(found) == bag(snapshots.read_snapshot(spark, path))
+    assert {(r["file"], r["release_id"], r["notes"]) for r in found.collect()} == {
+        ("a.csv", "r2", "moved"), ("in/a", "r1", 'input: not "yet", tidied'),
+    }
+
+
 def test_ingest_resumes_with_new_files(spark, tmp_path):
     folder = entity_folder(spark, tmp_path)
     schema = "source string, year double, s_lat_t double, s_ns_u double"
