@@ -1,13 +1,15 @@
 """Session settings the operators are written for.
 
-Nothing here fixes a cluster size: partition counts come from the cluster's own
-configuration and adaptive execution, which coalesces small shuffle partitions
-and splits skewed ones at run time.
+Nothing here fixes a cluster size. Adaptive execution coalesces small shuffle
+partitions and splits skewed ones at run time, but never makes more of them than
+it started with; :func:`size_shuffles` sets that start from the size of the input.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import math
+
+from pyspark.sql import SparkSession, functions as F
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -34,3 +36,36 @@ def build_session(
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+# A shuffle partition of this size sorts and aggregates in the memory of one
+# ordinary executor core; the limit keeps the driver's bookkeeping bearable.
+SHUFFLE_PARTITION_BYTES = 512 * 1024**2
+SHUFFLE_PARTITION_LIMIT = 100_000
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of the files below the paths, from their listing alone."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    return listing.load(list(paths)).agg(F.sum("length")).first()[0] or 0
+
+
+def shuffle_partitions(n_bytes: int, expansion: float = 4.0) -> int:
+    """Partitions for a shuffle of the whole input.
+
+    ``expansion`` is how much larger rows are in a shuffle than in compressed
+    columnar files.
+    """
+    wanted = math.ceil(n_bytes * expansion / SHUFFLE_PARTITION_BYTES)
+    return min(max(wanted, 1), SHUFFLE_PARTITION_LIMIT)
+
+
+def size_shuffles(spark: SparkSession, *paths: str) -> int:
+    """Start shuffles of this session with partitions that fit into memory.
+
+    Never goes below the number the session was configured with.
+    """
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(configured, shuffle_partitions(input_bytes(spark, *paths)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
