@@ -92,9 +92,8 @@ def diff_snapshots(
         "n_old",
         "n_new",
         F.concat(
-            F.lit("Identity key is not unique in snapshot '"),
+            F.lit("a key occurs more than once in snapshot "),
             F.when(F.col("n_old") > 1, labels[0]).otherwise(labels[1]),
-            F.lit("'"),
         ),
     )
     status = diff_status(
@@ -127,7 +126,7 @@ def diff_pairs(
         aligned,
         "n_old",
         "n_new",
-        F.concat(F.lit("Identity key is not unique in a snapshot of "), F.col("pair")),
+        F.concat(F.lit("a key occurs more than once in a snapshot of "), F.col("pair")),
     )
     status = diff_status(
         F.col("n_old"), F.col("n_new"), F.col("value_old"), F.col("value_new"), tol

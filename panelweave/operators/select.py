@@ -33,7 +33,7 @@ def first_present(available: Sequence[str], candidates: Sequence[str], what: str
         if candidate in available:
             return candidate
     raise ValueError(
-        f"none of the {what}s {', '.join(candidates)} found; available: {', '.join(available)}"
+        f"expected a {what} called {' or '.join(candidates)}, have {', '.join(available)}"
     )
 
 

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+LOCAL_SETTING = "panelweave.local.scratch"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -18,16 +21,15 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured
     if spark.conf.get("spark.master", "").startswith("local"):
-        folder = tempfile.mkdtemp(prefix="panelweave-")
-        spark.conf.set("panelweave.scratch", folder)
+        folder = spark.conf.get(LOCAL_SETTING, None) or tempfile.mkdtemp(prefix="panelweave-")
+        spark.conf.set(LOCAL_SETTING, folder)
         return folder
     raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other call has used."""
-    base = spark.conf.get("panelweave.scratch", None) or shared_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -32,9 +32,7 @@ def snapshot_format(path: str) -> str:
     stem = name[:-3] if name.lower().endswith(".gz") else name
     extension = stem.rsplit(".", 1)[-1].lower() if "." in stem else ""
     if extension not in FORMATS:
-        raise ValueError(
-            f"Unsupported snapshot format: {name} (expected .parquet, .csv or .csv.gz)"
-        )
+        raise ValueError(f"cannot read {name}: not a .parquet, .csv or .csv.gz file")
     return FORMATS[extension]
 
 
@@ -187,7 +185,7 @@ def read_first_present(
         path = f"{folder}/{name}.{extension}"
         if path_exists(spark, path):
             return name, read_snapshot(spark, path)
-    raise ValueError(f"none of {', '.join(candidates)} found in {folder}")
+    raise ValueError(f"{folder} holds no {' or '.join(candidates)}")
 
 
 def required_sources(
@@ -200,6 +198,6 @@ def required_sources(
             name for name in candidates if path_exists(spark, f"{folder}/{name}.{extension}")
         ]
         if not present:
-            raise ValueError(f"missing a data source: none of {', '.join(candidates)} in {folder}")
+            raise ValueError(f"{folder} holds no {' or '.join(candidates)}")
         found.append(present[0])
     return found

@@ -503,8 +503,8 @@ EXPECTED_YEARS = [("1-URGENT", 2001), ("2-HIGH", 2000), ("3-MEDIUM", 2001), ("5-
     "release_max_year_check",
     """SELECT release_id, max_year, expected_max_year,
          CASE WHEN max_year IS NOT DISTINCT FROM expected_max_year
-              THEN 'max estimate year ' || CAST(max_year AS VARCHAR)
-              ELSE 'stale capture: max year ' || CAST(max_year AS VARCHAR) || ', expected '
+              THEN 'ends in ' || CAST(max_year AS VARCHAR)
+              ELSE 'stale: ends in ' || CAST(max_year AS VARCHAR) || ' instead of '
                 || coalesce(CAST(expected_max_year AS VARCHAR), 'NA') END AS reason
        FROM (SELECT o_orderpriority AS release_id,
                CAST(max(year(o_orderdate)) AS INTEGER) AS max_year FROM orders GROUP BY 1)
@@ -562,9 +562,9 @@ def _verdicts(spark, folder):
 @query(
     "capture_verdicts",
     f"""SELECT event_id, release_id, max_year, is_valid,
-          CASE WHEN is_valid THEN 'max estimate year ' || CAST(max_year AS VARCHAR)
-               ELSE 'stale capture: max year ' || coalesce(CAST(max_year AS VARCHAR), 'NA')
-                 || ', expected ' || CAST(expected_max_year AS VARCHAR) END AS reason
+          CASE WHEN is_valid THEN 'ends in ' || CAST(max_year AS VARCHAR)
+               ELSE 'stale: ends in ' || coalesce(CAST(max_year AS VARCHAR), 'NA')
+                 || ' instead of ' || CAST(expected_max_year AS VARCHAR) END AS reason
         FROM ({_VERDICTS})""",
 )
 def capture_verdicts(spark, folder):
