@@ -26,6 +26,7 @@ HEADLINE = [
     "diff_detail",
     "diff_all_pairs",
     "diff_release_table",
+    "diff_harmonised_snapshots",
     "diff_headline",
     "top_added_entities",
     "duplicate_keys",

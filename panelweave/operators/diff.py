@@ -38,12 +38,21 @@ def _keep_checked(df: DataFrame, n_old: str, n_new: str, message: Column | str)
 def align_snapshots(
     old: DataFrame, new: DataFrame, key_cols: Sequence[str], value_col: str
 ) -> DataFrame:
-    """Full outer alignment of two releases: rows and value per key and side."""
+    """Full outer alignment of two releases: rows and value per key and side.
+
+    When both sides already lie partitioned by the key, because they were
+    de-duplicated by it or come from tables bucketed by it, Spark keeps that
+    through the union and shuffles nothing here. For tables it only recognises
+    the partitioning if the key columns have lost their table name, hence the
+    aliases.
+    """
     is_new, value = "__is_new", "__value"
     stacked = union_all(
         [
             df.select(
-                *key_cols, _value(df, value_col).alias(value), F.lit(flag).alias(is_new)
+                *[F.col(key).alias(key) for key in key_cols],
+                _value(df, value_col).alias(value),
+                F.lit(flag).alias(is_new),
             )
             for df, flag in ((old, False), (new, True))
         ]

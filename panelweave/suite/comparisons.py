@@ -6,12 +6,13 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from panelweave.functions import scalars
+from panelweave.functions import scalars, vocabulary as vocab
 from panelweave.operators import audit, dedup, diff, joins, registry
 from panelweave.operators.reshape import append_placeholders, as_map
 from panelweave.plans.diff_report import diff_report, top_added_per_pair
+from panelweave.schema import RAW_KEY
 from panelweave.sources.scratch import scratch_path
-from panelweave.sources.snapshots import save_releases
+from panelweave.sources.snapshots import harmonise_raw, raw_rows, save_releases
 from panelweave.sources.tables import small_table
 from panelweave.suite import fixtures as fx
 from panelweave.suite.registry import query
@@ -23,6 +24,48 @@ def _diff(spark, folder):
     )
 
 
+_HARMONISED = (
+    fx.with_tables("editions")
+    + f""", harmonised AS (SELECT iso3, source AS edition,
+            regexp_replace(source, '[0-9]+$', '') AS source,
+            {fx.sql_case('type', vocab.SOURCE_TYPE_LABELS, 'type')} AS type,
+            CAST(trunc(year) AS INTEGER) AS year,
+            {fx.sql_rewrite('var_short', vocab.RAW_CODE_REWRITES)} AS var_short, value
+          FROM editions WHERE coalesce(source, type, var_short) IS NOT NULL
+            OR coalesce(year, value) IS NOT NULL)
+"""
+)
+
+
+def _newest_sql(condition: str) -> str:
+    return f"""(SELECT * FROM harmonised WHERE {condition}
+      QUALIFY row_number() OVER (PARTITION BY iso3, source, type, year, var_short
+        ORDER BY edition DESC NULLS LAST, value ASC NULLS LAST) = 1)"""
+
+
+@query(
+    "diff_harmonised_snapshots",
+    _HARMONISED
+    + f"""SELECT coalesce(o.iso3, n.iso3) AS iso3, coalesce(o.source, n.source) AS source,
+            coalesce(o.type, n.type) AS type, coalesce(o.year, n.year) AS year,
+            coalesce(o.var_short, n.var_short) AS var_short,
+            o.value AS value_old, n.value AS value_new,
+            CASE WHEN o.iso3 IS NULL THEN 'added' WHEN n.iso3 IS NULL THEN 'removed'
+                 WHEN abs(n.value - o.value) > 1e-6 THEN 'changed' ELSE 'unchanged' END AS status
+          FROM {_newest_sql('year < 2000')} o FULL JOIN {_newest_sql('year >= 1996')} n
+            ON o.iso3 = n.iso3 AND o.source = n.source AND o.type = n.type
+           AND o.year = n.year AND o.var_short = n.var_short""",
+)
+def diff_harmonised_snapshots(spark, folder):
+    """Harmonise two raw releases and compare them; the comparison shuffles nothing."""
+    rows = raw_rows(fx.editions(spark, folder))
+    sides = [
+        harmonise_raw(side, [F.col("value").asc_nulls_last()])
+        for side in (rows.filter(F.col("year") < 2000), rows.filter(F.col("year") >= 1996))
+    ]
+    return diff.diff_snapshots(*sides, RAW_KEY, "value")
+
+
 def _counts_sql(by: str, source: str) -> str:
     columns = ", ".join(
         f"count(*) FILTER (WHERE status = '{s}') AS n_{s}" for s in diff.STATUSES

@@ -3,13 +3,15 @@
 import re
 
 import pytest
-from helpers import formatted, plan
+from helpers import bag, formatted, plan
 
 from pyspark.sql import functions as F
 
 from panelweave.functions import vocabulary as vocab
 from panelweave.operators import joins
+from panelweave.operators.diff import diff_snapshots
 from panelweave.operators.select import select_by_type
+from panelweave.sources.snapshots import save_releases
 from panelweave.suite import QUERIES
 from panelweave.suite import fixtures as fx
 
@@ -55,6 +57,26 @@ def test_release_table_is_compared_without_a_shuffle(spark, data_dir):
     assert "PartitionFilters: [release_id" in formatted(frame)
 
 
+def test_diff_of_bucketed_releases_does_not_shuffle(spark, data_dir, tmp_path):
+    both = fx.snap_old(spark, data_dir).withColumn("release_id", F.lit("a")).unionByName(
+        fx.snap_new(spark, data_dir).withColumn("release_id", F.lit("b"))
+    )
+    table = save_releases(
+        both, "plan_releases", fx.SNAP_KEY, 6, path=str(tmp_path / "t"), mode="overwrite"
+    )
+    sides = [table.filter(F.col("release_id") == name) for name in "ab"]
+    frame = diff_snapshots(*sides, fx.SNAP_KEY, "value")
+    assert "Exchange" not in plan(frame)
+    assert bag(frame) == bag(QUERIES["diff_snapshots"](spark, data_dir))
+    spark.sql("DROP TABLE plan_releases")
+
+
+def test_diff_reuses_the_partitioning_of_the_harmonised_sides(spark, data_dir):
+    """One shuffle per side to keep the newest edition, none for the comparison."""
+    text = plan(QUERIES["diff_harmonised_snapshots"](spark, data_dir))
+    assert count(text, "Exchange ") == 2
+
+
 def test_filters_reach_the_scan(spark, data_dir):
     text = formatted(QUERIES["filter_conjunction"](spark, data_dir))
     assert "GreaterThanOrEqual(o_totalprice,100000.0)" in text
