@@ -109,8 +109,11 @@ def test_keep_first_prunes_before_the_shuffle(name, spark, data_dir):
     assert partial, text
 
 
-def test_code_rules_do_not_run_on_the_rows(spark, data_dir):
-    text = plan(QUERIES["normalize_codes"](spark, data_dir))
+@pytest.mark.parametrize(
+    "name", ["normalize_codes", "unmatched_codes", "lookup_coverage_gate", "lookup_matched_rows"]
+)
+def test_code_rules_do_not_run_on_the_rows(name, spark, data_dir):
+    text = plan(QUERIES[name](spark, data_dir))
     assert "BroadcastHashJoin" in text and "regexp_replace" not in text
 
 
