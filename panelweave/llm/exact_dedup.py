@@ -15,6 +15,8 @@ of them stays. Other columns are not read. An empty table gives no rows.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from panelweave.llm.text import ASCII_UPPER
@@ -26,6 +28,8 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Many small states: do not reserve disk for each one's logs.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 #: Fingerprints taken into one micro-batch.
 BATCH_BYTES = 4 << 30
@@ -57,12 +61,22 @@ def located(docs: DataFrame) -> DataFrame:
         return materialize(docs.select(*wanted), "exact-source").select(*wanted, *place)
 
 
-def ingest(spark: SparkSession, fingerprints: str, state: str) -> None:
-    """Bring the state at ``state`` up to date with the fingerprint files at a path."""
-    kept = {k: spark.conf.get(k, None) for k in STATE_SETTINGS}
+@contextmanager
+def state_settings(spark: SparkSession):
+    """The session settings under which the state is written and read."""
+    before = {k: spark.conf.get(k, None) for k in STATE_SETTINGS}
     for key, value in STATE_SETTINGS.items():
         spark.conf.set(key, value)
     try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def ingest(spark: SparkSession, fingerprints: str, state: str) -> None:
+    """Bring the state at ``state`` up to date with the fingerprint files at a path."""
+    with state_settings(spark):
         stream = (
             spark.readStream.schema(FINGERPRINT)
             .option("maxBytesPerTrigger", BATCH_BYTES)
@@ -79,12 +93,6 @@ def ingest(spark: SparkSession, fingerprints: str, state: str) -> None:
             .start()
         )
         query.awaitTermination()
-    finally:
-        for key, value in kept.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
 
 
 def _precedence() -> Column:
@@ -99,15 +107,21 @@ def _precedence() -> Column:
 
 def read_state(spark: SparkSession, state: str) -> DataFrame:
     """``digest, group_size, keep_id, keep_file, keep_place`` of every digest ever seen."""
-    value = spark.read.format("statestore").load(state).select("key.*", "value.*")
-    _, size, keeper = value.columns
-    return value.select(
+    with state_settings(spark):
+        value = spark.read.format("statestore").load(state).select("key.*", "value.*")
+        _, size, keeper = value.columns
+        return _written_state(value, size, keeper)
+
+
+def _written_state(value: DataFrame, size: str, keeper: str) -> DataFrame:
+    wanted = value.select(
         "digest",
         F.col(size).alias("group_size"),
         F.col(f"{keeper}.doc_id").alias("keep_id"),
         F.col(f"{keeper}.file").alias("keep_file"),
         F.col(f"{keeper}.place").alias("keep_place"),
     )
+    return materialize(wanted, "exact-groups")
 
 
 def _resolved(rows: DataFrame) -> DataFrame:
