@@ -19,6 +19,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from panelweave.llm.rows import FILE, PLACE, from_files, located, with_place
 from panelweave.llm.text import ASCII_UPPER
 from panelweave.sources.scratch import materialize, scratch_path
 
@@ -46,21 +47,6 @@ def digest(text: Column | str) -> Column:
     return F.unhex(F.sha2(normalised(text).cast("binary"), 256))
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` and the place of each row in its file.
-
-    Frames that do not come straight from Parquet files are written first.
-    """
-    wanted = ["doc_id", "text"]
-    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")]
-    try:
-        return docs.select(*wanted, *place)
-    except Exception as error:  # the frame has no file metadata
-        if "_metadata" not in str(error):
-            raise
-        return materialize(docs.select(*wanted), "exact-source").select(*wanted, *place)
-
-
 @contextmanager
 def state_settings(spark: SparkSession):
     """The session settings under which the state is written and read."""
@@ -144,7 +130,7 @@ def group_copies(docs: DataFrame, hashed=digest) -> DataFrame:
     kept``.
     """
     spark = docs.sparkSession
-    rows = located(docs)
+    rows = located(docs, "doc_id", "text")
     prints = scratch_path(spark, "exact-fingerprints")
     state = scratch_path(spark, "exact-state")
     rows.select(hashed("text").alias("digest"), "doc_id", "file", "place").write.parquet(prints)
@@ -178,15 +164,8 @@ def group_copies(docs: DataFrame, hashed=digest) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns."""
-    try:
-        place = docs.withColumns(
-            {"__file": F.col("_metadata.file_path"), "__place": F.col("_metadata.row_index")}
-        )
-    except Exception as error:
-        if "_metadata" not in str(error):
-            raise
-        return drop_copies(materialize(docs, "exact-source"))
+    docs = from_files(docs)
     gone = group_copies(docs).where("NOT kept").select(
-        F.col("file").alias("__file"), F.col("place").alias("__place")
+        F.col("file").alias(FILE), F.col("place").alias(PLACE)
     )
-    return place.join(gone, ["__file", "__place"], "left_anti").select(*docs.columns)
+    return with_place(docs).join(gone, [FILE, PLACE], "left_anti").select(*docs.columns)

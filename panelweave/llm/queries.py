@@ -7,7 +7,15 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelweave.llm import exact_dedup, packing, url_filters
+from panelweave.llm import (
+    bpe,
+    exact_dedup,
+    language_id,
+    packing,
+    quality,
+    secret_scans,
+    url_filters,
+)
 from panelweave.llm.workers import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +115,25 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op10_quality_rules")
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.judge(docs, quality.fit(docs, labels))
+
+
+@query("op6_secret_scans")
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scans.scan(table(spark, sf_dir, "documents")).drop("file", "place")
+
+
+@query("op7_bpe")
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bpe.encode_decode(docs, tokenizer("byte_bpe_50k.json"), digests=True)
