@@ -14,10 +14,14 @@ not read, so extra ones cannot clash. An empty table gives no rows.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -27,7 +31,9 @@ from panelweave.sources.scratch import materialize
 
 END_ID = (1).to_bytes(4, "little")
 MERGE_TASKS = 32
-CACHED_UNITS = 300_000
+#: What a worker remembers, about 200 bytes each.
+CACHED_UNITS = 600_000
+CACHED_PIECES = 600_000
 
 PIECE = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -35,42 +41,101 @@ PIECE = (
 )
 
 
+# How the word tokenizer normalises and splits.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALISED = ["NFC", "Replace", "Lowercase"]
+# The same splitting for units of Latin-1 alone, where lower case and NFC need no context.
+LATIN_LETTER, LATIN_NUMBER = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+LATIN_SPLIT = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN_LETTER}]+|[{LATIN_NUMBER}]|[^{LATIN_LETTER}{LATIN_NUMBER}]+"
+)
+LATIN_UNIT = re.compile("[\x21-\x7e\xa1-\xff]+")
+
+
 class UnitEncoder:
     """Ids of texts from ids of their blank-separated units, remembering recent units.
 
-    Right for tokenizers that drop white space: no piece then crosses a blank.
+    Right for tokenizers that drop white space: no piece then crosses a blank. Units
+    that are new are split into words and signs, of which far fewer are new.
     """
 
     def __init__(self, path: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.tokenizer, self.words = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for each in (self.tokenizer, self.words):
+            each.no_truncation()
+            each.no_padding()
+        self.words.normalizer = normalizers.Sequence([])
+        self.words.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        said = json.loads(self.tokenizer.to_str())
+        steps = (said["normalizer"] or {}).get("normalizers", [])
+        splits = (said["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.latin = (
+            [x["type"] for x in steps] == NORMALISED
+            and splits[0].get("pattern") == {"Regex": SPLIT}
+        )
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _encode_pieces(self, pieces: list[str]) -> None:
+        """Words and signs, each encoded by itself, many in one call."""
+        for first in range(0, len(pieces), 1000):
+            part = pieces[first : first + 1000]
+            coded = self.words.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(coded.ids, "<u4").tobytes()
+            cuts = np.searchsorted(coded.word_ids, np.arange(len(part) + 1)) * 4
+            for piece, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                self.pieces[piece] = ids[a:b]
+
+    def _encode_units(self, units: list[bytes]) -> dict[bytes, bytes]:
+        split, whole = {}, []
+        for unit in units:
+            text = unit.decode()
+            if self.latin and LATIN_UNIT.fullmatch(text) and not any(t in text for t in self.special):
+                split[unit] = LATIN_SPLIT.findall(text.lower())
+            else:
+                whole.append(unit)
+        if split:
+            have = self.pieces
+            wanted = {p for parts in split.values() for p in parts}
+            fresh = [p for p in wanted if p not in have]
+            if len(have) + len(fresh) > CACHED_PIECES:
+                have.clear()
+                fresh = list(wanted)
+            self._encode_pieces(fresh)
+        found = {u: b"".join([self.pieces[p] for p in parts]) for u, parts in split.items()}
+        if whole:
+            coded = self.tokenizer.encode_batch_fast(
+                [u.decode() for u in whole], add_special_tokens=False
+            )
+            for unit, e in zip(whole, coded, strict=True):
+                found[unit] = np.array(e.ids, "<u4").tobytes()
+        return found
 
-    def __call__(self, text: bytes) -> bytes:
-        units = text.split()
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
         get = self.known.get
-        found = [get(u) for u in units]
-        if None in found:
-            missing = list({u for u, ids in zip(units, found, strict=True) if ids is None})
-            if len(self.known) + len(missing) > CACHED_UNITS:
+        split = [text.split() for text in texts]
+        found = [[get(u) for u in units] for units in split]
+        gaps = [k for k, ids in enumerate(found) if None in ids]
+        if gaps:
+            missing = {u for k in gaps for u, i in zip(split[k], found[k], strict=True) if i is None}
+            fresh = self._encode_units(list(missing))
+            for k in gaps:
+                found[k] = [
+                    fresh[u] if i is None else i for u, i in zip(split[k], found[k], strict=True)
+                ]
+            if len(self.known) + len(fresh) > CACHED_UNITS:
                 self.known.clear()
-                missing = list(set(units))
-            coded = self.tokenizer.encode_batch_fast(
-                [u.decode() for u in missing], add_special_tokens=False
-            )
-            fresh = {
-                u: b"".join(i.to_bytes(4, "little") for i in e.ids)
-                for u, e in zip(missing, coded, strict=True)
-            }
             self.known.update((u, ids) for u, ids in fresh.items() if len(u) < 64)
-            found = [get(u) or fresh.get(u, b"") for u in units]
-        return b"".join(found)
+        return [b"".join(ids) for ids in found]
 
 
 @lru_cache(maxsize=2)
@@ -135,9 +200,9 @@ def _pack_task(path: str, capacity: int, open_windows: int):
         for batch in batches:
             ids, rows = batch.column(0).to_pylist(), []
             for chunk in chunks(batch.column(1)):
-                for i in range(chunk.n):
-                    coded = encode(chunk.text(i)) + END_ID
-                    rows.extend(windows.add(ids[chunk.first + i], coded))
+                texts = [chunk.text(i) for i in range(chunk.n)]
+                for i, coded in enumerate(encode(texts)):
+                    rows.extend(windows.add(ids[chunk.first + i], coded + END_ID))
             if rows:
                 yield _batch([(*r, None, None) for r in rows], _STAGED)
         left = [
