@@ -20,20 +20,20 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from panelweave.llm.text import chunks
+from panelweave.llm.text import Chunk, chunks, span_hashes, span_heads, word_spans
 from panelweave.sources.scratch import materialize
 
 END_ID = (1).to_bytes(4, "little")
 MERGE_TASKS = 32
-#: What a worker remembers, about 200 bytes each.
-CACHED_UNITS = 600_000
-CACHED_PIECES = 600_000
+#: Words and signs a worker remembers, about 200 bytes each.
+CACHED_PIECES = 500_000
 
 PIECE = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -49,7 +49,7 @@ LATIN_LETTER, LATIN_NUMBER = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\x
 LATIN_SPLIT = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN_LETTER}]+|[{LATIN_NUMBER}]|[^{LATIN_LETTER}{LATIN_NUMBER}]+"
 )
-LATIN_UNIT = re.compile("[\x21-\x7e\xa1-\xff]+")
+LATIN_TEXT = re.compile("[\x20-\x7e\xa1-\xff]*")
 
 
 class UnitEncoder:
@@ -82,7 +82,7 @@ class UnitEncoder:
             and splits[0].get("pattern") == {"Regex": SPLIT}
         )
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[bytes, bytes] = {}
+        self.known = UnitTable()
         self.pieces: dict[str, bytes] = {}
 
     def _encode_pieces(self, pieces: list[str]) -> None:
@@ -96,46 +96,122 @@ class UnitEncoder:
                 self.pieces[piece] = ids[a:b]
 
     def _encode_units(self, units: list[bytes]) -> dict[bytes, bytes]:
-        split, whole = {}, []
-        for unit in units:
-            text = unit.decode()
-            if self.latin and LATIN_UNIT.fullmatch(text) and not any(t in text for t in self.special):
-                split[unit] = LATIN_SPLIT.findall(text.lower())
-            else:
-                whole.append(unit)
-        if split:
+        plain = self._plain(b" ".join(units).decode())
+        if not plain:
+            kinds: dict[bool, list[bytes]] = {True: [], False: []}
+            for unit in units:
+                kinds[self._plain(unit.decode())].append(unit)
+            units, whole = kinds[True], kinds[False]
+        found: dict[bytes, bytes] = {}
+        if units:
+            lower = b" ".join(units).decode().lower().split(" ")
+            split = list(map(LATIN_SPLIT.findall, lower))
             have = self.pieces
-            wanted = {p for parts in split.values() for p in parts}
+            wanted = set(chain.from_iterable(split))
             fresh = [p for p in wanted if p not in have]
             if len(have) + len(fresh) > CACHED_PIECES:
                 have.clear()
                 fresh = list(wanted)
             self._encode_pieces(fresh)
-        found = {u: b"".join([self.pieces[p] for p in parts]) for u, parts in split.items()}
-        if whole:
+            get = have.__getitem__
+            found = {u: b"".join(map(get, parts)) for u, parts in zip(units, split, strict=True)}
+        if not plain and whole:
             coded = self.tokenizer.encode_batch_fast(
                 [u.decode() for u in whole], add_special_tokens=False
             )
-            for unit, e in zip(whole, coded, strict=True):
-                found[unit] = np.array(e.ids, "<u4").tobytes()
+            found.update((u, np.array(e.ids, "<u4").tobytes()) for u, e in zip(whole, coded, strict=True))
+        return found
+
+    def _plain(self, text: str) -> bool:
+        """Whether units may be split here."""
+        return bool(self.latin and LATIN_TEXT.fullmatch(text)) and not any(
+            t in text for t in self.special
+        )
+
+    def __call__(self, chunk: Chunk) -> list[bytes]:
+        """Ids of every text of a chunk, as little-endian unsigned 32-bit integers."""
+        start, end, owner = word_spans(chunk)
+        hashed = span_hashes(chunk, start, end) | np.uint64(1)
+        head = span_heads(chunk, start, end)
+        entry = self.known.find(hashed, head)
+        if (entry < 0).any():
+            gaps = np.flatnonzero(entry < 0)
+            # Equal units have equal hash and head; each is encoded once.
+            order = np.lexsort((head[gaps], hashed[gaps]))
+            gaps = gaps[order]
+            first = np.r_[True, (np.diff(hashed[gaps]) != 0) | (np.diff(head[gaps]) != 0)]
+            new = gaps[first]
+            units = [chunk.data[a:b].tobytes() for a, b in zip(start[new], end[new], strict=True)]
+            coded = self._encode_units(list(set(units)))
+            if self.known.full(len(new)):
+                self.known = UnitTable()
+                return self(chunk) if len(new) < len(np.unique(hashed)) else self._uncached(chunk)
+            self.known.add(hashed[new], head[new], [coded[u] for u in units])
+            entry = self.known.find(hashed, head)
+        cuts, ids = self.known.gather(entry)
+        last = np.searchsorted(owner, np.arange(chunk.n + 1))
+        return [ids[cuts[a] : cuts[b]].tobytes() for a, b in zip(last[:-1], last[1:], strict=True)]
+
+    def _uncached(self, chunk: Chunk) -> list[bytes]:
+        """For a chunk with more distinct units than the table takes."""
+        texts = [chunk.text(i).split() for i in range(chunk.n)]
+        coded = self._encode_units(list({u for units in texts for u in units}))
+        return [b"".join([coded[u] for u in units]) for units in texts]
+
+
+class UnitTable:
+    """Ids of units by two 64-bit keys, looked up for whole arrays at a time."""
+
+    def __init__(self, slots: int = 1 << 21):
+        self.mask, self.used = np.uint64(slots - 1), 0
+        self.hashes, self.heads = np.zeros(slots, np.uint64), np.zeros(slots, np.uint64)
+        self.begin, self.size = np.zeros(slots, np.int64), np.zeros(slots, np.int64)
+        self.pool, self.filled = np.empty(1 << 20, "<u4"), 0
+
+    def full(self, more: int) -> bool:
+        return 10 * (self.used + more) > 6 * len(self.hashes)
+
+    def find(self, hashed: np.ndarray, head: np.ndarray) -> np.ndarray:
+        """Slots of the units, -1 for unknown ones."""
+        found = np.full(len(hashed), -1, np.int64)
+        active, slot = np.arange(len(hashed)), hashed & self.mask
+        while len(active):
+            there = self.hashes[slot]
+            hit = (there == hashed[active]) & (self.heads[slot] == head[active])
+            found[active[hit]] = slot[hit].astype(np.int64)
+            go = ~hit & (there != 0)
+            active, slot = active[go], (slot[go] + np.uint64(1)) & self.mask
         return found
 
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        get = self.known.get
-        split = [text.split() for text in texts]
-        found = [[get(u) for u in units] for units in split]
-        gaps = [k for k, ids in enumerate(found) if None in ids]
-        if gaps:
-            missing = {u for k in gaps for u, i in zip(split[k], found[k], strict=True) if i is None}
-            fresh = self._encode_units(list(missing))
-            for k in gaps:
-                found[k] = [
-                    fresh[u] if i is None else i for u, i in zip(split[k], found[k], strict=True)
-                ]
-            if len(self.known) + len(fresh) > CACHED_UNITS:
-                self.known.clear()
-            self.known.update((u, ids) for u, ids in fresh.items() if len(u) < 64)
-        return [b"".join(ids) for ids in found]
+    def add(self, hashed: np.ndarray, head: np.ndarray, ids: list[bytes]) -> None:
+        """Units that are not yet known, each once."""
+        size = np.array([len(x) // 4 for x in ids], np.int64)
+        value = np.frombuffer(b"".join(ids), "<u4")
+        while self.filled + len(value) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        self.pool[self.filled : self.filled + len(value)] = value
+        begin = self.filled + np.cumsum(size) - size
+        self.filled += len(value)
+        active, slot = np.arange(len(hashed)), hashed & self.mask
+        while len(active):
+            # Of the units that want an empty slot one gets it; the others go on.
+            free = np.flatnonzero(self.hashes[slot] == 0)
+            _, pick = np.unique(slot[free], return_index=True)
+            own = free[pick]
+            at, unit = slot[own], active[own]
+            self.hashes[at], self.heads[at] = hashed[unit], head[unit]
+            self.begin[at], self.size[at] = begin[unit], size[unit]
+            go = np.ones(len(active), dtype=bool)
+            go[own] = False
+            active, slot = active[go], (slot[go] + np.uint64(1)) & self.mask
+        self.used += len(hashed)
+
+    def gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each unit's ids begin, and the ids of all units in a row."""
+        size = self.size[slots]
+        cuts = np.concatenate([[0], np.cumsum(size)])
+        at = np.repeat(self.begin[slots] - cuts[:-1], size) + np.arange(cuts[-1])
+        return cuts, self.pool[at]
 
 
 @lru_cache(maxsize=2)
@@ -200,8 +276,7 @@ def _pack_task(path: str, capacity: int, open_windows: int):
         for batch in batches:
             ids, rows = batch.column(0).to_pylist(), []
             for chunk in chunks(batch.column(1)):
-                texts = [chunk.text(i) for i in range(chunk.n)]
-                for i, coded in enumerate(encode(texts)):
+                for i, coded in enumerate(encode(chunk)):
                     rows.extend(windows.add(ids[chunk.first + i], coded + END_ID))
             if rows:
                 yield _batch([(*r, None, None) for r in rows], _STAGED)

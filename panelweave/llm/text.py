@@ -115,6 +115,13 @@ def span_hashes(chunk: Chunk, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return hashed
 
 
+def span_heads(chunk: Chunk, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The first eight bytes of spans (zeros after a shorter one)."""
+    eights = np.ndarray((len(chunk.padded) - 7,), "<u8", chunk.padded.tobytes(), 0, (1,))
+    short = np.uint64(8) - np.minimum(end - start, 8).astype(np.uint64)
+    return eights[start] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (short * np.uint64(8)))
+
+
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of ``size`` neighbouring word hashes."""
     n = len(words) - size + 1
