@@ -8,6 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelweave.llm import (
+    bag_minhash,
     bpe,
     exact_dedup,
     language_id,
@@ -137,3 +138,8 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.encode_decode(docs, tokenizer("byte_bpe_50k.json"), digests=True)
+
+
+@query("op8_minhash_dedup")
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("file", "place")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from panelweave.llm.url_filters import bloom_filter, possible_hits
 from panelweave.sources.scratch import materialize
 
 #: Column names that no input has.
@@ -36,3 +37,15 @@ def located(docs: DataFrame, *columns: str) -> DataFrame:
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("place"),
     )
+
+
+def texts_at(source: DataFrame, places: DataFrame) -> DataFrame:
+    """``source`` joined to the rows of ``places`` by ``file`` and ``place``.
+
+    A Bloom filter of the places, of bounded size, keeps most other texts out of the
+    shuffle.
+    """
+    at = F.concat_ws("#", "file", "place")
+    bloom = bloom_filter(places.select(at.alias("key")))
+    likely = possible_hits(source.withColumn("key", at), bloom).drop("key")
+    return likely.join(places, ["file", "place"])
