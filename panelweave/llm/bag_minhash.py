@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from panelweave.llm.near import SIMILAR, Search, multisets
+from panelweave.llm.near import SIMILAR, classes, multisets
 from panelweave.llm.rows import FILE, PLACE, from_files, located, texts_at, with_place
 from panelweave.llm.text import chunks, mix, unit
 from panelweave.sources.scratch import materialize
@@ -161,7 +161,7 @@ def near_duplicates(
         places = items.select("item", "file", "place").join(wanted, "item", "left_semi")
         return texts_at(source, places).select("item", "text")
 
-    labels = Search(items.select("item", "weight", "keys"), texts, True, at_least).run()
+    labels = classes(items.select("item", "weight", "keys"), texts, True, at_least)
     named = items.select("digest", "item")
     if labels is not None:
         named = named.join(labels, "item", "left")
@@ -172,8 +172,8 @@ def near_duplicates(
         "labelled",
     )
     grouped = rowed.where("label IS NOT NULL")
-    classes = grouped.groupBy("label").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("class_size"))
-    placed = grouped.join(classes, "label").select(
+    firsts = grouped.groupBy("label").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("class_size"))
+    placed = grouped.join(firsts, "label").select(
         "doc_id", "file", "place", F.col("first.doc_id").alias("class_id"), "class_size",
         F.expr("file = first.file AND place = first.place").alias("kept"),
     )

@@ -1,10 +1,10 @@
 """Classes of similar items: candidates that share a key, checked pairs, components.
 
-No step forms all pairs of a group. Items that share a key are first compared with one
-representative of the key, in several rounds with other representatives; what a round
-links is one class afterwards, and keys within one class are done. Only items of keys
-that still hold several classes are then compared with each other. Where such a key
-holds more than ``REFINE_ABOVE`` items, they must share a second key as well.
+Items that share a key are first compared with one representative each; what that links
+is one class, and keys within one class are done, so a large group of copies costs one
+comparison per copy. Items of keys that still hold several classes are compared with all
+others of the key, in blocks of ``BLOCK`` items of which two meet in a task; of the links
+found there only those that join classes are put out.
 """
 
 from __future__ import annotations
@@ -15,13 +15,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from panelweave.llm.text import Chunk, chunks, shingles, span_hashes, word_spans
+from panelweave.llm.text import Chunk, chunks, mix, shingles, span_hashes, word_spans
 from panelweave.sources.scratch import materialize
 
 SHINGLE = 5
 SIMILAR = 0.8
-ROUNDS = 3
-REFINE_ABOVE = 64
+#: Items of one block; two blocks meet in one task.
+BLOCK = 256
+#: Elements of the 0/1 matrix handled at a time.
+COLUMNS = 2048
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def multisets(chunk: Chunk, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,102 +115,113 @@ def components(links: DataFrame) -> DataFrame:
     return members.unionByName(roots)
 
 
-class Search:
-    """One search for links between items.
+def occurrences(value, text, count) -> tuple[np.ndarray, np.ndarray]:
+    """Multisets as sets: the k-th occurrence of a shingle is an element of its own."""
+    again = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    return mix(np.repeat(value, count) + again.astype(np.uint64) * _STEP), np.repeat(text, count)
 
-    ``items`` has ``item`` (a long), ``weight`` (shingles) and ``keys`` (an array of
+
+def forest(column: pa.Array, label: np.ndarray, counted: bool, at_least: float) -> list[tuple[int, int]]:
+    """Rows to link so that all similar texts of different labels hang together.
+
+    Compares every text of the column with every other one: the numbers of shared
+    elements are products of a 0/1 matrix, a block of its columns at a time.
+    """
+    n = len(column)
+    value, text = [], []
+    for chunk in chunks(column, lower=True, size=4 << 20):
+        v, t, c = multisets(chunk)
+        v, t = occurrences(v, t, c) if counted else (v, t)
+        value.append(v)
+        text.append(t + chunk.first)
+    value, text = np.concatenate(value), np.concatenate(text)
+    size = np.bincount(text, minlength=n)
+    _, place, often = np.unique(value, return_inverse=True, return_counts=True)
+    common = often > 1
+    place = (np.cumsum(common) - 1)[place[(keep := common[place])]]
+    text = text[keep]
+    order = np.argsort(place, kind="stable")
+    place, text = place[order], text[order]
+    shared = np.zeros((n, n), np.float32)
+    for first in range(0, int(common.sum()), COLUMNS):
+        a, b = np.searchsorted(place, [first, first + COLUMNS])
+        block = np.zeros((n, COLUMNS), np.float32)
+        block[text[a:b], place[a:b] - first] = 1
+        shared += block @ block.T
+    union = size[:, None] + size[None, :] - shared
+    near = (shared > 0) & (shared >= (at_least - 1e-9) * union)
+    root = {x: x for x in label.tolist()}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    links = []
+    for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True):
+        a, b = find(int(label[i])), find(int(label[j]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            links.append((int(i), int(j)))
+    return links
+
+
+def _link_group(counted: bool, at_least: float):
+    def link(table: pa.Table) -> pa.Table:
+        item, label = table.column("item").to_numpy(), table.column("label").to_numpy()
+        links = forest(table.column("text").combine_chunks(), label, counted, at_least)
+        ends = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table([pa.array(item[ends[:, 0]]), pa.array(item[ends[:, 1]])], names=["a", "b"])
+
+    return link
+
+
+def classes(
+    items: DataFrame, texts: Callable[[DataFrame], DataFrame], counted: bool, at_least: float = SIMILAR
+) -> DataFrame | None:
+    """``item, label`` of all items with a link to another; None if nothing collides.
+
+    ``items`` has ``item`` (a long), ``weight`` (its shingles) and ``keys`` (an array of
     longs); ``texts`` returns ``item, text`` of the items of a frame.
     """
-
-    def __init__(
-        self, items: DataFrame, texts: Callable[[DataFrame], DataFrame], counted: bool,
-        at_least: float = SIMILAR,
-    ):
-        self.items, self.texts = items, texts
-        self.counted, self.at_least = counted, at_least
-        self.tried: DataFrame | None = None
-
-    def colliding(self) -> DataFrame:
-        """``key, item, weight, n, rep`` of keys that several items share."""
-        rows = self.items.select("item", "weight", F.explode("keys").alias("key"))
-        shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("item").alias("rep"))
-        return materialize(rows.join(shared.where("n > 1"), "key"), "colliding")
-
-    def verify(self, pairs: DataFrame) -> None:
-        """Check the pairs ``a, b`` not yet tried and add them to ``tried``."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if self.tried is not None:
-            pairs = pairs.join(self.tried.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        if pairs.isEmpty():
-            return
-        wanted = pairs.select(F.col("a").alias("item")).unionByName(pairs.select(F.col("b").alias("item")))
-        texts = materialize(self.texts(wanted.distinct()), "texts")
-        sides = (
-            pairs.join(texts.select(F.col("item").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(texts.select(F.col("item").alias("b"), F.col("text").alias("text_b")), "b")
-            .select("a", "b", "text_a", "text_b")
-        )
-        found = materialize(
-            sides.mapInArrow(checked(self.counted, self.at_least), "a long, b long, similar boolean"),
-            "checked",
-        )
-        self.tried = found if self.tried is None else self.tried.unionByName(found)
-
-    def labels(self) -> DataFrame | None:
-        if self.tried is None:
-            return None
-        return materialize(components(self.tried.where("similar").select("a", "b")), "labels")
-
-    def near(self, weight: str, other: str):
-        """Sizes so different that the items cannot be similar drop out."""
-        return F.least(weight, other) >= F.greatest(weight, other) * self.at_least
-
-    def run(self, rounds: int = ROUNDS) -> DataFrame | None:
-        """``item, label`` of all items with a link; None if nothing ever collides."""
-        rows = self.colliding()
-        if rows.isEmpty():
-            return None
-        self.verify(rows.where("item <> rep").select(F.col("item").alias("a"), F.col("rep").alias("b")))
-        labels = self.labels()
-        for turn in range(2, rounds + 1):
-            open_rows = self.unresolved(rows, labels, turn)
-            if open_rows.isEmpty():
-                return labels
-            self.verify(
-                open_rows.where("label <> rep_label").where(self.near("weight", "rep_weight"))
-                .select(F.col("item").alias("a"), F.col("rep").alias("b"))
-            )
-            labels = self.labels()
-        self.verify(self.pairs_left(self.unresolved(rows, labels, rounds + 1)))
-        return self.labels()
-
-    def unresolved(self, rows: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-        """Rows of keys with several classes, with another representative each turn."""
-        labelled = rows.select("key", "item", "weight", "n").join(labels, "item", "left")
-        labelled = labelled.withColumn("label", F.coalesce("label", "item"))
-        first = F.min(F.struct(F.xxhash64("item", "key", F.lit(turn)), "item", "label", "weight"))
-        keys = labelled.groupBy("key").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), first.alias("first")
-        ).where("low < high").select(
-            "key", F.col("first.item").alias("rep"), F.col("first.label").alias("rep_label"),
-            F.col("first.weight").alias("rep_weight"),
-        )
-        return materialize(labelled.join(keys, "key"), "open")
-
-    def pairs_left(self, rows: DataFrame) -> DataFrame:
-        few = rows.where(F.col("n") <= REFINE_ABOVE).select("key", "item", "label", "weight")
-        many = rows.where(F.col("n") > REFINE_ABOVE)
-        again = rows.select("item", F.col("key").alias("second"))
-        refined = (
-            many.select("key", "item", "label", "weight").join(again, "item")
-            .where("key < second")
-            .select(F.xxhash64("key", "second").alias("key"), "item", "label", "weight")
-        )
-        left = few.unionByName(refined)
-        right = left.select("key", *[F.col(c).alias(f"{c}_b") for c in ("item", "label", "weight")])
-        return (
-            left.join(right, "key").where("item < item_b AND label <> label_b")
-            .where(self.near("weight", "weight_b"))
-            .select(F.col("item").alias("a"), F.col("item_b").alias("b"))
-        )
+    rows = items.select("item", "weight", F.explode("keys").alias("key"))
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("item").alias("rep"))
+    rows = materialize(rows.join(shared.where("n > 1"), "key"), "colliding")
+    if rows.isEmpty():
+        return None
+    fetched = materialize(texts(rows.select("item").distinct()), "texts")
+
+    # Every item against one representative.
+    pairs = rows.groupBy("item").agg(F.min("rep").alias("rep")).where("item <> rep")
+    sides = pairs.join(fetched.withColumnsRenamed({"item": "rep", "text": "text_b"}), "rep").join(
+        fetched.withColumnRenamed("text", "text_a"), "item"
+    )
+    found = sides.select(F.col("item").alias("a"), F.col("rep").alias("b"), "text_a", "text_b").mapInArrow(
+        checked(counted, at_least), "a long, b long, similar boolean"
+    )
+    links = materialize(found.where("similar").select("a", "b"), "links")
+    labels = materialize(components(links), "labels")
+
+    # All items of keys that still hold several classes, block by block.
+    labelled = rows.select("key", "item").join(labels, "item", "left")
+    labelled = labelled.withColumn("label", F.coalesce("label", "item"))
+    several = labelled.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
+    ).where("low < high").select("key", F.expr(f"cast(ceil(n / {BLOCK}) AS int)").alias("blocks"))
+    dealt = (
+        labelled.join(several, "key")
+        .withColumn("own", F.expr("cast(pmod(xxhash64(item), blocks) AS int)"))
+        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        .select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+                "item", "label")
+    )
+    more = (
+        dealt.join(fetched, "item")
+        .groupBy("key", "low", "high")
+        .applyInArrow(_link_group(counted, at_least), "a long, b long")
+    )
+    more = materialize(more.distinct(), "more-links")
+    if more.isEmpty():
+        return labels
+    return components(links.unionByName(more))
