@@ -13,8 +13,10 @@ from panelweave.llm import (
     exact_dedup,
     language_id,
     packing,
+    pitman_yor,
     quality,
     secret_scans,
+    substring_dedup,
     url_filters,
 )
 from panelweave.llm.workers import ship
@@ -143,3 +145,13 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_minhash_dedup")
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("file", "place")
+
+
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op2_lm_scoring")
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(table(spark, sf_dir, "documents"))
