@@ -3,10 +3,10 @@
 Texts are cut where the tokenizer's own splitting always cuts: before a run of
 non-blanks with the one space before it, and around runs of blanks. Documents of one
 task are gathered into blocks of about ``BLOCK_BYTES``; a block travels as the positions
-of its words in its own word list. Word lists are shuffled by word, each distinct word is
-encoded once, and its ids return to the blocks that hold it, where they are joined to the
-positions. So a word crosses the network once per block, not once per occurrence, and
-a very common word is one row per block.
+of its words in its own word list, short numbers for frequent words. Word lists are
+shuffled by buckets of words, each distinct word of a bucket is encoded once, and its ids
+return to the blocks that hold it, where they are joined to the positions. So a
+word crosses the network once per block, not once per occurrence, however common it is.
 
 Missing text is empty and has no ids. Missing or repeated ``doc_id`` are carried along.
 Other columns are not read.
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -62,59 +63,94 @@ def piece_table(path: str) -> list[bytes]:
     return pieces
 
 
-def _packed(positions: np.ndarray) -> bytes:
-    """Positions as three planes of bytes, which compress better than whole numbers."""
-    planes = positions.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return planes.tobytes()
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(4, -1).T
-    return np.ascontiguousarray(planes).view("<u4").ravel()
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers in groups of seven bits, the lowest first; small numbers are short."""
+    values = values.astype(np.uint64)
+    size = np.ones(len(values), np.int64)
+    for k in (7, 14, 21, 28):
+        size += values >= (1 << k)
+    first = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), np.uint8)
+    for k in range(int(size.max(initial=0))):
+        own = size > k
+        more = (size[own] > k + 1).astype(np.uint64) << np.uint64(7)
+        out[first[own] + k] = ((values[own] >> np.uint64(7 * k)) & np.uint64(0x7F)) | more
+    return out.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8)
+    last = np.flatnonzero(raw < 0x80)
+    first = np.r_[0, last[:-1] + 1] if len(last) else last
+    values = np.zeros(len(last), np.int64)
+    for k in range(int((last - first).max(initial=-1)) + 1):
+        own = first + k <= last
+        values[own] |= (raw[first[own] + k] & 0x7F).astype(np.int64) << (7 * k)
+    return values
 
 
 class _Block:
     def __init__(self, number: int):
         self.number, self.size = number, 0
         self.words: dict[str, int] = {}
-        self.rows: list[tuple] = []
+        self.ids: list = []
+        self.at: list[np.ndarray] = []
 
     def add(self, doc_id, text: str) -> None:
         words = self.words
         put = words.setdefault
-        at = [put(u, len(words)) for u in UNITS.findall(text)]
-        self.rows.append((doc_id, np.array(at, dtype=np.uint32)))
+        self.at.append(np.array([put(u, len(words)) for u in UNITS.findall(text)], np.uint32))
+        self.ids.append(doc_id)
         self.size += len(text)
 
+    def ranks(self) -> np.ndarray:
+        """Number of every word by how often it occurs here, the most frequent first."""
+        often = np.bincount(np.concatenate(self.at), minlength=len(self.words))
+        rank = np.empty(len(self.words), np.int64)
+        rank[np.argsort(-often, kind="stable")] = np.arange(len(self.words))
+        return rank
+
 
 def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[_Block]:
-    task = TaskContext.get().partitionId()
-    number = 0
-    block = _Block(task << 24)
+    number = TaskContext.get().partitionId() << 24
+    block = _Block(number)
     for batch in batches:
         for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
             block.add(doc_id.as_py(), text.as_py() or "")
             if block.size >= size:
                 yield block
                 number += 1
-                block = _Block((task << 24) + number)
-    if block.rows:
+                block = _Block(number)
+    if block.ids:
         yield block
 
 
-def _word_rows(size: int):
+WORDS = "bucket int, block long, at binary, sizes binary, words binary"
+
+
+def _word_rows(size: int, buckets: int):
+    """The distinct words of a block, in order, as one row for each bucket of words."""
+
     def emit(batches):
         for block in _blocks(batches, size):
-            words = list(block.words)
-            for at in range(0, len(words), 100_000):
-                part = words[at : at + 100_000]
+            rank = block.ranks()
+            words = sorted(block.words)
+            at = rank[[block.words[w] for w in words]] if words else rank
+            coded = [w.encode() for w in words]
+            bucket = np.array([zlib.crc32(w) % buckets for w in coded], np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            rows = []
+            for b in np.flatnonzero(np.diff(cuts)):
+                own = order[cuts[b] : cuts[b + 1]]
+                part = [coded[i] for i in own]
+                rows.append((b, block.number, packed(at[own]), packed(np.array([len(w) for w in part])), b"".join(part)))
+            if rows:
+                columns = list(zip(*rows, strict=True))
+                kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(part, pa.string()),
-                        pa.array(np.full(len(part), block.number)),
-                        pa.array(np.arange(at, at + len(part), dtype=np.int32)),
-                    ],
-                    names=["word", "block", "at"],
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                    names=["bucket", "block", "at", "sizes", "words"],
                 )
 
     return emit
@@ -123,14 +159,15 @@ def _word_rows(size: int):
 def _text_rows(size: int):
     def emit(batches):
         for block in _blocks(batches, size):
-            for first in range(0, len(block.rows), 1000):
-                rows = block.rows[first : first + 1000]
+            rank = block.ranks()
+            for first in range(0, len(block.ids), 1000):
+                rows = block.at[first : first + 1000]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(rows), block.number)),
                         pa.array(np.full(len(rows), len(block.words), dtype=np.int32)),
-                        pa.array([r[0] for r in rows], pa.int64()),
-                        pa.array([_packed(r[1]) for r in rows], pa.binary()),
+                        pa.array(block.ids[first : first + 1000], pa.int64()),
+                        pa.array([packed(rank[r]) for r in rows], pa.binary()),
                     ],
                     names=["block", "n_words", "doc_id", "positions"],
                 )
@@ -138,30 +175,44 @@ def _text_rows(size: int):
     return emit
 
 
+def _cut(data: bytes, sizes: np.ndarray) -> list[bytes]:
+    ends = np.cumsum(sizes).tolist()
+    return [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
 def _encode_words(path: str):
+    """Ids of the words of each row; a word of several blocks is encoded once."""
+
     def encode(batches):
-        tokenizer, last = _tokenizer(path), (None, b"")
+        tokenizer, kind = _tokenizer(path), _id_type(path)
+        bucket, known = None, {}
         for batch in batches:
-            words = batch.column("word").dictionary_encode()
-            distinct = words.dictionary.to_pylist()
-            coded = [last[1]] if distinct and distinct[0] == last[0] else []
-            fresh = tokenizer.encode_batch_fast(distinct[len(coded) :], add_special_tokens=False)
-            coded += [np.array(e.ids, dtype="<u4").tobytes() for e in fresh]
-            if distinct:
-                at = words.indices[-1].as_py()
-                last = (distinct[at], coded[at])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("block"),
-                    batch.column("at"),
-                    pa.array(coded, pa.binary()).take(words.indices),
-                ],
-                names=["block", "at", "ids"],
-            )
+            out = []
+            for row in batch.to_pylist():
+                if row["bucket"] != bucket or len(known) > 1_000_000:
+                    bucket, known = row["bucket"], {}
+                words = _cut(row["words"], unpacked(row["sizes"]))
+                fresh = [w for w in words if w not in known]
+                coded = tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
+                for word, e in zip(fresh, coded, strict=True):
+                    known[word] = np.array(e.ids, kind).tobytes()
+                ids = [known[w] for w in words]
+                sizes = np.array([len(x) for x in ids]) // kind.itemsize
+                out.append((row["block"], row["at"], packed(sizes), b"".join(ids)))
+            if out:
+                columns = list(zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
+                    names=["block", "at", "sizes", "ids"],
+                )
 
     return encode
 
 
+def _id_type(path: str) -> np.dtype:
+    return np.dtype("<u2" if _tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4")
+
+
 _OUT = pa.schema(
     [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())]
 )
@@ -180,19 +231,25 @@ def _join_ids(path: str, digests: bool):
         if not texts.num_rows:
             return _schema(digests).empty_table()
         n_words = texts.column("n_words")[0].as_py()
-        at = words.column("at").to_numpy()
+        kind = _id_type(path)
+        rows = words.to_pylist()
+        at = np.concatenate([unpacked(r["at"]) for r in rows]) if rows else np.empty(0, np.int64)
+        size = np.concatenate([unpacked(r["sizes"]) for r in rows]) if rows else at
+        found = np.frombuffer(b"".join([r["ids"] for r in rows]), kind).astype("<u4")
         order = np.argsort(at, kind="stable")
         if len(at) != n_words or (n_words and (at[order] != np.arange(n_words)).any()):
-            raise RuntimeError("a block's texts and words come from different rows: do not change the input while it is read")
-        parts = [words.column("ids")[int(i)].as_buffer() for i in order]
-        ids = np.frombuffer(b"".join(parts), "<u4")
-        cuts = np.concatenate([[0], np.cumsum([p.size // 4 for p in parts])]).astype(np.int64)
+            raise RuntimeError(
+                "texts and words of a block differ: the input must not change while it is read"
+            )
+        begin = np.r_[0, np.cumsum(size)]
+        ids = _ragged(found, begin, order)
+        cuts = np.r_[0, np.cumsum(size[order])].astype(np.int64)
         pieces = piece_table(path)
         body = np.frombuffer(b"".join(pieces), np.uint8)
         piece_cuts = np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).astype(np.int64)
         rows = []
         for doc_id, positions in zip(texts.column("doc_id"), texts.column("positions"), strict=True):
-            own = _ragged(ids, cuts, _unpacked(positions.as_py()).astype(np.int64))
+            own = _ragged(ids, cuts, unpacked(positions.as_py()))
             decoded = _ragged(body, piece_cuts, own.astype(np.int64)).tobytes()
             # What is no UTF-8 is decoded to replacement characters.
             text = decoded.decode("utf-8", "replace").encode()
@@ -229,11 +286,13 @@ def encode_decode(
     ``decoded_sha256``.
     """
     rows = docs.select("doc_id", "text")
-    words = rows.mapInArrow(_word_rows(block_bytes), "word string, block long, at int")
+    # Several buckets for each shuffle partition, so that partitions are even.
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = rows.mapInArrow(_word_rows(block_bytes, 8 * partitions), WORDS)
     coded = (
-        words.repartition("word")
-        .sortWithinPartitions("word")
-        .mapInArrow(_encode_words(tokenizer_path), "block long, at int, ids binary")
+        words.repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_encode_words(tokenizer_path), "block long, at binary, sizes binary, ids binary")
     )
     texts = rows.mapInArrow(
         _text_rows(block_bytes), "block long, n_words int, doc_id long, positions binary"
