@@ -173,6 +173,7 @@ def near_duplicates(
     )
     grouped = rowed.where("label IS NOT NULL")
     firsts = grouped.groupBy("label").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("class_size"))
+    firsts = materialize(firsts, "classes")
     placed = grouped.join(firsts, "label").select(
         "doc_id", "file", "place", F.col("first.doc_id").alias("class_id"), "class_size",
         F.expr("file = first.file AND place = first.place").alias("kept"),

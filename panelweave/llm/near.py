@@ -187,7 +187,9 @@ def classes(
     """
     rows = items.select("item", "weight", F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("item").alias("rep"))
-    rows = materialize(rows.join(shared.where("n > 1"), "key"), "colliding")
+    # Written, so that the join can be split where a key is very common.
+    shared = materialize(shared.where("n > 1"), "shared-keys")
+    rows = materialize(rows.join(shared, "key"), "colliding")
     if rows.isEmpty():
         return None
     fetched = materialize(texts(rows.select("item").distinct()), "texts")
@@ -209,6 +211,7 @@ def classes(
     several = labelled.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
     ).where("low < high").select("key", F.expr(f"cast(ceil(n / {BLOCK}) AS int)").alias("blocks"))
+    several = materialize(several, "open-keys")
     dealt = (
         labelled.join(several, "key")
         .withColumn("own", F.expr("cast(pmod(xxhash64(item), blocks) AS int)"))

@@ -130,7 +130,8 @@ def _occurrences(found: DataFrame, kind: str) -> DataFrame:
     """Mark the occurrence of each class that stays."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "start")
     firsts = found.groupBy("label").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
-    return found.join(firsts.where("n > 1"), "label").select(
+    firsts = materialize(firsts.where("n > 1"), "first-occurrences")
+    return found.join(firsts, "label").select(
         "doc_id", F.lit(kind).alias("kind"), "start", "length", "words",
         F.col("label").alias("class_id"), F.col("n").alias("class_size"),
         F.col("first.doc_id").alias("keep_doc_id"),
@@ -171,7 +172,9 @@ def shared_passages(parts: DataFrame) -> DataFrame:
     own = parts.where("size(keys) = 0").select("doc_id", "row", "start", "length", "digest")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "start")
     again = own.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
-    repeated = own.join(again.where("n > 1"), "digest").select(
+    # Written, so that the join can be split where one window is very common.
+    again = materialize(again.where("n > 1"), "window-groups")
+    repeated = own.join(again, "digest").select(
         "doc_id", "row", "start", F.expr("start + length").alias("stop"), "digest", "n",
         F.expr("row = first.row AND start = first.start").alias("kept"),
         F.col("first.doc_id").alias("keep_doc_id"), F.col("first.row").alias("keep_row"),
