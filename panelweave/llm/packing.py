@@ -33,7 +33,7 @@ from panelweave.sources.scratch import materialize
 END_ID = (1).to_bytes(4, "little")
 MERGE_TASKS = 32
 #: Words and signs a worker remembers, about 200 bytes each.
-CACHED_PIECES = 500_000
+CACHED_PIECES = 250_000
 
 PIECE = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -162,7 +162,7 @@ class UnitEncoder:
 class UnitTable:
     """Ids of units by two 64-bit keys, looked up for whole arrays at a time."""
 
-    def __init__(self, slots: int = 1 << 21):
+    def __init__(self, slots: int = 1 << 20):
         self.mask, self.used = np.uint64(slots - 1), 0
         self.hashes, self.heads = np.zeros(slots, np.uint64), np.zeros(slots, np.uint64)
         self.begin, self.size = np.zeros(slots, np.int64), np.zeros(slots, np.int64)
