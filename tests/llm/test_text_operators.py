@@ -1,0 +1,205 @@
+"""Operators on small tables against plain Python, with gaps, repeats and odd texts."""
+
+import hashlib
+import re
+import sys
+import zlib
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+from panelweave.llm import (  # noqa: E402
+    bag_minhash, bpe, exact_dedup, language_id, packing, pitman_yor, quality, secret_scans,
+    substring_dedup, url_filters,
+)
+from panelweave.llm.queries import tokenizer  # noqa: E402
+from panelweave.llm.workers import ship  # noqa: E402
+
+BASE = " ".join(f"word{i}" for i in range(100))
+LONG = "x" * 50_000 + " " + "la " * 3000
+ROWS = [
+    (1, BASE, "en", "clash"), (2, BASE.upper(), "en", "clash"), (2, BASE.upper(), "en", "clash"),
+    (3, BASE.replace("word50 ", ""), "en", None), (None, "Only here, dear.", None, None),
+    (5, None, "en", "a"), (6, "", None, "a"), (7, LONG, "de", "a"), (8, " \n\t ", "de", "a"),
+    (9, "12 34", "de", "a"), (10, "caf\u00e9 \U0001f600 it's\u3000so", "de", "a"),
+]
+SCHEMA = "doc_id long, text string, lang string, digest string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    ship(spark)
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark, docs):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_packing(docs, none):
+    path = tokenizer("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    pieces = [r.asDict() for r in packing.pack_documents(docs, path, 256).collect()]
+    ids = {i: plain.encode(t or "", add_special_tokens=False).ids + [1] for i, t, *_ in ROWS}
+    per_doc, per_sequence = Counter(), Counter()
+    for p in pieces:
+        own = ids[p["doc_id"]][p["start"] : p["start"] + p["length"]]
+        assert len(own) == p["length"] and p["doc_tokens"] == len(ids[p["doc_id"]])
+        assert p["ids_crc32"] == zlib.crc32(np.array(own, "<u4").tobytes())
+        per_doc[p["doc_id"]] += p["length"]
+        per_sequence[p["sequence_id"]] += p["length"]
+    times = Counter(r[0] for r in ROWS)
+    assert per_doc == {i: len(x) * times[i] for i, x in ids.items()}
+    assert all(n == 256 or n & (n - 1) == 0 for n in per_sequence.values())
+    for s in per_sequence:
+        at = 0
+        for p in sorted((p for p in pieces if p["sequence_id"] == s), key=lambda p: p["offset"]):
+            assert p["offset"] == at
+            at += p["length"]
+    assert packing.pack_documents(none, path).count() == 0
+
+
+def test_bpe(docs, none):
+    path = tokenizer("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    expected = Counter()
+    for i, t, *_ in ROWS:
+        ids = plain.encode(t or "", add_special_tokens=False).ids
+        back = plain.decode(ids, skip_special_tokens=False)
+        expected[(i, len(ids), np.array(ids, "<u4").tobytes(), back.encode())] += 1
+    found = bpe.encode_decode(docs, path, block_bytes=500).collect()
+    assert Counter((r[0], r[1], bytes(r[2]), bytes(r[3])) for r in found) == expected
+    assert bpe.encode_decode(none, path).count() == 0
+
+
+def test_short_numbers():
+    values = np.array([0, 1, 127, 128, 16383, 16384, 2**21, 2**31])
+    assert (bpe.unpacked(bpe.packed(values)) == values).all()
+    assert len(bpe.unpacked(bpe.packed(values[:0]))) == 0
+
+
+def test_exact_dedup(docs, none):
+    found = exact_dedup.group_copies(docs).collect()
+    assert len(found) == len(ROWS)
+    keep = {r.doc_id: (r.keep_id, r.group_size) for r in found}
+    assert keep[1] == keep[2] == (2, 3) and keep[5] == keep[6] == (6, 2)
+    assert keep[None] == (None, 1)
+    assert sum(r.kept for r in found) == len(ROWS) - 3
+    assert exact_dedup.drop_copies(docs).columns == docs.columns
+    assert exact_dedup.group_copies(none).count() == 0
+
+
+def test_digests_that_collide(docs):
+    found = exact_dedup.group_copies(docs, hashed=lambda t: F.lit(b"same")).collect()
+    true = exact_dedup.group_copies(docs).collect()
+    columns = ("doc_id", "group_size", "keep_id", "kept")
+    assert Counter(tuple(r[c] for c in columns) for r in found) == Counter(
+        tuple(r[c] for c in columns) for r in true
+    )
+
+
+def test_near_duplicates(docs, none):
+    found = {r.doc_id: r for r in bag_minhash.near_duplicates(docs).collect()}
+    assert {found[i].class_id for i in (1, 2, 3)} == {1} and found[1].class_size == 4
+    assert all(found[i].class_id == i and found[i].kept for i in (5, 6, 7, 8, 9, 10))
+    assert bag_minhash.drop_near_duplicates(docs).count() == len(ROWS) - 3
+    assert bag_minhash.near_duplicates(none).count() == 0
+
+
+def test_signatures_estimate_weighted_similarity():
+    value = np.arange(1, 41, dtype=np.uint64)
+    left, right = np.full(40, 6), np.where(value <= 20, 6, 3)
+    both = np.concatenate([bag_minhash.mix(value)] * 2)
+    owner = np.repeat([0, 1], 40)
+    s = bag_minhash.signatures(both, owner, np.concatenate([left, right]), 2, 4096)
+    assert abs((s[0] == s[1]).mean() - 180 / 240) < 0.04
+
+
+def test_passages(spark, docs, none):
+    passage = " ".join(f"shared{i}" for i in range(60))
+    rows = [(i, " ".join(f"own{i}x{k}" for k in range(40)) + " " + passage + f" tail{i}") for i in range(3)]
+    rows.append((9, " ".join(f"clean{k}" for k in range(200))))
+    found = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found} == {0, 1, 2}
+    for r in found:
+        text = dict(rows)[r.doc_id][r.start : r.start + r.length]
+        assert text in passage and (r.doc_id == 0) == r.kept and r.keep_doc_id == 0
+    near = substring_dedup.repeated_passages(docs).where("kind = 'paragraph'").collect()
+    assert {r.doc_id for r in near} >= {1, 2, 3}
+    assert substring_dedup.repeated_passages(none).count() == 0
+
+
+def test_secret_scans(spark, docs, none):
+    key, value = "AKIA" + "Q7" * 8, "aB3" * 10
+    rows = [
+        (1, f"id {key} then {value} end"), (2, f"only {value} here"), (3, f"{key}\n\n{value}"),
+        (4, 'Token = "abcdef" and password:x'), (5, None), (6, f"{key} " + "z " * 300 + value),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in secret_scans.scan(frame).collect()}
+    assert found[1].spans.split(",") == ["access:3:23", "opaque:29:59"]
+    assert found[2].spans == "" and found[3].spans == "access:0:20" and found[6].spans == "access:0:20"
+    assert found[4].spans == "assign:0:15" and (found[4].n_assign, found[5].n_assign) == (1, 0)
+    assert found[4].base_sha256 == hashlib.sha256(b"assign:0:15").hexdigest()
+    masked = {r.doc_id: r.text for r in secret_scans.redact(frame).collect()}
+    assert masked[1] == "id [secret] then [secret] end" and masked[2] == rows[1][1]
+    assert secret_scans.scan(none).count() == 0
+
+
+def test_url_filters(spark, docs):
+    listed = spark.createDataFrame(
+        [("org", "/", "allow"), ("a.org", "/x", "block"), ("a.org", "/x", "block"), ("b.com", "", "block")]
+        + [(f"h{i}.net", f"/{i}", "block") for i in range(500)],
+        "host string, path string, verdict string",
+    )
+    urls = ["http://q.A.org/xy?z", "http://a.org/y", "nothing", None, "s://b.com", "s://xb.com/", "h://h7.net/7#"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r.page_id: (r.rule, r.verdict) for r in url_filters.filter_urls(pages, listed).collect()}
+    assert found == {
+        0: ("a.org/x", "block"), 1: ("org/", "allow"), 2: (None, "allow"), 3: (None, "allow"),
+        4: ("b.com", "block"), 5: (None, "allow"), 6: ("h7.net/7", "block"),
+    }
+
+
+def test_language_id(spark, docs, none):
+    frame = spark.createDataFrame(
+        [(i, f"the house number {i} is over there", "en") for i in range(60)]
+        + [(100 + i, f"das haus nummer {i} ist dort drueben", "de") for i in range(60)]
+        + [(300, None, None), (301, "12 !", None)],
+        "doc_id long, text string, lang string",
+    )
+    for r in language_id.identify(frame).collect():
+        expected = "und" if r.doc_id >= 300 else "en" if r.doc_id < 100 else "de"
+        assert r.lang_pred == expected and 0 <= r.score <= 1
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+    assert language_id.identify(none).count() == 0
+    code = language_id.codewords(9)
+    assert min((code[i] != code[j]).sum() for i in range(9) for j in range(i)) > 5
+
+
+def test_quality(spark, docs, none):
+    labels = spark.createDataFrame([(1, 1), (7, 0), (None, 1)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    for r in quality.judge(docs, model).collect():
+        text = {i: t for i, t, *_ in ROWS}[r.doc_id] or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        assert (r.n_words, r.word_chars) == (len(words), sum(map(len, words)))
+        assert r.base_failed or r.n_words >= 20
+    assert quality.judge(none, None).count() == 0
+
+
+def test_pitman_yor(docs, none):
+    found = pitman_yor.score_documents(docs, block_bytes=400).collect()
+    assert len(found) == len(ROWS)
+    for r in found:
+        text = ({i: t for i, t, *_ in ROWS}[r.doc_id] or "").lower()
+        assert r.n_tokens == len(re.findall(r"[^\x20\x09-\x0D]+", text)) + 1 and r.score < 0
+        assert r.held_out == (zlib.crc32(b"" if r.doc_id is None else str(r.doc_id).encode()) % 10 == 0)
+    assert pitman_yor.score_documents(none).count() == 0
