@@ -6,43 +6,32 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelweave.sources.tables import small_table
-
-# A variable vocabulary has tens to hundreds of codes. Up to this many are
-# looked at on the driver and broadcast; a column with more is no vocabulary.
-VOCABULARY_LIMIT = 10_000
-
 CodeRule = Callable[[Column], Column]
 
 
-def vocabulary_of(df: DataFrame, code: str, limit: int = VOCABULARY_LIMIT) -> DataFrame | None:
-    """The distinct non-NULL codes of a table, or None when there are too many.
-
-    Reads one column, reduced to its distinct values in every task; at most
-    ``limit + 1`` of them reach the driver.
-    """
-    found = df.select(code).filter(F.col(code).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        return None
-    return small_table(df.sparkSession, [tuple(row) for row in found], f"`{code}` string")
+def vocabulary_of(df: DataFrame, code: str) -> DataFrame:
+    """The distinct non-NULL codes of a table."""
+    return df.select(code).filter(F.col(code).isNotNull()).distinct()
 
 
 def map_codes(
-    df: DataFrame, code: str, rules: Mapping[str, CodeRule], limit: int = VOCABULARY_LIMIT
+    df: DataFrame, code: str, rules: Mapping[str, CodeRule], once_per_code: bool = True
 ) -> DataFrame:
     """Add columns that follow from a code; a NULL code gives NULL everywhere.
 
-    A long chain of regular expressions costs far more than a lookup, so the
-    rules run over the vocabulary and the rows join the result, which is
-    broadcast because its size has been checked. Should the column turn out not
-    to be a vocabulary, the rules run on the rows themselves. ``df`` is read
-    once more for the code column: apply this close to a scan.
+    A long chain of regular expressions costs far more than a lookup, so the rules
+    run over the distinct codes and the rows join the result. Spark broadcasts it
+    when it turns out small, and splits the join at common codes otherwise. ``df``
+    is read once more for the code column: apply this close to a scan, or let the
+    rules run on the rows (``once_per_code=False``), which gives the same.
     """
-    vocabulary = vocabulary_of(df, code, limit)
-    if vocabulary is None:
-        return df.withColumns({name: rule(F.col(code)) for name, rule in rules.items()})
-    mapped = vocabulary.withColumns({name: rule(F.col(code)) for name, rule in rules.items()})
-    return df.join(F.broadcast(mapped), code, "left")
+    if not once_per_code:
+        known = F.col(code).isNotNull()
+        return df.withColumns({name: F.when(known, rule(F.col(code))) for name, rule in rules.items()})
+    mapped = vocabulary_of(df, code).withColumns(
+        {name: rule(F.col(code)) for name, rule in rules.items()}
+    )
+    return df.join(mapped, code, "left")
 
 
 def count_codes(df: DataFrame, code: str) -> DataFrame:

@@ -21,8 +21,11 @@ def clean_lookup(lookup: DataFrame, key: str, label: str) -> DataFrame:
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, on: str | list[str]) -> DataFrame:
-    """Left join to a lookup; rows without a match, NULL keys included, stay."""
-    return df.join(lookup, on, "left")
+    """Left join to a lookup; rows without a match, NULL keys included, stay.
+
+    Repeated lookup rows count once.
+    """
+    return df.join(lookup.distinct(), on, "left")
 
 
 def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -55,8 +58,9 @@ def missing_entities(expected: DataFrame, present: DataFrame, key: str) -> DataF
 
     ``present`` may be an observation table; it is reduced to its entities
     before the shuffle, so an entity with many rows costs no more than another.
+    Missing entities equal each other.
     """
-    return expected.select(key).distinct().join(present.select(key).distinct(), key, "left_anti")
+    return not_covered(expected.select(key).distinct(), present, [key])
 
 
 def available_entities(expected: DataFrame, present: DataFrame, key: str) -> DataFrame:
@@ -65,8 +69,13 @@ def available_entities(expected: DataFrame, present: DataFrame, key: str) -> Dat
 
 
 def not_covered(candidates: DataFrame, covered: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Candidate rows whose key combination does not occur in ``covered``."""
-    return candidates.join(covered.select(*on).distinct(), list(on), "left_anti")
+    """Candidate rows whose key combination does not occur in ``covered``.
+
+    Missing keys equal each other.
+    """
+    names = {k: f"__covered_{k}" for k in on}
+    known = covered.select(*on).distinct().withColumnsRenamed(names)
+    return candidates.join(known, null_safe(candidates, known, list(names.items())), "left_anti")
 
 
 def left_join_renamed(

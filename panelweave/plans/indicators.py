@@ -59,13 +59,9 @@ def classify_codes(
 def classify_rows(rows: DataFrame, code: str, lookup: DataFrame) -> DataFrame:
     """Classify a long table whose codes are values: rows gain one row per type.
 
-    The vocabulary of the table is classified once and broadcast after its size
-    has been checked; otherwise the distinct codes are joined by shuffling.
+    The distinct codes of the table are classified once and joined to its rows.
     """
-    vocabulary = vocabulary_of(rows, code)
-    if vocabulary is None:
-        return rows.join(classify_codes(rows.select(code).distinct(), lookup, code), code)
-    return rows.join(F.broadcast(classify_codes(vocabulary, lookup, code)), code)
+    return rows.join(classify_codes(vocabulary_of(rows, code), lookup, code), code)
 
 
 def tidy_indicators(

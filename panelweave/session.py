@@ -39,9 +39,8 @@ def build_session(
 
 
 # A shuffle partition of this size sorts and aggregates in the memory of one
-# ordinary executor core; the limit keeps the driver's bookkeeping bearable.
+# ordinary executor core.
 SHUFFLE_PARTITION_BYTES = 512 * 1024**2
-SHUFFLE_PARTITION_LIMIT = 100_000
 
 
 def input_bytes(spark: SparkSession, *paths: str) -> int:
@@ -57,7 +56,7 @@ def shuffle_partitions(n_bytes: int, expansion: float = 4.0) -> int:
     columnar files.
     """
     wanted = math.ceil(n_bytes * expansion / SHUFFLE_PARTITION_BYTES)
-    return min(max(wanted, 1), SHUFFLE_PARTITION_LIMIT)
+    return max(wanted, 1)
 
 
 def size_shuffles(spark: SparkSession, *paths: str) -> int:

@@ -22,8 +22,15 @@ from panelweave.schema import (
 
 RAW_DATA_COLUMNS = ["source", "type", "year", "var_short", "value"]
 FORMATS = {"csv": "csv", "parquet": "parquet"}
-# Quotes inside a text are doubled, as other CSV tools write and expect them.
-CSV_OPTIONS = {"header": True, "escape": '"'}
+# Quotes inside a text are doubled, as other CSV tools write and expect them; line
+# breaks and blanks at either end of a text are kept.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "multiLine": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def snapshot_format(path: str) -> str:

@@ -189,27 +189,21 @@ def test_income_groups(spark):
     assert [r[0] for r in rows(frame.select(vocab.recode_income("c")))] == ["HIC", None, None]
 
 
-# A registry with several files per release: snapshot, copies, inputs and a gap.
+# Releases of two pipelines: spare files of a date, an undated file, and one release
+# of each pipeline that has no snapshot.
 MANIFEST = [
-    ("rel2017", None, "indicators", "in/2017.xlsx", "archive", "input: not recovered"),
-    ("rel2019", "2020-09-03", "indicators", "2019-i.csv", "history", "tidied"),
-    ("rel2021", "2022-10-19", "indicators", "2021-i.csv", "live", "baseline"),
-    ("rel2021", "2022-10-19", "indicators", "latest-i.csv", "live", "alias: undated latest"),
-    ("rel2023", "2024-05-20", "indicators", "2023-i.csv", "archive", "tidied"),
-    ("rel2023", "2024-05-20", "indicators", "in/2023.xlsx", "archive", "input: world file"),
-    ("rel2025", "2026-08-20", "indicators", "2025-i.csv", "live", "tidied"),
-    ("rel2025", "2026-08-20", "indicators", "in/2025.xlsx", "live", "input: world file"),
-    ("rel2019", "2020-09-03", "raw", "2019-r-old", "live", "superseded by a later pull"),
-    ("rel2019", "2020-09-30", "raw", "2019-r", "live", "baseline"),
-    ("rel2021", "2022-10-18", "raw", "2021-r-dup.csv", "live", "duplicate of the next day"),
-    ("rel2021", "2022-10-18", "raw", "2021-r-dup", "live", "duplicate of the next day"),
-    ("rel2021", "2022-10-19", "raw", "2021-r.csv", "live", "baseline"),
-    ("rel2021", "2022-10-19", "raw", "2021-r", "live", "alias of the csv"),
-    ("rel2023", None, "raw", "in/2023", "archive", "input: not recovered"),
-    ("rel2025", "2026-08-20", "raw", "2025-r.csv", "live", "tidied"),
-    ("rel2025", "2026-08-20", "raw", "in/2025", "live", "input: country files"),
+    ("spring", "2011-04-02", "survey", "survey/spring-a", "site", "first of two of a day"),
+    ("spring", "2011-04-02", "survey", "survey/spring-b", "site", "second of two of a day"),
+    ("summer", None, "survey", "survey/summer-sheet", "mail", "never arrived"),
+    ("winter", "2012-01-15", "survey", "survey/winter", "site", "kept"),
+    ("autumn", "2011-10-09", "survey", "survey/autumn-late", "site", "kept"),
+    ("autumn", "2011-10-01", "survey", "survey/autumn-early", "site", "replaced"),
+    ("spring", None, "prices", "prices/spring-sheet", "mail", "never arrived"),
+    ("winter", "2012-02-01", "prices", "prices/winter", "site", "kept"),
+    ("summer", "2011-07-20", "prices", "prices/summer", "site", "kept"),
+    ("autumn", "2011-10-30", "prices", "prices/autumn", "site", "kept"),
 ]
-ORDER = ["rel2017", "rel2019", "rel2021", "rel2023", "rel2025"]
+ORDER = ["spring", "summer", "autumn", "winter"]
 
 
 def test_manifest_pairs_skip_gaps(spark):
@@ -222,11 +216,10 @@ def test_manifest_pairs_skip_gaps(spark):
     pairs = registry.consecutive_pairs(registry.first_snapshot_per_release(flags))
     labels = {(p, label) for p, label in rows(pairs.select("pipeline", "label"))}
     assert labels == {
-        ("raw", "rel2019_vs_rel2021"),
-        ("raw", "rel2021_vs_rel2025"),
-        ("indicators", "rel2019_vs_rel2021"),
-        ("indicators", "rel2021_vs_rel2023"),
-        ("indicators", "rel2023_vs_rel2025"),
+        ("survey", "spring_vs_autumn"),
+        ("survey", "autumn_vs_winter"),
+        ("prices", "summer_vs_autumn"),
+        ("prices", "autumn_vs_winter"),
     }
     unavailable = set(rows(registry.unavailable_releases(flags)))
-    assert unavailable == {("rel2017", "indicators"), ("rel2023", "raw")}
+    assert unavailable == {("summer", "survey"), ("spring", "prices")}

@@ -211,10 +211,10 @@ def test_require_unique_reports_the_number_of_keys(spark):
 
 
 def test_failure_log_keeps_its_columns_when_empty(spark):
-    frame = spark.createDataFrame([("BLM", "download failed"), ("A", "ok"), ("B", "late")], "iso3 string, status string")
-    log = audit.failure_log(frame, "iso3", ["BLM", "MAF"], "known missing since 2022")
-    assert rows(log) == [("BLM", "download failed", "known missing since 2022"), ("B", "late", None)]
-    empty = audit.failure_log(frame.filter("status = 'ok'"), "iso3", ["BLM"])
+    frame = spark.createDataFrame([("QX1", "download failed"), ("A", "ok"), ("B", "late")], "iso3 string, status string")
+    log = audit.failure_log(frame, "iso3", ["QX1", "QX2"], "closed in spring")
+    assert rows(log) == [("QX1", "download failed", "closed in spring"), ("B", "late", None)]
+    empty = audit.failure_log(frame.filter("status = 'ok'"), "iso3", ["QX1"])
     assert empty.columns == ["iso3", "status", "note"] and empty.count() == 0
     assert rows(audit.ingest_totals(frame)) == [(1, 2)]
 
@@ -378,15 +378,14 @@ def test_population_and_subset(spark):
 # --- codes -----------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("limit", [2, 1000])
-def test_mapping_codes_equals_mapping_rows(spark, limit):
-    """Whether or not the column is small enough to be a vocabulary."""
+@pytest.mark.parametrize("once", [True, False])
+def test_mapping_codes_equals_mapping_rows(spark, once):
     frame = spark.createDataFrame([("wat_ns_t",), ("san_ns_r",), ("x",), (None,), ("x",)], "code string")
-    mapped = codes.map_codes(frame, "code", {"out": vocab.normalize_codes}, limit)
+    mapped = codes.map_codes(frame, "code", {"out": vocab.normalize_codes}, once)
     assert bag(mapped) == {
         ("wat_ns_t", "wat_sur_n"): 1, ("san_ns_r", "san_od_r"): 1, ("x", "x"): 2, (None, None): 1,
     }
-    assert ("BroadcastHashJoin" in plan(mapped)) == (limit > 3)
+    assert ("regexp_replace" in plan(mapped).split("HashAggregate")[0]) == (not once)
 
 
 # --- dictionary --------------------------------------------------------------------------------------
@@ -417,3 +416,29 @@ def test_small_table_has_a_known_size(spark):
     assert rows(table) == [("a", 1), ("b", None)]
     assert rows(small_table(spark, [], "code string")) == []
     assert table.schema["n"].dataType == RAW_SCHEMA["year"].dataType
+
+
+def test_missing_keys_are_covered_by_missing_keys(spark):
+    frame = spark.createDataFrame([(None, "a"), ("r", "a"), ("r", None)], "r string, p string")
+    assert joins.not_covered(frame, frame, ["r", "p"]).count() == 0
+    assert joins.missing_entities(frame, frame, "r").count() == 0
+    some = spark.createDataFrame([("r", "a")], "r string, p string")
+    assert set(rows(joins.not_covered(frame, some, ["r", "p"]))) == {(None, "a"), ("r", None)}
+
+
+def test_a_code_without_label_is_unmatched(spark):
+    frame = spark.createDataFrame([("x", 1), ("y", 2), ("z", 3)], "c string, v int")
+    lookup = spark.createDataFrame(
+        [("x", "one"), ("x", "one"), ("y", None), (None, "none")], "c string, label string"
+    )
+    assert sorted(rows(audit.unmatched_codes(frame, lookup, "c"))) == [("y",), ("z",)]
+    assert rows(audit.lookup_coverage(frame, lookup, "c")) == [(3, 2, "stop")]
+    assert rows(audit.matched_rows(frame, lookup, "c", "label")) == [("x", 1, "one")]
+
+
+def test_rules_treat_missing_codes_alike(spark):
+    frame = spark.createDataFrame([("x",), (None,)], "c string")
+    rules = {"here": lambda c: c.isNotNull(), "named": lambda c: F.coalesce(c, F.lit("none"))}
+    for once in (True, False):
+        found = codes.map_codes(frame, "c", rules, once_per_code=once)
+        assert set(rows(found.select("c", "here", "named"))) == {("x", True, "x"), (None, None, None)}

@@ -8,7 +8,7 @@ def test_partitions_grow_with_the_input(spark, tmp_path):
     assert session.input_bytes(spark, str(tmp_path)) == 1024
     assert session.shuffle_partitions(1024) == 1
     assert session.shuffle_partitions(1024**4) == 8192
-    assert session.shuffle_partitions(100 * 1024**4) == session.SHUFFLE_PARTITION_LIMIT
+    assert session.shuffle_partitions(100 * 1024**4) == 819_200
 
 
 def test_configured_number_is_the_least(spark, tmp_path, monkeypatch):

@@ -323,3 +323,10 @@ def test_ingest_resumes_with_new_files(spark, tmp_path):
 def test_columns_as_rows_reads_tables(spark, data_dir):
     nation = spark.read.parquet(f"{data_dir}/nation.parquet")
     assert {r["n_values"] for r in columns_as_rows({"nation": nation}).collect()} == {25}
+
+
+def test_csv_keeps_line_breaks_and_blanks(spark, tmp_path):
+    texts = [("1", "a\nb"), ("2", " lead"), ("3", "tail "), ("4", 'a "quoted", text'), ("5", None)]
+    path = str(tmp_path / "texts.csv")
+    snapshots.write_snapshot(spark.createDataFrame(texts, "k string, t string"), path)
+    assert sorted(tuple(r) for r in snapshots.read_snapshot(spark, path).collect()) == texts
