@@ -28,8 +28,10 @@ def map_codes(
     if not once_per_code:
         known = F.col(code).isNotNull()
         return df.withColumns({name: F.when(known, rule(F.col(code))) for name, rule in rules.items()})
-    mapped = vocabulary_of(df, code).withColumns(
-        {name: rule(F.col(code)) for name, rule in rules.items()}
+    # There is one row per code; as aggregates, the rules stay above the distinct
+    # codes even when a filter on their results is pushed down.
+    mapped = vocabulary_of(df, code).groupBy(code).agg(
+        *[F.max_by(rule(F.col(code)), F.lit(1)).alias(name) for name, rule in rules.items()]
     )
     return df.join(mapped, code, "left")
 
