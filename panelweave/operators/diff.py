@@ -18,10 +18,6 @@ from panelweave.schema import nan_to_null
 STATUSES = ["added", "removed", "changed", "unchanged"]
 DEFAULT_TOLERANCE = 1e-6
 
-# Above this many compared pairs the conditional aggregates of diff_pairs would
-# make very wide rows; rows are then copied per pair before the shuffle instead.
-WIDE_PAIR_LIMIT = 24
-
 
 def _value(df: DataFrame, name: str) -> Column:
     dtype = df.schema[name].dataType
@@ -118,19 +114,21 @@ def diff_pairs(
     value_col: str,
     release_col: str = "release_id",
     tol: float = DEFAULT_TOLERANCE,
+    clustered: bool = False,
 ) -> DataFrame:
     """Compare several pairs of releases of one long table in a single job.
 
-    The rows are shuffled once by identity key whatever the number of pairs;
-    the pairs are formed from the per-release values of each key afterwards.
+    The rows are shuffled once by identity key whatever the number of pairs.
+    Rows are counted per key and release first, so what is then gathered per key
+    is at most one entry per release, also where a key is not unique; the pairs
+    are formed from that. A pair given twice is compared once. ``clustered``
+    says that the rows already lie partitioned by the key, as in a table of
+    ``save_releases``: they are not shuffled then.
     """
     if any(old == new for old, new in pairs):
         raise ValueError("a release cannot be compared with itself")
-    aligned = (
-        _align_wide(snapshots, pairs, key_cols, value_col, release_col)
-        if len(pairs) <= WIDE_PAIR_LIMIT
-        else _align_copied(snapshots, pairs, key_cols, value_col, release_col)
-    )
+    pairs = list(dict.fromkeys(tuple(pair) for pair in pairs))
+    aligned = _align_pairs(snapshots, pairs, key_cols, value_col, release_col, clustered)
     checked = _keep_checked(
         aligned,
         "n_old",
@@ -147,54 +145,47 @@ def _pair_name(pair: tuple[str, str]) -> str:
     return "_vs_".join(pair)
 
 
-def _align_wide(snapshots, pairs, key_cols, value_col, release_col) -> DataFrame:
+def _align_pairs(snapshots, pairs, key_cols, value_col, release_col, clustered) -> DataFrame:
     releases = list(dict.fromkeys(release for pair in pairs for release in pair))
-    release, value = F.col(release_col), _value(snapshots, value_col)
-    aggregates = []
-    for i, name in enumerate(releases):
-        aggregates.append(F.count_if(release == name).alias(f"__n{i}"))
-        aggregates.append(F.max(F.when(release == name, value)).alias(f"__v{i}"))
-    per_key = (
-        snapshots.filter(release.isin(releases)).groupBy(*key_cols).agg(*aggregates)
+    rows = snapshots.filter(F.col(release_col).isin(releases)).select(
+        *[F.col(key).alias(key) for key in key_cols],
+        F.col(release_col).alias("__release"),
+        _value(snapshots, value_col).alias("__value"),
+    )
+    if not clustered:
+        rows = rows.repartition(*key_cols)
+    per_release = rows.groupBy(*key_cols, "__release").agg(
+        F.count("*").alias("__n"), F.max("__value").alias("__value")
     )
-    sides = F.array(
+    entry = F.struct("__release", F.struct("__n", "__value"))
+    per_key = per_release.groupBy(*key_cols).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("__found")
+    )
+    wanted = F.array(
         *[
             F.struct(
                 F.lit(_pair_name(pair)).alias("pair"),
-                F.col(f"__n{releases.index(pair[0])}").alias("n_old"),
-                F.col(f"__n{releases.index(pair[1])}").alias("n_new"),
-                F.col(f"__v{releases.index(pair[0])}").alias("value_old"),
-                F.col(f"__v{releases.index(pair[1])}").alias("value_new"),
+                F.lit(pair[0]).alias("old"),
+                F.lit(pair[1]).alias("new"),
             )
             for pair in pairs
         ]
     )
-    present = F.filter(sides, lambda side: (side["n_old"] > 0) | (side["n_new"] > 0))
-    return per_key.select(*key_cols, F.inline(present))
 
+    def sides(pair: Column) -> Column:
+        old, new = (F.try_element_at("__found", pair[side]) for side in ("old", "new"))
+        return F.struct(
+            pair["pair"].alias("pair"),
+            F.coalesce(old["__n"], F.lit(0)).alias("n_old"),
+            F.coalesce(new["__n"], F.lit(0)).alias("n_new"),
+            old["__value"].alias("value_old"),
+            new["__value"].alias("value_new"),
+        )
 
-def _align_copied(snapshots, pairs, key_cols, value_col, release_col) -> DataFrame:
-    release = F.col(release_col)
-    sides = F.array(
-        *[
-            F.when(
-                release.isin(list(pair)),
-                F.struct(F.lit(_pair_name(pair)).alias("pair"), (release == pair[1]).alias("is_new")),
-            )
-            for pair in pairs
-        ]
-    )
-    copied = snapshots.select(
-        *key_cols,
-        _value(snapshots, value_col).alias("__value"),
-        F.inline(F.filter(sides, lambda side: side.isNotNull())),
-    )
-    return copied.groupBy("pair", *key_cols).agg(
-        F.count_if(~F.col("is_new")).alias("n_old"),
-        F.count_if(F.col("is_new")).alias("n_new"),
-        F.max(F.when(~F.col("is_new"), F.col("__value"))).alias("value_old"),
-        F.max(F.when(F.col("is_new"), F.col("__value"))).alias("value_new"),
+    present = F.filter(
+        F.transform(wanted, sides), lambda side: (side["n_old"] > 0) | (side["n_new"] > 0)
     )
+    return per_key.select(*key_cols, F.inline(present))
 
 
 def summarise_diff_by(diff: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -27,8 +27,19 @@ def manifest_upsert(
     """
     if sequence:
         rows = keep_first(rows, ["file"], [F.col(sequence).desc_nulls_last()]).drop(sequence)
-    kept = not_covered(manifest.filter(F.col("file").isNotNull()), rows, ["file"])
-    return union_all([kept, rows]).orderBy(*[F.col(c).asc_nulls_last() for c in SORT_ORDER])
+    # One shuffle by file: the newest side that has the file wins. The marker
+    # spares reading the new rows once for a join and once for their own sake.
+    marked = union_all(
+        [
+            manifest.filter(F.col("file").isNotNull()).withColumn("__new", F.lit(False)),
+            rows.withColumn("__new", F.lit(True)),
+        ]
+    )
+    replaced = F.max("__new").over(Window.partitionBy("file"))
+    kept = marked.withColumn("__replaced", replaced).filter(
+        F.col("__new") == F.col("__replaced")
+    )
+    return kept.drop("__new", "__replaced").orderBy(*[F.col(c).asc_nulls_last() for c in SORT_ORDER])
 
 
 def manifest_merge(registry: DataFrame, builtin: DataFrame) -> DataFrame:

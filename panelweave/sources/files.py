@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -129,37 +129,22 @@ def has_magic(content: Column | str, magic: bytes = ZIP_MAGIC) -> Column:
     )
 
 
-def audit_files(spark: SparkSession, folder: str, magic: bytes = ZIP_MAGIC) -> DataFrame:
-    """Flag every file of a folder that is not of the expected kind.
+def audit_files(
+    spark: SparkSession, folder: str, listed: DataFrame, magic: bytes = ZIP_MAGIC
+) -> DataFrame:
+    """Flag every listed file of a folder that is not of the expected kind.
 
-    Spark lists the files without their contents; each task then opens its own
-    files and reads only the leading bytes, so the size of the files is no cost.
-    Spark's scan passes over files of zero bytes: like a file that does not
-    exist, an empty one is not among the rows and thus never valid.
+    ``listed`` has a column ``file`` with names below the folder, as in the
+    registry; each distinct name gets one row. A file that does not exist or is
+    empty is not valid and has no ``length``. Spark reads the files itself, so
+    every store it can reach will do; files of 2 GiB and more are beyond its
+    binary reader.
     """
-    listing = spark.read.format("binaryFile").load(folder).select("path", "length")
-    return listing.mapInArrow(
-        lambda batches: _leading_bytes_match(batches, magic),
-        "path string, length long, is_valid boolean",
+    found = spark.read.format("binaryFile").load(folder).select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"),
+        "length",
+        has_magic("content", magic).alias("is_valid"),
+    )
+    return listed.select("file").distinct().join(found, "file", "left").select(
+        "file", "length", F.coalesce("is_valid", F.lit(False)).alias("is_valid")
     )
-
-
-def _leading_bytes_match(batches: Iterator, magic: bytes) -> Iterator:
-    from urllib.parse import quote
-
-    import pyarrow as pa
-    from pyarrow import fs
-
-    def starts_with_magic(path: str) -> bool:
-        uri = path if "://" in path else path.replace("file:", "file://", 1)
-        filesystem, inner = fs.FileSystem.from_uri(quote(uri, safe=":/@"))
-        with filesystem.open_input_stream(inner) as stream:
-            return stream.read(len(magic)) == magic
-
-    for batch in batches:
-        paths, lengths = (batch.column(c).to_pylist() for c in ("path", "length"))
-        valid = [n > len(magic) and starts_with_magic(p) for p, n in zip(paths, lengths)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("path"), batch.column("length"), pa.array(valid, pa.bool_())],
-            names=["path", "length", "is_valid"],
-        )

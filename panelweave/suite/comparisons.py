@@ -180,7 +180,7 @@ def diff_release_table(spark, folder):
         path=scratch_path(spark, "releases"),
         mode="overwrite",
     )
-    return diff.diff_pairs(releases, _PAIRS, fx.RELEASE_KEY, "value")
+    return diff.diff_pairs(releases, _PAIRS, fx.RELEASE_KEY, "value", clustered=True)
 
 
 def _report(spark, folder):
@@ -539,20 +539,23 @@ def max_year_per_release(spark, folder):
     return _estimates(spark, folder).groupBy("release_id").agg(F.max("year").alias("max_year"))
 
 
-EXPECTED_YEARS = [("1-URGENT", 2001), ("2-HIGH", 2000), ("3-MEDIUM", 2001), ("5-LOW", 2001)]
+EXPECTED_YEARS = [
+    ("1-URGENT", 2001), ("2-HIGH", 2000), ("3-MEDIUM", 2001), ("5-LOW", 2001), ("6-ABSENT", 2001),
+]
 
 
 @query(
     "release_max_year_check",
     """SELECT release_id, max_year, expected_max_year,
-         CASE WHEN max_year IS NOT DISTINCT FROM expected_max_year
+         CASE WHEN max_year IS NULL THEN 'no estimates'
+              WHEN max_year IS NOT DISTINCT FROM expected_max_year
               THEN 'ends in ' || CAST(max_year AS VARCHAR)
               ELSE 'stale: ends in ' || CAST(max_year AS VARCHAR) || ' instead of '
                 || coalesce(CAST(expected_max_year AS VARCHAR), 'NA') END AS reason
        FROM (SELECT o_orderpriority AS release_id,
                CAST(max(year(o_orderdate)) AS INTEGER) AS max_year FROM orders GROUP BY 1)
-       LEFT JOIN (VALUES ('1-URGENT', 2001), ('2-HIGH', 2000), ('3-MEDIUM', 2001),
-         ('5-LOW', 2001)) e(release_id, expected_max_year) USING (release_id)""",
+       FULL JOIN (VALUES ('1-URGENT', 2001), ('2-HIGH', 2000), ('3-MEDIUM', 2001),
+         ('5-LOW', 2001), ('6-ABSENT', 2001)) e(release_id, expected_max_year) USING (release_id)""",
 )
 def release_max_year_check(spark, folder):
     expected = small_table(spark, EXPECTED_YEARS, "release_id string, expected_max_year int")

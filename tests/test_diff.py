@@ -184,13 +184,13 @@ def long_releases(spark):
     return spark.createDataFrame(data, "release_id string, k1 string, k2 int, value double")
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_all_pairs_equal_single_diffs(spark, monkeypatch, limit):
-    """Both ways of forming the pairs give what one diff per pair gives."""
-    monkeypatch.setattr(diff, "WIDE_PAIR_LIMIT", limit)
+@pytest.mark.parametrize("clustered", [False, True])
+def test_all_pairs_equal_single_diffs(spark, clustered):
+    """Forming the pairs per key gives what one diff per pair gives."""
     table = long_releases(spark)
     pairs = [("r0", "r1"), ("r1", "r2"), ("r2", "r5")]
-    found = bag(diff.diff_pairs(table, pairs, KEYS, "value"))
+    repeated = [*pairs, pairs[0]]
+    found = bag(diff.diff_pairs(table, repeated, KEYS, "value", clustered=clustered))
     expected = bag(
         diff.union_all(
             [
@@ -207,6 +207,25 @@ def test_all_pairs_equal_single_diffs(spark, monkeypatch, limit):
     assert found == expected
 
 
+def test_many_pairs_equal_single_diffs(spark):
+    """Thirty releases, all consecutive pairs: one row per key and release at most."""
+    table = spark.range(30 * 20).select(
+        F.concat(F.lit("r"), (F.col("id") % 30).cast("string")).alias("release_id"),
+        F.when(F.col("id") % 7 != 0, (F.col("id") / 30).cast("int").cast("string")).alias("k1"),
+        F.col("id").cast("int").alias("k2"),
+        (F.col("id") % 4).cast("double").alias("value"),
+    ).withColumn("k2", (F.col("k2") / 30).cast("int"))
+    pairs = [(f"r{i}", f"r{i + 1}") for i in range(29)]
+    found = bag(diff.diff_pairs(table, pairs, KEYS, "value"))
+    singles = [
+        diff.diff_snapshots(
+            table.filter(F.col("release_id") == a), table.filter(F.col("release_id") == b), KEYS, "value"
+        ).withColumn("pair", F.lit(f"{a}_vs_{b}"))
+        for a, b in pairs
+    ]
+    assert found == bag(diff.union_all(singles))
+
+
 def test_release_is_not_compared_with_itself(spark):
     with pytest.raises(ValueError):
         diff.diff_pairs(long_releases(spark), [("r1", "r1")], KEYS, "value")

@@ -221,12 +221,13 @@ def test_failure_log_keeps_its_columns_when_empty(spark):
 
 def test_max_year_check(spark):
     frame = spark.createDataFrame([("a", 2015), ("a", None), ("b", 2014), ("c", None)], "rel string, year int")
-    expected = spark.createDataFrame([("a", 2015), ("b", 2015), ("c", 2015)], "rel string, expected_max_year int")
+    expected = spark.createDataFrame([("a", 2015), ("b", 2015), ("c", 2015), ("d", 2015)], "rel string, expected_max_year int")
     reasons = {r["rel"]: r["reason"] for r in audit.max_year_check(frame, expected, "rel").collect()}
     assert reasons == {
         "a": "ends in 2015",
         "b": "stale: ends in 2014 instead of 2015",
         "c": "stale: ends in NA instead of 2015",
+        "d": "no estimates",
     }
 
 

@@ -118,7 +118,7 @@ def test_releases_are_appended_to_a_bucketed_table(spark, tmp_path):
     files_per_release = {p.parent.name for p in (tmp_path / "releases").glob("*/part-*")}
     assert files_per_release == {"release_id=r1", "release_id=r2"}
     assert len(list((tmp_path / "releases").glob("release_id=r1/part-*"))) == 4
-    found = diff_pairs(table, [("r1", "r2")], ["k"], "value").drop("pair")
+    found = diff_pairs(table, [("r1", "r2")], ["k"], "value", clustered=True).drop("pair")
     assert bag(found) == bag(diff_snapshots(release("r1", 2), release("r2", 3), ["k"], "value"))
     spark.sql("DROP TABLE release_test")
 
@@ -213,22 +213,21 @@ def test_json_tables(spark):
     }
 
 
-def test_file_audit_reads_only_the_head(spark, tmp_path):
+def test_file_audit_flags_every_listed_file(spark, tmp_path):
     (tmp_path / "good.xlsx").write_bytes(b"PK\x03\x04" + b"x" * 10)
     (tmp_path / "page.xlsx").write_bytes(b"<html>error</html>")
     (tmp_path / "short.xlsx").write_bytes(b"PK\x03\x04")
     (tmp_path / "empty.xlsx").write_bytes(b"")
     (tmp_path / "with space.xlsx").write_bytes(b"PK\x03\x04more")
-    expected = {"good": True, "page": False, "short": False, "with space": True}
-    audited = {
-        r["path"].rsplit("/", 1)[-1].replace("%20", " ").split(".")[0]: r["is_valid"]
-        for r in files.audit_files(spark, str(tmp_path)).collect()
+    (tmp_path / "not listed.xlsx").write_bytes(b"PK\x03\x04more")
+    expected = {
+        "good": True, "page": False, "short": False, "empty": False, "absent": False, "with space": True,
     }
-    assert audited == expected
-    contents = spark.read.format("binaryFile").load(str(tmp_path))
-    assert sorted(r[0] for r in rows(contents.select(files.has_magic("content")))) == sorted(
-        expected.values()
-    )
+    listed = spark.createDataFrame([(f"{name}.xlsx", 1) for name in [*expected, "good"]], "file string, n int")
+    audited = files.audit_files(spark, str(tmp_path), listed).collect()
+    assert len(audited) == len(expected)
+    assert {r["file"].split(".")[0]: r["is_valid"] for r in audited} == expected
+    assert {r["file"] for r in audited if not r["length"]} == {"empty.xlsx", "absent.xlsx"}
 
 
 def test_first_present_and_required_sources(spark, data_dir, tmp_path):
