@@ -18,12 +18,15 @@ def unpivot_columns(
     value_column: str = "value",
     drop_null: bool = False,
 ) -> DataFrame:
-    """One row per listed column; every other column is an id of the row."""
+    """One row per listed column; every other column is an id of the row.
+
+    Text that is not a number becomes NULL.
+    """
     if not values:
         raise ValueError("no columns to unpivot")
     chosen = set(values)
     ids = [c for c in df.columns if c not in chosen]
-    widened = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in values])
+    widened = df.select(*ids, *[F.col(c).try_cast("double").alias(c) for c in values])
     long = widened.unpivot(ids, list(values), name_column, value_column)
     return long.filter(F.col(value_column).isNotNull()) if drop_null else long
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from panelweave.functions.rules import as_column
+from panelweave.schema import blank_to_null
 
 ZIP_MAGIC = bytes([0x50, 0x4B, 0x03, 0x04])
 
@@ -27,6 +28,7 @@ def read_entity_files(
 
     A column whose type differs between files is named in ``text_columns``; files
     of equal types are then read by one call each and stacked with ``union_all``.
+    In text files ``NA`` and empty text are missing.
     """
     reader = spark.read.format(fmt)
     if schema is not None:
@@ -37,13 +39,25 @@ def read_entity_files(
         reader = reader.options(header=True, escape='"')
     files = reader.load(list(paths) if not isinstance(paths, str) else paths)
     name = F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*)\.{extension}$", 1)
-    return files.select(
+    named = files.select(
         name.alias(entity),
         *[
             F.col(c).cast("string").alias(c) if c in text_columns else F.col(c)
             for c in files.columns
         ],
     )
+    if fmt != "csv":
+        return named
+    # The entity is a file name, never missing: one may be called NA.
+    return named.select(
+        entity,
+        *[
+            blank_to_null(F.col(f.name)).alias(f.name)
+            if isinstance(f.dataType, T.StringType)
+            else F.col(f.name)
+            for f in named.schema.fields[1:]
+        ],
+    )
 
 
 def file_names(spark: SparkSession, folder: str, extension: str) -> DataFrame:

@@ -182,6 +182,18 @@ def test_files_with_differing_types_are_stacked_as_text(spark, tmp_path):
     assert bag(union_all(parts)) == {("A", "CEN", 1.0): 1, ("B", "7", 2.0): 1}
 
 
+def test_text_files_with_missing_values_are_unpivoted(spark, tmp_path):
+    from panelweave.operators.reshape import unpivot_columns
+
+    (tmp_path / "NA.csv").write_text("source,s_a,s_b\nCEN,1.5,NA\nNA,,2\n")
+    (tmp_path / "POL.csv").write_text("source,s_a,s_b\nES,3,unknown\n")
+    sheets = files.read_entity_files(spark, str(tmp_path), fmt="csv", extension="csv")
+    long = unpivot_columns(sheets, ["s_a", "s_b"], drop_null=True)
+    assert bag(long.select("iso3", "source", "var_short", "value")) == {
+        ("NA", "CEN", 1.5, "s_a"): 1, ("NA", None, 2.0, "s_b"): 1, ("POL", "ES", 3.0, "s_a"): 1,
+    }
+
+
 def test_preferred_file(spark):
     frame = spark.createDataFrame([("UGA", 1), ("ALB", 2), ("UGA", 3)], "file string, row int")
     assert bag(files.preferred_file(frame, "file", "UGA")) == {("UGA", 1): 1, ("UGA", 3): 1}
