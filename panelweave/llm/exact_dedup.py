@@ -4,8 +4,8 @@ A file stream of fingerprints (digest, stable id, content locator) is aggregated
 digest in RocksDB state that never expires: per digest it keeps the number of rows, the
 largest id, and the locator of the row that carries it. The state survives with its
 checkpoint, so a later run continues with new files only (:func:`ingest`). Digest hits are
-checked on full texts afterwards; a digest that covers different texts is
-resolved by the texts themselves.
+checked on full texts afterwards, the copies of a large group in shares of about ``SHARE``
+rows; a digest that covers different texts is resolved by the texts themselves.
 
 Texts are equal when identical after lower-casing A-Z; missing text is empty text. The
 row with the largest ``doc_id`` stays, a missing id counts as smallest, and among equal
@@ -37,6 +37,8 @@ STATE_SETTINGS = {
 #: Fingerprints taken into one micro-batch.
 BATCH_BYTES = 4 << 30
 FINGERPRINT = "digest binary, doc_id long, file string, place long"
+#: Copies of one text that are checked together; larger groups are dealt to several tasks.
+SHARE = 256
 
 
 def normalised(text: Column | str) -> Column:
@@ -148,13 +150,19 @@ def group_copies(docs: DataFrame, hashed=digest) -> DataFrame:
         .join(hits, "digest"),
         "exact-hits",
     )
-    keepers = copies.where("file = keep_file AND place = keep_place").select(
-        "digest", F.col("whole").alias("keep_whole")
+    shares = F.ceil(F.col("group_size") / SHARE).cast("int")
+    dealt = copies.select(
+        "digest", "whole", F.pmod(F.xxhash64("file", "place"), shares).cast("int").alias("share")
     )
+    keepers = copies.where("file = keep_file AND place = keep_place").select(
+        "digest", F.col("whole").alias("keep_whole"),
+        F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"),
+    )
     unequal = materialize(
-        copies.join(keepers, "digest").where("whole <> keep_whole").select("digest").distinct(),
+        dealt.join(keepers, ["digest", "share"])
+        .where("whole <> keep_whole").select("digest").distinct(),
         "exact-unequal",
-    )
+    )
     if not unequal.isEmpty():
         several = _resolved(copies.join(unequal, "digest", "left_semi"))
         marked = marked.join(unequal, "digest", "left_anti").unionByName(several)
