@@ -103,7 +103,8 @@ def components(links: DataFrame) -> DataFrame:
     )
     while not finished(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        # Written, so that the join can be split where an item has very many neighbours.
+        least = materialize(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(pointing(large).distinct(), "edges")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
