@@ -18,7 +18,6 @@ from panelweave.functions.rules import (
     first_match,
     lookup_value,
     map_values,
-    ordinal,
     rewrite,
 )
 
@@ -270,10 +269,6 @@ def classify_stage(code: Column | str) -> Column:
     return first_match(code, STAGE_RULES)
 
 
-def stage_ordinal(stage: Column | str) -> Column:
-    return ordinal(stage, STAGE_LEVELS)
-
-
 def derive_service(code: Column | str) -> Column:
     """Service area from the code prefix; rate-of-change codes have none."""
     return first_match(code, SERVICE_RULES)

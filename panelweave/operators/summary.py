@@ -23,11 +23,6 @@ def count_sorted(df: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def count_by_category(df: DataFrame, category: str, levels: Sequence[str]) -> DataFrame:
-    """Rows per category with the ordinal to sort by, missing values last."""
-    return with_level_order(count_by(df, category), category, levels)
-
-
 def with_level_order(df: DataFrame, category: str, levels: Sequence[str]) -> DataFrame:
     """Add the ordinal of a category and sort by it; unknown categories last."""
     return df.withColumn("ord", ordinal(category, levels)).orderBy(

@@ -19,12 +19,6 @@ RAW_SCHEMA = _struct(
     ("iso3", _S), ("source", _S), ("type", _S), ("year", _I), ("var_short", _S), ("value", _D)
 )
 
-# Observations as published, with the facts derived from the variable code.
-RAW_PUBLISHED_SCHEMA = _struct(
-    ("source", _S), ("type", _S), ("year", _D), ("var_short", _S), ("value", _D), ("iso3", _S),
-    ("var_long", _S), ("residence", _S), ("residence_legacy", _S), ("san_service_chain", _S),
-)
-
 # Estimates as compared between releases.
 INDICATOR_KEY = ["iso3", "year", "residence", "var_short", "indicator_type"]
 INDICATOR_SCHEMA = _struct(
@@ -32,25 +26,11 @@ INDICATOR_SCHEMA = _struct(
     ("percent", _D),
 )
 
-# Estimates as published.
-INDICATOR_PUBLISHED_SCHEMA = _struct(
-    ("name", _S), ("iso3", _S), ("year", _I), ("pop_t", _D), ("prop_u", _D),
-    ("arc_hyg_bas_u", _D), ("var_short", _S), ("percent", _D), ("residence", _S),
-    ("service", _S), ("indicator_type", _S), ("indicator", _S),
-)
-
 MANIFEST_SCHEMA = _struct(
     ("release_id", _S), ("snapshot_date", _S), ("pipeline", _S), ("file", _S), ("source", _S),
     ("notes", _S),
 )
 
-LOOKUP_SCHEMA = _struct(("name", _I), ("var_short", _S), ("var_long", _S))
-
-DICTIONARY_SCHEMA = _struct(
-    ("directory", _S), ("file_name", _S), ("variable_name", _S), ("variable_type", _S),
-    ("description", _S),
-)
-
 MISSING_TEXT = "NA"
 
 

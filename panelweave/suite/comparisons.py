@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from panelweave.operators import audit, dedup, diff, joins, registry
 from panelweave.operators.reshape import append_placeholders, as_map
 from panelweave.plans.diff_report import diff_report, top_added_per_pair
 from panelweave.schema import RAW_KEY
+from panelweave.session import input_bytes, shuffle_partitions
 from panelweave.sources.scratch import scratch_path
 from panelweave.sources.snapshots import harmonise_raw, raw_rows, save_releases
 from panelweave.sources.tables import small_table
@@ -172,11 +174,12 @@ def diff_all_pairs(spark, folder):
 @query("diff_release_table", fx.PAIR_DIFF + "SELECT * FROM pair_diff")
 def diff_release_table(spark, folder):
     """The same comparison on a table that needs no shuffle for it."""
+    size = input_bytes(spark, f"{folder}/orders.parquet")
     releases = save_releases(
         fx.release_panel(spark, folder),
-        "panelweave_releases",
+        f"panelweave_releases_{uuid.uuid4().hex}",
         fx.RELEASE_KEY,
-        buckets=8,
+        buckets=max(spark.sparkContext.defaultParallelism, shuffle_partitions(size)),
         path=scratch_path(spark, "releases"),
         mode="overwrite",
     )
@@ -319,8 +322,7 @@ def _revisions(spark, folder):
         ).alias("sequence"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"),
     )
-    orders = fx.table(spark, folder, "orders").filter(F.col("o_orderstatus") == "F")
-    return lines.join(orders, "o_orderkey").select(
+    return lines.join(fx.table(spark, folder, "orders"), "o_orderkey").select(
         F.concat(F.lit("r"), F.year("o_orderdate")).alias("release_id"),
         F.col("shipped").alias("snapshot_date"),
         F.lit("raw").alias("pipeline"),
@@ -341,8 +343,7 @@ def _revisions(spark, folder):
              max(strftime(l_shipdate, '%Y-%m-%d')) AS snapshot_date, 'raw' AS pipeline,
              strftime(o_orderdate, '%Y-%m-%d') || '_raw_' || CAST(o_orderkey AS VARCHAR) || '.csv'
                AS file, 'live' AS source, 'tidied again' AS notes
-           FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F'
-           GROUP BY ALL)
+           FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY ALL)
          SELECT * FROM manifest WHERE file NOT IN (SELECT file FROM revisions)
          UNION ALL SELECT * FROM revisions""",
 )
@@ -419,19 +420,11 @@ def _customers(spark, folder):
 
 
 def _recent(spark, folder):
-    """Observations of the last year on record: finished orders since 2001."""
-    return (
-        fx.table(spark, folder, "orders")
-        .filter(
-            (F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
-            & (F.col("o_orderstatus") == "F")
-        )
-        .select(F.col("o_custkey").alias("entity"), F.col("o_totalprice").alias("value"))
-    )
+    """Observations on record: every event; most entities have none."""
+    return fx.table(spark, folder, "events").select(F.col("user_id").alias("entity"), "value")
 
 
-_RECENT = """SELECT o_custkey AS entity, o_totalprice AS value FROM orders
-  WHERE o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderstatus = 'F'"""
+_RECENT = "SELECT user_id AS entity, value FROM events"
 
 
 @query(
