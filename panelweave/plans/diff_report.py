@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from panelweave.operators.dedup import keep_first
 from panelweave.operators.diff import STATUSES, diff_detail, diff_pairs
 from panelweave.operators.registry import consecutive_pairs, first_snapshot_per_release
-from panelweave.operators.reshape import count_by_status
+from panelweave.operators.reshape import count_by_status, union_all
 from panelweave.sources.scratch import materialize
 
 
@@ -32,6 +32,39 @@ def pairs_of(flags: DataFrame, pipeline: str) -> list[tuple[str, str]]:
     return [(row["old_release"], row["new_release"]) for row in pairs.collect()]
 
 
+def report_registered(
+    flags: DataFrame,
+    pipeline: str,
+    read: Callable[[str], DataFrame],
+    key_cols: Sequence[str],
+    value_col: str,
+    release_col: str = "release_id",
+    **options,
+) -> DiffReport:
+    """Compare the consecutive releases of a pipeline, starting from the registry.
+
+    ``read`` loads the snapshot of a file on its harmonised key, such as
+    ``read_raw_snapshot``. Each release is read once, though it may be in two pairs;
+    only release names and files reach the driver. Needs two usable releases.
+    """
+    pairs = (
+        consecutive_pairs(first_snapshot_per_release(flags))
+        .filter(F.col("pipeline") == pipeline)
+        .collect()
+    )
+    if not pairs:
+        raise ValueError(f"no two releases of {pipeline} can be compared")
+    files = {p["old_release"]: p["old_file"] for p in pairs}
+    files |= {p["new_release"]: p["new_file"] for p in pairs}
+    snapshots = union_all(
+        [read(file).withColumn(release_col, F.lit(release)) for release, file in files.items()]
+    )
+    named = [(p["old_release"], p["new_release"]) for p in pairs]
+    return diff_report(
+        snapshots, named, key_cols, value_col, release_col=release_col, **options
+    )
+
+
 def diff_report(
     snapshots: DataFrame,
     pairs: Sequence[tuple[str, str]],

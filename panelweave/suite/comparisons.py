@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelweave.functions import scalars, vocabulary as vocab
 from panelweave.operators import audit, dedup, diff, joins, registry
 from panelweave.operators.reshape import append_placeholders, as_map
-from panelweave.plans.diff_report import diff_report, top_added_per_pair
+from panelweave.plans.diff_report import report_registered
 from panelweave.schema import RAW_KEY
 from panelweave.session import input_bytes, shuffle_partitions
 from panelweave.sources.scratch import scratch_path
@@ -187,10 +187,22 @@ def diff_release_table(spark, folder):
 
 
 def _report(spark, folder):
-    return diff_report(
-        fx.release_panel(spark, folder), _PAIRS, fx.RELEASE_KEY, "value",
-        group="kind", entity="entity", detail_order=("entity", "kind"),
+    """From a registry of written snapshots to the tables of the report."""
+    panel = fx.release_panel(spark, folder)
+    base = scratch_path(spark, "report-snapshots")
+    panel.write.partitionBy("release_id").parquet(base)
+    manifest = panel.select("release_id").distinct().select(
+        "release_id",
+        F.concat(F.substring("release_id", 2, 4), F.lit("-12-31")).alias("snapshot_date"),
+        F.lit("raw").alias("pipeline"),
+        F.concat(F.lit(f"{base}/release_id="), "release_id").alias("file"),
+        F.lit("live").alias("source"),
+        F.lit("as published").alias("notes"),
     )
+    return report_registered(
+        registry.manifest_flags(manifest, manifest, fx.RELEASES), "raw", spark.read.parquet,
+        fx.RELEASE_KEY, "value", group="kind", entity="entity", detail_order=("entity", "kind"),
+    )
 
 
 @query(
@@ -216,10 +228,14 @@ def diff_report_by_group(spark, folder):
            FROM pair_diff WHERE status = 'added' GROUP BY pair, entity) WHERE rn <= 15""",
 )
 def diff_report_top_added(spark, folder):
-    cells = diff.count_by_status(
-        diff_all_pairs(spark, folder), ["pair", "entity"], "status", ["added"]
-    )
-    return top_added_per_pair(cells, "entity", 15)
+    return _report(spark, folder).top_added
+
+
+@query(
+    "diff_report_detail", fx.PAIR_DIFF + "SELECT * FROM pair_diff WHERE status <> 'unchanged'"
+)
+def diff_report_detail(spark, folder):
+    return _report(spark, folder).detail
 
 
 @query(
