@@ -9,13 +9,14 @@ import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import duckdb
 import pytest
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
-from panelweave.llm.queries import QUERIES, tokenizer  # noqa: E402
+from panelweave.llm.queries import ORACLE, QUERIES, tokenizer  # noqa: E402
 from panelweave.sources.scratch import materialize  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
@@ -201,3 +202,15 @@ def test_pipeline(spark, tmp_path):
     assert held == {
         i: len(plain.encode(t, add_special_tokens=False).ids) + 1 for i, t in kept["secret_scans"].items()
     }
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_matches_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {table} AS FROM '{FOLDER}/{table}.parquet'")
+    expected = con.execute(ORACLE[name])
+    columns = [c[0] for c in expected.description]
+    found = QUERIES[name](spark, FOLDER)
+    assert sorted(found.columns) == sorted(columns)
+    assert Counter(map(tuple, found.select(*columns).collect())) == Counter(expected.fetchall())
