@@ -1,18 +1,18 @@
 """Score texts with a hierarchical Pitman-Yor model sampled by Gibbs.
 
-Every context is a restaurant over words; all of them share one parent restaurant, whose
-base is uniform over the known words and one unknown. A context is the kind of ending of the
-word before (``ENDINGS`` kinds, or the start of a text), so the number of restaurants is fixed
-while their seatings grow with the vocabulary. A Gibbs sweep lifts all customers of a dish
-in a restaurant and seats them again one after the other by the Chinese-restaurant
-rule, given everyone else: they open a table in proportion to the parent's probability of
-the dish. For that rule the number of tables of a dish is enough, so a word's state is one
-number per context. After ``EXACT`` customers, growing blocks are seated at the current
-rate. Restaurant totals, a fixed handful of numbers, are summed in Spark
-after each sweep. Predictive probabilities are averaged over ``SAMPLES`` sweeps.
+Every word is a context, and so is the start of a text: a restaurant over the words that
+follow it. All contexts share one parent restaurant over words, whose base is uniform over
+the known words and one unknown. There is one row per context and word, so what contexts
+learn grows with the corpus. A Gibbs sweep lifts all customers of a dish in a restaurant
+and seats them again one after the other by the Chinese-restaurant rule, given everyone
+else: they open a table in proportion to the parent's probability of the dish. For that
+rule the number of tables of a dish is enough, so a row's state is one number. After
+``EXACT`` customers, growing blocks are seated at the current rate. Totals of contexts and words are aggregated in Spark
+after each sweep, before the shuffle where a context or word is hot, and joined to the
+rows. Predictive probabilities are averaged over ``SAMPLES`` sweeps.
 
 Counts come from all training documents, whole texts, lower-cased A-Z, words between ASCII
-blanks and one end per text. Documents are read in blocks; only a block's distinct words
+blanks and one end per text. Documents are read in blocks; only a block's distinct pairs
 travel to the model, and their probabilities travel back. Missing text is empty: its
 only token is its end. Missing ids count as empty text for the fold. Words are told apart
 by 64-bit hashes. Repeated rows count each time; other columns are not read.
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from panelweave.llm.text import chunks, held_out, mix, span_hashes, unit, word_spans
 from panelweave.sources.scratch import materialize
@@ -35,19 +35,9 @@ DISCOUNT, STRENGTH = 0.75, 1.0  # of contexts
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
 BURN_IN, SAMPLES = 1, 3
 EXACT = 24
+ROWS = 1 << 18  # seated at once
 END = np.uint64(0x6C62272E07BB0142)
-
-# Kinds of endings by the last byte of a word.
-ENDINGS = 16
-_KIND = np.full(256, 15, np.int64)
-for _n, _letters in enumerate(("a", "e", "iy", "ou", "n", "r", "s", "t", "dg", "lmh", "bcfjkpqvwxz")):
-    _KIND[list(_letters.encode())] = _n
-_KIND[list(b"0123456789")] = 11
-_KIND[list(b".!?")] = 12
-_KIND[list(b",;:")] = 13
-_KIND[128:] = 14
-CONTEXTS = ENDINGS + 1
-START = ENDINGS
+START = np.uint64(0x2545F4914F6CDD1D)
 
 
 class _Block:
@@ -81,18 +71,16 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[_Block]:
         for chunk in chunks(batch.column("text"), lower=True):
             start, end, owner = word_spans(chunk)
             hashed = span_hashes(chunk, start, end)
-            kind = _KIND[chunk.data[end - 1]] if len(end) else np.empty(0, np.int64)
             # A text's tokens: its words, then its end.
             n = np.bincount(owner, minlength=chunk.n)
             last = np.cumsum(n + 1) - 1
             words = np.empty(len(start) + chunk.n, np.uint64)
-            kinds = np.full(len(words), START)
             own = np.repeat(np.arange(chunk.n), n + 1)
             inner = np.ones(len(words), bool)
             inner[last] = False
             words[inner], words[last] = hashed, END
-            kinds[inner] = kind
-            contexts = np.r_[START, kinds[:-1]].astype(np.int8)
+            contexts = np.r_[START, words[:-1]]
+            contexts[1:][own[1:] != own[:-1]] = START
             parts.append((words, contexts, own + len(ids)))
             ids.extend(batch.column("doc_id").slice(chunk.first, chunk.n).to_pylist())
             held.append(out[chunk.first : chunk.first + chunk.n])
@@ -105,30 +93,23 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[_Block]:
         yield close()
 
 
-def _lists(values: np.ndarray, cuts: np.ndarray, kind) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(values, kind))
-
-
-def _word_rows(size: int):
-    """Per block and word: where its pairs begin, their contexts and training counts."""
+def _pair_rows(size: int):
+    """The distinct pairs of a block, their places in it and training counts."""
 
     def emit(batches):
         for block in _blocks(batches, size):
-            first = np.flatnonzero(np.r_[True, block.word[1:] != block.word[:-1]])
-            cuts = np.r_[first, len(block.word)]
-            for a in range(0, len(first), 50_000):
-                b = min(a + 50_000, len(first))
-                own = slice(cuts[a], cuts[b])
-                inner = cuts[a : b + 1] - cuts[a]
+            for a in range(0, len(block.word), 100_000):
+                own = slice(a, a + 100_000)
+                n = len(block.word[own])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(block.word[first[a:b]].view(np.int64)),
-                        pa.array(np.full(b - a, block.number)),
-                        pa.array(first[a:b].astype(np.int32)),
-                        _lists(block.context[own], inner, pa.int8()),
-                        _lists(block.trained[own], inner, pa.int64()),
+                        pa.array(block.context[own].view(np.int64)),
+                        pa.array(block.word[own].view(np.int64)),
+                        pa.array(np.full(n, block.number)),
+                        pa.array(np.arange(a, a + n, dtype=np.int32)),
+                        pa.array(block.trained[own]),
                     ],
-                    names=["word", "block", "at", "contexts", "trained"],
+                    names=["context", "word", "block", "at", "trained"],
                 )
 
     return emit
@@ -190,172 +171,125 @@ def seat(customers, weight, discount: float, seed) -> np.ndarray:
     return tables
 
 
-class Totals:
-    """Restaurant totals of one state: what every dish needs to know of the others."""
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= ROWS:
+            yield pa.Table.from_batches(held)
+            held, rows = [], 0
+    if rows:
+        yield pa.Table.from_batches(held)
+
 
-    def __init__(self, tables, root_customers: float, root_tables: float):
-        self.tables = np.asarray(tables, float)
-        self.root_customers, self.root_tables = root_customers, root_tables
+def _turned(hashed: np.ndarray, turn: int) -> np.ndarray:
+    return mix(hashed + np.uint64((turn + 1) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
 
 
-class Model:
-    def __init__(self, customers, n_words: int):
-        self.customers = np.asarray(customers, float)
-        self.n_tokens, self.n_words = float(self.customers.sum()), n_words
-        self.uniform = 1.0 / (n_words + 1)
-        self.states: list[Totals] = []
+def _seat_pairs(turn: int):
+    """Tables of all pairs of a context and a word, and their sum over the samples."""
 
-    def parent(self, k, t, state: Totals):
-        """The parent's probability of words with k customers at t tables there."""
-        spread = ROOT_STRENGTH + ROOT_DISCOUNT * state.root_tables
-        return (k - ROOT_DISCOUNT * t + spread * self.uniform) / (ROOT_STRENGTH + state.root_customers)
-
-    def back_off(self, state: Totals):
-        return (STRENGTH + DISCOUNT * state.tables) / (STRENGTH + self.customers)
-
-    def sweeps(self, word: np.ndarray, counts: np.ndarray):
-        """Seatings of a batch of words after every sweep so far and one more."""
-        rows, columns = np.nonzero(counts)
-        n = counts[rows, columns]
-        k = (counts > 0).sum(axis=1).astype(np.int64)
-        t = np.minimum(k, 1)
-        state = self.states[0]
-        for turn in range(len(self.states)):
-            state = self.states[turn]
-            p = self.parent(k, t, state)
-            seed = mix(word + np.uint64((turn + 1) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
-            weight = (STRENGTH + DISCOUNT * state.tables)[columns] * p[rows]
-            dish = mix(seed[rows] ^ (columns.astype(np.uint64) + np.uint64(1)))
-            tables = seat(n, weight, DISCOUNT, dish)
-            k = np.bincount(rows, weights=tables, minlength=len(word)).astype(np.int64)
-            base = np.full(len(word), (ROOT_STRENGTH + ROOT_DISCOUNT * state.root_tables) * self.uniform)
-            t = seat(k, base, ROOT_DISCOUNT, seed)
-            yield rows, columns, n, tables, k, t
-
-
-def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    word = batch.column("word").to_numpy().view(np.uint64)
-    counts = batch.column("counts").flatten().to_numpy().reshape(len(word), CONTEXTS)
-    return word, counts
-
-
-def _sum_tables(model: Model):
     def run(batches):
-        for batch in batches:
-            word, counts = _arrays(batch)
-            *_, (rows, columns, n, tables, k, t) = model.sweeps(word, counts)
-            sums = np.bincount(columns, weights=tables, minlength=CONTEXTS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(CONTEXTS + 2)), pa.array(np.r_[sums, k.sum(), t.sum()].astype(float))],
-                names=["what", "total"],
-            )
+        for rows in _gathered(batches):
+            context, word = (rows.column(c).to_numpy().view(np.uint64) for c in ("context", "word"))
+            weight = (STRENGTH + DISCOUNT * rows.column("tables").to_numpy()) * rows.column("p").to_numpy()
+            t = seat(rows.column("n").to_numpy(), weight, DISCOUNT, mix(_turned(word, turn) ^ context))
+            sums = rows.column("sums").to_numpy() + (t if turn >= BURN_IN else 0)
+            yield from pa.table(
+                [rows.column("context"), rows.column("word"), rows.column("n"), pa.array(t), pa.array(sums)],
+                names=["context", "word", "n", "t", "sums"],
+            ).to_batches(max_chunksize=100_000)
 
     return run
 
 
-def _probabilities(model: Model):
-    """Per word: its training count, the averaged probability in its contexts, and the
-    parent's probability after every sample."""
-
+def _seat_words(turn: int, weight: float):
     def run(batches):
-        for batch in batches:
-            word, counts = _arrays(batch)
-            sums, parents = 0.0, []
-            for turn, (rows, columns, n, tables, k, t) in enumerate(model.sweeps(word, counts)):
-                if turn < BURN_IN:
-                    continue
-                after = model.states[turn + 1] if turn + 1 < len(model.states) else model.last
-                p = model.parent(k, t, after)
-                parents.append(p)
-                own = (n - DISCOUNT * tables) / (STRENGTH + model.customers[columns])
-                sums = sums + own + model.back_off(after)[columns] * p[rows]
-            cuts = np.searchsorted(rows, np.arange(len(word) + 1))
-            flat = np.stack(parents, axis=1).ravel().astype(np.float32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("word"),
-                    pa.array(counts.sum(axis=1)),
-                    _lists(columns.astype(np.int8), cuts, pa.int8()),
-                    _lists((sums / len(parents)).astype(np.float32), cuts, pa.float32()),
-                    _lists(flat, np.arange(len(word) + 1) * len(parents), pa.float32()),
-                ],
-                names=["word", "n", "seen", "seen_p", "parent_p"],
-            )
+        for rows in _gathered(batches):
+            word, k = rows.column("word").to_numpy().view(np.uint64), rows.column("k").to_numpy()
+            t = seat(k, np.full(len(k), weight), ROOT_DISCOUNT, _turned(word, turn))
+            yield from pa.table(
+                [rows.column("word"), rows.column("n"), rows.column("k"), pa.array(t)],
+                names=["word", "n", "k", "t"],
+            ).to_batches(max_chunksize=100_000)
 
     return run
 
 
-def fit(words: DataFrame) -> tuple[DataFrame, Model]:
-    """Counts of all training words, and a model with the totals of its sweeps."""
-    pairs = words.select("word", F.explode(F.arrays_zip("contexts", "trained")).alias("p")).where("p.trained > 0")
-    by_context = pairs.groupBy("word").agg(
-        *[F.sum(F.when(F.col("p.contexts") == c, F.col("p.trained")).otherwise(0)).alias(f"n{c}")
-          for c in range(CONTEXTS)]
-    )
-    counts = materialize(
-        by_context.select("word", F.array(*[f"n{c}" for c in range(CONTEXTS)]).alias("counts")), "counts"
-    )
-    sums = counts.agg(
-        F.count(F.lit(1)), *[F.sum(F.col("counts")[c]) for c in range(CONTEXTS)],
-        *[F.sum((F.col("counts")[c] > 0).cast("long")) for c in range(CONTEXTS)],
-    ).first()
-    n_words = sums[0]
-    customers = [x or 0 for x in sums[1 : CONTEXTS + 1]]
-    dishes = [x or 0 for x in sums[CONTEXTS + 1 :]]
-    model = Model(customers, n_words)
-    model.states = [Totals(dishes, sum(dishes), n_words)]
-    for turn in range(BURN_IN + SAMPLES):
-        found = dict(
-            counts.mapInArrow(_sum_tables(model), "what long, total double")
-            .groupBy("what").agg(F.sum("total")).collect()
-        )
-        total = [found.get(i, 0.0) for i in range(CONTEXTS + 2)]
-        after = Totals(total[:CONTEXTS], total[-2], total[-1])
-        if turn + 1 < BURN_IN + SAMPLES:
-            model.states.append(after)
-        else:
-            model.last = after
-    return counts, model
+class State:
+    """Restaurants after a sweep: contexts, and words with the parent's probability."""
 
+    def __init__(self, pairs: DataFrame, turn: int | None, before: State | None):
+        grouped = pairs.groupBy("context").agg(F.sum("n").alias("customers"), F.sum("t").alias("tables"))
+        self.contexts = materialize(grouped, "contexts")
+        words = pairs.groupBy("word").agg(F.sum("n").alias("n"), F.sum("t").alias("k"))
+        if before is None:
+            words = words.withColumn("t", F.lit(1).cast("long"))
+        else:
+            words = words.mapInArrow(_seat_words(turn, before.spread), "word long, n long, k long, t long")
+        words = materialize(words, "words")
+        tokens, customers, tables, self.n_words = words.agg(
+            F.sum("n"), F.sum("k"), F.sum("t"), F.count(F.lit(1))
+        ).first()
+        self.n_tokens, self.customers = tokens or 0, customers or 0
+        #: What all unseen words weigh in the parent, shared out evenly.
+        self.spread = (ROOT_STRENGTH + ROOT_DISCOUNT * (tables or 0)) / (self.n_words + 1)
+        self.words = words.select("word", "n", self.parent(F.col("k"), F.col("t")).alias("p"))
+
+    def parent(self, k: Column, t: Column) -> Column:
+        """The parent's probability of words with k customers at t tables there."""
+        return (k - t * ROOT_DISCOUNT + self.spread) / (ROOT_STRENGTH + self.customers)
 
-def _needed(model: Model):
-    """Log probabilities of a block's pairs, from its words joined to the model."""
-    samples = [*model.states[BURN_IN + 1 :], model.last]
-    back = np.stack([model.back_off(s) for s in samples])  # samples x contexts
-    unknown = np.array([model.parent(0, 0, s) for s in samples])
 
-    def run(batches):
-        for batch in batches:
-            contexts = batch.column("contexts")
-            size = np.diff(contexts.offsets.to_numpy())
-            row = np.repeat(np.arange(batch.num_rows), size)
-            context = contexts.flatten().to_numpy()
-            known = batch.column("n").is_valid().to_numpy(zero_copy_only=False)
-            parent = np.tile(unknown, (batch.num_rows, 1))
-            flat = batch.column("parent_p").flatten().to_numpy()
-            parent[known] = flat.reshape(-1, len(samples))
-            p = (parent[row] * back[:, context].T).mean(axis=1)
-            # Contexts in which the word was seen have their own probability.
-            seen = batch.column("seen")
-            lengths = np.zeros(batch.num_rows, np.int64)
-            lengths[known] = seen.value_lengths().drop_null().to_numpy()
-            have = np.repeat(np.arange(batch.num_rows), lengths) * CONTEXTS + seen.flatten().to_numpy()
-            own = batch.column("seen_p").flatten().to_numpy()
-            at = np.searchsorted(have, row * CONTEXTS + context)
-            hit = np.zeros(len(row), bool)
-            inside = at < len(have)
-            hit[inside] = have[at[inside]] == (row * CONTEXTS + context)[inside]
-            p[hit] = own[at[hit]]
-            cuts = np.concatenate([[0], np.cumsum(size)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("block"), batch.column("at"), batch.column("n").fill_null(0),
-                    _lists(np.log10(p).astype(np.float32), cuts, pa.float32()),
-                ],
-                names=["block", "at", "n", "log_p"],
-            )
+def fit(counts: DataFrame) -> tuple[DataFrame, list[State]]:
+    """Seated pairs with their tables summed over the samples, and the samples' states."""
+    pairs = counts.where("n > 0").select(
+        "context", "word", "n", F.lit(1).cast("long").alias("t"), F.lit(0).cast("long").alias("sums")
+    )
+    states = [State(pairs, None, None)]
+    for turn in range(BURN_IN + SAMPLES):
+        given = pairs.join(states[-1].words.select("word", "p"), "word").join(
+            states[-1].contexts.select("context", "tables"), "context"
+        )
+        seated = given.mapInArrow(_seat_pairs(turn), "context long, word long, n long, t long, sums long")
+        pairs = materialize(seated, "seats")
+        states.append(State(pairs, turn, states[-1]))
+    return pairs, states[BURN_IN + 1 :]
+
+
+def _log_p(counts: DataFrame, pairs: DataFrame, samples: list[State]) -> DataFrame:
+    """``context, word, known, log_p`` of all pairs: own customers, then what the context
+    leaves to the parent. A context without customers leaves everything."""
+    every = pairs.select("context", "word", "n", "sums").unionByName(
+        counts.where("n = 0").withColumn("sums", F.lit(0).cast("long"))
+    )
 
-    return run
+    def together(tables: list[DataFrame], key: str, kept: str, value: str) -> DataFrame:
+        rows = [t.select(key, kept, F.lit(i).alias("sample"), F.col(value).alias("v")) for i, t in enumerate(tables)]
+        union = rows[0]
+        for r in rows[1:]:
+            union = union.unionByName(r)
+        return materialize(
+            union.groupBy(key).agg(
+                F.first(kept).alias("known" if key == "word" else kept),
+                *[F.max(F.when(F.col("sample") == i, F.col("v"))).alias(f"{value}{i}") for i in range(len(tables))],
+            ),
+            f"sampled-{key}",
+        )
+
+    contexts = together([s.contexts for s in samples], "context", "customers", "tables")
+    words = together([s.words for s in samples], "word", "n", "p")
+    joined = every.join(contexts, "context", "left").join(words, "word", "left")
+    rest = F.coalesce("customers", F.lit(0)) + STRENGTH
+    p = (F.col("n") - F.col("sums") * (DISCOUNT / len(samples))) / rest
+    for i, s in enumerate(samples):
+        back = (F.coalesce(F.col(f"tables{i}"), F.lit(0)) * DISCOUNT + STRENGTH) / rest
+        unknown = F.lit(s.spread / (ROOT_STRENGTH + s.customers))
+        p = p + back * F.coalesce(F.col(f"p{i}"), unknown) / len(samples)
+    return joined.select(
+        "context", "word", F.coalesce("known", F.lit(0)).alias("known"), F.log10(p).cast("float").alias("log_p")
+    )
 
 
 _OUT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -365,28 +299,25 @@ _OUT_ARROW = pa.schema(
 )
 
 
-def _score(model: Model):
-    spread = model.n_tokens + 0.1 * (model.n_words + 1)
+def _score(n_tokens: int, n_words: int):
+    spread = n_tokens + 0.1 * (n_words + 1)
 
-    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
+    def run(texts: pa.Table, pairs: pa.Table) -> pa.Table:
         rows = []
         if texts.num_rows:
             n_pairs = texts.column("n_pairs")[0].as_py()
             log_p, count = np.zeros(n_pairs), np.zeros(n_pairs)
-            logs = words.column("log_p").combine_chunks()
-            size = np.diff(logs.offsets.to_numpy())
-            first = np.repeat(words.column("at").to_numpy() - (np.cumsum(size) - size), size)
-            place = first + np.arange(size.sum())
-            if len(place) != n_pairs:
+            if pairs.num_rows != n_pairs:
                 raise RuntimeError("a block's texts and words come from different rows: do not change the input while it is read")
-            log_p[place] = logs.flatten().to_numpy()
-            count[place] = np.repeat(words.column("n").to_numpy(), size)
+            place = pairs.column("at").to_numpy()
+            log_p[place] = pairs.column("log_p").to_numpy()
+            count[place] = pairs.column("known").to_numpy()
             base = np.log10((count + 0.1) / spread)
             for r in zip(*(texts.column(c) for c in ("doc_id", "held_out", "n_tokens", "at", "count")), strict=True):
                 at = np.cumsum(_unplaned(r[3].as_py()), dtype=np.int64)
                 n = _unplaned(r[4].as_py()).astype(float)
                 rows.append((r[0].as_py(), r[1].as_py(), r[2].as_py(), int(n[count[at] > 0].sum()),
-                             int(model.n_tokens), float(n @ base[at]), float(n @ log_p[at])))
+                             n_tokens, float(n @ base[at]), float(n @ log_p[at])))
         columns = list(zip(*rows, strict=True)) or [()] * len(_OUT_ARROW)
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, _OUT_ARROW, strict=True)], schema=_OUT_ARROW)
 
@@ -396,25 +327,20 @@ def _score(model: Model):
 def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Token counts, base score and the model's log10 probability of every text."""
     rows = docs.select("doc_id", "text")
-    words = materialize(
-        rows.mapInArrow(
-            _word_rows(block_bytes),
-            "word long, block long, at int, contexts array<tinyint>, trained array<long>",
-        ),
-        "block-words",
+    places = materialize(
+        rows.mapInArrow(_pair_rows(block_bytes), "context long, word long, block long, at int, trained long"),
+        "block-pairs",
     )
-    counts, model = fit(words)
-    known = counts.mapInArrow(
-        _probabilities(model),
-        "word long, n long, seen array<tinyint>, seen_p array<float>, parent_p array<float>",
+    counts = materialize(places.groupBy("context", "word").agg(F.sum("trained").alias("n")), "counts")
+    pairs, samples = fit(counts)
+    log_p = materialize(_log_p(counts, pairs, samples), "log-p")
+    needed = places.select("context", "word", "block", "at").join(log_p, ["context", "word"]).select(
+        "block", "at", "known", "log_p"
     )
-    needed = (
-        words.select("word", "block", "at", "contexts").join(known, "word", "left").drop("word")
-        .mapInArrow(_needed(model), "block long, at int, n long, log_p array<float>")
-    )
     texts = rows.mapInArrow(
         _text_rows(block_bytes),
         "block long, n_pairs long, doc_id long, held_out boolean, n_tokens long, at binary, count binary",
     )
-    scored = texts.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(_score(model), _OUT)
+    score = _score(samples[-1].n_tokens, samples[-1].n_words)
+    scored = texts.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(score, _OUT)
     return scored.withColumn("perplexity", F.expr("pow(10, -score / n_tokens)"))

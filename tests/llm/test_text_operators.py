@@ -203,3 +203,21 @@ def test_pitman_yor(docs, none):
         assert r.n_tokens == len(re.findall(r"[^\x20\x09-\x0D]+", text)) + 1 and r.score < 0
         assert r.held_out == (zlib.crc32(b"" if r.doc_id is None else str(r.doc_id).encode()) % 10 == 0)
     assert pitman_yor.score_documents(none).count() == 0
+
+
+def test_the_word_before_is_the_context(spark, docs):
+    rows = [(i, "red apple bed sky " * 20) for i in range(40)]
+    rows += [(1000, "red apple"), (1001, "red sky"), (1002, "new apple")]
+    fold = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in range(2000)}
+    # Asked in documents of the held-out fold only.
+    free = iter(i for i in range(1000, 2000) if fold[i])
+    rows = rows[:40] + [(next(free), t) for _, t in rows[40:]]
+    found = pitman_yor.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    score = {dict(rows)[r.doc_id]: r.score for r in found}
+    # Both words are as frequent, and "red" and "bed" end alike.
+    assert score["red apple"] > score["red sky"] + 1
+    assert score["red apple"] > score["new apple"] + 1
+    pairs = spark.createDataFrame([(1, 2, 5), (1, 3, 1), (4, 2, 0)], "context long, word long, n long")
+    seated, samples = pitman_yor.fit(pairs)
+    assert len(samples) == pitman_yor.SAMPLES and {(r.context, r.word) for r in seated.collect()} == {(1, 2), (1, 3)}
+
