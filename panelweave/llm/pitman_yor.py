@@ -6,8 +6,8 @@ the known words and one unknown. There is one row per context and word, so what
 learn grows with the corpus. A Gibbs sweep lifts all customers of a dish in a restaurant
 and seats them again one after the other by the Chinese-restaurant rule, given everyone
 else: they open a table in proportion to the parent's probability of the dish. For that
-rule the number of tables of a dish is enough, so a row's state is one number. After
-``EXACT`` customers, growing blocks are seated at the current rate. Totals of contexts and words are aggregated in Spark
+rule the number of tables of a dish is enough, so a row's state is one number, and that
+number is drawn exactly (``seat``). Totals of contexts and words are aggregated in Spark
 after each sweep, before the shuffle where a context or word is hot, and joined to the
 rows. Predictive probabilities are averaged over ``SAMPLES`` sweeps.
 
@@ -34,7 +34,8 @@ BLOCK_BYTES = 16 << 20
 DISCOUNT, STRENGTH = 0.75, 1.0  # of contexts
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
 BURN_IN, SAMPLES = 1, 3
-EXACT = 24
+#: Customers that are seated by one draw each; later ones by one draw per new table.
+WALK = 4096
 ROWS = 1 << 18  # seated at once
 END = np.uint64(0x6C62272E07BB0142)
 START = np.uint64(0x2545F4914F6CDD1D)
@@ -148,26 +149,52 @@ def _unplaned(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
+def _log_gamma(x):
+    """For 100 and more, where three terms of Stirling's series are exact to 1e-14."""
+    y = 1 / (x * x)
+    return (x - 0.5) * np.log(x) - x + (1 / 12 - y * (1 / 360 - y / 1260)) / x
+
+
 def seat(customers, weight, discount: float, seed) -> np.ndarray:
     """Tables after seating all customers of dishes again, one restaurant row each.
 
     ``weight`` is what a new table with the dish weighs: (strength + discount x tables of
-    the restaurant) x the parent's probability of the dish.
+    the restaurant) x the parent's probability of the dish. The first ``WALK`` customers of
+    a dish are one draw each. After them the number of customers until the next new table
+    is drawn from its distribution, whose survival function is a ratio of gamma functions.
+    Either way the number of tables has exactly the distribution of one customer at a time.
     """
-    tables = np.minimum(customers, 1).astype(np.int64)
-    active = np.flatnonzero(customers > 1)
-    there, step = 1, 0
+    order = np.argsort(-customers, kind="stable")
+    n, w, own = customers[order].astype(np.int64), weight[order], seed[order]
+    t = np.minimum(n, 1)
+
+    def draw(step: int, active):
+        return unit(mix(own[active] + np.uint64(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)))
+
+    for there in range(1, min(int(n[0]) if len(n) else 0, WALK)):
+        active = slice(0, int(np.searchsorted(-n, -there)))
+        t[active] += draw(there, active) * (w[active] + there - discount * t[active]) <= w[active]
+    active = np.flatnonzero(n > WALK)
+    there, step = np.full(len(active), WALK), WALK
     while len(active):
-        block = 1 if there < EXACT else max(1, there // 8)
-        n, w, t = customers[active], weight[active], tables[active]
-        share = w / (w + there - discount * t)
-        seated = np.minimum(block, n - there)
-        drawn = unit(mix(seed[active] + np.uint64(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)))
-        # One customer: a draw. A block: its expected tables, rounded up or down by a draw.
-        tables[active] = np.minimum(t + np.floor(seated * share + (1 - drawn)).astype(np.int64), n)
-        there += block
-        step += 1
-        active = active[n > there]
+        left, v = discount * t[active], w[active]
+
+        def log_survival(seated):
+            return _log_gamma(seated - left) - _log_gamma(v + seated - left)
+
+        goal = np.log(draw(step, active)) + log_survival(there)
+        # The least number of customers by which the next table has been opened, n + 1 if none.
+        low, high = there.copy(), n[active] + 1
+        while (high - low > 1).any():
+            middle = (low + high) // 2
+            opened = log_survival(middle) < goal
+            low, high = np.where(opened, low, middle), np.where(opened, middle, high)
+        more = high <= n[active]
+        t[active[more]] += 1
+        go = high < n[active]
+        active, there, step = active[go], high[go], step + 1
+    tables = np.empty(len(n), np.int64)
+    tables[order] = t
     return tables
 
 

@@ -221,3 +221,15 @@ def test_the_word_before_is_the_context(spark, docs):
     seated, samples = pitman_yor.fit(pairs)
     assert len(samples) == pitman_yor.SAMPLES and {(r.context, r.word) for r in seated.collect()} == {(1, 2), (1, 3)}
 
+
+def test_tables_have_the_distribution_of_one_customer_at_a_time(monkeypatch):
+    n, weight, discount, trials = 300, 3.0, 0.75, 4000
+    at = np.ones(trials)
+    rng = np.random.default_rng(3)
+    for there in range(1, n):
+        at += rng.random(trials) < weight / (weight + there - discount * at)
+    seeds = pitman_yor.mix(np.arange(trials, dtype=np.uint64) + np.uint64(12345))
+    for walk in (4096, 200):
+        monkeypatch.setattr(pitman_yor, "WALK", walk)
+        t = pitman_yor.seat(np.full(trials, n), np.full(trials, weight), discount, seeds)
+        assert abs(t.mean() - at.mean()) < 0.05 * at.mean() and abs(t.std() - at.std()) < 0.1 * at.std()
