@@ -1,6 +1,8 @@
 """Repeated passages: paragraph MinHash banding and shared windows of words.
 
-Paragraphs are lines of at least ``LEAST_WORDS`` words. Each has a MinHash of its set of
+Paragraphs are lines, and runs of several lines up to an empty one (hard-wrapped text), of at
+least ``LEAST_WORDS`` words, the length of a shingle; so a line of such a run counts both by
+itself and as a part of the run. Each has a MinHash of its set of
 five-word shingles in ``BANDS`` bands of ``ROWS`` rows (a pair at similarity 0.8 collides
 with probability 0.997); colliding paragraphs are verified by exact Jaccard similarity, 0.8 or
 more, and joined into components. Equal paragraphs are one item.
@@ -14,7 +16,7 @@ to passages where they overlap and are first found in the same text. A passage's
 
 Of each class the occurrence with the smallest ``doc_id`` (a missing one counts as largest), place
 and start stays; the others are to be removed. Texts are compared in lower case.
-Missing and short texts have no passages. Positions are code points. Rows are told apart
+Missing texts and lines of fewer words have no passages. Positions are code points. Rows are told apart
 by their place, so missing or repeated ids are harmless; other columns are not read.
 """
 
@@ -33,7 +35,7 @@ from panelweave.llm.url_filters import bloom_filter, possible_hits
 from panelweave.sources.scratch import materialize
 
 BANDS, ROWS = 8, 3
-LEAST_WORDS = 10
+LEAST_WORDS = SHINGLE
 SPAN, WINDOW = 21, 25
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _TWIN = np.uint64(0xA0761D6478BD642F)
@@ -56,11 +58,17 @@ def lines(chunk: Chunk, start, end, owner, hashed, bands: int, rows: int):
     """Owner, first and last word, two hashes and band keys of every paragraph."""
     breaks = np.concatenate([[0], np.cumsum(chunk.data == 0x0A)])
     line = breaks[start]
-    first = np.flatnonzero(np.r_[True, (line[1:] != line[:-1]) | (owner[1:] != owner[:-1])])
-    size = np.diff(np.r_[first, len(start)])
-    keep = size >= LEAST_WORDS
-    digest, twin = _runs(hashed, first)[keep], _runs(mix(hashed ^ _TWIN), first)[keep]
-    first, size = first[keep], size[keep]
+    parts = []
+    # Lines, then runs of lines without an empty one between.
+    for least in (1, 2):
+        first = np.flatnonzero(np.r_[True, (np.diff(line) >= least) | (owner[1:] != owner[:-1])])
+        size = np.diff(np.r_[first, len(start)])
+        keep = size >= LEAST_WORDS
+        if least > 1:
+            keep &= line[first] != line[first + size - 1]
+        digest, twin = _runs(hashed, first)[keep], _runs(mix(hashed ^ _TWIN), first)[keep]
+        parts.append((first[keep], size[keep], digest, twin))
+    first, size, digest, twin = (np.concatenate(x) for x in zip(*parts, strict=True))
     # Shingles of all words, then those that lie within one paragraph.
     whole = window_hashes(hashed, SHINGLE)
     count = size - SHINGLE + 1

@@ -233,3 +233,20 @@ def test_tables_have_the_distribution_of_one_customer_at_a_time(monkeypatch):
         monkeypatch.setattr(pitman_yor, "WALK", walk)
         t = pitman_yor.seat(np.full(trials, n), np.full(trials, weight), discount, seeds)
         assert abs(t.mean() - at.mean()) < 0.05 * at.mean() and abs(t.std() - at.std()) < 0.1 * at.std()
+
+
+def test_short_lines_and_wrapped_paragraphs(spark, docs):
+    words = [f"w{k}" for k in range(60)]
+    wrapped = "\n".join(" ".join(words[k : k + 4]) for k in range(0, 60, 4))
+    edited = wrapped.replace("w41", "x41")
+    texts = {
+        1: "All rights reserved by us\nfirst", 2: "second\nall rights reserved by us", 3: wrapped + "\n\nthird",
+        4: "fourth\n\n" + edited, 5: " ".join(words),
+    }
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = substring_dedup.repeated_passages(frame).where("kind = 'paragraph'").collect()
+    spans = {r.doc_id: (texts[r.doc_id][r.start : r.start + r.length], r.keep_doc_id) for r in found}
+    assert spans == {
+        1: ("All rights reserved by us", 1), 2: ("all rights reserved by us", 1), 3: (wrapped, 3),
+        4: (edited, 3), 5: (texts[5], 3),
+    }
