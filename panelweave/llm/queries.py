@@ -133,7 +133,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_secret_scans")
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scans.scan(table(spark, sf_dir, "documents")).drop("file", "place")
+    return secret_scans.scan(table(spark, sf_dir, "documents"), whole=True).drop("file", "place")
 
 
 @query("op7_bpe")

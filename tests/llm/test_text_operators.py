@@ -18,7 +18,7 @@ from panelweave.llm import (  # noqa: E402
     bag_minhash, bpe, exact_dedup, language_id, packing, pitman_yor, quality, secret_scans,
     substring_dedup, url_filters,
 )
-from panelweave.llm.queries import tokenizer  # noqa: E402
+from panelweave.llm.queries import QUERIES, tokenizer  # noqa: E402
 from panelweave.llm.workers import ship  # noqa: E402
 
 BASE = " ".join(f"word{i}" for i in range(100))
@@ -250,3 +250,17 @@ def test_short_lines_and_wrapped_paragraphs(spark, docs):
         1: ("All rights reserved by us", 1), 2: ("all rights reserved by us", 1), 3: (wrapped, 3),
         4: (edited, 3), 5: (texts[5], 3),
     }
+
+
+def test_secrets_far_from_their_identifier(spark, docs, tmp_path):
+    key, value = "AKIA" + "Q7" * 8, "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY"
+    rows = [
+        (1, f"{key} " + "z " * 300 + value), (2, f"aws_access_key_id={key}\n\naws_secret_access_key={value}"),
+        (3, f"{value}\n\n" + "z\n\n" * 500 + key), (4, f"only {value}"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r.spans for r in QUERIES["op6_secret_scans"](spark, str(tmp_path)).collect()}
+    masked = {r.doc_id: r.text for r in secret_scans.redact(frame).collect()}
+    assert all("opaque" in found[i] and value not in masked[i] for i in (1, 2, 3))
+    assert found[4] == "" and masked[4] == rows[3][1]
