@@ -1,11 +1,12 @@
-"""Encode texts through a table of distinct words, and decode through an id-to-piece join.
+"""Encode texts through a table of distinct words, and decode through a table of pieces by id.
 
-Texts are cut where the tokenizer's own splitting always cuts: before a run of
+Texts are cut at the tokenizer's added tokens first, and between them where the tokenizer's own splitting always cuts: before a run of
 non-blanks with the one space before it, and around runs of blanks. Documents of one
 task are gathered into blocks of about ``BLOCK_BYTES``; a block travels as the positions
 of its words in its own word list, short numbers for frequent words. Word lists are
 shuffled by buckets of words, each distinct word of a bucket is encoded once, and its ids
-return to the blocks that hold it, where they are joined to the positions. So a
+return to the blocks that hold it, where they are joined to the positions. Decoding is an
+array lookup of every id's piece in that same task, not a join in Spark. So a
 word crosses the network once per block, not once per occurrence, however common it is.
 
 Missing text is empty and has no ids. Missing or repeated ``doc_id`` are carried along.
@@ -63,6 +64,27 @@ def piece_table(path: str) -> list[bytes]:
     return pieces
 
 
+@lru_cache(maxsize=2)
+def _added(path: str) -> re.Pattern | None:
+    """The added tokens, which the tokenizer takes out of a text before all else."""
+    added = _tokenizer(path).get_added_tokens_decoder().values()
+    for t in added:
+        if t.lstrip or t.rstrip or t.single_word:
+            raise ValueError(f"the added token {t.content!r} takes in or depends on its neighbours")
+    longest = sorted((t.content for t in added), key=len, reverse=True)
+    return re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
+
+
+def units(text: str, added: re.Pattern | None) -> list[str]:
+    """Pieces of a text that the tokenizer encodes each by itself."""
+    if added is None or not added.search(text):
+        return UNITS.findall(text)
+    found = []
+    for k, part in enumerate(added.split(text)):
+        found += [part] if k % 2 else UNITS.findall(part)
+    return found
+
+
 def packed(values: np.ndarray) -> bytes:
     """Whole numbers in groups of seven bits, the lowest first; small numbers are short."""
     values = values.astype(np.uint64)
@@ -90,8 +112,8 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 class _Block:
-    def __init__(self, number: int):
-        self.number, self.size = number, 0
+    def __init__(self, number: int, added: re.Pattern | None):
+        self.number, self.size, self.added = number, 0, added
         self.words: dict[str, int] = {}
         self.ids: list = []
         self.at: list[np.ndarray] = []
@@ -99,7 +121,7 @@ class _Block:
     def add(self, doc_id, text: str) -> None:
         words = self.words
         put = words.setdefault
-        self.at.append(np.array([put(u, len(words)) for u in UNITS.findall(text)], np.uint32))
+        self.at.append(np.array([put(u, len(words)) for u in units(text, self.added)], np.uint32))
         self.ids.append(doc_id)
         self.size += len(text)
 
@@ -111,16 +133,17 @@ class _Block:
         return rank
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[_Block]:
+def _blocks(batches: Iterator[pa.RecordBatch], size: int, path: str) -> Iterator[_Block]:
     number = TaskContext.get().partitionId() << 24
-    block = _Block(number)
+    added = _added(path)
+    block = _Block(number, added)
     for batch in batches:
         for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
             block.add(doc_id.as_py(), text.as_py() or "")
             if block.size >= size:
                 yield block
                 number += 1
-                block = _Block(number)
+                block = _Block(number, added)
     if block.ids:
         yield block
 
@@ -128,11 +151,11 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[_Block]:
 WORDS = "bucket int, block long, at binary, sizes binary, words binary"
 
 
-def _word_rows(size: int, buckets: int):
+def _word_rows(size: int, buckets: int, path: str):
     """The distinct words of a block, in order, as one row for each bucket of words."""
 
     def emit(batches):
-        for block in _blocks(batches, size):
+        for block in _blocks(batches, size, path):
             rank = block.ranks()
             words = sorted(block.words)
             at = rank[[block.words[w] for w in words]] if words else rank
@@ -156,9 +179,9 @@ def _word_rows(size: int, buckets: int):
     return emit
 
 
-def _text_rows(size: int):
+def _text_rows(size: int, path: str):
     def emit(batches):
-        for block in _blocks(batches, size):
+        for block in _blocks(batches, size, path):
             rank = block.ranks()
             for first in range(0, len(block.ids), 1000):
                 rows = block.at[first : first + 1000]
@@ -288,14 +311,14 @@ def encode_decode(
     rows = docs.select("doc_id", "text")
     # Several buckets for each shuffle partition, so that partitions are even.
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    words = rows.mapInArrow(_word_rows(block_bytes, 8 * partitions), WORDS)
+    words = rows.mapInArrow(_word_rows(block_bytes, 8 * partitions, tokenizer_path), WORDS)
     coded = (
         words.repartition("bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_encode_words(tokenizer_path), "block long, at binary, sizes binary, ids binary")
     )
     texts = rows.mapInArrow(
-        _text_rows(block_bytes), "block long, n_words int, doc_id long, positions binary"
+        _text_rows(block_bytes, tokenizer_path), "block long, n_words int, doc_id long, positions binary"
     )
     out = (
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

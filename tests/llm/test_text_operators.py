@@ -264,3 +264,17 @@ def test_secrets_far_from_their_identifier(spark, docs, tmp_path):
     masked = {r.doc_id: r.text for r in secret_scans.redact(frame).collect()}
     assert all("opaque" in found[i] and value not in masked[i] for i in (1, 2, 3))
     assert found[4] == "" and masked[4] == rows[3][1]
+
+
+def test_bpe_cuts_at_added_tokens(spark, docs):
+    path = tokenizer("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    end = "<|endoftext|>"
+    texts = [
+        f"end.\n\n{end}next", f"a  {end} b", end, f"{end}{end}\n {end}  x", f"x{end}y \n\n{end}\n\n", f"{end[:-1]} {end} >",
+    ]
+    found = bpe.encode_decode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path)
+    for r in found.collect():
+        ids = plain.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert np.frombuffer(bytes(r.ids), "<u4").tolist() == ids
+        assert bytes(r.decoded).decode() == texts[r.doc_id]
