@@ -11,8 +11,10 @@ A passage may also begin and end inside paragraphs. So every text is covered by
 ``WINDOW`` words that start at anchors: places whose shingle has the smallest hash among
 ``SPAN`` in a row. Any run of ``SPAN + WINDOW - 1`` words, wherever it lies, holds a whole
 window, and equal runs hold equal windows. Windows found in several places are laid together
-to passages where they overlap and are first found in the same text. A passage's
-``class_id`` is that of its first window, its size that of its most frequent one.
+to passages where they overlap and are first found in the same text, there too overlapping.
+A passage is then extended word by word on both sides as far as that text agrees. Windows that
+overlap in some text are one component, its label is the ``class_id`` of their passages, and
+``class_size`` counts all of these.
 
 Of each class the occurrence with the smallest ``doc_id`` (a missing one counts as largest), place
 and start stays; the others are to be removed. Texts are compared in lower case.
@@ -22,13 +24,15 @@ by their place, so missing or repeated ids are harmless; other columns are not r
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from panelweave.llm.near import SHINGLE, SIMILAR, classes
+from panelweave.llm.near import SHINGLE, SIMILAR, classes, components
 from panelweave.llm.rows import located
 from panelweave.llm.text import Chunk, chunks, mix, span_hashes, window_hashes, word_spans
 from panelweave.llm.url_filters import bloom_filter, possible_hits
@@ -176,33 +180,139 @@ def near_paragraphs(parts: DataFrame, source: DataFrame, at_least: float) -> Dat
     return _occurrences(found, "paragraph")
 
 
-def shared_passages(parts: DataFrame) -> DataFrame:
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_LOWER = {k: k + 32 for k in range(65, 91)}
+
+
+def _words(text: str) -> tuple[list[str], list[int], list[int]]:
+    spans = [m.span() for m in _WORD.finditer(text)]
+    low = text.translate(_LOWER)
+    return [low[a:b] for a, b in spans], [a for a, _ in spans], [b for _, b in spans]
+
+
+_EXTENDED = "row long, keep_row long, start int, stop int, keep_start int, keep_stop int, label long"
+
+
+def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans and what they equal in the keeper's text, as far as both texts agree."""
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            same = r["row"] == r["keep_row"]
+            word, start, stop = own = _words(r["text"])
+            kept_word, kept_start, kept_stop = own if same else _words(r["keep_text"])
+            for s in r["spans"]:
+                i, k = bisect_left(start, s["start"]), bisect_left(kept_start, s["keep_start"])
+                j, m = bisect_left(stop, s["stop"]), bisect_left(kept_stop, s["keep_stop"])
+                # Two passages of one text do not grow into each other.
+                while i > 0 and k > 0 and word[i - 1] == kept_word[k - 1] and not (same and i - 1 <= m):
+                    i, k = i - 1, k - 1
+                while (
+                    j + 1 < len(word) and m + 1 < len(kept_word) and word[j + 1] == kept_word[m + 1]
+                    and not (same and m + 1 >= i)
+                ):
+                    j, m = j + 1, m + 1
+                out.append((r["row"], r["keep_row"], start[i], stop[j], kept_start[k], kept_stop[m], s["label"]))
+        if out:
+            kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+                names=[c.split()[0] for c in _EXTENDED.split(", ")],
+            )
+
+
+def _numbered(rows: DataFrame, over, fresh) -> DataFrame:
+    """Rows with the number of the run they belong to; ``fresh`` ones begin a run."""
+    marked = rows.withColumn("fresh", F.coalesce(fresh, F.lit(True)).cast("int"))
+    return marked.withColumn("number", F.sum("fresh").over(over.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def shared_passages(parts: DataFrame, source: DataFrame) -> DataFrame:
     own = parts.where("size(keys) = 0").select("doc_id", "row", "start", "length", "digest")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "start")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "start", "length")
     again = own.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
     # Written, so that the join can be split where one window is very common.
     again = materialize(again.where("n > 1"), "window-groups")
-    repeated = own.join(again, "digest").select(
-        "doc_id", "row", "start", F.expr("start + length").alias("stop"), "digest", "n",
-        F.expr("row = first.row AND start = first.start").alias("kept"),
-        F.col("first.doc_id").alias("keep_doc_id"), F.col("first.row").alias("keep_row"),
+    repeated = materialize(
+        own.join(again, "digest").select(
+            "doc_id", "row", "start", F.expr("start + length").alias("stop"), "digest",
+            F.expr("row = first.row AND start = first.start").alias("kept"),
+            F.col("first.doc_id").alias("keep_doc_id"), F.col("first.row").alias("keep_row"),
+            F.col("first.start").alias("keep_start"),
+            F.expr("first.start + first.length").alias("keep_stop"),
+        ),
+        "repeated-windows",
     )
+
     # One row is one text, so its windows are bounded by its length.
     text = Window.partitionBy("row").orderBy("start")
-    follows = (
-        (F.col("start") <= F.lag("stop").over(text))
-        & (F.col("kept") == F.lag("kept").over(text))
-        & (F.col("keep_row") == F.lag("keep_row").over(text))
+    runs = _numbered(repeated, text, F.col("start") > F.lag("stop").over(text))
+    head = Window.partitionBy("row", "number").orderBy("start")
+    links = runs.select(F.first("digest").over(head).alias("a"), F.col("digest").alias("b")).distinct()
+    alone = links.where("a = b").select(F.col("a").alias("digest"))
+    joined = components(links.where("a <> b"))
+    labels = joined.withColumnRenamed("item", "digest").unionByName(
+        alone.join(joined.select(F.col("item").alias("digest")), "digest", "left_anti")
+        .withColumn("label", F.col("digest"))
+    )
+    labels = materialize(labels, "window-classes")
+
+    copies = repeated.where("NOT kept")
+    parted = (
+        (F.col("start") > F.lag("stop").over(text))
+        | (F.col("keep_row") != F.lag("keep_row").over(text))
+        | (F.col("keep_start") < F.lag("keep_start").over(text))
+        | (F.col("keep_start") > F.lag("keep_stop").over(text))
     )
-    spans = repeated.withColumn("fresh", (~F.coalesce(follows, F.lit(False))).cast("int")).withColumn(
-        "number", F.sum("fresh").over(text.rowsBetween(Window.unboundedPreceding, 0))
+    spans = _numbered(copies, text, parted).groupBy("row", "number").agg(
+        F.first("keep_row").alias("keep_row"), F.min_by("digest", "start").alias("digest"),
+        F.min("start").alias("start"), F.max("stop").alias("stop"),
+        F.min_by("keep_start", "start").alias("keep_start"), F.max_by("keep_stop", "start").alias("keep_stop"),
+    )
+    spans = spans.join(labels, "digest").groupBy("row", "keep_row").agg(
+        F.collect_list(F.struct("start", "stop", "keep_start", "keep_stop", "label")).alias("spans")
     )
-    return spans.groupBy("row", "number").agg(
-        F.first("doc_id").alias("doc_id"), F.lit("passage").alias("kind"), F.min("start").alias("start"),
-        (F.max("stop") - F.min("start")).alias("length"), F.lit(None).cast("int").alias("words"),
-        F.min_by("digest", "start").alias("class_id"), F.max("n").alias("class_size"),
-        F.first("keep_doc_id").alias("keep_doc_id"), F.first("kept").alias("kept"),
-    ).drop("row", "number")
+    # Written, so that the joins can be split where many texts have one keeper.
+    spans = materialize(spans, "passage-spans")
+
+    def texts(column: str, name: str) -> DataFrame:
+        wanted = spans.select(F.col(column).alias("row")).distinct()
+        likely = possible_hits(source, bloom_filter(wanted, "row"), "row")
+        found = materialize(likely.join(wanted, "row", "left_semi"), "passage-texts")
+        return found.select(F.col("row").alias(column), F.col("text").alias(name))
+
+    both = spans.join(texts("row", "text"), "row").join(texts("keep_row", "keep_text"), "keep_row")
+    extended = materialize(
+        both.select("row", "keep_row", "text", "keep_text", "spans").mapInArrow(_extend, _EXTENDED), "passages"
+    )
+
+    # A kept passage is what its copies agree with.
+    sides = extended.select("row", "keep_row", "start", "stop", "label", F.lit(False).alias("kept")).unionByName(
+        extended.select(
+            F.col("keep_row").alias("row"), "keep_row", F.col("keep_start").alias("start"),
+            F.col("keep_stop").alias("stop"), "label", F.lit(True).alias("kept"),
+        )
+    ).distinct()
+    side = Window.partitionBy("row", "kept", "keep_row", "label").orderBy("start", "stop")
+    reach = F.max("stop").over(side.rowsBetween(Window.unboundedPreceding, -1))
+    merged = _numbered(sides, side, F.col("start") > reach).groupBy(
+        "row", "kept", "keep_row", "label", "number"
+    ).agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    merged = materialize(merged, "merged-passages")
+    sizes = materialize(merged.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "passage-classes")
+    ids = repeated.select("row", "doc_id").unionByName(
+        repeated.select(F.col("keep_row").alias("row"), F.col("keep_doc_id").alias("doc_id"))
+    ).distinct()
+    ids = materialize(ids, "passage-ids")
+    return (
+        merged.join(sizes, "label").join(ids, "row")
+        .join(ids.select(F.col("row").alias("keep_row"), F.col("doc_id").alias("keep_doc_id")), "keep_row")
+        .select(
+            "doc_id", F.lit("passage").alias("kind"), "start", (F.col("stop") - F.col("start")).alias("length"),
+            F.lit(None).cast("int").alias("words"), F.col("label").alias("class_id"),
+            F.col("n").alias("class_size"), "keep_doc_id", "kept",
+        )
+    )
 
 
 def repeated_passages(
@@ -218,4 +328,4 @@ def repeated_passages(
     )
     parts = materialize(source.mapInArrow(_cut(bands, rows), PARAGRAPH), "paragraphs")
     near = near_paragraphs(parts, source.select("row", "text"), at_least)
-    return near.unionByName(shared_passages(parts))
+    return near.unionByName(shared_passages(parts, source.select("row", "text")))

@@ -278,3 +278,23 @@ def test_bpe_cuts_at_added_tokens(spark, docs):
         ids = plain.encode(texts[r.doc_id], add_special_tokens=False).ids
         assert np.frombuffer(bytes(r.ids), "<u4").tolist() == ids
         assert bytes(r.decoded).decode() == texts[r.doc_id]
+
+
+def test_passages_reach_their_ends_and_share_a_class(spark, docs):
+    run = [f"run{k}" for k in range(140)]
+    own = {i: [f"own{i}x{k}" for k in range(30)] for i in range(3)}
+    shared = {0: run, 1: run, 2: run[70:]}
+    texts = {i: " ".join(own[i][:15] + shared[i] + own[i][15:]) for i in range(3)}
+    twice = [f"twice{k}" for k in range(51)]
+    texts[3] = " ".join(twice + ["between"] + twice)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = [r for r in substring_dedup.repeated_passages(frame).collect() if r.kind == "passage"]
+    said = sorted((r.doc_id, r.kept, r.start, texts[r.doc_id][r.start : r.start + r.length]) for r in found)
+    at = {i: texts[i].index("run") for i in range(3)}
+    assert said == [
+        (0, True, at[0], " ".join(run)), (1, False, at[1], " ".join(run)), (2, False, at[2], " ".join(run[70:])),
+        (3, False, texts[3].rindex("twice0 "), " ".join(twice)), (3, True, 0, " ".join(twice)),
+    ]
+    assert {r.keep_doc_id for r in found if r.doc_id < 3} == {0}
+    assert len({(r.class_id, r.class_size) for r in found if r.doc_id < 3}) == 1
+    assert {r.class_size for r in found if r.doc_id < 3} == {3}
