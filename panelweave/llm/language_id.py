@@ -3,7 +3,7 @@
 Every language has a codeword; one binary n-gram classifier per bit says on which side
 of that bit a text lies; the codeword with the least loss over all bits, each weighted by
 how well its classifier separates the training rows, is the prediction. A text is
-ambiguous when the best codeword does not lead the second clearly.
+ambiguous when the loss of the second codeword is not clearly above that of the best.
 
 The classifiers are fitted on at most ``ROWS_PER_LANGUAGE`` labelled rows of every
 language (those with the smallest hash of their place), whole texts. Missing texts and
@@ -29,8 +29,9 @@ from panelweave.llm.text import chunks
 GRAMS = Grams(chars=(1, 2, 3), bits=12)
 ROWS_PER_LANGUAGE = 250
 UNKNOWN = "und"
-#: Lead in score over the second language below which a text is ambiguous.
-LEAD = 0.1
+#: Difference in loss to the second language below which a text is ambiguous. It does not
+#: depend on the number of languages; of two, the scores then are 0.55 and 0.45.
+LEAD = float(np.log(0.55 / 0.45))
 
 
 def fold(modulus: int, column: str = "doc_id") -> Column:
@@ -64,16 +65,16 @@ class Model:
         self.weights, self.bias, self.trust = weights, bias, trust
 
     def predict(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Language number, score and lead over the second, from margins of all bits."""
+        """Language number, score and loss below that of the second, from margins of all bits."""
         loss = np.logaddexp(0, -margins[:, None, :] * self.code[None]) * self.trust
         # A language differs from another in about half of the bits.
         z = -loss.sum(axis=2) / max(1.0, self.trust.sum() / 2)
         z -= z.max(axis=1, keepdims=True)
         p = np.exp(z)
         p /= p.sum(axis=1, keepdims=True)
-        order = np.sort(p, axis=1)
-        lead = order[:, -1] - (order[:, -2] if p.shape[1] > 1 else 0.0)
-        return p.argmax(axis=1), order[:, -1], lead
+        # The best has z = 0.
+        lead = -np.sort(z, axis=1)[:, -2] if z.shape[1] > 1 else np.full(len(z), np.inf)
+        return p.argmax(axis=1), p.max(axis=1), lead
 
 
 _SAMPLE = pa.schema([("lang", pa.string()), ("columns", pa.binary()), ("values", pa.binary())])

@@ -298,3 +298,12 @@ def test_passages_reach_their_ends_and_share_a_class(spark, docs):
     assert {r.keep_doc_id for r in found if r.doc_id < 3} == {0}
     assert len({(r.class_id, r.class_size) for r in found if r.doc_id < 3}) == 1
     assert {r.class_size for r in found if r.doc_id < 3} == {3}
+
+
+def test_ambiguity_does_not_depend_on_the_number_of_languages():
+    for n in (2, 4, 50, 176):
+        code = language_id.codewords(n)
+        bits = code.shape[1]
+        model = language_id.Model([str(i) for i in range(n)], code, None, None, np.ones(bits))
+        best, _, lead = model.predict(np.stack([1.0 * code[1], 0.0 * code[1]]))
+        assert best[0] == 1 and lead[0] >= language_id.LEAD > lead[1]
