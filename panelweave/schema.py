@@ -32,6 +32,15 @@ MANIFEST_SCHEMA = _struct(
 )
 
 MISSING_TEXT = "NA"
+# Quotes inside a text are doubled, as other CSV tools write and expect them; line
+# breaks and blanks at either end of a text are kept.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "multiLine": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def nan_to_null(column: Column | str) -> Column:

@@ -12,6 +12,7 @@ from panelweave.functions.vocabulary import map_source_type, normalize_raw_codes
 from panelweave.operators.dedup import keep_newest_edition
 from panelweave.operators.select import drop_placeholders
 from panelweave.schema import (
+    CSV_OPTIONS,
     INDICATOR_SCHEMA,
     MISSING_TEXT,
     RAW_KEY,
@@ -19,18 +20,10 @@ from panelweave.schema import (
     cast_project,
     clean_missing,
 )
+from panelweave.sources.split_text import LINE, PART, larger_than_a_split, read_split_csv
 
 RAW_DATA_COLUMNS = ["source", "type", "year", "var_short", "value"]
 FORMATS = {"csv": "csv", "parquet": "parquet"}
-# Quotes inside a text are doubled, as other CSV tools write and expect them; line
-# breaks and blanks at either end of a text are kept.
-CSV_OPTIONS = {
-    "header": True,
-    "escape": '"',
-    "multiLine": True,
-    "ignoreLeadingWhiteSpace": False,
-    "ignoreTrailingWhiteSpace": False,
-}
 
 
 def snapshot_format(path: str) -> str:
@@ -51,11 +44,14 @@ def read_snapshot(
     Typed files are scanned as they are, so filters reach the files; a given
     ``schema`` saves looking into them for it. Text files are read as strings by
     header name. Types are pinned by :func:`panelweave.schema.cast_project`,
-    never guessed from the data.
+    never guessed from the data. Text files of more than one split are read split by
+    split, whether or not their quoted texts hold line breaks.
     """
     if snapshot_format(path) == "parquet":
         reader = spark.read.schema(schema) if schema is not None else spark.read
         return reader.parquet(path)
+    if larger_than_a_split(spark, path):
+        return clean_missing(read_split_csv(spark, path, CSV_OPTIONS))
     return clean_missing(spark.read.options(**CSV_OPTIONS).csv(path))
 
 
@@ -145,16 +141,18 @@ def read_raw_snapshot(spark: SparkSession, path: str, normalize: bool = True) ->
     """Raw observations of one snapshot, harmonised unless told otherwise.
 
     Of the rows of one edition that share a key the first one in the file
-    survives. Text files have no row numbers once they are read in parallel;
-    there the smallest value survives, a missing one last.
+    survives. Parquet scans number their rows; the rows of text files are told apart
+    by their split and their line in it.
     """
-    data = read_snapshot(spark, path)
     if not normalize:
-        return raw_rows(data)
-    if snapshot_format(path) != "parquet":
-        return harmonise_raw(raw_rows(data), [F.col("value").asc_nulls_last()])
-    place = {"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")}
-    rows = raw_rows(data.withColumns(place), keep=list(place))
+        return raw_rows(read_snapshot(spark, path))
+    if snapshot_format(path) == "parquet":
+        place = {"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")}
+        data = read_snapshot(spark, path).withColumns(place)
+    else:
+        place = [PART, LINE]
+        data = clean_missing(read_split_csv(spark, path, CSV_OPTIONS, places=True))
+    rows = raw_rows(data, keep=list(place))
     return harmonise_raw(rows, [F.col(name).asc() for name in place]).drop(*place)
 
 
