@@ -69,5 +69,5 @@ def as_map(df: DataFrame, key: str, value: str, domain: Sequence[str]) -> DataFr
 
 
 def any_present(columns: Sequence[str]) -> Column:
-    """True where at least one of the columns carries a value."""
-    return F.coalesce(*[F.col(c).cast("double") for c in columns]).isNotNull()
+    """True where at least one of the columns carries a value; text that is no number is none."""
+    return F.coalesce(*[F.col(c).try_cast("double") for c in columns]).isNotNull()

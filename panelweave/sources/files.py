@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from panelweave.functions.rules import as_column
-from panelweave.schema import blank_to_null
+from panelweave.schema import CSV_OPTIONS, blank_to_null
+from panelweave.sources.file_heads import file_heads
 
 ZIP_MAGIC = bytes([0x50, 0x4B, 0x03, 0x04])
 
@@ -36,7 +37,8 @@ def read_entity_files(
     elif fmt == "parquet":
         reader = reader.option("mergeSchema", True)
     if fmt == "csv":
-        reader = reader.options(header=True, escape='"')
+        # One file per entity: quoted line breaks are kept, and no file needs to be split.
+        reader = reader.options(**CSV_OPTIONS)
     files = reader.load(list(paths) if not isinstance(paths, str) else paths)
     name = F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*)\.{extension}$", 1)
     named = files.select(
@@ -150,14 +152,12 @@ def audit_files(
 
     ``listed`` has a column ``file`` with names below the folder, as in the
     registry; each distinct name gets one row. A file that does not exist or is
-    empty is not valid and has no ``length``. Spark reads the files itself, so
-    every store it can reach will do; files of 2 GiB and more are beyond its
-    binary reader.
+    empty is not valid; an absent one has no ``length``. Only the first bytes of the files are read.
     """
-    found = spark.read.format("binaryFile").load(folder).select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"),
+    found = file_heads(spark, folder, len(magic)).select(
+        "file",
         "length",
-        has_magic("content", magic).alias("is_valid"),
+        ((F.col("length") > len(magic)) & (F.col("head") == F.lit(magic))).alias("is_valid"),
     )
     return listed.select("file").distinct().join(found, "file", "left").select(
         "file", "length", F.coalesce("is_valid", F.lit(False)).alias("is_valid")
