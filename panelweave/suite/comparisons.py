@@ -328,7 +328,7 @@ def manifest_merge(spark, folder):
     return registry.manifest_merge(fx.manifest(spark, folder), fx.builtin(spark, folder))
 
 
-def _revisions(spark, folder):
+def revisions(spark, folder):
     """New registrations: every shipped line re-registers the file of its order."""
     lines = fx.table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
@@ -365,7 +365,7 @@ def _revisions(spark, folder):
 )
 def manifest_upsert(spark, folder):
     return registry.manifest_upsert(
-        fx.manifest(spark, folder), _revisions(spark, folder), sequence="sequence"
+        fx.manifest(spark, folder), revisions(spark, folder), sequence="sequence"
     )
 
 
