@@ -20,7 +20,7 @@ from panelweave.schema import (
     cast_project,
     clean_missing,
 )
-from panelweave.sources.split_text import LINE, PART, larger_than_a_split, read_split_csv
+from panelweave.sources.split_text import PLACE, larger_than_a_split, read_split_csv
 
 RAW_DATA_COLUMNS = ["source", "type", "year", "var_short", "value"]
 FORMATS = {"csv": "csv", "parquet": "parquet"}
@@ -150,7 +150,7 @@ def read_raw_snapshot(spark: SparkSession, path: str, normalize: bool = True) ->
         place = {"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")}
         data = read_snapshot(spark, path).withColumns(place)
     else:
-        place = [PART, LINE]
+        place = PLACE
         data = clean_missing(read_split_csv(spark, path, CSV_OPTIONS, places=True))
     rows = raw_rows(data, keep=list(place))
     return harmonise_raw(rows, [F.col(name).asc() for name in place]).drop(*place)

@@ -30,12 +30,13 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from panelweave.workers import ship
 
-#: Place of a row: its split in the order of files and offsets, and its line there.
-PART, LINE = "__part", "__line"
-RECORD = f"{PART} long, {LINE} long, file long, kind string, record string"
+#: Place of a row: its file, the offset of its split and, within that, what grows from row to row.
+PLACE = ["__file", "__start", "__line"]
+RECORD = "__file string, __start long, __line long, kind string, record string"
 _SCHEMA = pa.schema(
-    [(PART, pa.int64()), (LINE, pa.int64()), ("file", pa.int64()), ("kind", pa.string()), ("record", pa.string())]
-)
+    [("__file", pa.string()), ("__start", pa.int64()), ("__line", pa.int64()), ("kind", pa.string()),
+     ("record", pa.string())]
+)
 WHOLE, OPENS, INNER, ENDS = "whole", "opens", "inner", "ends"
 
 
@@ -54,22 +55,25 @@ class Splits:
     """All splits of a scan in file order, looked up by a hash of file and offset."""
 
     hashed: np.ndarray
-    part: np.ndarray
-    file: np.ndarray
+    files: list[str]
+    starts: list[int]
     inside: np.ndarray
     broken: bool
     open_files: list[str]
 
-    def find(self, hashed: int) -> tuple[int, int, bool]:
-        at = int(np.searchsorted(self.hashed, hashed))
-        return int(self.part[at]), int(self.file[at]), bool(self.inside[at])
+    def __post_init__(self):
+        self.order = np.argsort(self.hashed)
+
+    def find(self, hashed: int) -> tuple[str, int, bool, bool]:
+        """File and offset of a split, whether it begins the file, and whether inside quotes."""
+        k = int(self.order[np.searchsorted(self.hashed, hashed, sorter=self.order)])
+        first = not k or self.files[k - 1] != self.files[k]
+        return self.files[k], self.starts[k], first, bool(self.inside[k])
 
     @property
     def crossed(self) -> np.ndarray:
         """Hashes of the splits that begin or end inside quotes."""
-        order = np.argsort(self.part)
-        inside = self.inside[order]
-        return self.hashed[order][inside | np.r_[inside[1:], False]]
+        return self.hashed[self.inside | np.r_[self.inside[1:], False]]
 
 
 def _hashed():
@@ -87,30 +91,28 @@ def survey(lines: DataFrame) -> Splits:
         .collect()
     )
     rows.sort(key=lambda r: (r.path, r.start))
-    inside, files, open_files = [], [], []
+    inside, open_files = [], []
     for k, r in enumerate(rows):
         first = not k or rows[k - 1].path != r.path
-        files.append(k if first else files[-1])
         inside.append(False if first else bool(inside[-1] ^ (rows[k - 1].quotes % 2)))
         last = k + 1 == len(rows) or rows[k + 1].path != r.path
         if last and inside[-1] ^ (r.quotes % 2):
             open_files.append(r.path)
     hashed = np.array([r.hashed for r in rows], np.int64)
-    order = np.argsort(hashed)
-    if (np.diff(hashed[order]) == 0).any():
+    if len(np.unique(hashed)) < len(hashed):
         raise RuntimeError("two splits share a hash: read the files in two calls")
     return Splits(
-        hashed[order], order.astype(np.int64), np.array(files, np.int64)[order],
-        np.array(inside, bool)[order], any(r.odd for r in rows), open_files,
+        hashed, [r.path for r in rows], [r.start for r in rows], np.array(inside, bool),
+        any(r.odd for r in rows), open_files,
     )
 
 
 class _Split:
     """The records of one split, batch by batch."""
 
-    def __init__(self, part: int, file: int, inside: bool):
-        self.part, self.file, self.inside = part, file, inside
-        self.header = part == file  # the first split of a file begins with its header
+    def __init__(self, file: str, start: int, first: bool, inside: bool):
+        self.file, self.start, self.inside = file, start, inside
+        self.header = first  # the first split of a file begins with its header
         self.line, self.parity = 0, int(inside)
         self.held: list[str] = []
         self.held_from = 0
@@ -162,7 +164,7 @@ class _Split:
         n = len(records)
         if n:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, self.part)), line, pa.array(np.full(n, self.file)),
+                [pa.array([self.file] * n, pa.string()), pa.array(np.full(n, self.start)), line,
                  pa.array([kind] * n, pa.string()), records],
                 schema=_SCHEMA,
             )
@@ -194,30 +196,29 @@ def records(lines: DataFrame, splits: Splits) -> DataFrame:
     record = F.expr("if(endswith(record, '\\r'), left(record, length(record) - 1), record)").alias("record")
     marked = lines.select(_hashed().alias("split"), "line")
     joined = marked.mapInArrow(_join_lines(splits), RECORD)
-    found = joined.where(F.col("kind") == WHOLE).select(PART, LINE, "record")
+    found = joined.where(F.col("kind") == WHOLE).select(*PLACE, "record")
     crossed = splits.crossed
     if len(crossed):
         spark = lines.sparkSession
         wanted = spark.createDataFrame(pa.table({"split": pa.array(crossed)}))
         parts = marked.join(F.broadcast(wanted), "split").mapInArrow(_join_lines(splits), RECORD)
         parts = parts.where(F.col("kind") != WHOLE)
-        order = Window.partitionBy("file").orderBy(PART, LINE)
+        order = Window.partitionBy("__file").orderBy("__start", "__line")
         chain = F.count_if(F.col("kind") == OPENS).over(order)
-        pieces = parts.withColumn("chain", chain).groupBy("file", "chain").agg(
-            F.sort_array(F.collect_list(F.struct(PART, LINE, "record"))).alias("pieces")
+        pieces = parts.withColumn("chain", chain).groupBy("__file", "chain").agg(
+            F.sort_array(F.collect_list(F.struct("__start", "__line", "record"))).alias("pieces")
         )
         whole = F.array_join(F.transform("pieces", lambda p: p["record"]), "\n")
-        found = found.unionByName(
-            pieces.select(F.col("pieces")[0][PART].alias(PART), F.col("pieces")[0][LINE].alias(LINE), whole.alias("record"))
-        )
-    return found.select(PART, LINE, record).where("record <> ''")
+        first = [F.col("pieces")[0][c].alias(c) for c in PLACE[1:]]
+        found = found.unionByName(pieces.select("__file", *first, whole.alias("record")))
+    return found.select(*PLACE, record).where("record <> ''")
 
 
 def read_split_csv(spark: SparkSession, path: str, options: Mapping, places: bool = False) -> DataFrame:
     """The rows of CSV files as text columns named by the header of the first file.
 
     ``options`` are those of a reader that takes line breaks in quotes. With ``places`` the
-    columns ``__part`` and ``__line`` tell the order of the rows in the files.
+    columns ``PLACE`` tell the order of the rows in the files.
     """
     reader = spark.read.options(**options)
     names = reader.csv(path).columns
@@ -225,14 +226,19 @@ def read_split_csv(spark: SparkSession, path: str, options: Mapping, places: boo
     splits = survey(lines)
     if splits.open_files:
         raise ValueError(f"quotes do not pair up in {', '.join(splits.open_files[:5])}")
-    if not splits.broken and not places:
-        return reader.option("multiLine", False).csv(path)
+    if not splits.broken:
+        found = reader.option("multiLine", False).csv(path)
+        if not places:
+            return found
+        place = ["_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()]
+        place = [(F.col(p) if isinstance(p, str) else p).alias(c) for p, c in zip(place, PLACE, strict=True)]
+        return found.select(*place, *[F.col(f"`{n.replace('`', '``')}`") for n in names])
     ship(spark)
     kinds = {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items() if k != "header"}
     schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
-    parsed = records(lines, splits).select(PART, LINE, F.from_csv("record", schema, kinds).alias("row"))
+    parsed = records(lines, splits).select(*PLACE, F.from_csv("record", schema, kinds).alias("row"))
     columns = [F.col("row").getField(n).alias(n) for n in names]
-    return parsed.select(*([PART, LINE] if places else []), *columns)
+    return parsed.select(*(PLACE if places else []), *columns)
 
 
 def larger_than_a_split(spark: SparkSession, path: str) -> bool:

@@ -10,15 +10,18 @@ QueryFunction = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFunction] = {}
 ORACLE: dict[str, str] = {}
+#: Queries whose scan runs in Python, since Spark's own cannot read what they read.
+SCAN_QUERIES: dict[str, QueryFunction] = {}
+SCAN_ORACLE: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[QueryFunction], QueryFunction]:
+def query(name: str, sql: str | None = None, scan: bool = False) -> Callable[[QueryFunction], QueryFunction]:
     def register(function: QueryFunction) -> QueryFunction:
-        if name in QUERIES:
+        if name in QUERIES or name in SCAN_QUERIES:
             raise ValueError(f"query registered twice: {name}")
-        QUERIES[name] = function
+        (SCAN_QUERIES if scan else QUERIES)[name] = function
         if sql is not None:
-            ORACLE[name] = sql
+            (SCAN_ORACLE if scan else ORACLE)[name] = sql
         return function
 
     return register

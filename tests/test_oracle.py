@@ -6,7 +6,9 @@ from collections import Counter
 import duckdb
 import pytest
 
-from panelweave.suite import ORACLE, QUERIES
+from panelweave import suite
+
+QUERIES, ORACLE = suite.QUERIES | suite.SCAN_QUERIES, suite.ORACLE | suite.SCAN_ORACLE
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "

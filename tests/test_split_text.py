@@ -5,12 +5,13 @@ import io
 import random
 
 import pytest
-from helpers import bag, formatted
+from helpers import bag, formatted, plan
 from pyspark.sql import functions as F
 
 from panelweave.sources import snapshots
 from panelweave.sources.snapshots import CSV_OPTIONS
-from panelweave.sources.split_text import LINE, PART, larger_than_a_split, read_split_csv, split_lines, survey
+from panelweave.suite import SCAN_QUERIES
+from panelweave.sources.split_text import PLACE, larger_than_a_split, read_split_csv, split_lines, survey
 
 
 @pytest.fixture
@@ -60,7 +61,7 @@ def test_equal_to_whole_file_readers(spark, tmp_path, tiny_splits, seed):
         assert bag(read) == bag(whole(spark, str(folder)))
     # Places give the order of the files.
     placed = read_split_csv(spark, str(folder), CSV_OPTIONS, places=True)
-    assert filled(tuple(r)[2:] for r in placed.orderBy(PART, LINE).collect()) == filled(expected)
+    assert filled(tuple(r)[3:] for r in placed.orderBy(*PLACE).collect()) == filled(expected)
 
 
 def test_every_split_is_a_task(spark, tmp_path, tiny_splits):
@@ -70,7 +71,7 @@ def test_every_split_is_a_task(spark, tmp_path, tiny_splits):
     snapshots.write_snapshot(frame.coalesce(1), path)
     assert whole(spark, path).rdd.getNumPartitions() == 1
     assert larger_than_a_split(spark, path)
-    splits = len(survey(split_lines(spark, path)).part)
+    splits = len(survey(split_lines(spark, path)).files)
     read = snapshots.read_snapshot(spark, path)
     assert splits > 100 and read.rdd.getNumPartitions() >= splits
     assert bag(read.select(F.col("id").cast("long"), "text")) == bag(frame)
@@ -83,6 +84,9 @@ def test_without_line_breaks_spark_parses_the_lines(spark, tmp_path, tiny_splits
     read = snapshots.read_snapshot(spark, path)
     assert "MapInArrow" not in formatted(read) and read.rdd.getNumPartitions() > 50
     assert bag(read) == bag(frame)
+    placed = read_split_csv(spark, path, CSV_OPTIONS, places=True)
+    assert "MapInArrow" not in formatted(placed)
+    assert [r.id for r in placed.orderBy(*PLACE).collect()] == [str(i) for i in range(500)]
 
 
 def test_small_and_compressed_files_are_read_whole(spark, tmp_path):
@@ -92,7 +96,7 @@ def test_small_and_compressed_files_are_read_whole(spark, tmp_path):
         snapshots.write_snapshot(frame, path)
         assert bag(snapshots.read_snapshot(spark, path)) == bag(frame)
         assert "MapInArrow" not in formatted(snapshots.read_snapshot(spark, path))
-        assert bag(read_split_csv(spark, path, CSV_OPTIONS, places=True).drop(PART, LINE).fillna("")) == bag(
+        assert bag(read_split_csv(spark, path, CSV_OPTIONS, places=True).drop(*PLACE).fillna("")) == bag(
             frame.fillna("NA")
         )
 
@@ -107,7 +111,7 @@ def test_empty_files(spark, tmp_path, tiny_splits):
     (tmp_path / "x.csv").write_text("a,b\n")
     assert read_split_csv(spark, str(tmp_path / "x.csv"), CSV_OPTIONS, places=True).count() == 0
     (tmp_path / "y.csv").write_text("\n\na,b\n\n1,2\n\r\n")
-    assert [tuple(r) for r in read_split_csv(spark, str(tmp_path / "y.csv"), CSV_OPTIONS, places=True).drop(PART, LINE).collect()] == [("1", "2")]
+    assert [tuple(r) for r in read_split_csv(spark, str(tmp_path / "y.csv"), CSV_OPTIONS, places=True).drop(*PLACE).collect()] == [("1", "2")]
 
 
 def test_the_first_row_of_a_text_file_survives(spark, tmp_path, tiny_splits):
@@ -118,3 +122,11 @@ def test_the_first_row_of_a_text_file_survives(spark, tmp_path, tiny_splits):
         snapshots.write_snapshot(frame, str(tmp_path / name))
         found = {r.iso3: (r.value, r.source) for r in snapshots.read_raw_snapshot(spark, str(tmp_path / name)).collect()}
         assert found == {"A": (11.0, "ES"), "B": (1.0, "two\nlines")}
+
+
+@pytest.mark.parametrize("name", sorted(SCAN_QUERIES))
+def test_python_reads_and_nothing_else(spark, data_dir, name):
+    text = plan(SCAN_QUERIES[name](spark, data_dir))
+    assert "MapInArrow" in text or "FileHeads" in text or "file_heads" in text
+    for other in ("MapInPandas", "EvalPython", "FlatMapGroups", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert other not in text
