@@ -43,6 +43,11 @@ CSV_OPTIONS = {
 }
 
 
+def quoted(name: str) -> str:
+    """A column name as an expression, whatever signs it holds."""
+    return f"`{name.replace('`', '``')}`"
+
+
 def nan_to_null(column: Column | str) -> Column:
     """Missing numbers are NULL inside the library, never NaN."""
     column = F.col(column) if isinstance(column, str) else column
@@ -59,7 +64,7 @@ def clean_missing(df: DataFrame) -> DataFrame:
     """Turn ``NA``/empty text and NaN into NULL in every column of ``df``."""
     cleaned = []
     for field in df.schema.fields:
-        column = F.col(f"`{field.name}`")
+        column = F.col(quoted(field.name))
         if isinstance(field.dataType, T.StringType):
             column = blank_to_null(column)
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):

@@ -22,7 +22,7 @@ SHARE = 1000
 HEADS = "file string, length long, head binary"
 
 
-def _open(folder: str):
+def open_folder(folder: str):
     """The file system of a folder and the folder's path in it."""
     from pyarrow import fs
 
@@ -51,7 +51,7 @@ class HeadReader(DataSourceReader):
     def partitions(self) -> list[Share]:
         from pyarrow import fs
 
-        system, root = _open(self.folder)
+        system, root = open_folder(self.folder)
         entries = [e for e in system.get_file_info(fs.FileSelector(root)) if _shown(e.path)]
         files = [(e.path, e.size) for e in entries if e.type == fs.FileType.File]
         shares = [Share(folders=[e.path]) for e in entries if e.type == fs.FileType.Directory]
@@ -60,7 +60,7 @@ class HeadReader(DataSourceReader):
     def read(self, partition: Share) -> Iterator[tuple]:
         from pyarrow import fs
 
-        system, root = _open(self.folder)
+        system, root = open_folder(self.folder)
         files, folders = list(partition.files), list(partition.folders)
         while folders:
             for entry in system.get_file_info(fs.FileSelector(folders.pop())):

@@ -28,6 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from panelweave.schema import quoted
 from panelweave.workers import ship
 
 #: Place of a row: its file, the offset of its split and, within that, what grows from row to row.
@@ -232,10 +233,10 @@ def read_split_csv(spark: SparkSession, path: str, options: Mapping, places: boo
             return found
         place = ["_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()]
         place = [(F.col(p) if isinstance(p, str) else p).alias(c) for p, c in zip(place, PLACE, strict=True)]
-        return found.select(*place, *[F.col(f"`{n.replace('`', '``')}`") for n in names])
+        return found.select(*place, *[F.col(quoted(n)) for n in names])
     ship(spark)
     kinds = {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items() if k != "header"}
-    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    schema = ", ".join(f"{quoted(n)} string" for n in names)
     parsed = records(lines, splits).select(*PLACE, F.from_csv("record", schema, kinds).alias("row"))
     columns = [F.col("row").getField(n).alias(n) for n in names]
     return parsed.select(*(PLACE if places else []), *columns)
