@@ -40,4 +40,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written._scratch_path = path
+    return written
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove tables that :func:`materialize` wrote, once everything read from them is written.
+
+    Frames derived from a written table are not to be used afterwards.
+    """
+    for frame in frames:
+        path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(frame._scratch_path)
+        path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
