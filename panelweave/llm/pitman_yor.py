@@ -3,13 +3,23 @@
 Every word is a context, and so is the start of a text: a restaurant over the words that
 follow it. All contexts share one parent restaurant over words, whose base is uniform over
 the known words and one unknown. There is one row per context and word, so what contexts
-learn grows with the corpus. A Gibbs sweep lifts all customers of a dish in a restaurant
-and seats them again one after the other by the Chinese-restaurant rule, given everyone
-else: they open a table in proportion to the parent's probability of the dish. For that
-rule the number of tables of a dish is enough, so a row's state is one number, and that
-number is drawn exactly (``seat``). Totals of contexts and words are aggregated in Spark
+learn grows with the corpus.
+
+A Gibbs sweep seats the customers of every row again, given everyone else: the row's own tables
+are taken out of its context and out of the parent before. How many tables its n customers take then
+has the probability
+
+    P(t) ~ product of p (strength + discount (tables of the others + i)), i < t,  times S(n, t)
+
+with the parent's probability p and a generalised Stirling number S. Up to ``EXACT`` customers the
+number is drawn from just that. Beyond, the first ``EXACT`` customers get
+their tables so and the others follow in blocks of 1/``BLOCK`` of those seated, with one binomial draw each; both
+allow for what one table more takes from the weight of all customers still to come (``_seated``). A test compares both with P. Rows of one sweep see each other as
+the sweep before left them. A pair that was seen once has one table whatever happens; such pairs only
+enter the totals and no sweep. Totals of contexts and words are aggregated in Spark
 after each sweep, before the shuffle where a context or word is hot, and joined to the
-rows. Predictive probabilities are averaged over ``SAMPLES`` sweeps.
+rows. Predictive probabilities are averaged over ``SAMPLES`` sweeps; tables of a sweep are removed when
+the next one is written.
 
 Counts come from all training documents, whole texts, lower-cased A-Z, words between ASCII
 blanks and one end per text. Documents are read in blocks; only a block's distinct pairs
@@ -21,6 +31,7 @@ by 64-bit hashes. Repeated rows count each time; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +39,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelweave.llm.text import chunks, held_out, mix, span_hashes, unit, word_spans
-from panelweave.sources.scratch import materialize
+from panelweave.sources.scratch import discard, materialize
 
 BLOCK_BYTES = 16 << 20
 DISCOUNT, STRENGTH = 0.75, 1.0  # of contexts
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
 BURN_IN, SAMPLES = 1, 3
-#: Customers that are seated by one draw each; later ones by one draw per new table.
-WALK = 4096
+#: Customers of a row up to which its tables are drawn from their exact distribution; beyond, the share of
+#: seated customers that is seated by one draw.
+EXACT, BLOCK = 512, 64
+#: Places at which the view to later customers is taken.
+GRID = 64
 ROWS = 1 << 18  # seated at once
 END = np.uint64(0x6C62272E07BB0142)
 START = np.uint64(0x2545F4914F6CDD1D)
@@ -149,53 +163,88 @@ def _unplaned(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def _log_gamma(x):
-    """For 100 and more, where three terms of Stirling's series are exact to 1e-14."""
-    y = 1 / (x * x)
-    return (x - 0.5) * np.log(x) - x + (1 / 12 - y * (1 / 360 - y / 1260)) / x
+@lru_cache(maxsize=2)
+def log_stirling(discount: float, n: int = EXACT) -> np.ndarray:
+    """Logarithms of the generalised Stirling numbers of up to n customers, by customers and tables."""
+    table = np.full((n + 1, n + 1), -np.inf)
+    table[1, 1] = 0
+    t = np.arange(1, n + 1)
+    for m in range(1, n):
+        stay = np.full(n, -np.inf)
+        stay[:m] = np.log(m - discount * t[:m]) + table[m, 1 : m + 1]
+        table[m + 1, 1:] = np.logaddexp(stay, table[m, :-1])
+    return table
 
 
-def seat(customers, weight, discount: float, seed) -> np.ndarray:
-    """Tables after seating all customers of dishes again, one restaurant row each.
+def _drawn(n, others, p, strength: float, discount: float, seed, cost=None) -> np.ndarray:
+    """Tables of rows of up to ``EXACT`` customers from their distribution.
 
-    ``weight`` is what a new table with the dish weighs: (strength + discount x tables of
-    the restaurant) x the parent's probability of the dish. The first ``WALK`` customers of
-    a dish are one draw each. After them the number of customers until the next new table
-    is drawn from its distribution, whose survival function is a ratio of gamma functions.
-    Either way the number of tables has exactly the distribution of one customer at a time.
+    ``cost`` is the logarithm of what each table more takes from the weight of customers still to come.
+    """
+    stirling, t = log_stirling(discount), np.ones(len(n), np.int64)
+    order = np.argsort(n, kind="stable")
+    cuts = np.r_[np.flatnonzero(np.r_[True, np.diff(n[order]) > 0]), len(n)]
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        size = int(n[order[a]])
+        share = max(1, (1 << 21) // size)
+        for first in range(a, b, share):
+            own = order[first : min(b, first + share)]
+            weight = p[own, None] * (strength + discount * (others[own, None] + np.arange(size)))
+            log_p = np.cumsum(np.log(weight), axis=1) + stirling[size, 1 : size + 1]
+            if cost is not None:
+                log_p += cost[own, None] * np.arange(size)
+            total = np.cumsum(np.exp(log_p - log_p.max(axis=1, keepdims=True)), axis=1)
+            goal = unit(mix(seed[own])) * total[:, -1]
+            t[own] = np.minimum(1 + (total < goal[:, None]).sum(axis=1), size)
+    return t
+
+
+def _seated(n, others, p, strength: float, discount: float, seed) -> np.ndarray:
+    """Tables of rows of more customers, seated in order with a view to those that follow.
+
+    A customer at place m weighs m - discount t + r (weight + p discount t) in all, where r is what one
+    table more leaves of the weight of those after it. So log r falls by discount (1 - p r) over that
+    weight with each of them; it is summed up from the last customer backwards, at places that grow by
+    equal factors.
     """
-    order = np.argsort(-customers, kind="stable")
-    n, w, own = customers[order].astype(np.int64), weight[order], seed[order]
+    generator = np.random.default_rng([int(x) for x in mix(seed[:4])])
+    weight = p * (strength + discount * others)
+    places = EXACT * (n[None, :] / EXACT) ** (np.arange(GRID + 1)[:, None] / GRID)
+    log_r = np.zeros((GRID + 1, len(n)))
+    for k in range(GRID - 1, -1, -1):
+        r, middle = np.exp(log_r[k + 1]), (places[k] + places[k + 1]) / 2
+        fall = discount * (1 - p * r) / (middle + weight * r)
+        log_r[k] = log_r[k + 1] - fall * (places[k + 1] - places[k])
+
+    t = _drawn(np.full(len(n), EXACT), others, p, strength, discount, seed, log_r[0])
+    there = EXACT
+    while True:
+        own = np.flatnonzero(n > there)
+        if not len(own):
+            return t
+        size = there // BLOCK
+        take = np.minimum(size, n[own] - there)
+        middle = there + (take - 1) / 2
+        step = GRID * np.log(middle / EXACT) / np.log(n[own] / EXACT)
+        low = np.minimum(step.astype(np.int64), GRID - 1)
+        r = np.exp(log_r[low, own] + (step - low) * (log_r[low + 1, own] - log_r[low, own]))
+        new = (weight[own] + p[own] * discount * t[own]) * r
+        t[own] += generator.binomial(take, np.clip(new / (new + middle - discount * t[own]), 0, 1))
+        there += size
+
+
+def reseat(customers, others, p, strength: float, discount: float, seed) -> np.ndarray:
+    """Table counts of rows given everyone else, see the module's text.
+
+    ``others`` are the other tables of the restaurant and ``p`` the parent's probability
+    without the row's own tables.
+    """
+    n = customers.astype(np.int64)
     t = np.minimum(n, 1)
-
-    def draw(step: int, active):
-        return unit(mix(own[active] + np.uint64(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)))
-
-    for there in range(1, min(int(n[0]) if len(n) else 0, WALK)):
-        active = slice(0, int(np.searchsorted(-n, -there)))
-        t[active] += draw(there, active) * (w[active] + there - discount * t[active]) <= w[active]
-    active = np.flatnonzero(n > WALK)
-    there, step = np.full(len(active), WALK), WALK
-    while len(active):
-        left, v = discount * t[active], w[active]
-
-        def log_survival(seated):
-            return _log_gamma(seated - left) - _log_gamma(v + seated - left)
-
-        goal = np.log(draw(step, active)) + log_survival(there)
-        # The least number of customers by which the next table has been opened, n + 1 if none.
-        low, high = there.copy(), n[active] + 1
-        while (high - low > 1).any():
-            middle = (low + high) // 2
-            opened = log_survival(middle) < goal
-            low, high = np.where(opened, low, middle), np.where(opened, middle, high)
-        more = high <= n[active]
-        t[active[more]] += 1
-        go = high < n[active]
-        active, there, step = active[go], high[go], step + 1
-    tables = np.empty(len(n), np.int64)
-    tables[order] = t
-    return tables
+    for own, draw in ((np.flatnonzero((n > 1) & (n <= EXACT)), _drawn), (np.flatnonzero(n > EXACT), _seated)):
+        if len(own):
+            t[own] = draw(n[own], others[own], p[own], strength, discount, seed[own])
+    return t
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -214,14 +263,22 @@ def _turned(hashed: np.ndarray, turn: int) -> np.ndarray:
     return mix(hashed + np.uint64((turn + 1) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
 
 
-def _seat_pairs(turn: int):
+def parent(k, t, tokens, spread):
+    """The parent's probability of words with k of its customers at t tables there."""
+    return (k - t * ROOT_DISCOUNT + spread) / (ROOT_STRENGTH + tokens)
+
+
+def _seat_pairs(turn: int, customers: int, spread: float):
     """Tables of all pairs of a context and a word, and their sum over the samples."""
 
     def run(batches):
         for rows in _gathered(batches):
             context, word = (rows.column(c).to_numpy().view(np.uint64) for c in ("context", "word"))
-            weight = (STRENGTH + DISCOUNT * rows.column("tables").to_numpy()) * rows.column("p").to_numpy()
-            t = seat(rows.column("n").to_numpy(), weight, DISCOUNT, mix(_turned(word, turn) ^ context))
+            n, t, tables, k, at = (rows.column(c).to_numpy() for c in ("n", "t", "tables", "k", "root_tables"))
+            # The parent without this row's customers.
+            left = k - t
+            p = parent(left, np.minimum(at, left), customers - t, spread)
+            t = reseat(n, tables - t, p, STRENGTH, DISCOUNT, mix(_turned(word, turn) ^ context))
             sums = rows.column("sums").to_numpy() + (t if turn >= BURN_IN else 0)
             yield from pa.table(
                 [rows.column("context"), rows.column("word"), rows.column("n"), pa.array(t), pa.array(sums)],
@@ -231,11 +288,13 @@ def _seat_pairs(turn: int):
     return run
 
 
-def _seat_words(turn: int, weight: float):
+def _seat_words(turn: int, tables: int, n_words: int):
     def run(batches):
         for rows in _gathered(batches):
-            word, k = rows.column("word").to_numpy().view(np.uint64), rows.column("k").to_numpy()
-            t = seat(k, np.full(len(k), weight), ROOT_DISCOUNT, _turned(word, turn))
+            word, k, t = rows.column("word").to_numpy().view(np.uint64), *(rows.column(c).to_numpy() for c in ("k", "t"))
+            t = np.minimum(t, k)
+            p = np.full(len(k), 1 / (n_words + 1))
+            t = reseat(k, tables - t, p, ROOT_STRENGTH, ROOT_DISCOUNT, _turned(word, turn))
             yield from pa.table(
                 [rows.column("word"), rows.column("n"), rows.column("k"), pa.array(t)],
                 names=["word", "n", "k", "t"],
@@ -245,52 +304,75 @@ def _seat_words(turn: int, weight: float):
 
 
 class State:
-    """Restaurants after a sweep: contexts, and words with the parent's probability."""
+    """Restaurants after a sweep: tables of contexts, and of words in the parent.
 
-    def __init__(self, pairs: DataFrame, turn: int | None, before: State | None):
-        grouped = pairs.groupBy("context").agg(F.sum("n").alias("customers"), F.sum("t").alias("tables"))
-        self.contexts = materialize(grouped, "contexts")
-        words = pairs.groupBy("word").agg(F.sum("n").alias("n"), F.sum("t").alias("k"))
+    ``once`` are the totals of the pairs seen once, by context and by word.
+    """
+
+    def __init__(self, pairs: DataFrame, once: tuple[DataFrame, DataFrame], turn: int, before: State | None):
+        def totals(key: str, alone: DataFrame, tables: str) -> DataFrame:
+            several = pairs.groupBy(key).agg(F.sum("n").alias("n"), F.sum("t").alias(tables))
+            both = several.unionByName(alone.select(key, "n", F.col("n").alias(tables)))
+            return both.groupBy(key).agg(F.sum("n").alias("n"), F.sum(tables).alias(tables))
+
+        contexts = totals("context", once[0], "tables").withColumnRenamed("n", "customers")
+        self.contexts = materialize(contexts, "contexts")
+        words = totals("word", once[1], "k")
         if before is None:
             words = words.withColumn("t", F.lit(1).cast("long"))
         else:
-            words = words.mapInArrow(_seat_words(turn, before.spread), "word long, n long, k long, t long")
-        words = materialize(words, "words")
-        tokens, customers, tables, self.n_words = words.agg(
-            F.sum("n"), F.sum("k"), F.sum("t"), F.count(F.lit(1))
+            last = before.words.select("word", F.col("root_tables").alias("t"))
+            words = words.join(last, "word").mapInArrow(
+                _seat_words(turn, before.tables, before.n_words), "word long, n long, k long, t long"
+            )
+        self.words = materialize(words.withColumnRenamed("t", "root_tables"), "words")
+        tokens, customers, tables, self.n_words = self.words.agg(
+            F.sum("n"), F.sum("k"), F.sum("root_tables"), F.count(F.lit(1))
         ).first()
-        self.n_tokens, self.customers = tokens or 0, customers or 0
+        self.n_tokens, self.customers, self.tables = tokens or 0, customers or 0, tables or 0
         #: What all unseen words weigh in the parent, shared out evenly.
-        self.spread = (ROOT_STRENGTH + ROOT_DISCOUNT * (tables or 0)) / (self.n_words + 1)
-        self.words = words.select("word", "n", self.parent(F.col("k"), F.col("t")).alias("p"))
+        self.spread = (ROOT_STRENGTH + ROOT_DISCOUNT * self.tables) / (self.n_words + 1)
 
-    def parent(self, k: Column, t: Column) -> Column:
-        """The parent's probability of words with k customers at t tables there."""
-        return (k - t * ROOT_DISCOUNT + self.spread) / (ROOT_STRENGTH + self.customers)
 
+def fit(counts: DataFrame, sweeps: int = BURN_IN + SAMPLES) -> tuple[DataFrame, list[State]]:
+    """Seated pairs with their tables summed over the samples, and the samples' states.
 
-def fit(counts: DataFrame) -> tuple[DataFrame, list[State]]:
-    """Seated pairs with their tables summed over the samples, and the samples' states."""
-    pairs = counts.where("n > 0").select(
+    The pairs are those seen more than once; ``sums`` covers the sweeps after ``BURN_IN``.
+    """
+    seen = counts.where("n = 1")
+    once = tuple(
+        materialize(seen.groupBy(key).agg(F.count(F.lit(1)).alias("n")), f"once-by-{key}") for key in ("context", "word")
+    )
+    pairs = counts.where("n > 1").select(
         "context", "word", "n", F.lit(1).cast("long").alias("t"), F.lit(0).cast("long").alias("sums")
     )
-    states = [State(pairs, None, None)]
-    for turn in range(BURN_IN + SAMPLES):
-        given = pairs.join(states[-1].words.select("word", "p"), "word").join(
-            states[-1].contexts.select("context", "tables"), "context"
+    states = [State(pairs, once, 0, None)]
+    written = None
+    for turn in range(sweeps):
+        state = states[-1]
+        given = pairs.join(state.words.select("word", "k", "root_tables"), "word").join(
+            state.contexts.select("context", "tables"), "context"
+        )
+        seated = given.mapInArrow(
+            _seat_pairs(turn, state.customers, state.spread), "context long, word long, n long, t long, sums long"
         )
-        seated = given.mapInArrow(_seat_pairs(turn), "context long, word long, n long, t long, sums long")
         pairs = materialize(seated, "seats")
-        states.append(State(pairs, turn, states[-1]))
+        if written is not None:
+            discard(written)
+        written = pairs
+        states.append(State(pairs, once, turn, state))
+        if turn < BURN_IN:
+            discard(state.contexts, state.words)
+    discard(*once)
     return pairs, states[BURN_IN + 1 :]
 
 
 def _log_p(counts: DataFrame, pairs: DataFrame, samples: list[State]) -> DataFrame:
     """``context, word, known, log_p`` of all pairs: own customers, then what the context
     leaves to the parent. A context without customers leaves everything."""
-    every = pairs.select("context", "word", "n", "sums").unionByName(
-        counts.where("n = 0").withColumn("sums", F.lit(0).cast("long"))
-    )
+    # One table in every sample, or none.
+    others = counts.where("n < 2").withColumn("sums", F.col("n") * len(samples))
+    every = pairs.select("context", "word", "n", "sums").unionByName(others.select("context", "word", "n", "sums"))
 
     def together(tables: list[DataFrame], key: str, kept: str, value: str) -> DataFrame:
         rows = [t.select(key, kept, F.lit(i).alias("sample"), F.col(value).alias("v")) for i, t in enumerate(tables)]
@@ -306,7 +388,11 @@ def _log_p(counts: DataFrame, pairs: DataFrame, samples: list[State]) -> DataFra
         )
 
     contexts = together([s.contexts for s in samples], "context", "customers", "tables")
-    words = together([s.words for s in samples], "word", "n", "p")
+    probable = [
+        s.words.select("word", "n", parent(F.col("k"), F.col("root_tables"), s.customers, s.spread).alias("p"))
+        for s in samples
+    ]
+    words = together(probable, "word", "n", "p")
     joined = every.join(contexts, "context", "left").join(words, "word", "left")
     rest = F.coalesce("customers", F.lit(0)) + STRENGTH
     p = (F.col("n") - F.col("sums") * (DISCOUNT / len(samples))) / rest
@@ -314,9 +400,7 @@ def _log_p(counts: DataFrame, pairs: DataFrame, samples: list[State]) -> DataFra
         back = (F.coalesce(F.col(f"tables{i}"), F.lit(0)) * DISCOUNT + STRENGTH) / rest
         unknown = F.lit(s.spread / (ROOT_STRENGTH + s.customers))
         p = p + back * F.coalesce(F.col(f"p{i}"), unknown) / len(samples)
-    return joined.select(
-        "context", "word", F.coalesce("known", F.lit(0)).alias("known"), F.log10(p).cast("float").alias("log_p")
-    )
+    return joined.select("context", "word", F.coalesce("known", F.lit(0)).alias("known"), F.log10(p).alias("log_p"))
 
 
 _OUT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -361,6 +445,7 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
     counts = materialize(places.groupBy("context", "word").agg(F.sum("trained").alias("n")), "counts")
     pairs, samples = fit(counts)
     log_p = materialize(_log_p(counts, pairs, samples), "log-p")
+    discard(counts, pairs, *[t for s in samples for t in (s.contexts, s.words)])
     needed = places.select("context", "word", "block", "at").join(log_p, ["context", "word"]).select(
         "block", "at", "known", "log_p"
     )

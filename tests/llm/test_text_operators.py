@@ -4,7 +4,7 @@ import hashlib
 import re
 import sys
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
@@ -207,32 +207,115 @@ def test_pitman_yor(docs, none):
 
 def test_the_word_before_is_the_context(spark, docs):
     rows = [(i, "red apple bed sky " * 20) for i in range(40)]
-    rows += [(1000, "red apple"), (1001, "red sky"), (1002, "new apple")]
     fold = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in range(2000)}
-    # Asked in documents of the held-out fold only.
+    # Asked in documents of the held-out fold only; the first and the last word say nothing.
+    asked = ["new red apple sky", "new bed apple sky", "new red red sky"]
     free = iter(i for i in range(1000, 2000) if fold[i])
-    rows = rows[:40] + [(next(free), t) for _, t in rows[40:]]
+    rows += [(next(free), t) for t in asked]
     found = pitman_yor.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     score = {dict(rows)[r.doc_id]: r.score for r in found}
-    # Both words are as frequent, and "red" and "bed" end alike.
-    assert score["red apple"] > score["red sky"] + 1
-    assert score["red apple"] > score["new apple"] + 1
-    pairs = spark.createDataFrame([(1, 2, 5), (1, 3, 1), (4, 2, 0)], "context long, word long, n long")
+    # All words are as frequent, and "red" and "bed" end alike.
+    assert score["new red apple sky"] > score["new bed apple sky"] + 1
+    assert score["new red apple sky"] > score["new red red sky"] + 1
+    pairs = spark.createDataFrame(
+        [(1, 2, 5), (1, 3, 1), (4, 2, 0), (4, 3, 2)], "context long, word long, n long"
+    )
     seated, samples = pitman_yor.fit(pairs)
-    assert len(samples) == pitman_yor.SAMPLES and {(r.context, r.word) for r in seated.collect()} == {(1, 2), (1, 3)}
-
-
-def test_tables_have_the_distribution_of_one_customer_at_a_time(monkeypatch):
-    n, weight, discount, trials = 300, 3.0, 0.75, 4000
-    at = np.ones(trials)
-    rng = np.random.default_rng(3)
-    for there in range(1, n):
-        at += rng.random(trials) < weight / (weight + there - discount * at)
+    assert len(samples) == pitman_yor.SAMPLES
+    # A pair seen once is in the totals, not in the sweeps.
+    assert {(r.context, r.word) for r in seated.collect()} == {(1, 2), (4, 3)}
+    for state in samples:
+        assert {r.context: r.customers for r in state.contexts.collect()} == {1: 6, 4: 2}
+        assert {r.word: r.n for r in state.words.collect()} == {2: 5, 3: 3}
+
+
+def table_distribution(n, p, others, strength=1.0, discount=0.75):
+    """P(tables) by the recursion of the Stirling numbers, in logarithms."""
+    log_s = np.full(n + 2, -np.inf)
+    log_s[1] = 0
+    t = np.arange(1, n + 1)
+    for m in range(1, n):
+        with np.errstate(divide="ignore"):
+            stay = np.log(np.maximum(m - discount * t, 0)) + log_s[1 : n + 1]
+        log_s[1 : n + 1] = np.logaddexp(stay, log_s[0:n])
+    weight = np.cumsum(np.log(p * (strength + discount * (others + np.arange(n))))) + log_s[1 : n + 1]
+    weight = np.exp(weight - weight.max())
+    return weight / weight.sum()
+
+
+@pytest.mark.parametrize(
+    "n, p, others",
+    [(2, 0.3, 0), (20, 0.25, 0), (60, 0.02, 500), (512, 0.1, 100), (720, 0.25, 0), (720, 0.01, 5000), (2500, 0.3, 50),
+     (600, 0.05, 1e6)],
+)
+def test_tables_have_their_distribution(n, p, others):
+    exact, t, trials = table_distribution(n, p, others), np.arange(1, n + 1), 8000
+    mean = exact @ t
+    spread = np.sqrt(exact @ (t - mean) ** 2)
     seeds = pitman_yor.mix(np.arange(trials, dtype=np.uint64) + np.uint64(12345))
-    for walk in (4096, 200):
-        monkeypatch.setattr(pitman_yor, "WALK", walk)
-        t = pitman_yor.seat(np.full(trials, n), np.full(trials, weight), discount, seeds)
-        assert abs(t.mean() - at.mean()) < 0.05 * at.mean() and abs(t.std() - at.std()) < 0.1 * at.std()
+    found = pitman_yor.reseat(np.full(trials, n), np.full(trials, float(others)), np.full(trials, p), 1.0, 0.75, seeds)
+    assert abs(found.mean() - mean) < 0.02 * mean + 4 * spread / np.sqrt(trials)
+    assert abs(found.std() - spread) < 0.05 * spread + 0.02
+
+
+def plain_gibbs(customers, base, strength, discount, sweeps, rng):
+    """Mean tables per dish of one restaurant, one customer moved at a time."""
+    seats = [[n] for n in customers]
+    sums = np.zeros(len(customers))
+    for sweep in range(sweeps):
+        for dish, n in enumerate(customers):
+            for _ in range(n):
+                own = seats[dish]
+                k = rng.choice(len(own), p=np.array(own) / sum(own))
+                own[k] -= 1
+                if not own[k]:
+                    own.pop(k)
+                tables = sum(map(len, seats))
+                weights = np.array([c - discount for c in own] + [base[dish] * (strength + discount * tables)])
+                k = rng.choice(len(weights), p=weights / weights.sum())
+                if k == len(own):
+                    own.append(0)
+                own[k] += 1
+        if sweep >= sweeps // 5:
+            sums += [len(own) for own in seats]
+    return sums / (sweeps - sweeps // 5)
+
+
+def test_agreement_with_plain_gibbs():
+    customers, base = np.array([30, 9, 4, 2, 1]), np.array([0.4, 0.05, 0.3, 0.1, 0.15])
+    expected = plain_gibbs(customers, base, 1.0, 0.75, 1500, np.random.default_rng(4))
+    # Dishes one after the other, many restaurants at once.
+    trials = 400
+    t, sums, means = np.ones((len(customers), trials), np.int64), np.zeros(len(customers)), []
+    for sweep in range(100):
+        for dish, n in enumerate(customers):
+            seeds = pitman_yor.mix(np.arange(trials, dtype=np.uint64) + np.uint64(1000 * sweep + dish + 1) * np.uint64(7919))
+            others = t.sum(axis=0) - t[dish]
+            t[dish] = pitman_yor.reseat(np.full(trials, n), others, np.full(trials, base[dish]), 1.0, 0.75, seeds)
+        means.append(t.sum(axis=0).mean())
+        sums += t.mean(axis=1) * (sweep >= 20)
+    assert np.abs(sums / 80 - expected).max() < 0.15
+    # No drift with the sweeps.
+    assert abs(np.mean(means[4:12]) - np.mean(means[-20:])) < 0.03 * np.mean(means)
+
+
+def test_probabilities_sum_to_one_and_tables_do_not_drift(spark, docs):
+    rng = np.random.default_rng(9)
+    n = {(c, w): int(rng.choice([0, 0, 1, 2, 5, 40])) for c in range(6) for w in range(12)}
+    rows = [(c, w, k) for (c, w), k in n.items()]
+    unseen = [(c, w, 0) for c in range(7) for w in (range(12, 13) if c < 6 else range(13))]
+    known = {w for (_, w), k in n.items() if k}
+    counts = spark.createDataFrame(rows + unseen, "context long, word long, n long")
+    tables = {}
+    for sweeps in (4, 8):
+        pairs, samples = pitman_yor.fit(counts, sweeps)
+        tables[sweeps] = np.mean([s.contexts.agg(F.sum("tables")).first()[0] for s in samples[-3:]])
+        found = defaultdict(float)
+        for r in pitman_yor._log_p(counts, pairs, samples[:3] if sweeps == 4 else samples).collect():
+            if r.word in known or r.word == 12:
+                found[r.context] += 10**r.log_p
+        assert len(known) == 12 and all(abs(total - 1) < 1e-9 for total in found.values()) and len(found) == 7
+    assert abs(tables[4] - tables[8]) < 0.3 * tables[8]
 
 
 def test_short_lines_and_wrapped_paragraphs(spark, docs):
