@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from panelweave.llm.near import SIMILAR, classes, multisets
-from panelweave.llm.rows import FILE, PLACE, from_files, located, texts_at, with_place
+from panelweave.llm.rows import from_files, located, texts_at, without
 from panelweave.llm.text import chunks, mix, unit
 from panelweave.sources.scratch import materialize
 
@@ -188,7 +188,4 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each class, with all its columns."""
     docs = from_files(docs)
-    gone = near_duplicates(docs).where("NOT kept").select(
-        F.col("file").alias(FILE), F.col("place").alias(PLACE)
-    )
-    return with_place(docs).join(gone, [FILE, PLACE], "left_anti").select(*docs.columns)
+    return without(docs, near_duplicates(docs).where("NOT kept"))

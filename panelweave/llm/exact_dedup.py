@@ -19,7 +19,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from panelweave.llm.rows import FILE, PLACE, from_files, located, with_place
+from panelweave.llm.rows import from_files, located, without
 from panelweave.llm.text import ASCII_UPPER
 from panelweave.sources.scratch import materialize, scratch_path
 
@@ -175,7 +175,4 @@ def group_copies(docs: DataFrame, hashed=digest) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns."""
     docs = from_files(docs)
-    gone = group_copies(docs).where("NOT kept").select(
-        F.col("file").alias(FILE), F.col("place").alias(PLACE)
-    )
-    return with_place(docs).join(gone, [FILE, PLACE], "left_anti").select(*docs.columns)
+    return without(docs, group_copies(docs).where("NOT kept"))

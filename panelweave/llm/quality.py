@@ -126,7 +126,9 @@ def fit(
         .orderBy("rank", "doc_id")
         .limit(train + calibration)
     )
+    # Of rows that share an id one is taken, so the sample is as small as said.
     texts = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id")
+    texts = texts.groupBy("rank", "doc_id", "quality").agg(F.min("text").alias("text"))
     found = (
         texts.select("rank", "quality", "text")
         .mapInArrow(_features, "rank long, quality int, columns binary, values binary")

@@ -2,10 +2,7 @@
 
 Sure kinds are reported wherever they match: ``assign`` (a value assigned to a name such
 as ``token``), ``access`` (access identifiers) and ``hex`` (long hexadecimal runs). Weak
-kinds are reported only where complementary parts co-occur within a scope, by default a
-paragraph (lines without an empty one between) and ``REACH`` code points around the
-candidate; with ``whole`` texts the scope is the document, at any distance, as in the
-query and in ``redact``:
+kinds are reported only where complementary parts co-occur:
 
 * ``user`` (an assigned account name): with a secret;
 * ``opaque`` (a long run that mixes cases and digits): with an identifier;
@@ -14,11 +11,16 @@ query and in ``redact``:
 Identifiers are ``access`` and ``user``; secrets are ``assign``, ``hex`` and ``opaque``. A
 weak candidate that overlaps a sure span is part of that span and not reported twice.
 
-Parts are found by patterns in Arrow batches and linked in Spark. In whole texts that is a
-join by document with the roles it holds.
-Otherwise it is an interval join: parts are put into bins of ``REACH`` code points, each bin holds per role only where its
-first part starts and its last part ends, and a candidate looks at the bins its interval
-meets. So no pair of parts is ever formed twice, however dense a text is.
+Scopes are nested intervals: the line, the paragraph (lines without an empty one between) and
+the document. A candidate is joined to its complement in the smallest scope that holds both,
+there to the nearest one; the document is the outermost, so a part is linked however far its
+complement lies. ``links`` tells for each reported candidate what it was linked to and in
+which scope, so far links can be judged apart.
+
+Parts are found by patterns in Arrow batches and linked in Spark. Of all parts on one side of a
+candidate the nearest one also lies in the smallest scope that any of them shares with it. So the interval join
+needs no pairs of parts: one pass over the sorted parts of a document in each direction carries
+the last identifier and the last secret along.
 
 Positions are code points, end exclusive. Missing text is empty and has no spans. Rows
 are told apart by their place, so missing or repeated ids are harmless.
@@ -32,12 +34,12 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelweave.llm.rows import FILE, PLACE, from_files, located, with_place
+from panelweave.llm.rows import free_names, from_files, located, with_place
+from panelweave.schema import quoted
 from panelweave.sources.scratch import materialize
 
-REACH = 200
 MASK = "[secret]"
 SURE = ("assign", "access", "hex")
 KINDS = (*SURE, "user", "opaque", "endpoint")
@@ -58,8 +60,10 @@ OPAQUE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
 MIXED = [re.compile(p) for p in ("[a-z]", "[A-Z]", "[0-9]")]
 ENDPOINT = re.compile(r"[a-z][a-z0-9+.-]{1,15}://[A-Za-z0-9][^\s\"'<>]*")
 PARAGRAPH = re.compile(r"\n[ \t\r]*\n")
+LINE = re.compile(r"\n")
 
-PART = "struct<kind:int, start:int, end:int, scope:int>"
+SCOPES = ("line", "paragraph", "document")
+PART = "struct<kind:int, start:int, end:int, line:int, paragraph:int>"
 
 
 def sure_spans(text: str) -> list[tuple[int, int, int]]:
@@ -107,7 +111,7 @@ _FOUND = (
     f"base_sha256 string, base string, parts array<{PART}>"
 )
 _PARTS = pa.list_(
-    pa.struct([(n, pa.int32()) for n in ("kind", "start", "end", "scope")])
+    pa.struct([(n, pa.int32()) for n in ("kind", "start", "end", "line", "paragraph")])
 )
 
 
@@ -125,10 +129,12 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out["base"].append(base)
             out["sha"].append(hashlib.sha256(base.encode()).hexdigest())
             breaks = [m.end() for m in PARAGRAPH.finditer(text)] if weak else []
+            ends = [m.end() for m in LINE.finditer(text)] if weak else []
             # Alone, sure spans need no link.
             out["parts"].append(
                 [
-                    {"kind": k, "start": s, "end": e, "scope": bisect_right(breaks, s)}
+                    {"kind": k, "start": s, "end": e, "line": bisect_right(ends, s),
+                     "paragraph": bisect_right(breaks, s)}
                     for k, s, e in (sure + weak if weak else [])
                 ]
             )
@@ -144,70 +150,65 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def linked(parts: DataFrame, reach: int = REACH) -> DataFrame:
-    """Weak parts whose complement lies within reach.
+def _said(part: Column | None = None) -> Column:
+    """``kind:start:end`` of a part, or of the row itself."""
+    kind, start, end = (F.col(c) if part is None else part[c] for c in ("kind", "start", "end"))
+    name = F.element_at(F.array(*[F.lit(k) for k in KINDS]), kind + 1)
+    return F.concat_ws(":", name, start, end)
+
+
+def linked(parts: DataFrame) -> DataFrame:
+    """Weak parts with their complements: ``file, place, kind, start, end, said, links``.
 
-    ``parts`` has ``file, place, kind, start, end, scope``; the same columns return.
+    ``parts`` has ``file, place, kind, start, end, line, paragraph``.
     """
-    place = ["file", "place", "scope"]
-    role = F.when(F.col("kind").isin(1, 3), 1).when(F.col("kind").isin(0, 2, 4), 2)
-    of_role = parts.withColumn("role", role).where("role IS NOT NULL")
-    bins = (
-        of_role.withColumn("bin", F.explode(F.expr(f"sequence(start div {reach}, (end - 1) div {reach})")))
-        .groupBy(*place, "bin")
-        .agg(
-            *[
-                column
-                for r, name in ((1, "id"), (2, "secret"))
-                for column in (
-                    F.min(F.when(F.col("role") == r, F.col("start"))).alias(f"{name}_start"),
-                    F.max(F.when(F.col("role") == r, F.col("end"))).alias(f"{name}_end"),
-                )
-            ]
-        )
-    )
-    # Candidates are no longer than they are; the interval reaches beyond both ends.
-    candidates = (
-        parts.where("kind >= 3")
-        .withColumns({"low": F.expr(f"greatest(start - {reach}, 0)"), "high": F.expr(f"end + {reach}")})
-        .withColumn("bin", F.explode(F.expr(f"sequence(low div {reach}, (high - 1) div {reach})")))
+    order = ["start", "end", "kind"]
+    onward = Window.partitionBy("file", "place").orderBy(*order)
+    back = Window.partitionBy("file", "place").orderBy(*[F.desc(c) for c in order])
+    itself = F.struct("kind", "start", "end", "line", "paragraph")
+    beside = {}
+    for role, kinds in (("id", (1, 3)), ("secret", (0, 2, 4))):
+        part = F.when(F.col("kind").isin(*kinds), itself)
+        for side, window in (("before", onward), ("after", back)):
+            before = window.rowsBetween(Window.unboundedPreceding, -1)
+            beside[f"{role}_{side}"] = F.last(part, ignorenulls=True).over(before)
+    # No weak part is its own complement.
+    found = parts.withColumns(beside).where("kind >= 3")
+
+    def nearest(role: str) -> Column:
+        """The complement in the smallest scope, there the nearest, and of two as near the first."""
+        sides = []
+        for turn, side in enumerate(("before", "after")):
+            other = F.col(f"{role}_{side}")
+            scope = F.when(other["line"] == F.col("line"), 0).when(other["paragraph"] == F.col("paragraph"), 1).otherwise(2)
+            gap = F.greatest(F.col("start") - other["end"], other["start"] - F.col("end"), F.lit(0))
+            sides.append(F.when(other.isNotNull(), F.struct(
+                scope.alias("scope"), gap.alias("gap"), F.lit(turn).alias("turn"), _said(other).alias("said"),
+            )))
+        return F.array_min(F.filter(F.array(*sides), lambda s: s.isNotNull()))
+
+    found = found.withColumns({"id": nearest("id"), "secret": nearest("secret")}).where(
+        "(kind = 3 AND secret IS NOT NULL) OR (kind = 4 AND id IS NOT NULL) "
+        "OR (kind = 5 AND id IS NOT NULL AND secret IS NOT NULL)"
     )
-    met = candidates.join(bins, [*place, "bin"]).groupBy(*place, "kind", "start", "end").agg(
-        F.bool_or(F.expr("coalesce(id_start < high AND id_end > low, false)")).alias("by_id"),
-        F.bool_or(F.expr("coalesce(secret_start < high AND secret_end > low, false)")).alias("by_secret"),
-    )
-    return met.where(
-        "(kind = 3 AND by_secret) OR (kind = 4 AND by_id) OR (kind = 5 AND by_id AND by_secret)"
-    ).select("file", "place", "kind", "start", "end", "scope")
-
-
-def linked_in_document(parts: DataFrame) -> DataFrame:
-    """Weak parts whose complement lies anywhere in their document; columns as in ``linked``."""
-    place = ["file", "place"]
-    # No weak part is its own complement, so it is enough which roles a document has.
-    roles = parts.groupBy(*place).agg(
-        F.bool_or(F.col("kind").isin(1, 3)).alias("by_id"),
-        F.bool_or(F.col("kind").isin(0, 2, 4)).alias("by_secret"),
-    )
-    return parts.where("kind >= 3").join(roles, place).where(
-        "(kind = 3 AND by_secret) OR (kind = 4 AND by_id) OR (kind = 5 AND by_id AND by_secret)"
-    ).select(*place, "kind", "start", "end", "scope")
+    scopes = F.array(*[F.lit(s) for s in SCOPES])
+
+    def link(role: str) -> Column:
+        return F.concat(_said(), F.lit(">"), F.col(role)["said"], F.lit("@"), F.element_at(scopes, F.col(role)["scope"] + 1))
 
+    wanted = F.when(F.col("kind") == 3, F.array(link("secret"))).when(F.col("kind") == 4, F.array(link("id")))
+    links = F.array_join(wanted.otherwise(F.array(link("id"), link("secret"))), ",")
+    return found.select("file", "place", "kind", "start", "end", _said().alias("said"), links.alias("links"))
 
-def scan(docs: DataFrame, whole: bool = False) -> DataFrame:
-    """One row per document with its counts and ``spans``, besides ``file`` and ``place``."""
+
+def scan(docs: DataFrame) -> DataFrame:
+    """One row per document with its counts, ``spans`` and ``links``, besides ``file`` and ``place``."""
     rows = located(docs, "doc_id", "text")
     found = materialize(rows.mapInArrow(_find, _FOUND), "secrets")
     parts = found.where("size(parts) > 0").select("file", "place", F.inline("parts"))
-    name = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("kind") + 1)
-    more = (
-        (linked_in_document(parts) if whole else linked(parts))
-        .groupBy("file", "place")
-        .agg(
-            F.collect_list(
-                F.struct("start", "kind", "end", F.concat_ws(":", name, "start", "end").alias("said"))
-            ).alias("more")
-        )
+    more = linked(parts).groupBy("file", "place").agg(
+        F.collect_list(F.struct("start", "kind", "end", "said")).alias("more"),
+        F.sort_array(F.collect_list(F.struct("start", "kind", "end", "links"))).alias("links"),
     )
     own = F.expr(
         "transform(filter(split(base, ','), x -> x <> ''), x -> named_struct("
@@ -221,6 +222,7 @@ def scan(docs: DataFrame, whole: bool = False) -> DataFrame:
         "doc_id", "file", "place", "n_assign", "n_access", "n_hex", "base_sha256",
         F.when(F.col("more").isNull(), F.col("base"))
         .otherwise(F.array_join(every["said"], ",")).alias("spans"),
+        F.coalesce(F.array_join(F.col("links")["links"], ","), F.lit("")).alias("links"),
     )
 
 
@@ -240,8 +242,9 @@ def redact(docs: DataFrame) -> DataFrame:
     ``n_chars``, where there is one, is counted anew for changed texts.
     """
     docs = from_files(docs)
-    spans = scan(docs, whole=True).where("spans <> ''").select(
-        F.col("file").alias(FILE), F.col("place").alias(PLACE), F.col("spans").alias("__spans")
+    file, place, spans = free_names(docs, "row_file", "row_place", "spans")
+    found = scan(docs).where("spans <> ''").select(
+        F.col("file").alias(file), F.col("place").alias(place), F.col("spans").alias(spans)
     )
 
     @F.pandas_udf("string")
@@ -250,10 +253,11 @@ def redact(docs: DataFrame) -> DataFrame:
             [t if s is None else _mask(s, t) for s, t in zip(spans, text, strict=True)]
         )
 
-    joined = with_place(docs).join(spans, [FILE, PLACE], "left")
-    clean = joined.where("__spans IS NULL").select(*docs.columns)
-    found = joined.where("__spans IS NOT NULL").withColumn("text", masked("__spans", "text"))
+    columns = [F.col(quoted(c)) for c in docs.columns]
+    joined = with_place(docs, file, place).join(found, [file, place], "left")
+    clean = joined.where(F.col(spans).isNull()).select(*columns)
+    changed = joined.where(F.col(spans).isNotNull()).withColumn("text", masked(spans, "text"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        found = found.withColumn("n_chars", F.length("text").cast(kind))
-    return clean.unionByName(found.select(*docs.columns))
+        changed = changed.withColumn("n_chars", F.length("text").cast(kind))
+    return clean.unionByName(changed.select(*columns))

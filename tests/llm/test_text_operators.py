@@ -145,7 +145,10 @@ def test_secret_scans(spark, docs, none):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r.doc_id: r for r in secret_scans.scan(frame).collect()}
     assert found[1].spans.split(",") == ["access:3:23", "opaque:29:59"]
-    assert found[2].spans == "" and found[3].spans == "access:0:20" and found[6].spans == "access:0:20"
+    assert found[2].spans == "" and found[3].spans == "access:0:20,opaque:22:52"
+    assert found[6].spans == "access:0:20,opaque:621:651"
+    assert found[1].links == "opaque:29:59>access:3:23@line" and found[2].links == ""
+    assert found[3].links == "opaque:22:52>access:0:20@document"
     assert found[4].spans == "assign:0:15" and (found[4].n_assign, found[5].n_assign) == (1, 0)
     assert found[4].base_sha256 == hashlib.sha256(b"assign:0:15").hexdigest()
     masked = {r.doc_id: r.text for r in secret_scans.redact(frame).collect()}
@@ -153,6 +156,81 @@ def test_secret_scans(spark, docs, none):
     assert secret_scans.scan(none).count() == 0
 
 
+def test_links_to_the_nearest_part_of_the_smallest_scope(spark, docs):
+    one, two, value = "AKIA" + "Q7" * 8, "AKIA" + "Z9" * 8, "aB3" * 10
+    # A line with an identifier at its far end, another identifier close by in the next line.
+    near = f"{one} {'z ' * 30}{value}\n{two} x"
+    texts = {
+        1: near, 2: f"{one}\n{value}\n\n{two}", 3: f"login: anna\n\nhttps://db.example.org/x\n\n{value} {one}",
+        4: f"https://db.example.org/x {value}", 5: f"{one} https://a.org/b password=abcdefgh login: bob",
+    }
+    rng = __import__("random").Random(6)
+    pieces = [one, value, "login: anna", "https://a.org/b", "z" * 9, "token=abcdef99", "0f" * 14, "\n", "\n\n", "word"]
+    texts |= {k: " ".join(rng.choices(pieces, k=rng.randint(1, 25))) for k in range(10, 150)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r for r in secret_scans.scan(frame).collect()}
+    assert found[1].links == f"opaque:81:111>access:0:20@line"
+    assert found[2].links == "opaque:21:51>access:0:20@paragraph"
+    assert found[4].spans == found[4].links == ""
+    for k, text in texts.items():
+        sure = secret_scans.sure_spans(text)
+        weak = secret_scans.weak_spans(text, sure)
+        breaks = [[m.end() for m in p.finditer(text)] for p in (secret_scans.LINE, secret_scans.PARAGRAPH)]
+
+        def scope(a, b):
+            same = [sum(x <= a for x in cuts) == sum(x <= b for x in cuts) for cuts in breaks]
+            return 0 if same[0] else 1 if same[1] else 2
+
+        links = []
+        for kind, start, end in sorted(weak, key=lambda x: (x[1], x[0], x[2])):
+            own = []
+            for roles in {3: [(0, 2, 4)], 4: [(1, 3)], 5: [(1, 3), (0, 2, 4)]}[kind]:
+                others = [o for o in sure + weak if o[0] in roles and o != (kind, start, end)]
+                if others:
+                    own.append(min((scope(start, s), max(start - e, s - end, 0)) for _, s, e in others))
+                else:
+                    own.append(None)
+            if None not in own:
+                links += [(f"{secret_scans.KINDS[kind]}:{start}:{end}", *best) for best in own]
+        said = []
+        for link in filter(None, found[k].links.split(",")):
+            part, rest = link.split(">")
+            other, name = rest.split("@")
+            (_, s, e), (_, a, b) = part.split(":"), other.split(":")
+            gap = max(int(s) - int(b), int(a) - int(e), 0)
+            said.append((part, secret_scans.SCOPES.index(name), gap))
+        assert said == links
+        assert {x[0] for x in links} <= set(found[k].spans.split(","))
+
+
+def test_clashing_names(spark, docs, tmp_path):
+    key = "AKIA" + "Q7" * 8
+    extra = ["_metadata", "__spans", "spans", "row_file", "row_place", "file", "place", "a.b`c"]
+    rows = [(i, t, "en", *["x"] * len(extra)) for i, t in enumerate([BASE, BASE.upper(), BASE + f" {key}", None, "", LONG])]
+    schema = "doc_id long, text string, lang string, " + ", ".join(f"`{e.replace('`', '``')}` string" for e in extra)
+    frame = spark.createDataFrame(rows, schema)
+    frame.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    for source in (frame, spark.read.parquet(str(tmp_path / "documents.parquet"))):
+        kept = exact_dedup.drop_copies(source)
+        assert kept.columns == frame.columns and {r.doc_id for r in kept.collect()} == {1, 2, 4, 5}
+        assert bag_minhash.drop_near_duplicates(source).count() == 4
+        masked = secret_scans.redact(source)
+        assert masked.columns == frame.columns
+        assert {r.doc_id: r.text for r in masked.collect()}[2] == BASE + " [secret]"
+        assert {r["a.b`c"] for r in masked.collect()} == {"x"}
+        assert substring_dedup.repeated_passages(source).count() > 0
+        assert language_id.identify(source).count() == len(rows)
+
+
+def test_repeated_ids_take_one_place_in_the_sample(spark, docs):
+    good, bad = " ".join(f"fine{k}" for k in range(40)), "spam " * 40
+    rows = [(1, good)] * 30 + [(2, bad)] * 30 + [(k, [good, bad][k % 2]) for k in range(3, 20)]
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(1, 20)], "doc_id long, quality int")
+    one = quality.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels, 12, 6)
+    two = quality.fit(spark.createDataFrame(list(dict(rows).items()), "doc_id long, text string"), labels, 12, 6)
+    assert (one.weights == two.weights).all() and (one.bias, one.slope, one.shift) == (two.bias, two.slope, two.shift)
+
+
 def test_url_filters(spark, docs):
     listed = spark.createDataFrame(
         [("org", "/", "allow"), ("a.org", "/x", "block"), ("a.org", "/x", "block"), ("b.com", "", "block")]
