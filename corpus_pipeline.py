@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelweave.llm import bag_minhash, exact_dedup, language_id, packing, secret_scans
 from panelweave.llm.queries import tokenizer
-from panelweave.llm.rows import FILE, PLACE, from_files, with_place
+from panelweave.llm.rows import from_files, located, without
 from panelweave.llm.workers import ship
 from panelweave.sources.scratch import materialize
 
@@ -20,31 +20,30 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Keeps documents with a language; unknown and ambiguous ones go."""
     ship(spark)
     docs = from_files(docs)
-    named = {FILE: "__file", PLACE: "__place"}
-    rows = with_place(docs).select("text", FILE, PLACE).withColumnsRenamed(named)
-    found = language_id.predict(rows, language_id.fit(docs), "__file", "__place")
-    gone = found.where(F.col("ambiguous") | (F.col("lang_pred") == language_id.UNKNOWN)).select(
-        F.col("__file").alias(FILE), F.col("__place").alias(PLACE)
-    )
-    return with_place(docs).join(gone, [FILE, PLACE], "left_anti").select(*docs.columns)
+    found = language_id.predict(located(docs, "text"), language_id.fit(docs), "file", "place")
+    return without(docs, found.where(F.col("ambiguous") | (F.col("lang_pred") == language_id.UNKNOWN)))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for the case of A-Z, the row with the largest id stays."""
     ship(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each class of similar texts stays; texts of no words are alone."""
     ship(spark)
     return bag_minhash.drop_near_duplicates(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, with found secrets replaced in their texts and ``n_chars`` counted anew."""
     ship(spark)
     return secret_scans.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document with its place in a sequence; missing text is an end id alone."""
     ship(spark)
     return packing.pack_documents(docs, tokenizer("word_bpe_49k.json"))
 
