@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelweave.llm.rows import free_names, from_files, located, with_place
+from panelweave.llm.url_filters import bloom_filter, marked_hits
 from panelweave.schema import quoted
 from panelweave.sources.scratch import materialize
 
@@ -242,10 +243,14 @@ def redact(docs: DataFrame) -> DataFrame:
     ``n_chars``, where there is one, is counted anew for changed texts.
     """
     docs = from_files(docs)
-    file, place, spans = free_names(docs, "row_file", "row_place", "spans")
+    file, place, spans, likely = free_names(docs, "row_file", "row_place", "spans", "likely")
     found = scan(docs).where("spans <> ''").select(
         F.col("file").alias(file), F.col("place").alias(place), F.col("spans").alias(spans)
     )
+    # Written, as the filter and the join read it. Only texts that the filter lets through are shuffled.
+    found = materialize(found, "found-secrets")
+    at = F.concat_ws("#", file, place)
+    bloom = bloom_filter(found.select(at.alias("key")))
 
     @F.pandas_udf("string")
     def masked(spans, text):
@@ -254,10 +259,12 @@ def redact(docs: DataFrame) -> DataFrame:
         )
 
     columns = [F.col(quoted(c)) for c in docs.columns]
-    joined = with_place(docs, file, place).join(found, [file, place], "left")
-    clean = joined.where(F.col(spans).isNull()).select(*columns)
-    changed = joined.where(F.col(spans).isNotNull()).withColumn("text", masked(spans, "text"))
+    marked = marked_hits(with_place(docs, file, place), bloom, at, likely)
+    clean = marked.where(~F.col(likely)).select(*columns)
+    joined = marked.where(F.col(likely)).join(found, [file, place], "left")
+    changed = joined.withColumn("text", masked(spans, "text"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed = changed.withColumn("n_chars", F.length("text").cast(kind))
+        counted = F.when(F.col(spans).isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars"))
+        changed = changed.withColumn("n_chars", counted)
     return clean.unionByName(changed.select(*columns))

@@ -76,6 +76,16 @@ def possible_hits(rows: DataFrame, bloom: DataFrame, key: str = "key") -> DataFr
     return found.select(*rows.columns)
 
 
+def marked_hits(rows: DataFrame, bloom: DataFrame, key: Column, mark: str) -> DataFrame:
+    """All rows, with ``mark`` true where the key may be among those the filter was built from."""
+    bits = bloom.select(F.col("block").alias(f"{mark}_block"), *[F.col(w).alias(f"{mark}_{w}") for w in WORDS])
+    joined = rows.join(F.broadcast(bits), _block(key) == F.col(f"{mark}_block"), "left")
+    hit = F.lit(True)
+    for mask, word in zip(_masks(key), WORDS, strict=True):
+        hit = hit & (F.col(f"{mark}_{word}").bitwiseAND(mask) == mask)
+    return joined.withColumn(mark, F.coalesce(hit, F.lit(False))).drop(f"{mark}_block", *[f"{mark}_{w}" for w in WORDS])
+
+
 def judge_urls(urls: DataFrame, listed: DataFrame, default: str = "allow") -> DataFrame:
     """``host, path, rule, verdict`` for the distinct rows of ``urls(host, path)``.
 
