@@ -22,6 +22,7 @@ columns than ``text`` and ``lang`` are not read. An empty table has no phrases.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -203,7 +204,7 @@ class Graph:
         self.begins = np.r_[True, ~link[:-1]][:n]
         self.link = link
 
-    def ends(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def ends(self) -> Iterator[Runs]:
         """Distinct last one, two and three words of runs, with their numbers."""
         last = np.flatnonzero(~self.link)
         for size in (1, 2, 3):
@@ -213,16 +214,18 @@ class Graph:
             columns = [self.words[own - k] for k in range(size - 1, -1, -1)]
             if len(own):
                 key, first = _grouped(*columns)
-                yield np.stack([c[first] for c in columns], axis=1), np.bincount(key)
+                words = np.stack([c[first] for c in columns], axis=1).ravel()
+                yield Runs(words, np.arange(len(first) + 1) * size, np.bincount(key))
 
-    def paths(self) -> Iterator[tuple[np.ndarray, int]]:
+    def paths(self) -> Runs:
         """Words of every compacted path, and its weight."""
         at = np.flatnonzero(self.link[:-3] & self.link[1:-2] & self.link[2:-1]) if len(self.words) > 3 else self.at3[:0]
         if not len(at):
-            return
+            return Runs(self.words[:0], np.zeros(1, np.int64), np.zeros(0, np.int64))
         key, first = _grouped(self.node[at], self.words[at + 3])
         weight = np.bincount(key)
-        source, target, last = self.node[at[first]], self.node[at[first] + 1], self.words[at[first] + 3]
+        begin = at[first]
+        source, target, last = self.node[begin], self.node[begin + 1], self.words[begin + 3]
         edges = len(weight)
         # Runs that begin or end at a node.
         broken = np.zeros(self.n_nodes, bool)
@@ -243,12 +246,25 @@ class Graph:
             place, head = place + place[head], head[head]
         ring = before[head] >= 0  # a circle has no first edge: each edge by itself
         head[ring], place[ring] = np.flatnonzero(ring), 0
+        # A path is the three words of its first node, then the last word of every edge.
         order = np.lexsort((place, head))
-        cuts = np.r_[np.flatnonzero(place[order] == 0), edges]
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            own = order[a:b]
-            begin = at[first[own[0]]]
-            yield np.r_[self.words[begin : begin + 3], last[own]], int(weight[own[0]])
+        firsts = np.flatnonzero(place[order] == 0)
+        size = np.diff(np.r_[firsts, edges])
+        offsets = np.r_[0, np.cumsum(size + 3)]
+        words = np.empty(offsets[-1], np.int64)
+        for k in range(3):
+            words[offsets[:-1] + k] = self.words[begin[order[firsts]] + k]
+        words[np.repeat(offsets[:-1] + 3, size) + place[order]] = last[order]
+        return Runs(words, offsets, weight[order[firsts]])
+
+
+@dataclass
+class Runs:
+    """Runs of word numbers, one after the other, with their weights."""
+
+    words: np.ndarray
+    offsets: np.ndarray
+    weight: np.ndarray
 
 
 PATHS = "lang string, words array<string>, n long, whole boolean"
@@ -265,7 +281,9 @@ def _block_paths(size: int, has):
 
         def closed():
             hashed, head, length, lang, joined = (np.concatenate([h[k] for h in held]) for k in range(5))
-            texts = [h[5] for h in held]
+            data = np.concatenate([h[5] for h in held])
+            shift = np.cumsum([0, *(len(h[5]) for h in held[:-1])])
+            start = np.concatenate([h[6] + s for h, s in zip(held, shift, strict=True)])
             seed = np.uint64(0)
             while True:
                 _, first, number = np.unique(hashed, return_index=True, return_inverse=True)
@@ -275,28 +293,25 @@ def _block_paths(size: int, has):
                 # Two words share a hash: tell them apart by what else is known of them.
                 seed += np.uint64(1)
                 hashed = mix(hashed ^ mix(head + seed) ^ length.astype(np.uint64))
-            sizes = np.array([len(t) for t in texts])
-            base = np.cumsum(sizes) - sizes
-            which = np.searchsorted(base, first, side="right") - 1
-            spelt = pa.array([texts[c][i - base[c]] for c, i in zip(which.tolist(), first.tolist(), strict=True)], pa.string())
+            spelt = _strings(data, start[first], length[first])
             of = lang[first]
             graph = Graph(number, joined)
-            rows = [(w, n, True) for w, n in graph.paths()]
-            for words, counts in graph.ends():
-                rows += [(w, n, False) for w, n in zip(words, counts.tolist(), strict=True)]
-            for a in range(0, len(rows), 20_000):
-                part = rows[a : a + 20_000]
-                ids = np.concatenate([r[0] for r in part])
-                offsets = np.concatenate([[0], np.cumsum([len(r[0]) for r in part])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([known[int(of[r[0][0]])] for r in part], pa.string()),
-                        pa.ListArray.from_arrays(pa.array(offsets), spelt.take(pa.array(ids))),
-                        pa.array([r[1] for r in part], pa.int64()),
-                        pa.array([r[2] for r in part], pa.bool_()),
-                    ],
-                    names=["lang", "words", "n", "whole"],
-                )
+            for runs, whole in [(graph.paths(), True), *((r, False) for r in graph.ends())]:
+                for a in range(0, len(runs.weight), 20_000):
+                    cuts = runs.offsets[a : a + 20_001]
+                    ids = runs.words[cuts[0] : cuts[-1]]
+                    found, index = np.unique(of[runs.words[cuts[:-1]]], return_inverse=True)
+                    named = pa.array([known[int(v)] for v in found], pa.string()).take(pa.array(index))
+                    n = len(cuts) - 1
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            named,
+                            pa.ListArray.from_arrays(pa.array((cuts - cuts[0]).astype(np.int32)), spelt.take(pa.array(ids))),
+                            pa.array(runs.weight[a : a + n].astype(np.int64)),
+                            pa.array(np.full(n, whole)),
+                        ],
+                        names=["lang", "words", "n", "whole"],
+                    )
             values, counts = np.unique(lang, return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -315,7 +330,7 @@ def _block_paths(size: int, has):
                 joined[joined] = has(pair_hashes(words.hashed)[joined])
                 held.append(
                     (words.hashed, words.head, words.end - words.start, words.lang, np.r_[joined, False],
-                     _Spans(chunk, words.start, words.end))
+                     chunk.data, words.start)
                 )
             read += len(chunk.data)
             if read >= size:
@@ -328,17 +343,12 @@ def _block_paths(size: int, has):
     return emit
 
 
-class _Spans:
-    """Words of a chunk by number."""
-
-    def __init__(self, chunk: Chunk, start: np.ndarray, end: np.ndarray):
-        self.data, self.start, self.end = chunk.data, start, end
-
-    def __len__(self) -> int:
-        return len(self.start)
-
-    def __getitem__(self, i: int) -> str:
-        return self.data[self.start[i] : self.end[i]].tobytes().decode()
+def _strings(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.Array:
+    """The texts of spans of UTF-8 bytes."""
+    offsets = np.r_[0, np.cumsum(length)]
+    body = data[np.repeat(start - offsets[:-1], length) + np.arange(offsets[-1])]
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(body.tobytes())]
+    return pa.Array.from_buffers(pa.string(), len(length), buffers)
 
 
 def _first(n: int) -> list[str]:

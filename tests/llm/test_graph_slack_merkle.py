@@ -96,6 +96,10 @@ def test_collocations(spark, odd, none):
     assert collocations.collocations(odd, least=2).where("lang = 'de'").collect()[0].phrase == "la la la la"
 
 
+def unpacked(runs):
+    return [(runs.words[a:b], n) for a, b, n in zip(runs.offsets, runs.offsets[1:], runs.weight)]
+
+
 def test_paths_hold_every_edge_once():
     rng = random.Random(8)
     for _ in range(50):
@@ -104,7 +108,7 @@ def test_paths_hold_every_edge_once():
         joined[-1] = False
         edges = Counter(tuple(words[i : i + 4]) for i in range(77) if joined[i : i + 3].all())
         from_paths = Counter()
-        for path, weight in collocations.Graph(words, joined).paths():
+        for path, weight in unpacked(collocations.Graph(words, joined).paths()):
             for i in range(len(path) - 3):
                 from_paths[tuple(path[i : i + 4])] += weight
         assert from_paths == edges
@@ -113,7 +117,7 @@ def test_paths_hold_every_edge_once():
 def test_a_repeated_passage_is_one_path():
     words = np.tile(np.arange(30), 5)
     joined = np.tile(np.r_[np.ones(29, bool), False], 5)
-    ((path, weight),) = collocations.Graph(words, joined).paths()
+    ((path, weight),) = unpacked(collocations.Graph(words, joined).paths())
     assert path.tolist() == list(range(30)) and weight == 5
 
 
