@@ -33,7 +33,8 @@ from panelweave.sources.scratch import materialize
 
 LONGEST, LEAST, CLOSED, SCALE, TOP = 4, 30, 80, 2_000_000, 2000
 UNKNOWN = "und"
-BLOCK_BYTES = 16 << 20
+#: Text of one graph; a worker needs about 40 times as much memory.
+BLOCK_BYTES = 6 << 20
 #: Bits of the Bloom filter of frequent neighbours: 16 for each, at most 2^28 (32 MB).
 BITS_EACH, MOST_BITS, PART_BITS = 16, 28, 18
 PROBES = 2
@@ -284,6 +285,7 @@ def _block_paths(size: int, has):
             data = np.concatenate([h[5] for h in held])
             shift = np.cumsum([0, *(len(h[5]) for h in held[:-1])])
             start = np.concatenate([h[6] + s for h, s in zip(held, shift, strict=True)])
+            held.clear()
             seed = np.uint64(0)
             while True:
                 _, first, number = np.unique(hashed, return_index=True, return_inverse=True)
@@ -295,6 +297,7 @@ def _block_paths(size: int, has):
                 hashed = mix(hashed ^ mix(head + seed) ^ length.astype(np.uint64))
             spelt = _strings(data, start[first], length[first])
             of = lang[first]
+            del data, start, head, length, hashed
             graph = Graph(number, joined)
             for runs, whole in [(graph.paths(), True), *((r, False) for r in graph.ends())]:
                 for a in range(0, len(runs.weight), 20_000):
