@@ -66,3 +66,12 @@ def pair_label(old: Column | str, new: Column | str) -> Column:
 
 def with_thousands(number: Column | str) -> Column:
     return F.format_number(as_column(number), 0)
+
+
+def iso_date(column: Column | str, default: str | None = None) -> Column:
+    """A date or time as ``yyyy-MM-dd`` text; a missing one is the ``default`` day, if one is given.
+
+    The default is a parameter and never the day of the run, so that a run can be repeated.
+    """
+    text = F.date_format(as_column(column), "yyyy-MM-dd")
+    return text if default is None else F.coalesce(text, F.lit(default))

@@ -73,3 +73,11 @@ def shared_columns(frames: Sequence[DataFrame]) -> list[str]:
 def drop_placeholders(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Remove rows in which every one of ``columns`` is missing."""
     return df.na.drop("all", subset=list(columns))
+
+
+def column_values(df: DataFrame, column: str) -> DataFrame:
+    """Distinct values of a column, to join or to filter with.
+
+    They stay a DataFrame: a list of them on the driver would grow with the data.
+    """
+    return df.select(column).distinct()

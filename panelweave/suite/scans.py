@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from panelweave.functions import scalars
 from panelweave.operators import dictionary, select, summary
 from panelweave.operators.registry import latest_file
 from panelweave.operators.reshape import union_all, unpivot_columns
@@ -501,3 +502,27 @@ def union_by_name(spark, folder):
 def preview(spark, folder):
     df = fx.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return summary.preview(df, ["o_totalprice", "o_orderkey"], 6)
+
+
+@query(
+    "column_values",
+    """SELECT o_orderkey, o_custkey FROM orders
+       WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
+)
+def column_values(spark, folder):
+    building = fx.table(spark, folder, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    wanted = select.column_values(building.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
+    orders = fx.table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return orders.join(wanted, "o_custkey", "left_semi").select("o_orderkey", "o_custkey")
+
+
+@query(
+    "iso_dates",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN '2001-09-01'
+         ELSE strftime(o_orderdate, '%Y-%m-%d') END AS snapshot_date FROM orders""",
+)
+def iso_dates(spark, folder):
+    known = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate"))
+    return fx.table(spark, folder, "orders").select(
+        "o_orderkey", scalars.iso_date(known, "2001-09-01").alias("snapshot_date")
+    )
