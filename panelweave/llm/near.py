@@ -4,7 +4,7 @@ Items that share a key are first compared with one representative each; what tha
 is one class, and keys within one class are done, so a large group of copies costs one
 comparison per copy. Items of keys that still hold several classes are compared with all
 others of the key, in blocks of ``BLOCK`` items of which two meet in a task; of the links
-found there only those that join classes are put out.
+found there only those that join classes are put out. Keys with the same items are compared once.
 """
 
 from __future__ import annotations
@@ -13,10 +13,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from panelweave.llm.text import Chunk, chunks, mix, shingles, span_hashes, word_spans
-from panelweave.sources.scratch import materialize
+from panelweave.sources.scratch import discard, materialize
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -24,6 +25,8 @@ SIMILAR = 0.8
 BLOCK = 256
 #: Elements of the 0/1 matrix handled at a time.
 COLUMNS = 2048
+#: Bytes of text whose groups are cut into shingles together.
+TOGETHER = 4 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -102,15 +105,17 @@ def components(links: DataFrame) -> DataFrame:
         pointing(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).distinct(), "edges"
     )
     while not finished(edges):
+        before = edges
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Written, so that the join can be split where an item has very many neighbours.
         least = materialize(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(pointing(large).distinct(), "edges")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionByName(least.select("u", F.col("m").alias("v")))
+        lower = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(lower, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = small.unionByName(lower.select("u", F.col("m").alias("v")))
         edges = materialize(pointing(small).distinct(), "edges")
+        discard(before, least, large)
     members = edges.select(F.col("u").alias("item"), F.col("v").alias("label"))
     roots = edges.select(F.col("v").alias("item"), F.col("v").alias("label")).distinct()
     return members.unionByName(roots)
@@ -122,20 +127,24 @@ def occurrences(value, text, count) -> tuple[np.ndarray, np.ndarray]:
     return mix(np.repeat(value, count) + again.astype(np.uint64) * _STEP), np.repeat(text, count)
 
 
-def forest(column: pa.Array, label: np.ndarray, counted: bool, at_least: float) -> list[tuple[int, int]]:
-    """Rows to link so that all similar texts of different labels hang together.
-
-    Compares every text of the column with every other one: the numbers of shared
-    elements are products of a 0/1 matrix, a block of its columns at a time.
-    """
-    n = len(column)
+def elements(column: pa.Array, counted: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Elements of the texts' sets with their rows, in the order of the rows."""
     value, text = [], []
     for chunk in chunks(column, lower=True, size=4 << 20):
         v, t, c = multisets(chunk)
         v, t = occurrences(v, t, c) if counted else (v, t)
         value.append(v)
         text.append(t + chunk.first)
-    value, text = np.concatenate(value), np.concatenate(text)
+    return np.concatenate(value), np.concatenate(text)
+
+
+def forest(value: np.ndarray, text: np.ndarray, label: np.ndarray, at_least: float) -> list[tuple[int, int]]:
+    """Rows to link so that all similar texts of different labels hang together.
+
+    Compares every row with every other one: the numbers of shared elements are products
+    of a 0/1 matrix, a block of its columns at a time.
+    """
+    n = len(label)
     size = np.bincount(text, minlength=n)
     _, place, often = np.unique(value, return_inverse=True, return_counts=True)
     common = often > 1
@@ -144,9 +153,10 @@ def forest(column: pa.Array, label: np.ndarray, counted: bool, at_least: float)
     order = np.argsort(place, kind="stable")
     place, text = place[order], text[order]
     shared = np.zeros((n, n), np.float32)
-    for first in range(0, int(common.sum()), COLUMNS):
+    n_common = int(common.sum())
+    for first in range(0, n_common, COLUMNS):
         a, b = np.searchsorted(place, [first, first + COLUMNS])
-        block = np.zeros((n, COLUMNS), np.float32)
+        block = np.zeros((n, min(COLUMNS, n_common - first)), np.float32)
         block[text[a:b], place[a:b] - first] = 1
         shared += block @ block.T
     union = size[:, None] + size[None, :] - shared
@@ -168,12 +178,57 @@ def forest(column: pa.Array, label: np.ndarray, counted: bool, at_least: float)
     return links
 
 
-def _link_group(counted: bool, at_least: float):
-    def link(table: pa.Table) -> pa.Table:
-        item, label = table.column("item").to_numpy(), table.column("label").to_numpy()
-        links = forest(table.column("text").combine_chunks(), label, counted, at_least)
-        ends = np.array(links, np.int64).reshape(-1, 2)
-        return pa.table([pa.array(item[ends[:, 0]]), pa.array(item[ends[:, 1]])], names=["a", "b"])
+def _starts(rows: pa.Table) -> np.ndarray:
+    """First rows of the groups of one key and two blocks."""
+    new = np.zeros(rows.num_rows, bool)
+    new[:1] = True
+    for name in ("key", "low", "high"):
+        column = rows.column(name).to_numpy()
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
+def _link_groups(counted: bool, at_least: float):
+    """Links of groups that lie one after the other in a partition."""
+
+    def links(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        item, label = rows.column("item").to_numpy(), rows.column("label").to_numpy()
+        column, ends = rows.column("text").combine_chunks(), np.r_[starts[1:], rows.num_rows]
+        length = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False))
+        g = 0
+        while g < len(starts):
+            read = length[starts[g]] + TOGETHER
+            last = max(g + 1, int(np.searchsorted(length[ends - 1], read)))
+            first = int(starts[g])
+            value, text = elements(column.slice(first, int(ends[last - 1]) - first), counted)
+            cuts = np.searchsorted(text, np.r_[starts[g:last], ends[last - 1]] - first)
+            found = []
+            for k in range(g, last):
+                a, b = int(starts[k]), int(ends[k])
+                if (label[a:b] == label[a]).all():
+                    continue
+                own = slice(cuts[k - g], cuts[k - g + 1])
+                found += [
+                    (a + i, a + j) for i, j in forest(value[own], text[own] - (a - first), label[a:b], at_least)
+                ]
+            pairs = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(item[pairs[:, 0]]), pa.array(item[pairs[:, 1]])], names=["a", "b"]
+            )
+            g = last
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            starts = _starts(held)
+            # The last group may go on in the next batch.
+            if len(starts) > 1:
+                yield from links(held.slice(0, int(starts[-1])), starts[:-1])
+                held = held.slice(int(starts[-1]))
+        if held is not None and held.num_rows:
+            yield from links(held, _starts(held))
 
     return link
 
@@ -192,11 +247,13 @@ def classes(
     shared = materialize(shared.where("n > 1"), "shared-keys")
     rows = materialize(rows.join(shared, "key"), "colliding")
     if rows.isEmpty():
+        discard(shared, rows)
         return None
     fetched = materialize(texts(rows.select("item").distinct()), "texts")
 
     # Every item against one representative.
-    pairs = rows.groupBy("item").agg(F.min("rep").alias("rep")).where("item <> rep")
+    compared = rows.groupBy("item").agg(F.min("rep").alias("compared"))
+    pairs = compared.where("item <> compared").withColumnRenamed("compared", "rep")
     sides = pairs.join(fetched.withColumnsRenamed({"item": "rep", "text": "text_b"}), "rep").join(
         fetched.withColumnRenamed("text", "text_a"), "item"
     )
@@ -206,12 +263,22 @@ def classes(
     links = materialize(found.where("similar").select("a", "b"), "links")
     labels = materialize(components(links), "labels")
 
-    # All items of keys that still hold several classes, block by block.
-    labelled = rows.select("key", "item").join(labels, "item", "left")
-    labelled = labelled.withColumn("label", F.coalesce("label", "item"))
-    several = labelled.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
-    ).where("low < high").select("key", F.expr(f"cast(ceil(n / {BLOCK}) AS int)").alias("blocks"))
+    # All items of keys that still hold several classes, block by block; of keys with the same items one,
+    # and no key of two items that were compared above.
+    labelled = rows.select("key", "item", "rep").join(compared, "item").join(labels, "item", "left")
+    labelled = materialize(labelled.withColumn("label", F.coalesce("label", "item")), "labelled")
+    several = (
+        labelled.groupBy("key")
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"),
+            F.bit_xor(F.xxhash64("item")).alias("x"), F.bit_xor(F.xxhash64("item", F.lit(1))).alias("y"),
+            F.max(F.expr("item <> rep AND rep = compared")).alias("done"),
+        )
+        .where("low < high AND NOT (n = 2 AND done)")
+        .groupBy("n", "x", "y")
+        .agg(F.min("key").alias("key"))
+        .select("key", F.expr(f"cast(ceil(n / {BLOCK}) AS int)").alias("blocks"))
+    )
     several = materialize(several, "open-keys")
     dealt = (
         labelled.join(several, "key")
@@ -222,10 +289,15 @@ def classes(
     )
     more = (
         dealt.join(fetched, "item")
-        .groupBy("key", "low", "high")
-        .applyInArrow(_link_group(counted, at_least), "a long, b long")
+        .repartition("key", "low", "high")
+        .sortWithinPartitions("key", "low", "high")
+        .mapInArrow(_link_groups(counted, at_least), "a long, b long")
     )
     more = materialize(more.distinct(), "more-links")
+    discard(shared, rows, fetched, labelled, several)
     if more.isEmpty():
+        discard(links, more)
         return labels
-    return components(links.unionByName(more))
+    joined = components(links.unionByName(more))
+    discard(links, labels, more)
+    return joined
