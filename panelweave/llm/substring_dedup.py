@@ -25,7 +25,6 @@ by their place, so missing or repeated ids are harmless; other columns are not r
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +35,7 @@ from panelweave.llm.near import SHINGLE, SIMILAR, classes, components
 from panelweave.llm.rows import located
 from panelweave.llm.text import Chunk, chunks, mix, span_hashes, window_hashes, word_spans
 from panelweave.llm.url_filters import bloom_filter, possible_hits
-from panelweave.sources.scratch import materialize
+from panelweave.sources.scratch import discard, materialize
 
 BANDS, ROWS = 8, 3
 LEAST_WORDS = SHINGLE
@@ -176,18 +175,34 @@ def near_paragraphs(parts: DataFrame, source: DataFrame, at_least: float) -> Dat
     else:
         named = named.join(labels, "item", "left").where("n > 1 OR label IS NOT NULL")
         named = named.withColumn("label", F.coalesce("label", "item"))
-    found = own.join(named.select("digest", "twin", "label"), ["digest", "twin"])
+    found = materialize(own.join(named.select("digest", "twin", "label"), ["digest", "twin"]).drop("keys"), "found")
+    discard(items)
     return _occurrences(found, "paragraph")
 
 
+_BLANK = "\x20\t\n\x0b\x0c\r"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = {k: k + 32 for k in range(65, 91)}
 
 
-def _words(text: str) -> tuple[list[str], list[int], list[int]]:
-    spans = [m.span() for m in _WORD.finditer(text)]
-    low = text.translate(_LOWER)
-    return [low[a:b] for a, b in spans], [a for a, _ in spans], [b for _, b in spans]
+def _before(text: str, at: int) -> tuple[int, int] | None:
+    """The last word that ends before ``at``, which begins a word."""
+    stop = at
+    while stop > 0 and text[stop - 1] in _BLANK:
+        stop -= 1
+    start = stop
+    while start > 0 and text[start - 1] not in _BLANK:
+        start -= 1
+    return (start, stop) if start < stop else None
+
+
+def _after(text: str, at: int) -> tuple[int, int] | None:
+    found = _WORD.search(text, at)
+    return found and found.span()
+
+
+def _equal(a: str, b: str) -> bool:
+    return a == b or len(a) == len(b) and a.translate(_LOWER) == b.translate(_LOWER)
 
 
 _EXTENDED = "row long, keep_row long, start int, stop int, keep_start int, keep_stop int, label long"
@@ -199,20 +214,28 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for r in batch.to_pylist():
             same = r["row"] == r["keep_row"]
-            word, start, stop = own = _words(r["text"])
-            kept_word, kept_start, kept_stop = own if same else _words(r["keep_text"])
+            text, kept_text = r["text"], r["text"] if same else r["keep_text"]
+            #: Words passed while a span grew: what lies opposite, and how far it grew.
+            passed = {}
             for s in r["spans"]:
-                i, k = bisect_left(start, s["start"]), bisect_left(kept_start, s["keep_start"])
-                j, m = bisect_left(stop, s["stop"]), bisect_left(kept_stop, s["keep_stop"])
-                # Two passages of one text do not grow into each other.
-                while i > 0 and k > 0 and word[i - 1] == kept_word[k - 1] and not (same and i - 1 <= m):
-                    i, k = i - 1, k - 1
-                while (
-                    j + 1 < len(word) and m + 1 < len(kept_word) and word[j + 1] == kept_word[m + 1]
-                    and not (same and m + 1 >= i)
-                ):
-                    j, m = j + 1, m + 1
-                out.append((r["row"], r["keep_row"], start[i], stop[j], kept_start[k], kept_stop[m], s["label"]))
+                start, stop, kept_start, kept_stop = (s[k] for k in ("start", "stop", "keep_start", "keep_stop"))
+                opposite, reach = passed.get(start, (None, None))
+                if opposite != kept_start or same:
+                    pairs = []
+                    while (word := _before(text, start)) and (kept := _before(kept_text, kept_start)):
+                        # Two passages of one text do not grow into each other.
+                        if same and word[0] < kept_stop or not _equal(text[slice(*word)], kept_text[slice(*kept)]):
+                            break
+                        start, kept_start = word[0], kept[0]
+                        pairs.append((start, kept_start))
+                    while (word := _after(text, stop)) and (kept := _after(kept_text, kept_stop)):
+                        if same and kept[0] >= start or not _equal(text[slice(*word)], kept_text[slice(*kept)]):
+                            break
+                        stop, kept_stop = word[1], kept[1]
+                        pairs.append((word[0], kept[0]))
+                    reach = (start, stop, kept_start, kept_stop)
+                    passed.update((own, (kept, reach)) for own, kept in pairs)
+                out.append((r["row"], r["keep_row"], *reach, s["label"]))
         if out:
             kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -230,11 +253,16 @@ def _numbered(rows: DataFrame, over, fresh) -> DataFrame:
 def shared_passages(parts: DataFrame, source: DataFrame) -> DataFrame:
     own = parts.where("size(keys) = 0").select("doc_id", "row", "start", "length", "digest")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "start", "length")
-    again = own.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
+    # Digests alone are counted first; of the windows only those that may be repeated are shuffled.
+    counts = materialize(
+        own.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest"), "window-counts"
+    )
+    likely = materialize(possible_hits(own, bloom_filter(counts, "digest"), "digest"), "likely-windows")
+    again = likely.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
     # Written, so that the join can be split where one window is very common.
     again = materialize(again.where("n > 1"), "window-groups")
     repeated = materialize(
-        own.join(again, "digest").select(
+        likely.join(again, "digest").select(
             "doc_id", "row", "start", F.expr("start + length").alias("stop"), "digest",
             F.expr("row = first.row AND start = first.start").alias("kept"),
             F.col("first.doc_id").alias("keep_doc_id"), F.col("first.row").alias("keep_row"),
@@ -243,6 +271,7 @@ def shared_passages(parts: DataFrame, source: DataFrame) -> DataFrame:
         ),
         "repeated-windows",
     )
+    discard(counts, likely, again)
 
     # One row is one text, so its windows are bounded by its length.
     text = Window.partitionBy("row").orderBy("start")
@@ -278,13 +307,15 @@ def shared_passages(parts: DataFrame, source: DataFrame) -> DataFrame:
     def texts(column: str, name: str) -> DataFrame:
         wanted = spans.select(F.col(column).alias("row")).distinct()
         likely = possible_hits(source, bloom_filter(wanted, "row"), "row")
-        found = materialize(likely.join(wanted, "row", "left_semi"), "passage-texts")
-        return found.select(F.col("row").alias(column), F.col("text").alias(name))
+        found = likely.join(wanted, "row", "left_semi")
+        return materialize(found.select(F.col("row").alias(column), F.col("text").alias(name)), "passage-texts")
 
-    both = spans.join(texts("row", "text"), "row").join(texts("keep_row", "keep_text"), "keep_row")
+    own_texts, kept_texts = texts("row", "text"), texts("keep_row", "keep_text")
+    both = spans.join(own_texts, "row").join(kept_texts, "keep_row")
     extended = materialize(
         both.select("row", "keep_row", "text", "keep_text", "spans").mapInArrow(_extend, _EXTENDED), "passages"
     )
+    discard(spans, labels, own_texts, kept_texts)
 
     # A kept passage is what its copies agree with.
     sides = extended.select("row", "keep_row", "start", "stop", "label", F.lit(False).alias("kept")).unionByName(
@@ -299,11 +330,13 @@ def shared_passages(parts: DataFrame, source: DataFrame) -> DataFrame:
         "row", "kept", "keep_row", "label", "number"
     ).agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
     merged = materialize(merged, "merged-passages")
+    discard(extended)
     sizes = materialize(merged.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "passage-classes")
     ids = repeated.select("row", "doc_id").unionByName(
         repeated.select(F.col("keep_row").alias("row"), F.col("keep_doc_id").alias("doc_id"))
     ).distinct()
     ids = materialize(ids, "passage-ids")
+    discard(repeated)
     return (
         merged.join(sizes, "label").join(ids, "row")
         .join(ids.select(F.col("row").alias("keep_row"), F.col("doc_id").alias("keep_doc_id")), "keep_row")
@@ -328,4 +361,6 @@ def repeated_passages(
     )
     parts = materialize(source.mapInArrow(_cut(bands, rows), PARAGRAPH), "paragraphs")
     near = near_paragraphs(parts, source.select("row", "text"), at_least)
-    return near.unionByName(shared_passages(parts, source.select("row", "text")))
+    shared = shared_passages(parts, source.select("row", "text"))
+    discard(parts)
+    return near.unionByName(shared)
