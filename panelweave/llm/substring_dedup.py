@@ -25,6 +25,7 @@ by their place, so missing or repeated ids are harmless; other columns are not r
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -185,26 +186,76 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = {k: k + 32 for k in range(65, 91)}
 
 
-def _before(text: str, at: int) -> tuple[int, int] | None:
-    """The last word that ends before ``at``, which begins a word."""
-    stop = at
-    while stop > 0 and text[stop - 1] in _BLANK:
-        stop -= 1
-    start = stop
-    while start > 0 and text[start - 1] not in _BLANK:
-        start -= 1
-    return (start, stop) if start < stop else None
+def _agreeing(text: str, at: int, other: str, there: int, way: int) -> int:
+    """Code points in which both texts surely agree from these places on, ``way`` -1 backwards."""
 
+    def piece(of: str, begin: int, length: int) -> str:
+        return of[begin : begin + length] if way > 0 else of[max(0, begin - length) : begin]
 
-def _after(text: str, at: int) -> tuple[int, int] | None:
-    found = _WORD.search(text, at)
-    return found and found.span()
+    agreed, size, growing = 0, 64, True
+    while size >= 16:
+        own = piece(text, at + way * agreed, size)
+        if len(own) == size and own == piece(other, there + way * agreed, size):
+            agreed += size
+            size = size * 2 if growing else size // 2
+        else:
+            size, growing = size // 2, False
+    return agreed
+
+
+def _before(text: str, at: int, other: str, there: int) -> tuple[int, int, int, int] | None:
+    """Words before these places, which begin words, that agree at sight; else one word of each text.
+
+    Their starts and stops in both texts; all but a single word is equal.
+    """
+    agreed = text[at - _agreeing(text, at, other, there, -1) : at]
+    # Up to the first blank a word may be cut.
+    cut = min((k for k in map(agreed.find, _BLANK) if k >= 0), default=len(agreed))
+    whole = len(agreed[cut:].lstrip(_BLANK))
+    if whole:
+        return at - whole, at, there - whole, there
+    found = []
+    for of, stop in ((text, at), (other, there)):
+        while stop > 0 and of[stop - 1] in _BLANK:
+            stop -= 1
+        start = stop
+        while start > 0 and of[start - 1] not in _BLANK:
+            start -= 1
+        found += [start, stop]
+    return tuple(found) if found[0] < found[1] and found[2] < found[3] else None
+
+
+def _after(text: str, at: int, other: str, there: int) -> tuple[int, int, int, int] | None:
+    """The same behind these places, which end words."""
+    agreed = text[at : at + _agreeing(text, at, other, there, 1)]
+    whole = len(agreed[: max(map(agreed.rfind, _BLANK)) + 1].rstrip(_BLANK))
+    if whole:
+        return at, at + whole, there, there + whole
+    word, opposite = _WORD.search(text, at), _WORD.search(other, there)
+    return word and opposite and (*word.span(), *opposite.span())
 
 
 def _equal(a: str, b: str) -> bool:
     return a == b or len(a) == len(b) and a.translate(_LOWER) == b.translate(_LOWER)
 
 
+def _grown_within(
+    text: str, starts: list[int], stops: list[int], start: int, stop: int, kept_start: int, kept_stop: int
+) -> tuple[int, int, int, int]:
+    """Two passages of one text, whose words lie at ``starts``, grow word by word and not into each other."""
+    i, k = bisect_left(starts, start), bisect_left(starts, kept_start)
+    j, m = bisect_left(stops, stop), bisect_left(stops, kept_stop)
+
+    def equal(x: int, y: int) -> bool:
+        return _equal(text[starts[x] : stops[x]], text[starts[y] : stops[y]])
+
+    while i > 0 and k > 0 and i - 1 > m and equal(i - 1, k - 1):
+        i, k = i - 1, k - 1
+    while j + 1 < len(starts) and m + 1 < i and equal(j + 1, m + 1):
+        j, m = j + 1, m + 1
+    return starts[i], stops[j], starts[k], stops[m]
+
+
 _EXTENDED = "row long, keep_row long, start int, stop int, keep_start int, keep_stop int, label long"
 
 
@@ -215,26 +266,31 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batch.to_pylist():
             same = r["row"] == r["keep_row"]
             text, kept_text = r["text"], r["text"] if same else r["keep_text"]
-            #: Words passed while a span grew: what lies opposite, and how far it grew.
+            words = [m.span() for m in _WORD.finditer(text)] if same else []
+            starts, stops = [a for a, _ in words], [b for _, b in words]
+            # What was passed while a span grew, by how far the places lie apart.
             passed = {}
             for s in r["spans"]:
                 start, stop, kept_start, kept_stop = (s[k] for k in ("start", "stop", "keep_start", "keep_stop"))
-                opposite, reach = passed.get(start, (None, None))
-                if opposite != kept_start or same:
-                    pairs = []
-                    while (word := _before(text, start)) and (kept := _before(kept_text, kept_start)):
-                        # Two passages of one text do not grow into each other.
-                        if same and word[0] < kept_stop or not _equal(text[slice(*word)], kept_text[slice(*kept)]):
+                known = passed.get(kept_start - start, ())
+                reach = next((x for first, last, x in known if first <= start < last), None)
+                if same:
+                    reach = _grown_within(text, starts, stops, start, stop, kept_start, kept_stop)
+                elif reach is None:
+                    steps = []
+                    while found := _before(text, start, kept_text, kept_start):
+                        if not _equal(text[found[0] : found[1]], kept_text[found[2] : found[3]]):
                             break
-                        start, kept_start = word[0], kept[0]
-                        pairs.append((start, kept_start))
-                    while (word := _after(text, stop)) and (kept := _after(kept_text, kept_stop)):
-                        if same and kept[0] >= start or not _equal(text[slice(*word)], kept_text[slice(*kept)]):
+                        steps.append(found)
+                        start, kept_start = found[0], found[2]
+                    while found := _after(text, stop, kept_text, kept_stop):
+                        if not _equal(text[found[0] : found[1]], kept_text[found[2] : found[3]]):
                             break
-                        stop, kept_stop = word[1], kept[1]
-                        pairs.append((word[0], kept[0]))
+                        steps.append(found)
+                        stop, kept_stop = found[1], found[3]
                     reach = (start, stop, kept_start, kept_stop)
-                    passed.update((own, (kept, reach)) for own, kept in pairs)
+                    for f in steps:
+                        passed.setdefault(f[2] - f[0], []).append((f[0], f[1], reach))
                 out.append((r["row"], r["keep_row"], *reach, s["label"]))
         if out:
             kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.int64())
