@@ -10,8 +10,9 @@ with the replacement and the siblings on its right; what lies on the left is nev
 
 Trees are built in subtrees of ``RUN`` neighbouring nodes (six levels), each in one task, so a
 group of any size is dealt out evenly. The way from a subtree to the root is handed down from
-the top, again subtree by subtree; a leaf's proof and its folded root need only its own subtree
-and that way. Positions in a group come from a sorted range partitioning and the counts per
+the top, again subtree by subtree, together with the root itself; a leaf's proof and its folded
+root need only its own subtree and that way. Every leaf is folded, changed or not, and what it
+folds to is compared with the root that was built. Positions in a group come from a sorted range partitioning and the counts per
 partition, never from one sorted group.
 
 A missing field is written ``-``, any other one as its number of bytes, ``:`` and the value. A
@@ -36,8 +37,10 @@ RUN = ARITY**LEVELS
 NODE = "tree string, at long, n long, digest string"
 _NODE = pa.schema([("tree", pa.string()), ("at", pa.int64()), ("n", pa.int64()), ("digest", pa.string())])
 _STEPS = pa.list_(pa.struct([("left", pa.string()), ("right", pa.string())]))
-_WAY = pa.schema([("tree", pa.string()), ("at", pa.int64()), ("steps", _STEPS), ("subroot", pa.string())])
-WAY = "tree string, at long, steps array<struct<left: string, right: string>>, subroot string"
+_WAY = pa.schema(
+    [("tree", pa.string()), ("at", pa.int64()), ("steps", _STEPS), ("subroot", pa.string()), ("root", pa.string())]
+)
+WAY = "tree string, at long, steps array<struct<left: string, right: string>>, subroot string, root string"
 _PROOF = pa.schema(
     [("doc_id", pa.int64()), ("leaf", pa.string()), ("subroot", pa.string()), ("root", pa.string()),
      ("proof_sha256", pa.string()), ("folded_root", pa.string()), ("verified", pa.bool_())]
@@ -147,14 +150,15 @@ def _descend(nodes: pa.Table, ways: pa.Table) -> pa.Table:
     if not nodes.num_rows:
         return _WAY.empty_table()
     nodes = nodes.sort_by("at")
-    subtree, (above, subroot) = _subtree(nodes), (ways.column(c)[0].as_py() for c in ("steps", "subroot"))
+    subtree = _subtree(nodes)
+    above, subroot, root = (ways.column(c)[0].as_py() for c in ("steps", "subroot", "root"))
     steps = [
         [{"left": left, "right": right} for left, right in subtree.siblings(k)] + above
         for k in range(nodes.num_rows)
     ]
     return pa.table(
         [nodes.column("tree"), nodes.column("at"), pa.array(steps, _STEPS),
-         pa.array([subroot] * nodes.num_rows, pa.string())],
+         pa.array([subroot] * nodes.num_rows, pa.string()), pa.array([root] * nodes.num_rows, pa.string())],
         schema=_WAY,
     )
 
@@ -164,11 +168,11 @@ def _prove(leaves: pa.Table, ways: pa.Table) -> pa.Table:
         return _PROOF.empty_table()
     leaves = leaves.sort_by("at")
     subtree, way = _subtree(leaves), Way(ways.column("steps")[0].as_py())
-    root, subroot = way.fold(subtree.top), ways.column("subroot")[0].as_py()
+    subroot, root = (ways.column(c)[0].as_py() for c in ("subroot", "root"))
     rows = []
     for k, r in enumerate(leaves.select(["doc_id", "digest", "altered"]).to_pylist()):
         proof = "".join(left + right for left, right in subtree.siblings(k)) + way.siblings
-        folded = root if r["altered"] is None else way.fold(subtree.fold(k, r["altered"]))
+        folded = way.fold(subtree.fold(k, r["digest"] if r["altered"] is None else r["altered"]))
         rows.append(
             {"doc_id": r["doc_id"], "leaf": r["digest"], "subroot": subroot, "root": root,
              "proof_sha256": hashlib.sha256(proof.encode()).hexdigest(), "folded_root": folded,
@@ -254,11 +258,12 @@ def manifest(
     above = climb(tops)
     last = above[-1].select(
         "tree", "at", F.expr("cast(array() AS array<struct<left: string, right: string>>)").alias("steps"),
-        F.lit(None).cast("string").alias("subroot"),
+        F.lit(None).cast("string").alias("subroot"), F.col("digest").alias("root"),
     )
     ways = descend(above, last).drop("subroot")
     ways = tops.join(ways, ["tree", "at"]).select(
-        F.col("branch").alias("tree"), F.lit(0).cast("long").alias("at"), "steps", F.col("digest").alias("subroot")
+        F.col("branch").alias("tree"), F.lit(0).cast("long").alias("at"), "steps", F.col("digest").alias("subroot"),
+        "root",
     )
     ways = descend(levels[1:], materialize(ways, "branch-ways"))
     # The subtrees of the leaves are the first nodes above them, a lone leaf is its own.

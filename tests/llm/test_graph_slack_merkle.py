@@ -10,6 +10,7 @@ from itertools import product
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -290,3 +291,23 @@ def test_folding_resumes_the_state_before_the_slot():
             assert tree.fold(at, new) == changed.top and tree.fold(at, leaves[at]) == tree.top
             steps = [{"left": a, "right": b} for a, b in tree.siblings(at)]
             assert merkle.Way(steps).fold(new) == changed.top
+
+
+def test_every_leaf_is_folded_and_compared_with_the_root_that_was_built(monkeypatch):
+    leaves = [hashlib.sha256(bytes([k])).hexdigest() for k in range(5)]
+    tree, new = merkle.Tree(leaves, merkle.levels_of(5)), hashlib.sha256(b"new").hexdigest()
+    table = pa.table({
+        "tree": ["=a"] * 5, "doc_id": list(range(5)), "digest": leaves, "at": list(range(5)), "n": [5] * 5,
+        "altered": pa.array([None, new, None, None, None], pa.string()),
+    })
+    folded, fold = [], merkle.Tree.fold
+    monkeypatch.setattr(merkle.Tree, "fold", lambda self, at, digest: folded.append(at) or fold(self, at, digest))
+    for root in (tree.top, "another"):
+        ways = pa.Table.from_pylist(
+            [{"tree": "=a", "at": 0, "steps": [], "subroot": tree.top, "root": root}], schema=merkle._WAY
+        )
+        found = merkle._prove(table, ways).to_pylist()
+        assert folded == [0, 1, 2, 3, 4] and {r["root"] for r in found} == {root}
+        assert [r["folded_root"] == tree.top for r in found] == [True, False, True, True, True]
+        assert [r["verified"] for r in found] == [k != 1 and root == tree.top for k in range(5)]
+        folded.clear()
