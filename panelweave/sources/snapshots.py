@@ -83,6 +83,26 @@ def write_snapshot(
     writer.csv(path)
 
 
+#: Files a task of :func:`write_by_value` holds open, and bytes of rows that each of them gathers.
+OPEN_FILES, ROW_GROUP_BYTES = 64, 16 << 20
+
+
+def write_by_value(df: DataFrame, column: str, path: str) -> None:
+    """One Parquet file per value of a column, in folders as ``partitionBy`` names them.
+
+    A task writes the rows of its values as they come, unsorted, so its memory does not grow with
+    them; only a task with more than ``OPEN_FILES`` values sorts.
+    """
+    conf, setting = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(setting)
+    conf.set(setting, str(OPEN_FILES))
+    try:
+        dealt = df.repartition(column)
+        dealt.write.partitionBy(column).option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    finally:
+        conf.set(setting, before)
+
+
 def save_releases(
     df: DataFrame,
     table: str,

@@ -2,6 +2,7 @@
 
 import random
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from helpers import bag, formatted, plan, rows
@@ -15,6 +16,7 @@ from panelweave.plans.packaging import publish_latest, register_published
 from panelweave.schema import MANIFEST_SCHEMA
 from panelweave.sources import files, publication, snapshots
 from panelweave.sources.file_heads import SHARE, file_heads
+from panelweave.suite import SCAN_QUERIES, written_files
 
 
 def brute(points, intervals):
@@ -61,6 +63,22 @@ def test_interval_join_at_the_ends_of_the_scale(spark):
         interval_join(left.withColumn("at", F.lit("x")), "at", right, "opens", "closes")
 
 
+def test_files_by_value_are_written_by_several_tasks(spark, data_dir, tmp_path, monkeypatch):
+    made = str(tmp_path / "audit")
+    monkeypatch.setattr(written_files, "scratch_path", lambda *a: made)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    try:
+        SCAN_QUERIES["file_audit"](spark, data_dir)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    files = list(Path(made).glob("good/o_orderpriority=*/part-*.parquet"))
+    assert len(files) == len({f.parent for f in files}) == 5
+    assert len({f.name.split("-")[1] for f in files}) > 1
+    assert spark.read.parquet(f"{made}/good/o_orderpriority=*").count() == spark.read.parquet(f"{data_dir}/orders.parquet").count()
+
+
 def test_file_heads(spark, tmp_path):
     (tmp_path / "deep" / "er").mkdir(parents=True)
     (tmp_path / "_hidden").mkdir()
