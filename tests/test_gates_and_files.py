@@ -8,6 +8,7 @@ import pytest
 from helpers import bag, formatted, plan, rows
 from pyspark.sql import functions as F
 
+from panelweave.operators import audit
 from panelweave.operators.intervals import interval_join
 from panelweave.operators.reshape import any_present
 from panelweave.plans.gates import GateFailed, Gates, write_gated
@@ -16,7 +17,7 @@ from panelweave.plans.packaging import publish_latest, register_published
 from panelweave.schema import MANIFEST_SCHEMA
 from panelweave.sources import files, publication, snapshots
 from panelweave.sources.file_heads import SHARE, file_heads
-from panelweave.suite import SCAN_QUERIES, written_files
+from panelweave.suite import QUERIES, SCAN_QUERIES, written_files
 
 
 def brute(points, intervals):
@@ -63,6 +64,37 @@ def test_interval_join_at_the_ends_of_the_scale(spark):
         interval_join(left.withColumn("at", F.lit("x")), "at", right, "opens", "closes")
 
 
+def test_first_valid_in_windows(spark, monkeypatch):
+    rng = random.Random(7)
+    start = datetime(2024, 1, 1)
+    at = lambda k: None if k is None else start + timedelta(minutes=k)
+    captures = [(at(rng.choice([None, *range(300)])), rng.choice([None, 2000, 2001, 2002])) for _ in range(500)]
+    windows = []
+    for k in range(120):
+        a = rng.choice([None, *range(-20, 320)])
+        b = None if a is None or rng.random() < 0.1 else a + rng.choice([-1, 0, 1, 5, 40, 400])
+        windows.append((rng.choice([None, f"r{k % 70}"]) if k % 9 == 0 else f"r{k % 70}", at(a), at(b),
+                        rng.choice([None, 2000, 2001, 2002, 2003])))
+    left = spark.createDataFrame(captures, "ts timestamp_ntz, max_year int").repartition(3)
+    columns = "release_id string, opens timestamp_ntz, closes timestamp_ntz, expected_max_year int"
+    right = spark.createDataFrame(windows, columns)
+    wanted = bag(audit.first_valid_capture(audit.capture_verdicts(left, right, "ts", "max_year"), "ts", listed=False))
+    monkeypatch.setattr(audit, "interval_join", None)
+    assert bag(audit.first_valid_in_windows(left, right, "ts", "max_year")) == wanted
+    for a, b in ((left.where("false"), right), (left, right.where("false"))):
+        assert audit.first_valid_in_windows(a, b, "ts", "max_year").count() == 0
+    with pytest.raises(TypeError, match="different types"):
+        audit.first_valid_in_windows(left, right.withColumn("closes", F.lit(1)), "ts", "max_year")
+
+
+def test_first_valid_capture_of_windows_forms_no_pairs(spark, data_dir, monkeypatch):
+    def refuse(*args):
+        raise AssertionError("captures were joined to windows")
+
+    monkeypatch.setattr(audit, "interval_join", refuse)
+    assert QUERIES["capture_windows_first"](spark, data_dir).count()
+
+
 def test_files_by_value_are_written_by_several_tasks(spark, data_dir, tmp_path, monkeypatch):
     made = str(tmp_path / "audit")
     monkeypatch.setattr(written_files, "scratch_path", lambda *a: made)
