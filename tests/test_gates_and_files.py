@@ -8,7 +8,7 @@ import pytest
 from helpers import bag, formatted, plan, rows
 from pyspark.sql import functions as F
 
-from panelweave.operators import audit
+from panelweave.operators import audit, intervals
 from panelweave.operators.intervals import interval_join
 from panelweave.operators.reshape import any_present
 from panelweave.plans.gates import GateFailed, Gates, write_gated
@@ -64,6 +64,27 @@ def test_interval_join_at_the_ends_of_the_scale(spark):
         interval_join(left.withColumn("at", F.lit("x")), "at", right, "opens", "closes")
 
 
+def test_no_task_gets_one_interval_s_points_or_all_open_intervals(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "CELL", 16)
+    rng = random.Random(6)
+    # Two thirds of the points lie at one place, the others far apart.
+    points = [(k, 77 if k % 3 else rng.randint(0, 10**6)) for k in range(900)]
+    bounds = [(None, None), (None, 500_000), (300, None), (0, 10**6), (77, 77), (76, 78), (5, 4), (-9, -1)]
+    left = spark.createDataFrame(points, "p long, at long")
+    right = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(bounds)], "i long, opens long, closes long")
+    found = interval_join(left, "at", right, "opens", "closes")
+    assert sorted((r.p, r.i) for r in found.collect()) == brute(points, bounds)
+    assert "__slice" in plan(found)
+    # Long and open intervals lie in many cells of few points.
+    cells = []
+    kind, join = type(left), type(left).join
+    monkeypatch.setattr(kind, "join", lambda self, other, on=None, how=None: (
+        cells.append((self, on)) or join(self, other, on, how)))
+    interval_join(left, "at", right, "opens", "closes")
+    dealt, keys = cells[-1]
+    assert max(r["count"] for r in dealt.groupBy(*keys).count().collect()) < 100
+
+
 def test_first_valid_in_windows(spark, monkeypatch):
     rng = random.Random(7)
     start = datetime(2024, 1, 1)
