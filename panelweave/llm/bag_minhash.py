@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from panelweave.llm.near import SIMILAR, classes, multisets
 from panelweave.llm.rows import from_files, located, texts_at, without
 from panelweave.llm.text import chunks, mix, unit
+from panelweave.llm.workers import releasing
 from panelweave.sources.scratch import materialize
 
 BANDS, ROWS = 32, 7
@@ -145,7 +146,7 @@ def near_duplicates(
     """
     docs = from_files(docs)
     source = located(docs, "doc_id", "text")
-    signed = materialize(source.mapInArrow(_sign(bands, rows), _SIGNED), "signed")
+    signed = materialize(source.mapInArrow(releasing(_sign(bands, rows)), _SIGNED), "signed")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "file", "place")
     # One item for each different multiset.
     items = materialize(

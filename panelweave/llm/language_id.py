@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from panelweave.llm.linear import Grams, fit_logistic
 from panelweave.llm.rows import located
 from panelweave.llm.text import chunks
+from panelweave.llm.workers import releasing
 
 GRAMS = Grams(chars=(1, 2, 3), bits=12)
 ROWS_PER_LANGUAGE = 250
@@ -163,7 +164,7 @@ def predict(docs: DataFrame, model: Model | None, *columns: str) -> DataFrame:
                 names=[*columns, "lang_pred", "score", "ambiguous"],
             )
 
-    return rows.mapInArrow(score, schema)
+    return rows.mapInArrow(releasing(score), schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from panelweave.llm.text import Chunk, chunks, mix, shingles, span_hashes, word_spans
+from panelweave.llm.workers import releasing
 from panelweave.sources.scratch import discard, materialize
 
 SHINGLE = 5
@@ -258,7 +259,7 @@ def classes(
         fetched.withColumnRenamed("text", "text_a"), "item"
     )
     found = sides.select(F.col("item").alias("a"), F.col("rep").alias("b"), "text_a", "text_b").mapInArrow(
-        checked(counted, at_least), "a long, b long, similar boolean"
+        releasing(checked(counted, at_least)), "a long, b long, similar boolean"
     )
     links = materialize(found.where("similar").select("a", "b"), "links")
     labels = materialize(components(links), "labels")
@@ -291,7 +292,7 @@ def classes(
         dealt.join(fetched, "item")
         .repartition("key", "low", "high")
         .sortWithinPartitions("key", "low", "high")
-        .mapInArrow(_link_groups(counted, at_least), "a long, b long")
+        .mapInArrow(releasing(_link_groups(counted, at_least)), "a long, b long")
     )
     more = materialize(more.distinct(), "more-links")
     discard(shared, rows, fetched, labelled, several)

@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from panelweave.llm.text import Chunk, chunks, span_hashes, span_heads, word_spans
+from panelweave.llm.workers import release, releasing
 from panelweave.sources.scratch import materialize
 
 END_ID = (1).to_bytes(4, "little")
@@ -52,6 +53,11 @@ LATIN_SPLIT = re.compile(
 LATIN_TEXT = re.compile("[\x20-\x7e\xa1-\xff]*")
 
 
+def _said(step) -> dict:
+    """A step of a tokenizer as its file has it, without the vocabulary beside it."""
+    return {} if step is None else json.loads(step.__getstate__())
+
+
 class UnitEncoder:
     """Ids of texts from ids of their blank-separated units, remembering recent units.
 
@@ -63,10 +69,11 @@ class UnitEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer, self.words = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        for each in (self.tokenizer, self.words):
-            each.no_truncation()
-            each.no_padding()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        # The same model, which holds the vocabulary, without what happens to a text before.
+        self.words = Tokenizer(self.tokenizer.model)
         self.words.normalizer = normalizers.Sequence([])
         self.words.pre_tokenizer = pre_tokenizers.Sequence(
             [
@@ -74,9 +81,8 @@ class UnitEncoder:
                 pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
             ]
         )
-        said = json.loads(self.tokenizer.to_str())
-        steps = (said["normalizer"] or {}).get("normalizers", [])
-        splits = (said["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        steps = _said(self.tokenizer.normalizer).get("normalizers", [])
+        splits = _said(self.tokenizer.pre_tokenizer).get("pretokenizers", [{}])
         self.latin = (
             [x["type"] for x in steps] == NORMALISED
             and splits[0].get("pattern") == {"Regex": SPLIT}
@@ -272,14 +278,17 @@ def _pack_task(path: str, capacity: int, open_windows: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         windows = Windows(capacity, open_windows, task << 32)
+        release()
         encode = unit_encoder(path)
         for batch in batches:
-            ids, rows = batch.column(0).to_pylist(), []
+            ids = batch.column(0).to_pylist()
+            # Rows leave with their chunk, so that a batch of texts never stands beside all its rows.
             for chunk in chunks(batch.column(1)):
+                rows = []
                 for i, coded in enumerate(encode(chunk)):
                     rows.extend(windows.add(ids[chunk.first + i], coded + END_ID))
-            if rows:
-                yield _batch([(*r, None, None) for r in rows], _STAGED)
+                if rows:
+                    yield _batch([(*r, None, None) for r in rows], _STAGED)
         left = [
             (doc_id, start, len(ids) // 4, None, total, None, None, task, ids)
             for _, pieces in windows.open
@@ -327,7 +336,7 @@ def pack_documents(
     """
     staged = materialize(
         docs.select("doc_id", "text").mapInArrow(
-            _pack_task(tokenizer_path, capacity, open_windows), f"{PIECE}, task long, ids binary"
+            releasing(_pack_task(tokenizer_path, capacity, open_windows)), f"{PIECE}, task long, ids binary"
         ),
         "packing",
     )

@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from panelweave.llm.rows import free_names, from_files, located, with_place
 from panelweave.llm.url_filters import bloom_filter, marked_hits
 from panelweave.schema import quoted
+from panelweave.llm.workers import releasing
 from panelweave.sources.scratch import materialize
 
 MASK = "[secret]"
@@ -205,7 +206,7 @@ def linked(parts: DataFrame) -> DataFrame:
 def scan(docs: DataFrame) -> DataFrame:
     """One row per document with its counts, ``spans`` and ``links``, besides ``file`` and ``place``."""
     rows = located(docs, "doc_id", "text")
-    found = materialize(rows.mapInArrow(_find, _FOUND), "secrets")
+    found = materialize(rows.mapInArrow(releasing(_find), _FOUND), "secrets")
     parts = found.where("size(parts) > 0").select("file", "place", F.inline("parts"))
     more = linked(parts).groupBy("file", "place").agg(
         F.collect_list(F.struct("start", "kind", "end", "said")).alias("more"),

@@ -1,5 +1,34 @@
-"""Shipping of the package to Python workers, as the rest of the library does it."""
+"""Shipping of the package to Python workers, and what workers do between tasks."""
+
+from __future__ import annotations
+
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 
 from panelweave.workers import ship
 
-__all__ = ["ship"]
+__all__ = ["release", "releasing", "ship"]
+
+
+def release() -> None:
+    """Give the memory that a worker no longer uses back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run: Callable) -> Callable:
+    """A function for ``mapInArrow`` that keeps nothing after its task: workers go on to the next stage."""
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return released

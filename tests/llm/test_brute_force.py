@@ -10,12 +10,15 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import duckdb
+import pyarrow as pa
 import pytest
+import tokenizers
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
+from panelweave.llm import packing  # noqa: E402
 from panelweave.llm.queries import ORACLE, QUERIES, tokenizer  # noqa: E402
 from panelweave.sources.scratch import materialize  # noqa: E402
 
@@ -214,3 +217,23 @@ def test_matches_sql(spark, name):
     found = QUERIES[name](spark, FOLDER)
     assert sorted(found.columns) == sorted(columns)
     assert Counter(map(tuple, found.select(*columns).collect())) == Counter(expected.fetchall())
+
+
+def test_packing_holds_one_vocabulary_and_rows_leave_with_their_chunk(monkeypatch):
+    path, loaded, load = tokenizer("word_bpe_49k.json"), [], Tokenizer.from_file
+    holder = type("Tokenizer", (), {
+        "from_file": staticmethod(lambda p: loaded.append(p) or load(p)), "__new__": lambda cls, model: Tokenizer(model),
+    })
+    monkeypatch.setattr(tokenizers, "Tokenizer", holder)
+    packing.UnitEncoder(path)
+    assert loaded == [path]
+    monkeypatch.undo()
+
+    class Task:
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(packing, "TaskContext", type("Context", (), {"get": staticmethod(lambda: Task)}))
+    texts = ["word " * 3000] * 400  # 6 MB, in chunks of 1 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(texts)], names=["doc_id", "text"])
+    given = list(packing._pack_task(path, 2048, 16)(iter([batch])))
+    assert len(given) > 5 and max(b.num_rows for b in given[:-1]) < 300
