@@ -109,7 +109,7 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model |
     )
     # At most rows_per_language rows of every language.
     sample = rows.join(F.broadcast(chosen), ["file", "place"]).select("lang", "text")
-    found = sample.mapInArrow(_features, "lang string, columns binary, values binary").toArrow()
+    found = sample.mapInArrow(releasing(_features), "lang string, columns binary, values binary").toArrow()
     languages = sorted(set(found.column("lang").to_pylist()))
     if not languages:
         return None

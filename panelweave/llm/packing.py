@@ -19,7 +19,6 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -28,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from panelweave.llm.text import Chunk, chunks, span_hashes, span_heads, word_spans
-from panelweave.llm.workers import release, releasing
+from panelweave.llm.workers import releasing, remembered
 from panelweave.sources.scratch import materialize
 
 END_ID = (1).to_bytes(4, "little")
@@ -220,7 +219,7 @@ class UnitTable:
         return cuts, self.pool[at]
 
 
-@lru_cache(maxsize=2)
+@remembered
 def unit_encoder(path: str) -> UnitEncoder:
     return UnitEncoder(path)
 
@@ -278,7 +277,6 @@ def _pack_task(path: str, capacity: int, open_windows: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         windows = Windows(capacity, open_windows, task << 32)
-        release()
         encode = unit_encoder(path)
         for batch in batches:
             ids = batch.column(0).to_pylist()
@@ -336,7 +334,8 @@ def pack_documents(
     """
     staged = materialize(
         docs.select("doc_id", "text").mapInArrow(
-            releasing(_pack_task(tokenizer_path, capacity, open_windows)), f"{PIECE}, task long, ids binary"
+            releasing(_pack_task(tokenizer_path, capacity, open_windows), unit_encoder),
+            f"{PIECE}, task long, ids binary",
         ),
         "packing",
     )

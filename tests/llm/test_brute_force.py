@@ -20,6 +20,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import corpus_pipeline  # noqa: E402
 from panelweave.llm import packing  # noqa: E402
 from panelweave.llm.queries import ORACLE, QUERIES, tokenizer  # noqa: E402
+from panelweave.llm.workers import releasing  # noqa: E402
 from panelweave.sources.scratch import materialize  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
@@ -237,3 +238,12 @@ def test_packing_holds_one_vocabulary_and_rows_leave_with_their_chunk(monkeypatc
     batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(texts)], names=["doc_id", "text"])
     given = list(packing._pack_task(path, 2048, 16)(iter([batch])))
     assert len(given) > 5 and max(b.num_rows for b in given[:-1]) < 300
+
+
+def test_a_worker_drops_what_another_operator_remembers():
+    path = tokenizer("word_bpe_49k.json")
+    encoder = packing.unit_encoder(path)
+    list(releasing(lambda batches: batches, packing.unit_encoder)(iter([])))
+    assert packing.unit_encoder(path) is encoder
+    list(releasing(lambda batches: batches)(iter([])))
+    assert packing.unit_encoder.cache_info().currsize == 0
