@@ -4,7 +4,8 @@ Items that share a key are first compared with one representative each; what tha
 is one class, and keys within one class are done, so a large group of copies costs one
 comparison per copy. Items of keys that still hold several classes are compared with all
 others of the key, in blocks of ``BLOCK`` items of which two meet in a task; of the links
-found there only those that join classes are put out. Keys with the same items are compared once.
+found there only those that join classes are put out, as pairs of these. Keys with the same items are
+compared once.
 """
 
 from __future__ import annotations
@@ -190,10 +191,10 @@ def _starts(rows: pa.Table) -> np.ndarray:
 
 
 def _link_groups(counted: bool, at_least: float):
-    """Links of groups that lie one after the other in a partition."""
+    """Links between the labels of groups that lie one after the other in a partition."""
 
     def links(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        item, label = rows.column("item").to_numpy(), rows.column("label").to_numpy()
+        label = rows.column("label").to_numpy()
         column, ends = rows.column("text").combine_chunks(), np.r_[starts[1:], rows.num_rows]
         length = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False))
         g = 0
@@ -214,7 +215,7 @@ def _link_groups(counted: bool, at_least: float):
                 ]
             pairs = np.array(found, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(item[pairs[:, 0]]), pa.array(item[pairs[:, 1]])], names=["a", "b"]
+                [pa.array(label[pairs[:, 0]]), pa.array(label[pairs[:, 1]])], names=["a", "b"]
             )
             g = last
 
@@ -296,9 +297,13 @@ def classes(
     )
     more = materialize(more.distinct(), "more-links")
     discard(shared, rows, fetched, labelled, several)
+    discard(links)
     if more.isEmpty():
-        discard(links, more)
+        discard(more)
         return labels
-    joined = components(links.unionByName(more))
-    discard(links, labels, more)
-    return joined
+    # Only labels that were linked now are joined anew; a label is the smallest item of its class.
+    joined = materialize(components(more), "joined")
+    discard(more)
+    fresh = joined.join(labels, "item", "left_anti")
+    renamed = labels.join(joined.select(F.col("item").alias("label"), F.col("label").alias("least")), "label", "left")
+    return renamed.select("item", F.coalesce("least", "label").alias("label")).unionByName(fresh)

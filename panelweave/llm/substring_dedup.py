@@ -46,7 +46,8 @@ _TWIN = np.uint64(0xA0761D6478BD642F)
 INNER = (np.arange(256) & 0xC0) == 0x80
 
 PARAGRAPH = (
-    "doc_id long, row long, start int, length int, words int, digest long, twin long, keys array<long>"
+    "doc_id long, row long, start int, length int, words int, digest long, twin long, keys array<long>, "
+    "passage boolean"
 )
 _COLUMNS = [c.split()[0] for c in PARAGRAPH.split(", ")]
 
@@ -88,17 +89,31 @@ def lines(chunk: Chunk, start, end, owner, hashed, bands: int, rows: int):
     return owner[first], first, first + size - 1, digest, twin, keys
 
 
+def first_least(value: np.ndarray, size: int) -> np.ndarray:
+    """Place of the smallest value, of equal ones the first, in every run of ``size`` neighbours.
+
+    Runs are put together from two of up to half as many more.
+    """
+    place, least, have = np.arange(len(value)), value, 1
+    while have < size:
+        step = min(have, size - have)
+        right = least[step:] < least[:-step]
+        place = np.where(right, place[step:], place[:-step])
+        least = np.minimum(least[step:], least[:-step])
+        have += step
+    return place
+
+
 def windows(owner, hashed):
     """Owner, first and last word and hash of every anchored window."""
     shingle = window_hashes(hashed, SHINGLE)
     if len(shingle) < SPAN:
         return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
-    rows = np.lib.stride_tricks.sliding_window_view(shingle, SPAN)
-    low = np.arange(len(rows))
-    inside = owner[low] == owner[low + SPAN + SHINGLE - 2]
-    low = low[inside]
-    anchor = low + rows[low].argmin(axis=1) if len(low) else low
-    anchor = np.unique(anchor)
+    least = first_least(shingle, SPAN)
+    inside = owner[: len(least)] == owner[SPAN + SHINGLE - 2 :][: len(least)]
+    # Where the smallest lies never falls from one run to the next.
+    anchor = least[inside]
+    anchor = anchor[np.r_[True, anchor[1:] != anchor[:-1]]] if len(anchor) else anchor
     anchor = anchor[anchor + WINDOW <= len(owner)]
     anchor = anchor[owner[anchor] == owner[anchor + WINDOW - 1]]
     value = window_hashes(hashed, WINDOW)[anchor] if len(hashed) >= WINDOW else np.empty(0, np.uint64)
@@ -131,6 +146,8 @@ def _cut(bands: int, rows: int):
                         pa.array(np.r_[ld, wd].view(np.int64)),
                         pa.array(np.r_[lt, np.zeros(len(wo), np.uint64)].view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(lk.ravel().view(np.int64))),
+                        # A window, not a paragraph: told without reading the keys.
+                        pa.array(np.arange(len(who)) >= len(lo)),
                     ],
                     names=_COLUMNS,
                 )
@@ -152,7 +169,7 @@ def _occurrences(found: DataFrame, kind: str) -> DataFrame:
 
 
 def near_paragraphs(parts: DataFrame, source: DataFrame, at_least: float) -> DataFrame:
-    own = parts.where("size(keys) > 0")
+    own = parts.where("NOT passage")
     items = materialize(
         own.groupBy("digest", "twin")
         .agg(F.min(F.struct("row", "start", "length")).alias("at"), F.first("words").alias("words"),
@@ -176,7 +193,8 @@ def near_paragraphs(parts: DataFrame, source: DataFrame, at_least: float) -> Dat
     else:
         named = named.join(labels, "item", "left").where("n > 1 OR label IS NOT NULL")
         named = named.withColumn("label", F.coalesce("label", "item"))
-    found = materialize(own.join(named.select("digest", "twin", "label"), ["digest", "twin"]).drop("keys"), "found")
+    found = own.join(named.select("digest", "twin", "label"), ["digest", "twin"]).drop("keys", "passage")
+    found = materialize(found, "found")
     discard(items)
     return _occurrences(found, "paragraph")
 
@@ -307,7 +325,7 @@ def _numbered(rows: DataFrame, over, fresh) -> DataFrame:
 
 
 def shared_passages(parts: DataFrame, source: DataFrame) -> DataFrame:
-    own = parts.where("size(keys) = 0").select("doc_id", "row", "start", "length", "digest")
+    own = parts.where("passage").select("doc_id", "row", "start", "length", "digest")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "start", "length")
     # Digests alone are counted first; of the windows only those that may be repeated are shuffled.
     counts = materialize(

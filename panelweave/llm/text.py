@@ -27,9 +27,14 @@ _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Scatter 64-bit values (the finishing steps of splitmix64)."""
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
+    # One new array and one for the shifts; every further step is in place.
+    y = x >> np.uint64(30)
+    y ^= x
+    y *= _M1
+    y ^= y >> np.uint64(27)
+    y *= _M2
+    y ^= y >> np.uint64(31)
+    return y
 
 
 def unit(x: np.ndarray) -> np.ndarray:

@@ -5,10 +5,11 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 
 pa = pytest.importorskip("pyarrow")
-from panelweave.llm import substring_dedup  # noqa: E402
+from panelweave.llm import near, substring_dedup  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PLACES = ("start", "stop", "keep_start", "keep_stop")
@@ -68,3 +69,41 @@ def test_passages_of_one_text_do_not_grow_into_each_other():
     )
     (found,) = [r for b in substring_dedup._extend([batch]) for r in b.to_pylist()]
     assert found["keep_stop"] < found["start"]
+
+
+def test_first_least_is_the_first_smallest_of_every_run():
+    random = np.random.default_rng(3)
+    for size in (1, 2, 5, 21):
+        for values in (1, 3, 10**6):
+            value = random.integers(0, values, 300).astype(np.uint64)
+            runs = np.lib.stride_tricks.sliding_window_view(value, size)
+            expected = runs.argmin(axis=1) + np.arange(len(runs))
+            assert substring_dedup.first_least(value, size).tolist() == expected.tolist()
+
+
+def test_links_of_open_keys_join_labels_not_items():
+    text = "one two three four five six seven eight nine ten"
+    columns = {
+        "key": pa.array([7, 7, 7]), "low": pa.array([0, 0, 0], pa.int32()), "high": pa.array([0, 0, 0], pa.int32()),
+        "item": pa.array([21, 22, 23]), "label": pa.array([11, 12, 12]), "text": pa.array([text] * 3),
+    }
+    link = near._link_groups(False, near.SIMILAR)
+    found = [b for batch in link(pa.table(columns).to_batches()) for b in batch.to_pylist()]
+    assert found == [{"a": 11, "b": 12}]
+
+
+def test_classes_that_open_keys_join_bear_the_smallest_item(spark):
+    texts = {
+        1: "a b c d e f g h i j k l m n o p q r s t",
+        2: "z y x w v u z y x w v u t s r q p o n m",
+        3: "z y x w v u z y x w v u t s r q p o n m",
+        4: "a b c d e f g h i j k l m n o p q r s t",
+        5: "z y x w v u z y x w v u t s r q p o n m",
+        6: "a b c d e f g h i j k l m n o p q r s t",
+    }
+    # 2 is compared with 1 alone; only the open key 8 tells that it equals 3 and 5, 1 that it equals 4 and 6.
+    keys = {1: [8], 2: [8], 3: [8, 9], 4: [8, 10], 5: [9], 6: [10]}
+    items = spark.createDataFrame([(i, 16, keys[i]) for i in texts], "item long, weight long, keys array<long>")
+    held = spark.createDataFrame(list(texts.items()), "item long, text string")
+    found = near.classes(items, lambda wanted: held.join(wanted, "item"), False)
+    assert dict(map(tuple, found.collect())) == {1: 1, 4: 1, 6: 1, 2: 2, 3: 2, 5: 2}
