@@ -32,15 +32,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write a frame that several results need, and continue from the files.
 
     The lineage ends at the written table, so losing an executor afterwards
-    costs a re-read and not a recomputation.
+    costs a re-read and not a recomputation. With ``by``, readers that want some
+    values of that column only read their files.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     written = df.sparkSession.read.schema(df.schema).parquet(path)
+    if by:
+        written = written.select(*df.columns)
     written._scratch_path = path
     return written
 
