@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from panelweave.llm.text import Chunk, chunks, mix, shingles, span_hashes, word_spans
+from panelweave.llm.url_filters import bloom_filter, possible_hits
 from panelweave.llm.workers import releasing
 from panelweave.sources.scratch import discard, materialize
 
@@ -27,6 +28,8 @@ SIMILAR = 0.8
 BLOCK = 256
 #: Elements of the 0/1 matrix handled at a time.
 COLUMNS = 2048
+#: Keys that are counted at once before they are shuffled.
+AT_ONCE = 1 << 20
 #: Bytes of text whose groups are cut into shingles together.
 TOGETHER = 4 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -235,6 +238,73 @@ def _link_groups(counted: bool, at_least: float):
     return link
 
 
+def _summed(key: np.ndarray, rep: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, each with the smallest ``rep`` and the sum of ``n``."""
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    return key[first], np.minimum.reduceat(rep[order], first), np.add.reduceat(n[order], first)
+
+
+def _key_counts(buckets: int):
+    """Counts of the keys of many rows at a time, an array for each bucket of keys."""
+
+    def emit(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        key, item = rows.column("key").combine_chunks(), rows.column("item").to_numpy()
+        if pa.types.is_list(key.type):
+            item = np.repeat(item, key.value_lengths().to_numpy())
+            key = key.flatten()
+        key, rep, n = _summed(key.to_numpy(), item, np.ones(len(item), np.int64))
+        bucket = (mix(key.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        own = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([bucket[o[0]] for o in own], pa.int32())]
+            + [pa.array([x[o].tobytes() for o in own], pa.binary()) for x in (key, rep, n)],
+            names=["bucket", "key", "rep", "n"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            column = batch.column("key")
+            n = len(column.flatten()) if pa.types.is_list(column.type) else len(column)
+            if n:
+                held.append(batch)
+                size += n
+            if size >= AT_ONCE:
+                yield emit(held)
+                held, size = [], 0
+        if held:
+            yield emit(held)
+
+    return run
+
+
+def _repeated(table):
+    key, rep, n = (
+        np.concatenate([np.frombuffer(x, np.int64) for x in table.column(c).to_pylist()]) for c in ("key", "rep", "n")
+    )
+    key, rep, n = _summed(key, rep, n)
+    several = n > 1
+    return pa.table({"key": key[several], "n": n[several], "rep": rep[several]})
+
+
+def repeated_keys(rows: DataFrame) -> DataFrame:
+    """``key, n, rep`` of the keys that ``rows(item, key)`` have several times: how often, and the smallest item.
+
+    ``key`` is a long or an array of longs. Keys are counted in the tasks that read them first, so of a common key
+    a bucket gets a few numbers.
+    """
+    buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = rows.select("item", "key").mapInArrow(
+        releasing(_key_counts(buckets)), "bucket int, key binary, rep binary, n binary"
+    )
+    return counted.groupBy("bucket").applyInArrow(_repeated, "key long, n long, rep long")
+
+
 def classes(
     items: DataFrame, texts: Callable[[DataFrame], DataFrame], counted: bool, at_least: float = SIMILAR
 ) -> DataFrame | None:
@@ -244,10 +314,10 @@ def classes(
     longs); ``texts`` returns ``item, text`` of the items of a frame.
     """
     rows = items.select("item", "weight", F.explode("keys").alias("key"))
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("item").alias("rep"))
     # Written, so that the join can be split where a key is very common.
-    shared = materialize(shared.where("n > 1"), "shared-keys")
-    rows = materialize(rows.join(shared, "key"), "colliding")
+    shared = materialize(repeated_keys(items.select("item", F.col("keys").alias("key"))), "shared-keys")
+    likely = possible_hits(rows, bloom_filter(shared, "key"), "key")
+    rows = materialize(likely.join(shared, "key"), "colliding")
     if rows.isEmpty():
         discard(shared, rows)
         return None

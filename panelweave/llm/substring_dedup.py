@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from panelweave.llm.near import SHINGLE, SIMILAR, classes, components
+from panelweave.llm.near import SHINGLE, SIMILAR, classes, components, repeated_keys
 from panelweave.llm.rows import located
 from panelweave.llm.text import Chunk, chunks, mix, span_hashes, window_hashes, word_spans
 from panelweave.llm.url_filters import bloom_filter, possible_hits
@@ -180,7 +180,9 @@ def near_paragraphs(parts: DataFrame, source: DataFrame, at_least: float) -> Dat
     )
 
     def texts(wanted: DataFrame) -> DataFrame:
-        places = items.join(wanted, "item", "left_semi").select("item", "at.row", "at.start", "at.length")
+        likely = possible_hits(items.select("item", "at"), bloom_filter(wanted, "item"), "item")
+        places = likely.join(wanted, "item", "left_semi").select("item", "at.row", "at.start", "at.length")
+        places = materialize(places, "places")
         likely = possible_hits(source, bloom_filter(places.select("row").distinct(), "row"), "row")
         return likely.join(places, "row").select(
             "item", F.substring(F.col("text"), F.col("start") + 1, F.col("length")).alias("text")
@@ -193,9 +195,10 @@ def near_paragraphs(parts: DataFrame, source: DataFrame, at_least: float) -> Dat
     else:
         named = named.join(labels, "item", "left").where("n > 1 OR label IS NOT NULL")
         named = named.withColumn("label", F.coalesce("label", "item"))
-    found = own.join(named.select("digest", "twin", "label"), ["digest", "twin"]).drop("keys", "passage")
-    found = materialize(found, "found")
-    discard(items)
+    named = materialize(named.select("digest", "twin", "label"), "named")
+    likely = possible_hits(own.drop("keys", "passage"), bloom_filter(named, "digest"), "digest")
+    found = materialize(likely.join(named, ["digest", "twin"]), "found")
+    discard(items, named)
     return _occurrences(found, "paragraph")
 
 
@@ -328,9 +331,8 @@ def shared_passages(parts: DataFrame, source: DataFrame) -> DataFrame:
     own = parts.where("passage").select("doc_id", "row", "start", "length", "digest")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "start", "length")
     # Digests alone are counted first; of the windows only those that may be repeated are shuffled.
-    counts = materialize(
-        own.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest"), "window-counts"
-    )
+    digests = own.select(F.col("digest").alias("item"), F.col("digest").alias("key"))
+    counts = materialize(repeated_keys(digests).select(F.col("key").alias("digest")), "window-counts")
     likely = materialize(possible_hits(own, bloom_filter(counts, "digest"), "digest"), "likely-windows")
     again = likely.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
     # Written, so that the join can be split where one window is very common.
@@ -352,6 +354,7 @@ def shared_passages(parts: DataFrame, source: DataFrame) -> DataFrame:
     runs = _numbered(repeated, text, F.col("start") > F.lag("stop").over(text))
     head = Window.partitionBy("row", "number").orderBy("start")
     links = runs.select(F.first("digest").over(head).alias("a"), F.col("digest").alias("b")).distinct()
+    links = materialize(links, "window-links")
     alone = links.where("a = b").select(F.col("a").alias("digest"))
     joined = components(links.where("a <> b"))
     labels = joined.withColumnRenamed("item", "digest").unionByName(
@@ -359,6 +362,7 @@ def shared_passages(parts: DataFrame, source: DataFrame) -> DataFrame:
         .withColumn("label", F.col("digest"))
     )
     labels = materialize(labels, "window-classes")
+    discard(links)
 
     copies = repeated.where("NOT kept")
     parted = (
