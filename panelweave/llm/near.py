@@ -35,11 +35,20 @@ TOGETHER = 4 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+def by_text(value: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """The order by text and value, like ``np.lexsort((value, text))`` but for equal rows."""
+    if not len(text) or text.max() >= 1 << 16:
+        return np.lexsort((value, text))
+    # Sorting 16-bit numbers stably takes no comparisons.
+    order = np.argsort(value)
+    return order[np.argsort(text[order].astype(np.uint16), kind="stable")]
+
+
 def multisets(chunk: Chunk, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles with text and count, ordered by text and shingle."""
     start, end, owner = word_spans(chunk)
     value, text = shingles(span_hashes(chunk, start, end), owner, size)
-    order = np.lexsort((value, text))
+    order = by_text(value, text)
     value, text = value[order], text[order]
     if not len(value):
         return value, text, np.empty(0, np.int64)
@@ -65,7 +74,7 @@ def overlap(left: pa.Array, right: pa.Array, counted: bool) -> np.ndarray:
         parts.append([np.concatenate(x) for x in (value, text, count)])
     total = [np.bincount(p[1], weights=p[2], minlength=n) for p in parts]
     value, text, count = (np.concatenate([p[k] for p in parts]) for k in range(3))
-    order = np.lexsort((value, text))
+    order = by_text(value, text)
     value, text, count = value[order], text[order], count[order]
     both = (value[1:] == value[:-1]) & (text[1:] == text[:-1])
     least = np.minimum(count[1:], count[:-1])[both]

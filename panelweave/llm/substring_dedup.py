@@ -14,7 +14,8 @@ window, and equal runs hold equal windows. Windows found in several places are l
 to passages where they overlap and are first found in the same text, there too overlapping.
 A passage is then extended word by word on both sides as far as that text agrees. Windows that
 overlap in some text are one component, its label is the ``class_id`` of their passages, and
-``class_size`` counts all of these.
+``class_size`` counts all of these. Windows that overlap where they are kept are joined there; only
+such runs go through the turns of ``components``.
 
 Of each class the occurrence with the smallest ``doc_id`` (a missing one counts as largest), place
 and start stays; the others are to be removed. Texts are compared in lower case.
@@ -74,17 +75,16 @@ def lines(chunk: Chunk, start, end, owner, hashed, bands: int, rows: int):
         digest, twin = _runs(hashed, first)[keep], _runs(mix(hashed ^ _TWIN), first)[keep]
         parts.append((first[keep], size[keep], digest, twin))
     first, size, digest, twin = (np.concatenate(x) for x in zip(*parts, strict=True))
-    # Shingles of all words, then those that lie within one paragraph.
-    whole = window_hashes(hashed, SHINGLE)
-    count = size - SHINGLE + 1
-    at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
-    value, cut = whole[at], np.cumsum(count) - count
+    # Shingles of all words, scattered once for lines and runs; the last one only ends the slices, of which
+    # every second one is a paragraph.
+    whole = np.append(window_hashes(hashed, SHINGLE), np.uint64(0))
+    slices = np.column_stack([first, first + size - SHINGLE + 1]).ravel()
     keys = np.empty((len(first), bands), np.uint64)
     for b in range(bands):
         key = np.full(len(first), _SEEDS[-1] + np.uint64(b), np.uint64)
         for r in range(rows):
             seed = _SEEDS[b * rows + r]
-            key = mix(key ^ np.minimum.reduceat(mix(value ^ seed), cut)) if len(cut) else key
+            key = mix(key ^ np.minimum.reduceat(mix(whole ^ seed), slices)[::2]) if len(first) else key
         keys[:, b] = key
     return owner[first], first, first + size - 1, digest, twin, keys
 
@@ -181,7 +181,8 @@ def near_paragraphs(parts: DataFrame, source: DataFrame, at_least: float) -> Dat
 
     def texts(wanted: DataFrame) -> DataFrame:
         likely = possible_hits(items.select("item", "at"), bloom_filter(wanted, "item"), "item")
-        places = likely.join(wanted, "item", "left_semi").select("item", "at.row", "at.start", "at.length")
+        # No semi-join: that one Spark would run before the filter.
+        places = likely.join(wanted, "item").select("item", "at.row", "at.start", "at.length")
         places = materialize(places, "places")
         likely = possible_hits(source, bloom_filter(places.select("row").distinct(), "row"), "row")
         return likely.join(places, "row").select(
@@ -260,21 +261,30 @@ def _equal(a: str, b: str) -> bool:
     return a == b or len(a) == len(b) and a.translate(_LOWER) == b.translate(_LOWER)
 
 
+def _alike(words: list[str], x: int, y: int, most: int, way: int) -> int:
+    """How many words, ``most`` at most, agree from these places on, ``way`` -1 backwards."""
+    agreed, size, growing = 0, 16, True
+    while agreed < most and size:
+        size = min(size, most - agreed)
+        a, b = x + way * agreed - (size if way < 0 else 0), y + way * agreed - (size if way < 0 else 0)
+        if words[a : a + size] == words[b : b + size]:
+            agreed += size
+            size = size * 2 if growing else size // 2 or 1
+        else:
+            size, growing = size // 2, False
+    return agreed
+
+
 def _grown_within(
-    text: str, starts: list[int], stops: list[int], start: int, stop: int, kept_start: int, kept_stop: int
+    words: list[str], starts: list[int], stops: list[int], start: int, stop: int, kept_start: int, kept_stop: int
 ) -> tuple[int, int, int, int]:
-    """Two passages of one text, whose words lie at ``starts``, grow word by word and not into each other."""
+    """Two passages of one text, whose ``words`` lie at ``starts``, grow by words and not into each other."""
     i, k = bisect_left(starts, start), bisect_left(starts, kept_start)
     j, m = bisect_left(stops, stop), bisect_left(stops, kept_stop)
-
-    def equal(x: int, y: int) -> bool:
-        return _equal(text[starts[x] : stops[x]], text[starts[y] : stops[y]])
-
-    while i > 0 and k > 0 and i - 1 > m and equal(i - 1, k - 1):
-        i, k = i - 1, k - 1
-    while j + 1 < len(starts) and m + 1 < i and equal(j + 1, m + 1):
-        j, m = j + 1, m + 1
-    return starts[i], stops[j], starts[k], stops[m]
+    n = _alike(words, i, k, min(k, i - 1 - m), -1)
+    i, k = i - n, k - n
+    n = _alike(words, j + 1, m + 1, min(len(starts) - 1 - j, i - 1 - m), 1)
+    return starts[i], stops[j + n], starts[k], stops[m + n]
 
 
 _EXTENDED = "row long, keep_row long, start int, stop int, keep_start int, keep_stop int, label long"
@@ -287,8 +297,8 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batch.to_pylist():
             same = r["row"] == r["keep_row"]
             text, kept_text = r["text"], r["text"] if same else r["keep_text"]
-            words = [m.span() for m in _WORD.finditer(text)] if same else []
-            starts, stops = [a for a, _ in words], [b for _, b in words]
+            found = list(_WORD.finditer(text.translate(_LOWER))) if same else []
+            words, starts, stops = [m.group() for m in found], [m.start() for m in found], [m.end() for m in found]
             # What was passed while a span grew, by how far the places lie apart.
             passed = {}
             for s in r["spans"]:
@@ -296,7 +306,7 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 known = passed.get(kept_start - start, ())
                 reach = next((x for first, last, x in known if first <= start < last), None)
                 if same:
-                    reach = _grown_within(text, starts, stops, start, stop, kept_start, kept_stop)
+                    reach = _grown_within(words, starts, stops, start, stop, kept_start, kept_stop)
                 elif reach is None:
                     steps = []
                     while found := _before(text, start, kept_text, kept_start):
@@ -337,63 +347,75 @@ def shared_passages(parts: DataFrame, source: DataFrame) -> DataFrame:
     again = likely.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
     # Written, so that the join can be split where one window is very common.
     again = materialize(again.where("n > 1"), "window-groups")
-    repeated = materialize(
-        likely.join(again, "digest").select(
-            "doc_id", "row", "start", F.expr("start + length").alias("stop"), "digest",
-            F.expr("row = first.row AND start = first.start").alias("kept"),
-            F.col("first.doc_id").alias("keep_doc_id"), F.col("first.row").alias("keep_row"),
-            F.col("first.start").alias("keep_start"),
-            F.expr("first.start + first.length").alias("keep_stop"),
-        ),
-        "repeated-windows",
+    repeated = likely.join(again, "digest").select(
+        "doc_id", "row", "start", F.expr("start + length").alias("stop"), "digest",
+        F.expr("row = first.row AND start = first.start").alias("kept"),
+        F.col("first.row").alias("keep_row"), F.col("first.start").alias("keep_start"),
+        F.expr("first.start + first.length").alias("keep_stop"),
     )
-    discard(counts, likely, again)
-
     # One row is one text, so its windows are bounded by its length.
     text = Window.partitionBy("row").orderBy("start")
-    runs = _numbered(repeated, text, F.col("start") > F.lag("stop").over(text))
-    head = Window.partitionBy("row", "number").orderBy("start")
-    links = runs.select(F.first("digest").over(head).alias("a"), F.col("digest").alias("b")).distinct()
-    links = materialize(links, "window-links")
-    alone = links.where("a = b").select(F.col("a").alias("digest"))
-    joined = components(links.where("a <> b"))
-    labels = joined.withColumnRenamed("item", "digest").unionByName(
-        alone.join(joined.select(F.col("item").alias("digest")), "digest", "left_anti")
-        .withColumn("label", F.col("digest"))
-    )
-    labels = materialize(labels, "window-classes")
-    discard(links)
+    copy = ~F.col("kept")
+
+    def lately(column: str):
+        """Of the copy before this one."""
+        return F.last(F.when(copy, F.col(column)), True).over(text.rowsBetween(Window.unboundedPreceding, -1))
 
-    copies = repeated.where("NOT kept")
     parted = (
-        (F.col("start") > F.lag("stop").over(text))
-        | (F.col("keep_row") != F.lag("keep_row").over(text))
-        | (F.col("keep_start") < F.lag("keep_start").over(text))
-        | (F.col("keep_start") > F.lag("keep_stop").over(text))
+        (F.col("start") > lately("stop"))
+        | (F.col("keep_row") != lately("keep_row"))
+        | (F.col("keep_start") < lately("keep_start"))
+        | (F.col("keep_start") > lately("keep_stop"))
     )
-    spans = _numbered(copies, text, parted).groupBy("row", "number").agg(
+    # Windows that overlap are a run; its copies that also overlap in the text that is kept are a span.
+    repeated = repeated.withColumns({
+        "part": copy & F.coalesce(parted, F.lit(True)),
+        "apart": F.coalesce(F.col("start") > F.lag("stop").over(text), F.lit(True)),
+    })
+    so_far = text.rowsBetween(Window.unboundedPreceding, 0)
+    repeated = repeated.withColumns({
+        "number": F.sum(F.col("part").cast("int")).over(so_far),
+        "run": F.sum(F.col("apart").cast("int")).over(so_far),
+    }).drop("part", "apart")
+    repeated = materialize(repeated, "repeated-windows")
+    discard(counts, likely, again)
+
+    spans = repeated.where(copy).groupBy("row", "run", "number").agg(
         F.first("keep_row").alias("keep_row"), F.min_by("digest", "start").alias("digest"),
         F.min("start").alias("start"), F.max("stop").alias("stop"),
         F.min_by("keep_start", "start").alias("keep_start"), F.max_by("keep_stop", "start").alias("keep_stop"),
     )
-    spans = spans.join(labels, "digest").groupBy("row", "keep_row").agg(
-        F.collect_list(F.struct("start", "stop", "keep_start", "keep_stop", "label")).alias("spans")
-    )
+    # The windows of a run that are kept there are one node, named like their smallest digest. Windows of a span
+    # overlap in the text that is kept, so they belong to one node, and only nodes are to be joined.
+    kept = repeated.where("kept").select("row", "run", "digest")
+    kept = kept.withColumn("node", F.min("digest").over(Window.partitionBy("row", "run")))
+    kept = materialize(kept, "window-nodes")
+    spans = materialize(spans.join(kept.select("digest", "node"), "digest"), "spans")
+    runs = spans.select("row", "run", "node").unionByName(kept.select("row", "run", "node")).distinct()
+    least = F.min("node").over(Window.partitionBy("row", "run"))
+    links = runs.select(least.alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
+    labels = materialize(components(links), "window-classes")
+
+    together = spans.join(labels.withColumnRenamed("item", "node"), "node", "left").groupBy("row", "keep_row").agg(
+        F.sort_array(F.collect_list(F.struct(
+            "start", "stop", "keep_start", "keep_stop", F.coalesce("label", "node").alias("label")
+        ))).alias("spans")
+    )
     # Written, so that the joins can be split where many texts have one keeper.
-    spans = materialize(spans, "passage-spans")
+    together = materialize(together, "passage-spans")
+    discard(kept, spans)
 
     def texts(column: str, name: str) -> DataFrame:
-        wanted = spans.select(F.col(column).alias("row")).distinct()
+        wanted = together.select(F.col(column).alias("row")).distinct()
         likely = possible_hits(source, bloom_filter(wanted, "row"), "row")
-        found = likely.join(wanted, "row", "left_semi")
-        return materialize(found.select(F.col("row").alias(column), F.col("text").alias(name)), "passage-texts")
+        return likely.select(F.col("row").alias(column), F.col("text").alias(name))
 
-    own_texts, kept_texts = texts("row", "text"), texts("keep_row", "keep_text")
-    both = spans.join(own_texts, "row").join(kept_texts, "keep_row")
+    # The filters alone keep other texts out of the shuffles; the joins drop what they let through.
+    both = together.join(texts("row", "text"), "row").join(texts("keep_row", "keep_text"), "keep_row")
     extended = materialize(
         both.select("row", "keep_row", "text", "keep_text", "spans").mapInArrow(_extend, _EXTENDED), "passages"
     )
-    discard(spans, labels, own_texts, kept_texts)
+    discard(together, labels)
 
     # A kept passage is what its copies agree with.
     sides = extended.select("row", "keep_row", "start", "stop", "label", F.lit(False).alias("kept")).unionByName(
@@ -410,10 +432,8 @@ def shared_passages(parts: DataFrame, source: DataFrame) -> DataFrame:
     merged = materialize(merged, "merged-passages")
     discard(extended)
     sizes = materialize(merged.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "passage-classes")
-    ids = repeated.select("row", "doc_id").unionByName(
-        repeated.select(F.col("keep_row").alias("row"), F.col("keep_doc_id").alias("doc_id"))
-    ).distinct()
-    ids = materialize(ids, "passage-ids")
+    # A row that keeps a window also has it.
+    ids = materialize(repeated.select("row", "doc_id").distinct(), "passage-ids")
     discard(repeated)
     return (
         merged.join(sizes, "label").join(ids, "row")
